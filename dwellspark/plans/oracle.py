@@ -137,3 +137,35 @@ SQL["q20_all_features_union"] = f"""
 WITH {ALL_FEATURES}
 SELECT entity_id, feature_name, feature_value, window_start, window_end, computed_at
 FROM features"""
+
+ARRIVALS = """arr AS (
+  SELECT *, CASE WHEN event_id % 20 = 0 THEN ts + INTERVAL 3 HOUR ELSE ts END AS arrival_ts
+  FROM ev),
+wm AS (
+  SELECT *, max(ts) OVER (ORDER BY arrival_ts, event_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS max_prior
+  FROM arr)"""
+
+SQL["q09_late_events_replay"] = f"""
+WITH {EV}, {ARRIVALS}
+SELECT event_id, user_id, event_type, ts, arrival_ts,
+       date_trunc('hour', ts) AS window_start,
+       date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end
+FROM wm
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= max_prior - INTERVAL 30 SECOND"""
+
+SQL["q10_late_counts_by_delay"] = f"""
+WITH {EV}, {META}, {ARRIVALS},
+d AS (SELECT unnest([0, 30, 120]) AS delay_s),
+x AS (
+  SELECT d.delay_s,
+         date_trunc('hour', w.ts) + INTERVAL 1 HOUR <= w.max_prior - d.delay_s * INTERVAL 1 SECOND AS user_late,
+         time_bucket(INTERVAL 5 MINUTE, w.ts) + INTERVAL 15 MINUTE <= w.max_prior - d.delay_s * INTERVAL 1 SECOND AS content_late,
+         m.category IS NOT NULL AS has_cat
+  FROM wm w CROSS JOIN d LEFT JOIN meta m ON w.content_id = m.content_id)
+SELECT 'user' AS window_family, CAST(delay_s AS INTEGER) AS delay_s,
+       CAST(count(*) FILTER (WHERE user_late) AS BIGINT) AS late_count FROM x GROUP BY delay_s
+UNION ALL
+SELECT 'content', CAST(delay_s AS INTEGER), CAST(count(*) FILTER (WHERE content_late) AS BIGINT) FROM x GROUP BY delay_s
+UNION ALL
+SELECT 'affinity', CAST(delay_s AS INTEGER), CAST(count(*) FILTER (WHERE user_late AND has_cat) AS BIGINT) FROM x GROUP BY delay_s"""

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.operators import enrich, features
+from dwellspark.functions.expressions import count_where
+from dwellspark.operators import enrich, features, late
 from dwellspark.sources import tables
 from dwellspark.spec import DRIVER_SPEC
 
@@ -64,6 +65,41 @@ def q08_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "dwell_time_ms", "ts", "category", "creator_id")
 
 
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.with_arrival(_events(spark, sf_dir))
+
+
+def q09_late_events_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events the 1-hour user windows drop as late (30 s watermark), by replay."""
+    out = late.late_events(_arrivals(spark, sf_dir), size_s=3600, delay_s=SPEC.watermark_delay_s)
+    return out.select("event_id", "user_id", "event_type", "ts", "arrival_ts",
+                      "window_start", "window_end")
+
+
+LATE_DELAYS = (0, 30, 120)
+
+
+def q10_late_counts_by_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late counts per window family for watermark delays 0 / 30 / 120 s."""
+    geoms = []
+    for d in LATE_DELAYS:
+        geoms.append(late.Geometry(f"user|{d}", 3600, 3600, d))
+        geoms.append(late.Geometry(f"content|{d}", 900, 300, d))
+    enriched = enrich.enrich_events(_arrivals(spark, sf_dir), _latest_meta(spark, sf_dir), how="left")
+    tagged = late.classify(enriched.select("event_id", "ts", "arrival_ts", "category"), geoms)
+    per_geom = (tagged.groupBy("geom")
+                .agg(count_where(F.col("is_late")).alias("late"),
+                     count_where(F.col("is_late") & F.col("category").isNotNull()).alias("late_cat")))
+    parts = F.split(F.col("geom"), "[|]")
+    base = per_geom.select(parts[0].alias("window_family"),
+                           parts[1].cast("int").alias("delay_s"), "late", "late_cat")
+    fam = base.select("window_family", "delay_s", F.col("late").alias("late_count"))
+    aff = (base.where(F.col("window_family") == "user")
+           .select(F.lit("affinity").alias("window_family"), "delay_s",
+                   F.col("late_cat").alias("late_count")))
+    return fam.unionByName(aff)
+
+
 def q20_all_features_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     enriched = enrich.enrich_events(events, _latest_meta(spark, sf_dir), how="inner")
@@ -79,5 +115,7 @@ QUERIES = {
     "q06_category_affinity_batch": q06_category_affinity_batch,
     "q07_latest_metadata": q07_latest_metadata,
     "q08_enriched_events": q08_enriched_events,
+    "q09_late_events_replay": q09_late_events_replay,
+    "q10_late_counts_by_delay": q10_late_counts_by_delay,
     "q20_all_features_union": q20_all_features_union,
 }

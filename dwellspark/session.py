@@ -24,6 +24,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # A late row must be dropped in the very micro-batch whose watermark
     # closes its window (reference parity); see streaming/job.py.
     "spark.sql.streaming.statefulOperator.allowMultiple": "false",
