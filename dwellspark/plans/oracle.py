@@ -169,3 +169,67 @@ UNION ALL
 SELECT 'content', CAST(delay_s AS INTEGER), CAST(count(*) FILTER (WHERE content_late) AS BIGINT) FROM x GROUP BY delay_s
 UNION ALL
 SELECT 'affinity', CAST(delay_s AS INTEGER), CAST(count(*) FILTER (WHERE user_late AND has_cat) AS BIGINT) FROM x GROUP BY delay_s"""
+
+LATEST = """latest AS (
+  SELECT entity_id, feature_name,
+         arg_max(feature_value, computed_at) AS feature_value,
+         arg_max(window_start, computed_at) AS window_start,
+         max(computed_at) AS computed_at,
+         arg_max(window_end, computed_at) AS window_end
+  FROM features GROUP BY entity_id, feature_name)"""
+
+SQL["q11_latest_features"] = f"""
+WITH {ALL_FEATURES}, {LATEST}
+SELECT * FROM latest"""
+
+SQL["q12_entity_lookup"] = f"""
+WITH {ALL_FEATURES}, {LATEST}
+SELECT * FROM latest WHERE entity_id = '2'"""
+
+
+def _duration_sql(ms: str) -> str:
+    secs = f"(({ms}) + 50) // 100"
+    mins = f"(({ms}) + 3000) // 6000"
+    return (f"CASE WHEN ({ms}) < 0 THEN '—' "
+            f"WHEN ({ms}) < 1000 THEN CAST(({ms}) AS VARCHAR) || ' ms' "
+            f"WHEN ({ms}) < 60000 THEN CAST({secs} // 10 AS VARCHAR) || '.' || CAST({secs} % 10 AS VARCHAR) || ' s' "
+            f"ELSE CAST({mins} // 10 AS VARCHAR) || '.' || CAST({mins} % 10 AS VARCHAR) || ' min' END")
+
+
+SQL["q13_feature_freshness"] = f"""
+WITH {ALL_FEATURES}, {LATEST},
+per AS (SELECT feature_name, max(computed_at) AS last_computed_at, count(*) AS entity_count
+        FROM latest GROUP BY feature_name),
+wanted AS (SELECT unnest(['click_rate', 'avg_dwell_time', 'engagement_rate']) AS feature_name),
+j AS (SELECT COALESCE(p.feature_name, w.feature_name) AS feature_name,
+             CAST(COALESCE(p.entity_count, 0) AS BIGINT) AS entity_count,
+             p.last_computed_at,
+             CAST(COALESCE(epoch_ms(TIMESTAMP '2024-01-31 00:15:00') - epoch_ms(p.last_computed_at), -1) AS BIGINT) AS age_ms
+      FROM per p FULL OUTER JOIN wanted w ON p.feature_name = w.feature_name)
+SELECT feature_name, entity_count, last_computed_at, age_ms,
+       CASE WHEN last_computed_at IS NULL THEN NULL
+            ELSE greatest(0.0, 100.0 - CAST(age_ms AS DOUBLE) / 300000.0 * 100.0) END AS freshness_pct,
+       {_duration_sql('age_ms')} AS age_text
+FROM j"""
+
+SQL["q14_dataset_profile"] = f"""
+WITH {ALL_FEATURES}
+SELECT (SELECT count(*) FROM ev) AS event_count,
+       (SELECT count(DISTINCT user_id) FROM ev) AS distinct_users,
+       (SELECT count(DISTINCT content_id) FROM ev) AS distinct_contents,
+       (SELECT min(ts) FROM ev) AS min_ts,
+       (SELECT max(ts) FROM ev) AS max_ts,
+       (SELECT count(*) FROM features) AS total_features,
+       (SELECT count(DISTINCT entity_id) FROM features) AS distinct_entities"""
+
+SQL["q15_event_type_counts"] = f"""
+WITH {EV}
+SELECT event_type, count(*) AS n FROM ev GROUP BY event_type"""
+
+SQL["q18_recent_features"] = f"""
+WITH {ALL_FEATURES}
+SELECT entity_id, feature_name, feature_value, printf('%.4f', feature_value) AS value_text,
+       window_start, window_end, computed_at
+FROM features
+ORDER BY computed_at DESC, feature_name, entity_id, window_start DESC
+LIMIT 60"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where
-from dwellspark.operators import enrich, features, late
+from dwellspark.operators import enrich, features, late, profile, serving
 from dwellspark.sources import tables
 from dwellspark.spec import DRIVER_SPEC
 
@@ -100,12 +100,46 @@ def q10_late_counts_by_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fam.unionByName(aff)
 
 
-def q20_all_features_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     enriched = enrich.enrich_events(events, _latest_meta(spark, sf_dir), how="inner")
     return features.drop_wire_extras(features.all_feature_rows(events, enriched, SPEC))
 
 
+def q20_all_features_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _all_features(spark, sf_dir)
+
+
+def q11_latest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.latest_features(_all_features(spark, sf_dir))
+
+
+# Check ids: the reference's test user / content (user2, content3).
+LOOKUP_ENTITY = "2"
+# Fixed "now" for freshness in replays (after the last window closes).
+AS_OF = "2024-01-31 00:15:00"
+
+
+def q12_entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.entity_lookup(serving.latest_features(_all_features(spark, sf_dir)), LOOKUP_ENTITY)
+
+
+def q13_feature_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.feature_freshness(serving.latest_features(_all_features(spark, sf_dir)), AS_OF)
+
+
+def q14_dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.combined_profile(_events(spark, sf_dir), _all_features(spark, sf_dir))
+
+
+def q15_event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.event_type_counts(_events(spark, sf_dir))
+
+
+def q18_recent_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.recent_features(_all_features(spark, sf_dir), 60)
+
+
 QUERIES = {
     "q01_user_hourly_features": q01_user_hourly_features,
     "q02_user_features_long": q02_user_features_long,
@@ -117,5 +151,11 @@ QUERIES = {
     "q08_enriched_events": q08_enriched_events,
     "q09_late_events_replay": q09_late_events_replay,
     "q10_late_counts_by_delay": q10_late_counts_by_delay,
+    "q11_latest_features": q11_latest_features,
+    "q12_entity_lookup": q12_entity_lookup,
+    "q13_feature_freshness": q13_feature_freshness,
+    "q14_dataset_profile": q14_dataset_profile,
+    "q15_event_type_counts": q15_event_type_counts,
+    "q18_recent_features": q18_recent_features,
     "q20_all_features_union": q20_all_features_union,
 }
