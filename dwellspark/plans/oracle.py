@@ -233,3 +233,50 @@ SELECT entity_id, feature_name, feature_value, printf('%.4f', feature_value) AS
 FROM features
 ORDER BY computed_at DESC, feature_name, entity_id, window_start DESC
 LIMIT 60"""
+
+SQL["q21_quarantine_counts"] = f"""
+WITH {EV},
+r AS (SELECT dwell_time_ms,
+             CASE WHEN event_id % 50 <> 0 THEN 'ok'
+                  WHEN (event_id // 50) % 3 = 0 THEN 'malformed_json'
+                  WHEN (event_id // 50) % 3 = 1 THEN 'bad_timestamp'
+                  ELSE 'missing_user_id' END AS reason
+      FROM ev)
+SELECT reason, count(*) AS n,
+       CAST(sum(CASE WHEN reason = 'malformed_json' THEN NULL ELSE dwell_time_ms END) AS BIGINT) AS dwell_sum
+FROM r GROUP BY reason"""
+
+SQL["q16_user_features_streamed"] = f"""
+WITH {EV}, {USER_HOURLY}
+SELECT * FROM uh
+WHERE window_end <= (SELECT max(ts) FROM ev) - INTERVAL 30 SECOND"""
+
+SQL["q17_divergence_report"] = f"""
+WITH {EV}, {ARRIVALS},
+tag AS (SELECT *, COALESCE(date_trunc('hour', ts) + INTERVAL 1 HOUR <= max_prior - INTERVAL 30 SECOND, false) AS is_late
+        FROM wm),
+b AS (SELECT user_id, date_trunc('hour', ts) AS window_start, count(*) AS n,
+             sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS clicks,
+             sum(COALESCE(dwell_time_ms, 0)) AS dwell
+      FROM tag GROUP BY 1, 2),
+s AS (SELECT user_id, date_trunc('hour', ts) AS window_start, count(*) AS n,
+             sum(CASE WHEN lower(event_type) = 'click' THEN 1 ELSE 0 END) AS clicks,
+             sum(COALESCE(dwell_time_ms, 0)) AS dwell
+      FROM tag WHERE NOT is_late GROUP BY 1, 2),
+l AS (SELECT user_id, date_trunc('hour', ts) AS window_start, count(*) AS late_count
+      FROM tag WHERE is_late GROUP BY 1, 2),
+j AS (SELECT COALESCE(b.user_id, s.user_id) AS user_id,
+             COALESCE(b.window_start, s.window_start) AS window_start,
+             CAST(b.clicks AS DOUBLE) / b.n AS bcr, CAST(s.clicks AS DOUBLE) / s.n AS scr,
+             CAST(b.dwell AS DOUBLE) / b.n AS bdw, CAST(s.dwell AS DOUBLE) / s.n AS sdw,
+             b.n AS bn, s.n AS sn
+      FROM b FULL OUTER JOIN s ON b.user_id = s.user_id AND b.window_start = s.window_start)
+SELECT j.user_id, j.window_start, j.window_start + INTERVAL 1 HOUR AS window_end,
+       bcr AS batch_click_rate, scr AS stream_click_rate, abs(bcr - scr) AS click_rate_delta,
+       bdw AS batch_avg_dwell_time, sdw AS stream_avg_dwell_time, abs(bdw - sdw) AS avg_dwell_delta,
+       bn AS batch_event_count, sn AS stream_event_count,
+       CAST(COALESCE(l.late_count, 0) AS BIGINT) AS late_count,
+       CASE WHEN sn IS NULL THEN 'all_events_late'
+            WHEN COALESCE(l.late_count, 0) > 0 THEN 'late_events_excluded'
+            ELSE 'match' END AS reason
+FROM j LEFT JOIN l ON j.user_id = l.user_id AND j.window_start = l.window_start"""

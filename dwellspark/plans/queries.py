@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where
-from dwellspark.operators import enrich, features, late, profile, serving
-from dwellspark.sources import tables
+from dwellspark.operators import compare, enrich, features, late, profile, serving
+from dwellspark.session import shared_path
+from dwellspark.sources import tables, wire
+from dwellspark.streaming import job as stream_job
 from dwellspark.spec import DRIVER_SPEC
 
 SPEC = DRIVER_SPEC
@@ -140,6 +142,36 @@ def q18_recent_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.recent_features(_all_features(spark, sf_dir), 60)
 
 
+def q21_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event through the JSON wire form, every 50th damaged; rows per reason."""
+    damaged = wire.corrupt_for_test(wire.events_to_wire(_events(spark, sf_dir)), every=50)
+    return wire.quarantine_counts(wire.classify_wire_events(damaged))
+
+
+def q17_divergence_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch (all events) vs stream (watermark-accepted events), per user window."""
+    return compare.divergence_report(_arrivals(spark, sf_dir), SPEC, BATCH_SPEC)
+
+
+REPLAY_FILES = 6
+
+
+def q16_user_features_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User features computed by the Structured Streaming job.
+
+    All events are replayed in event-time order as JSON-line files (one
+    micro-batch per file) through parse → watermark → 1 h windows → parquet
+    sink; the result is every window the watermark closed.
+    """
+    root = shared_path(spark, "q16")
+    stream_job.stage_replay_files(_events(spark, sf_dir), f"{root}/in", REPLAY_FILES)
+    job = stream_job.FeatureStreamJob(spark, root, SPEC)
+    job.run_all(lambda: stream_job.wire_file_stream(spark, f"{root}/in", 1),
+                families=("user",), audit=False)
+    return job.features("user").select("user_id", "window_start", "window_end", "click_rate",
+                                       "avg_dwell_time", "event_count")
+
+
 QUERIES = {
     "q01_user_hourly_features": q01_user_hourly_features,
     "q02_user_features_long": q02_user_features_long,
@@ -156,6 +188,9 @@ QUERIES = {
     "q13_feature_freshness": q13_feature_freshness,
     "q14_dataset_profile": q14_dataset_profile,
     "q15_event_type_counts": q15_event_type_counts,
+    "q16_user_features_streamed": q16_user_features_streamed,
+    "q17_divergence_report": q17_divergence_report,
     "q18_recent_features": q18_recent_features,
     "q20_all_features_union": q20_all_features_union,
+    "q21_quarantine_counts": q21_quarantine_counts,
 }
