@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellspark.operators.enrich import checked_broadcast
+from dwellspark.session import cut_lineage
 
 _BLOCK = 4096
 _US = 1_000_000
@@ -95,25 +96,28 @@ def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int =
     """
     arrival = F.struct(F.col("arrival_ts"), F.col("event_id"))
     ts_us = _ts_us()
-
-    # 1. earliest arrival per (geometry, threshold bucket)
-    buckets = (events.select(arrival.alias("akey"),
-                             F.explode(_geometry_array(
-                                 geoms, lambda g: _floor_div(ts_us - F.lit((g.size_s + g.delay_s) * _US),
-                                                             g.slide_s * _US))).alias("gb"))
-               .groupBy(F.col("gb.geom").alias("geom"), F.col("gb.k").alias("k"))
-               .agg(F.min("akey").alias("first")))
-
-    # grid indices the records ask about; union so every asked key exists
-    asked = (events.select(F.explode(_geometry_array(
-                 geoms, lambda g: _floor_div(ts_us, g.slide_s * _US))).alias("gm"))
-             .select(F.col("gm.geom").alias("geom"), F.col("gm.k").alias("k"))
-             .distinct()
-             .withColumn("first", F.lit(None).cast(buckets.schema["first"].dataType)))
-    keys = buckets.unionByName(asked).groupBy("geom", "k").agg(F.min("first").alias("first"))
-
-    # 2. suffix minimum over the (small) key table
-    sm = _suffix_min(keys)
+    no_key = F.lit(None).cast(events.select(arrival.alias("a")).schema["a"].dataType)
+
+    # 1. one scan, one aggregate: per (geometry, key) the earliest arrival of
+    #    a record in threshold bucket `key`, plus a null entry for every grid
+    #    index a record will ask about (so the lookup below is an equi-join).
+    entries = []
+    for g in geoms:
+        entries.append(F.struct(F.lit(g.name).alias("geom"),
+                                _floor_div(ts_us - F.lit((g.size_s + g.delay_s) * _US),
+                                           g.slide_s * _US).alias("k"),
+                                arrival.alias("first")))
+        entries.append(F.struct(F.lit(g.name).alias("geom"),
+                                _floor_div(ts_us, g.slide_s * _US).alias("k"),
+                                no_key.alias("first")))
+    keys = (events.select(F.explode(F.array(*entries)).alias("e"))
+            .groupBy(F.col("e.geom").alias("geom"), F.col("e.k").alias("k"))
+            .agg(F.min("e.first").alias("first")))
+
+    # 2. suffix minimum over the key table; its size is bounded by the time
+    #    span / slide (not by row count).  Written once to the shared
+    #    checkpoint dir so the size check and the join read the same result.
+    sm = cut_lineage(_suffix_min(keys))
 
     # 3. classify each record
     per_geom = events.withColumn("gm", F.explode(_geometry_array(

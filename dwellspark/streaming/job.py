@@ -118,7 +118,7 @@ class FeatureStreamJob:
         if self.metadata is None:
             raise ValueError("affinity needs content metadata")
         # Stream-static join: the metadata snapshot is read per micro-batch.
-        meta = enrich.checked_broadcast(enrich.latest_metadata(self.metadata))
+        meta = enrich.checked_broadcast(enrich.latest_metadata(self.metadata), freeze=False)
         enriched = parsed_events(values, self.spec).join(
             meta.select("content_id", "category", "creator_id"), "content_id", "inner")
         feats = features.category_affinity(enriched, self.spec, keep_unmatched=False)
