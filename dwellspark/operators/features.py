@@ -112,12 +112,20 @@ def _long_row(entity_col: str, name, value, spec: FeatureSpec,
 def user_feature_rows(user_feats: DataFrame, spec: FeatureSpec) -> DataFrame:
     """One window result → two feature rows (click_rate, avg_dwell_time).
 
-    Built as a union of projections rather than ``stack`` so that a filter
-    on entity_id or feature_name pushes through to each branch.
+    A single aggregate followed by a generator (no union of two projections,
+    which Catalyst would prune into two separate aggregations).  A filter on
+    entity_id still pushes below the generator: it only references the
+    pass-through column.
     """
-    a = user_feats.select(*_long_row("user_id", "click_rate", F.col("click_rate"), spec))
-    b = user_feats.select(*_long_row("user_id", "avg_dwell_time", F.col("avg_dwell_time"), spec))
-    return a.unionByName(b)
+    pairs = F.explode(F.array(
+        F.struct(F.lit("click_rate").alias("n"), F.col("click_rate").cast("double").alias("v")),
+        F.struct(F.lit("avg_dwell_time").alias("n"), F.col("avg_dwell_time").cast("double").alias("v"))))
+    exploded = user_feats.select(F.col("user_id").alias("entity_id"), "window_start", "window_end",
+                                 pairs.alias("p"))
+    return exploded.select(
+        "entity_id", F.col("p.n").alias("feature_name"), F.col("p.v").alias("feature_value"),
+        "window_start", "window_end", _computed_at(spec),
+        F.lit(None).cast("bigint").alias("feature_value_int"))
 
 
 def content_feature_rows(content_feats: DataFrame, spec: FeatureSpec) -> DataFrame:

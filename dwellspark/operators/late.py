@@ -86,21 +86,25 @@ def _suffix_min(keys: DataFrame) -> DataFrame:
             .select("geom", "k", F.least(F.col("sm_in"), F.col("sm_out")).alias("sm")))
 
 
-def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int = 2_000_000) -> DataFrame:
-    """Tag every (record, geometry) pair with ``is_late``.
+def grid_index(ts_col, g: Geometry):
+    """Index of the grid point ``floor(ts / slide)`` (a window start / slide)."""
+    return _floor_div(F.unix_micros(ts_col.cast("timestamp")), g.slide_s * _US)
 
-    ``events`` needs ``event_id``, ``ts`` and ``arrival_ts``; all its columns
-    are carried through.  Output has one row per record and geometry with
-    ``geom``, ``window_start``/``window_end`` of the record's last window and
-    ``is_late``.
+
+def threshold_table(events: DataFrame, geoms: list[Geometry]) -> DataFrame:
+    """(geom, k, sm): the first arrival among records with ts >= k*L + S + delay.
+
+    ``sm`` is also when a window starting at ``k*L`` is closed (the arrival
+    of the record that advances the watermark past its end).  Written to the
+    shared checkpoint dir: bounded by time span / slide, read several times.
     """
     arrival = F.struct(F.col("arrival_ts"), F.col("event_id"))
     ts_us = _ts_us()
     no_key = F.lit(None).cast(events.select(arrival.alias("a")).schema["a"].dataType)
 
-    # 1. one scan, one aggregate: per (geometry, key) the earliest arrival of
-    #    a record in threshold bucket `key`, plus a null entry for every grid
-    #    index a record will ask about (so the lookup below is an equi-join).
+    # one scan, one aggregate: per (geometry, key) the earliest arrival of a
+    # record in threshold bucket `key`, plus a null entry for every grid index
+    # a record will ask about (so the lookup below is an equi-join).
     entries = []
     for g in geoms:
         entries.append(F.struct(F.lit(g.name).alias("geom"),
@@ -113,11 +117,21 @@ def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int =
     keys = (events.select(F.explode(F.array(*entries)).alias("e"))
             .groupBy(F.col("e.geom").alias("geom"), F.col("e.k").alias("k"))
             .agg(F.min("e.first").alias("first")))
+    return cut_lineage(_suffix_min(keys))
 
-    # 2. suffix minimum over the key table; its size is bounded by the time
-    #    span / slide (not by row count).  Written once to the shared
-    #    checkpoint dir so the size check and the join read the same result.
-    sm = cut_lineage(_suffix_min(keys))
+
+def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int = 2_000_000,
+             thresholds: DataFrame | None = None) -> DataFrame:
+    """Tag every (record, geometry) pair with ``is_late``.
+
+    ``events`` needs ``event_id``, ``ts`` and ``arrival_ts``; all its columns
+    are carried through.  Output has one row per record and geometry with
+    ``geom``, ``window_start``/``window_end`` of the record's last window and
+    ``is_late``.
+    """
+    arrival = F.struct(F.col("arrival_ts"), F.col("event_id"))
+    ts_us = _ts_us()
+    sm = thresholds if thresholds is not None else threshold_table(events, geoms)
 
     # 3. classify each record
     per_geom = events.withColumn("gm", F.explode(_geometry_array(
@@ -127,7 +141,7 @@ def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int =
     per_geom = per_geom.select(
         "*", F.col("gm.geom").alias("geom"), F.col("gm.k").alias("k")).drop("gm")
     last_start_us = F.col("k") * slide_by_geom[F.col("geom")] * F.lit(_US)
-    out = (per_geom.join(checked_broadcast(sm, broadcast_max_rows), ["geom", "k"], "left")
+    out = (per_geom.join(checked_broadcast(sm, broadcast_max_rows, freeze=False), ["geom", "k"], "left")
            .withColumn("is_late", F.coalesce(F.col("sm") < arrival, F.lit(False)))
            .withColumn("window_start", F.timestamp_micros(last_start_us).cast(events.schema["ts"].dataType))
            .withColumn("window_end", F.timestamp_micros(

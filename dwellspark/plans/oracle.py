@@ -280,3 +280,48 @@ SELECT j.user_id, j.window_start, j.window_start + INTERVAL 1 HOUR AS window_end
             WHEN COALESCE(l.late_count, 0) > 0 THEN 'late_events_excluded'
             ELSE 'match' END AS reason
 FROM j LEFT JOIN l ON j.user_id = l.user_id AND j.window_start = l.window_start"""
+
+METRIC_ROWS = f"""{EV}, {ARRIVALS},
+keyed AS (SELECT *, CAST(epoch_us(arrival_ts) AS HUGEINT) * 1000000000 + event_id AS akey FROM arr),
+late_ev AS (SELECT * FROM wm WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= max_prior - INTERVAL 30 SECOND),
+wins AS (SELECT DISTINCT user_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end FROM ev),
+ends AS (SELECT DISTINCT window_end FROM wins),
+fire AS (SELECT e.window_end, min(k.akey) AS fkey
+         FROM ends e JOIN keyed k ON k.ts >= e.window_end + INTERVAL 30 SECOND
+         GROUP BY e.window_end),
+fire_ev AS (SELECT f.window_end, k.arrival_ts AS f_arrival, k.event_id AS f_event
+            FROM fire f JOIN keyed k ON k.akey = f.fkey),
+rows AS (
+  SELECT arrival_ts AS o_a, event_id AS o_e, CAST(NULL AS TIMESTAMP) AS o_w, CAST(NULL AS VARCHAR) AS o_u, 0 AS o_f,
+         'late_event_dropped' AS metric_type, user_id AS dropped_user_id, ts AS dropped_event_ts,
+         arrival_ts AS recorded_at, CAST(NULL AS TIMESTAMP) AS feature_computed_at, 1 AS w
+  FROM late_ev
+  UNION ALL
+  SELECT fe.f_arrival, fe.f_event, w.window_end, w.user_id, f.i,
+         'watermark_heartbeat', NULL, NULL, NULL, w.window_end + INTERVAL 30 SECOND, 0
+  FROM wins w JOIN fire_ev fe ON w.window_end = fe.window_end
+       CROSS JOIN (SELECT unnest([1, 2]) AS i) f),
+ranked AS (
+  SELECT *, sum(w) OVER o AS late_so_far, row_number() OVER o AS metric_offset
+  FROM rows
+  WINDOW o AS (ORDER BY o_a, o_e, o_w NULLS FIRST, o_u NULLS FIRST, o_f ROWS UNBOUNDED PRECEDING))"""
+
+SQL["q22_metric_rows"] = f"""
+WITH {METRIC_ROWS}
+SELECT CAST(metric_offset AS BIGINT) AS metric_offset, metric_type,
+       CAST(CASE WHEN metric_type = 'late_event_dropped' THEN late_so_far END AS BIGINT) AS count,
+       dropped_user_id, dropped_event_ts, recorded_at, feature_computed_at,
+       CAST(CASE WHEN metric_type = 'watermark_heartbeat' THEN late_so_far END AS BIGINT) AS late_events_total
+FROM ranked"""
+
+SQL["q19_metrics_state"] = f"""
+WITH {METRIC_ROWS},
+last_beat AS (SELECT feature_computed_at FROM ranked WHERE metric_type = 'watermark_heartbeat'
+              ORDER BY metric_offset DESC LIMIT 1),
+last_row AS (SELECT CAST(late_so_far AS BIGINT) AS v FROM ranked ORDER BY metric_offset DESC LIMIT 1)
+SELECT (SELECT v FROM last_row) AS late_events_dropped,
+       (SELECT feature_computed_at FROM last_beat) AS last_watermark_time,
+       CAST(epoch_ms(TIMESTAMP '2024-01-31 00:15:00') - epoch_ms((SELECT feature_computed_at FROM last_beat)) AS BIGINT) AS watermark_lag_ms,
+       epoch_ms(TIMESTAMP '2024-01-31 00:15:00') - epoch_ms((SELECT feature_computed_at FROM last_beat)) > 60000 AS lag_warning,
+       (SELECT count(*) FROM ranked WHERE metric_type = 'watermark_heartbeat') AS heartbeat_count,
+       (SELECT count(*) FROM ranked WHERE metric_type = 'late_event_dropped') AS late_metric_count"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where
-from dwellspark.operators import compare, enrich, features, late, profile, serving
+from dwellspark.operators import compare, enrich, features, late, metrics, profile, serving
 from dwellspark.session import shared_path
 from dwellspark.sources import tables, wire
 from dwellspark.streaming import job as stream_job
@@ -153,6 +153,22 @@ def q17_divergence_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.divergence_report(_arrivals(spark, sf_dir), SPEC, BATCH_SPEC)
 
 
+def _metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    windows = features.user_hourly_features(events, SPEC)
+    return metrics.metric_rows(tables.with_arrival(events), windows, SPEC)
+
+
+def q19_metrics_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health snapshot folded from the replayed metric rows, at a fixed "now"."""
+    return metrics.fold_metrics(_metric_rows(spark, sf_dir), AS_OF)
+
+
+def q22_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late-event and heartbeat metric rows with running late counts."""
+    return _metric_rows(spark, sf_dir)
+
+
 REPLAY_FILES = 6
 
 
@@ -191,6 +207,8 @@ QUERIES = {
     "q16_user_features_streamed": q16_user_features_streamed,
     "q17_divergence_report": q17_divergence_report,
     "q18_recent_features": q18_recent_features,
+    "q19_metrics_state": q19_metrics_state,
     "q20_all_features_union": q20_all_features_union,
     "q21_quarantine_counts": q21_quarantine_counts,
+    "q22_metric_rows": q22_metric_rows,
 }
