@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dwellspark.operators import enrich, features
 from dwellspark.schemas import HEARTBEAT_METRIC, LATE_METRIC
+from dwellspark.sinks.files import LatestFeatureTable
 from dwellspark.sources import wire
 from dwellspark.spec import FeatureSpec
 
@@ -144,6 +145,33 @@ class FeatureStreamJob:
             if q.exception() is not None:
                 raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
 
+    def start_latest_upsert(self, families=("user", "content", "affinity")) -> StreamingQuery:
+        """Feature sink → long rows → latest-value table, one version per batch.
+
+        Reads the family sinks as file streams (committed files only, via the
+        sinks' metadata logs) and upserts through ``foreachBatch``.
+        """
+        table = LatestFeatureTable(self.path("latest"))
+        longs = None
+        for fam in families:
+            src = self.path("features", f"family={fam}")
+            wide = (self.spark.readStream.schema(self.spark.read.parquet(src).schema)
+                    .parquet(src))
+            if fam == "user":
+                rows = features.user_feature_rows(wide, self.spec)
+            elif fam == "content":
+                rows = features.content_feature_rows(wide, self.spec)
+            else:
+                rows = features.affinity_feature_rows(wide, self.spec)
+            rows = features.drop_wire_extras(rows)
+            longs = rows if longs is None else longs.unionByName(rows)
+        return (longs.writeStream.foreachBatch(table.upsert)
+                .option("checkpointLocation", self.path("checkpoints", "latest"))
+                .trigger(**self.trigger).start())
+
+    def latest(self) -> "LatestFeatureTable":
+        return LatestFeatureTable(self.path("latest"))
+
     def features(self, family: str | None = None) -> DataFrame:
         p = self.path("features") if family is None else self.path("features", f"family={family}")
         return self.spark.read.parquet(p)

@@ -100,3 +100,16 @@ def test_latest_table_upsert_and_lookup(spark, scratch):
     assert table.current(spark).count() == 2
     assert table.lookup(spark, "u1").first()["feature_value"] == 0.2
     assert table.lookup(spark, "u2").first()["feature_value"] == 0.3
+
+
+def test_feature_sink_feeds_latest_table(spark, scratch):
+    inbox = os.path.join(scratch, "in")
+    _drop_file(spark, inbox, [_line("u1", "10:10:00", "click"), _line("u1", "10:20:00")])
+    _drop_file(spark, inbox, [_line("u1", "11:05:00", "click")])
+    _drop_file(spark, inbox, [_line("u1", "12:01:00")])
+    job = _run_user(spark, scratch, audit=False)
+    q = job.start_latest_upsert(families=("user",))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = {r["feature_name"]: r["feature_value"] for r in job.latest().lookup(spark, "u1").collect()}
+    assert got == {"click_rate": 1.0, "avg_dwell_time": 10.0}
