@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellspark.session import cut_lineage
+from pyspark import StorageLevel
 
 # A side is broadcast only when its row count was checked against this bound;
 # beyond it the join shuffles on the key (AQE splits skewed partitions).
@@ -39,13 +39,14 @@ def checked_broadcast(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROW
                       freeze: bool = True) -> DataFrame:
     """Broadcast ``side`` only if its row count is within ``max_rows``.
 
-    ``freeze=True`` first writes ``side`` to the shared checkpoint dir, so the
+    ``freeze=True`` persists ``side`` (memory, spilling to disk) so the
     count and the join read one computed result instead of computing it
-    twice.  Streaming joins pass ``freeze=False`` to keep re-reading the live
-    reference table each micro-batch.
+    twice; lost blocks are recomputed from lineage.  Streaming joins pass
+    ``freeze=False`` to keep re-reading the live reference table each
+    micro-batch.
     """
     if freeze:
-        side = cut_lineage(side)
+        side = side.persist(StorageLevel.MEMORY_AND_DISK)
     n = side.count()
     return F.broadcast(side) if n <= max_rows else side
 

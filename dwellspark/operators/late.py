@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellspark.operators.enrich import checked_broadcast
-from dwellspark.session import cut_lineage
+from pyspark import StorageLevel
 
 _BLOCK = 4096
 _US = 1_000_000
@@ -95,8 +95,9 @@ def threshold_table(events: DataFrame, geoms: list[Geometry]) -> DataFrame:
     """(geom, k, sm): the first arrival among records with ts >= k*L + S + delay.
 
     ``sm`` is also when a window starting at ``k*L`` is closed (the arrival
-    of the record that advances the watermark past its end).  Written to the
-    shared checkpoint dir: bounded by time span / slide, read several times.
+    of the record that advances the watermark past its end).  Bounded by
+    time span / slide; persisted because the size check and the joins read
+    it several times.
     """
     arrival = F.struct(F.col("arrival_ts"), F.col("event_id"))
     ts_us = _ts_us()
@@ -117,7 +118,7 @@ def threshold_table(events: DataFrame, geoms: list[Geometry]) -> DataFrame:
     keys = (events.select(F.explode(F.array(*entries)).alias("e"))
             .groupBy(F.col("e.geom").alias("geom"), F.col("e.k").alias("k"))
             .agg(F.min("e.first").alias("first")))
-    return cut_lineage(_suffix_min(keys))
+    return _suffix_min(keys).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int = 2_000_000,

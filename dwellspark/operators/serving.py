@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import (epoch_millis, format_duration,
                                               format_value, freshness_pct)
+from dwellspark.functions.literals import literal_table
 from dwellspark.operators.enrich import latest_by_key
 
 # Features the dashboard tracks for freshness.
@@ -52,8 +53,7 @@ def feature_freshness(latest: DataFrame, as_of, tracked: Sequence[str] = TRACKED
     per_feature = (latest.groupBy("feature_name")
                    .agg(F.max("computed_at").alias("last_computed_at"),
                         F.count(F.lit(1)).alias("entity_count")))
-    spark = latest.sparkSession
-    wanted = spark.createDataFrame([(f,) for f in tracked], "feature_name string")
+    wanted = literal_table(latest.sparkSession, [(f,) for f in tracked], "feature_name string")
     joined = per_feature.join(wanted, "feature_name", "full_outer")
     age = epoch_millis(as_of_col) - epoch_millis(F.col("last_computed_at"))
     return joined.select(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwellspark.functions.literals import literal_table
 from dwellspark.session import table_path
 
 
@@ -83,4 +84,4 @@ def fixed_category_lookup(spark: SparkSession) -> DataFrame:
     # The batch job's lookup.
     rows = [("content1", "scifi"), ("content2", "news"),
             ("content3", "sports"), ("content4", "comedy")]
-    return spark.createDataFrame(rows, "content_id string, category string")
+    return literal_table(spark, rows, "content_id string, category string")

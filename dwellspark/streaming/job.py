@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from dwellspark.functions.literals import literal_table
 from dwellspark.operators import enrich, features
 from dwellspark.schemas import HEARTBEAT_METRIC, LATE_METRIC
 from dwellspark.sinks.files import LatestFeatureTable
@@ -226,11 +227,10 @@ class LateAudit:
         batch_max = batch.agg(F.max("ts").alias("m")).first()["m"]
         new_max = max([x for x in (running_max, batch_max) if x is not None], default=None)
         new_total = late_total + n_late
-        state = spark.createDataFrame(
-            [(new_max, new_total)], "running_max_ts timestamp, late_total bigint")
+        state = literal_table(spark, [(new_max, new_total)], "running_max_ts timestamp, late_total bigint")
         state.write.mode("overwrite").parquet(os.path.join(self.root, "state", f"batch_id={batch_id}"))
-        metrics = spark.createDataFrame(
-            [(LATE_METRIC, new_total if n_late else None, None), (HEARTBEAT_METRIC, None, new_total)],
+        metrics = literal_table(
+            spark, [(LATE_METRIC, new_total if n_late else None, None), (HEARTBEAT_METRIC, None, new_total)],
             "metric_type string, count bigint, late_events_total bigint")
         metrics = (metrics.where(F.col("metric_type") == HEARTBEAT_METRIC) if not n_late else metrics)
         (metrics.withColumn("metric_offset", F.lit(batch_id).cast("bigint") * 2
