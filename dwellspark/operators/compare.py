@@ -5,7 +5,8 @@ watermark accepted.  Both sides come from the same events, so instead of
 computing two aggregates and full-outer-joining them on (user, window), each
 record is tagged late / on time once and a single aggregate produces both
 sides as conditional sums — one shuffle, no join.  A window whose events
-were all late has no stream row (``stream_event_count = 0`` → nulls).
+were all late has no stream row: ``stream_event_count = 0`` and null stream
+rates.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def divergence_report(events_with_arrival: DataFrame, stream_spec: FeatureSpec,
         b_dwell.alias("batch_avg_dwell_time"), s_dwell.alias("stream_avg_dwell_time"),
         F.abs(b_dwell - s_dwell).alias("avg_dwell_delta"),
         "batch_event_count",
-        F.when(has_stream, F.col("stream_event_count")).alias("stream_event_count"),
+        "stream_event_count",
         "late_count", reason.alias("reason"))
 
 

@@ -243,7 +243,7 @@ r AS (SELECT dwell_time_ms,
                   ELSE 'missing_user_id' END AS reason
       FROM ev)
 SELECT reason, count(*) AS n,
-       CAST(sum(CASE WHEN reason = 'malformed_json' THEN NULL ELSE dwell_time_ms END) AS BIGINT) AS dwell_sum
+       CAST(sum(CASE WHEN reason = 'malformed_json' THEN 0 ELSE COALESCE(dwell_time_ms, 0) END) AS BIGINT) AS dwell_sum
 FROM r GROUP BY reason"""
 
 SQL["q16_user_features_streamed"] = f"""
@@ -274,7 +274,7 @@ j AS (SELECT COALESCE(b.user_id, s.user_id) AS user_id,
 SELECT j.user_id, j.window_start, j.window_start + INTERVAL 1 HOUR AS window_end,
        bcr AS batch_click_rate, scr AS stream_click_rate, abs(bcr - scr) AS click_rate_delta,
        bdw AS batch_avg_dwell_time, sdw AS stream_avg_dwell_time, abs(bdw - sdw) AS avg_dwell_delta,
-       bn AS batch_event_count, sn AS stream_event_count,
+       bn AS batch_event_count, COALESCE(sn, 0) AS stream_event_count,
        CAST(COALESCE(l.late_count, 0) AS BIGINT) AS late_count,
        CASE WHEN sn IS NULL THEN 'all_events_late'
             WHEN COALESCE(l.late_count, 0) > 0 THEN 'late_events_excluded'
@@ -309,9 +309,8 @@ ranked AS (
 SQL["q22_metric_rows"] = f"""
 WITH {METRIC_ROWS}
 SELECT CAST(metric_offset AS BIGINT) AS metric_offset, metric_type,
-       CAST(CASE WHEN metric_type = 'late_event_dropped' THEN late_so_far END AS BIGINT) AS count,
-       dropped_user_id, dropped_event_ts, recorded_at, feature_computed_at,
-       CAST(CASE WHEN metric_type = 'watermark_heartbeat' THEN late_so_far END AS BIGINT) AS late_events_total
+       CAST(late_so_far AS BIGINT) AS running_late_count,
+       dropped_user_id, dropped_event_ts, recorded_at, feature_computed_at
 FROM ranked"""
 
 SQL["q19_metrics_state"] = f"""

@@ -165,8 +165,15 @@ def q19_metrics_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q22_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Late-event and heartbeat metric rows with running late counts."""
-    return _metric_rows(spark, sf_dir)
+    """Late-event and heartbeat metric rows with the running late count.
+
+    ``running_late_count`` is the row's ``count`` (late rows) or
+    ``late_events_total`` (heartbeats) — one non-null column.
+    """
+    rows = _metric_rows(spark, sf_dir)
+    return rows.select("metric_offset", "metric_type",
+                       F.coalesce("count", "late_events_total").alias("running_late_count"),
+                       "dropped_user_id", "dropped_event_ts", "recorded_at", "feature_computed_at")
 
 
 REPLAY_FILES = 6

@@ -79,10 +79,10 @@ def quarantined(classified: DataFrame) -> DataFrame:
 
 
 def quarantine_counts(classified: DataFrame) -> DataFrame:
-    """Rows per reason (``ok`` included) and the dwell they carry."""
+    """Rows per reason (``ok`` included) and the readable dwell they carry."""
     return (classified.groupBy("reason")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum("dwell_time_ms").alias("dwell_sum")))
+                 F.sum(F.coalesce(F.col("dwell_time_ms"), F.lit(0))).alias("dwell_sum")))
 
 
 def parse_wire_metadata(values: DataFrame) -> DataFrame:
