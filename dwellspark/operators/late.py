@@ -33,6 +33,7 @@ are handled in the same two scans.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,6 +64,23 @@ def _ts_us(col: str = "ts"):
     return F.unix_micros(F.col(col).cast("timestamp"))
 
 
+_KEY_SHIFT = 10 ** 20
+_ID_OFFSET = 2 ** 63
+
+
+def arrival_key(arrival_col: str = "arrival_ts", id_col: str = "event_id"):
+    """(arrival_ts, event_id) packed into one order-preserving DECIMAL(38,0).
+
+    ``arrival_µs * 10^20 + (event_id + 2^63)``: lexicographic order on the
+    pair equals numeric order on the result for every timestamp and long id.
+    A fixed-width decimal keeps ``min`` in a hash aggregate (a struct key
+    would force a sort-based one).
+    """
+    dec = "decimal(38,0)"
+    return (_ts_us(arrival_col).cast(dec) * F.lit(Decimal(_KEY_SHIFT)).cast(dec)
+            + (F.col(id_col).cast(dec) + F.lit(Decimal(_ID_OFFSET)).cast(dec))).cast(dec)
+
+
 def _geometry_array(geoms: list[Geometry], key_fn) -> F.Column:
     return F.array(*[F.struct(F.lit(g.name).alias("geom"), key_fn(g).alias("k"))
                      for g in geoms])
@@ -72,18 +90,28 @@ def _suffix_min(keys: DataFrame) -> DataFrame:
     """(geom, k, first) → (geom, k, sm) with sm(k) = min(first over k' >= k).
 
     Two levels: inside blocks of _BLOCK consecutive keys a window running
-    min; across blocks an exclusive suffix min over one row per block.
+    min (and the block's own min, same partitioning); across blocks an
+    exclusive suffix min over one row per block, broadcast back.  The
+    window output is persisted so the key table is computed once for both
+    levels; the result is persisted (the caller checks its size and joins).
     """
     blk = keys.withColumn("blk", _floor_div(F.col("k"), _BLOCK))
-    w_in = (Window.partitionBy("geom", "blk").orderBy(F.col("k").desc())
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = blk.withColumn("sm_in", F.min("first").over(w_in))
-    per_blk = blk.groupBy("geom", "blk").agg(F.min("first").alias("blk_first"))
+    part = Window.partitionBy("geom", "blk")
+    w_in = part.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = (blk.withColumn("sm_in", F.min("first").over(w_in))
+             .withColumn("blk_first", F.min("first").over(part))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    per_blk = inner.groupBy("geom", "blk").agg(F.min("blk_first").alias("blk_first"))
     w_out = (Window.partitionBy("geom").orderBy(F.col("blk").desc())
              .rowsBetween(Window.unboundedPreceding, -1))
+    # one row per block: bounded by time span / (slide * _BLOCK)
     outer = per_blk.withColumn("sm_out", F.min("blk_first").over(w_out)).select("geom", "blk", "sm_out")
-    return (inner.join(outer, ["geom", "blk"], "left")
-            .select("geom", "k", F.least(F.col("sm_in"), F.col("sm_out")).alias("sm")))
+    sm = (inner.join(F.broadcast(outer), ["geom", "blk"], "left")
+          .select("geom", "k", F.least(F.col("sm_in"), F.col("sm_out")).alias("sm"))
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    sm.count()          # materialise, then the intermediate can go
+    inner.unpersist()
+    return sm
 
 
 def grid_index(ts_col, g: Geometry):
@@ -99,9 +127,9 @@ def threshold_table(events: DataFrame, geoms: list[Geometry]) -> DataFrame:
     time span / slide; persisted because the size check and the joins read
     it several times.
     """
-    arrival = F.struct(F.col("arrival_ts"), F.col("event_id"))
+    arrival = arrival_key()
     ts_us = _ts_us()
-    no_key = F.lit(None).cast(events.select(arrival.alias("a")).schema["a"].dataType)
+    no_key = F.lit(None).cast("decimal(38,0)")
 
     # one scan, one aggregate: per (geometry, key) the earliest arrival of a
     # record in threshold bucket `key`, plus a null entry for every grid index
@@ -118,7 +146,7 @@ def threshold_table(events: DataFrame, geoms: list[Geometry]) -> DataFrame:
     keys = (events.select(F.explode(F.array(*entries)).alias("e"))
             .groupBy(F.col("e.geom").alias("geom"), F.col("e.k").alias("k"))
             .agg(F.min("e.first").alias("first")))
-    return _suffix_min(keys).persist(StorageLevel.MEMORY_AND_DISK)
+    return _suffix_min(keys)
 
 
 def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int = 2_000_000,
@@ -130,7 +158,7 @@ def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int =
     ``geom``, ``window_start``/``window_end`` of the record's last window and
     ``is_late``.
     """
-    arrival = F.struct(F.col("arrival_ts"), F.col("event_id"))
+    arrival = arrival_key()
     ts_us = _ts_us()
     sm = thresholds if thresholds is not None else threshold_table(events, geoms)
 

@@ -31,7 +31,7 @@ def metric_rows(events_with_arrival: DataFrame, user_windows: DataFrame, spec: F
     sm = late.threshold_table(ev, [geom])
     tagged = late.classify(ev, [geom], thresholds=sm)
     late_rows = tagged.where(F.col("is_late")).select(
-        F.col("arrival_ts").alias("o_arrival_ts"), F.col("event_id").alias("o_event_id"),
+        late.arrival_key().alias("o_key"),
         F.lit(None).cast(ev.schema["ts"].dataType).alias("o_window_end"),
         F.lit(None).cast("string").alias("o_user_id"), F.lit(0).alias("o_feat"),
         F.lit(LATE_METRIC).alias("metric_type"),
@@ -47,7 +47,7 @@ def metric_rows(events_with_arrival: DataFrame, user_windows: DataFrame, spec: F
     fired = wins.join(checked_broadcast(sm, freeze=False), ["geom", "k"], "inner").where(F.col("sm").isNotNull())
     feat_idx = F.explode(F.array(F.lit(1), F.lit(2)))  # one heartbeat per feature row
     beats = fired.select(
-        F.col("sm.arrival_ts").alias("o_arrival_ts"), F.col("sm.event_id").alias("o_event_id"),
+        F.col("sm").alias("o_key"),
         F.col("window_end").alias("o_window_end"), F.col("user_id").alias("o_user_id"),
         feat_idx.alias("o_feat"),
         F.lit(HEARTBEAT_METRIC).alias("metric_type"),
@@ -58,7 +58,7 @@ def metric_rows(events_with_arrival: DataFrame, user_windows: DataFrame, spec: F
         F.lit(0).alias("w_late"))
 
     rows = late_rows.unionByName(beats).withColumn("w_one", F.lit(1))
-    order = ["o_arrival_ts", "o_event_id", "o_window_end", "o_user_id", "o_feat"]
+    order = ["o_key", "o_window_end", "o_user_id", "o_feat"]
     ranked = running_sums(rows, order, {"late_so_far": "w_late", "metric_offset": "w_one"})
     is_late = F.col("metric_type") == LATE_METRIC
     return ranked.select(

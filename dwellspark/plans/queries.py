@@ -93,13 +93,14 @@ def q10_late_counts_by_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .agg(count_where(F.col("is_late")).alias("late"),
                      count_where(F.col("is_late") & F.col("category").isNotNull()).alias("late_cat")))
     parts = F.split(F.col("geom"), "[|]")
-    base = per_geom.select(parts[0].alias("window_family"),
-                           parts[1].cast("int").alias("delay_s"), "late", "late_cat")
-    fam = base.select("window_family", "delay_s", F.col("late").alias("late_count"))
-    aff = (base.where(F.col("window_family") == "user")
-           .select(F.lit("affinity").alias("window_family"), "delay_s",
-                   F.col("late_cat").alias("late_count")))
-    return fam.unionByName(aff)
+    family, delay = parts[0], parts[1].cast("int")
+    # the affinity family sees the user windows' late rows that carry a category
+    rows = F.explode(F.array(
+        F.struct(family.alias("window_family"), delay.alias("delay_s"), F.col("late").alias("late_count")),
+        F.struct(F.when(family == "user", F.lit("affinity")).alias("window_family"), delay.alias("delay_s"),
+                 F.col("late_cat").alias("late_count"))))
+    return (per_geom.select(rows.alias("r")).select("r.*")
+            .where(F.col("window_family").isNotNull()))
 
 
 def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
