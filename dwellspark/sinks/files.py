@@ -48,57 +48,65 @@ def write_kafka(records: DataFrame, servers: str, topic: str) -> None:
 class LatestFeatureTable:
     """Latest value per (entity_id, feature_name), upserted per micro-batch.
 
-    Without a table format offering MERGE, each upsert writes a complete new
-    version ``version=<batch_id>`` (the previous version merged with the
-    batch's rows by ``latest_features``), bucketed by a hash of entity_id so
-    a point lookup reads one bucket.  Writing the folder of a batch id with
-    overwrite makes a retried batch idempotent; readers use the newest
-    version.
+    Without a table format offering MERGE, the table is split into
+    ``buckets`` by a hash of entity_id and each bucket is versioned on its
+    own: ``bucket=<b>/version=<batch_id>``.  An upsert rewrites only the
+    buckets the batch touches (previous version of those buckets merged
+    with the batch by ``latest_features``), so its cost follows the batch,
+    not the table.  Readers take, per bucket, the newest version; a point
+    lookup reads one bucket.  Writing a (bucket, batch id) folder with
+    overwrite makes a retried batch idempotent.
     """
 
+    COLS = ["entity_id", "feature_name", "feature_value", "window_start", "window_end", "computed_at"]
+
     def __init__(self, path: str, buckets: int = LATEST_BUCKETS):
         self.path = path
         self.buckets = buckets
 
-    def _versions(self, spark: SparkSession) -> DataFrame | None:
+    def _all(self, spark: SparkSession) -> DataFrame | None:
         try:
             return spark.read.parquet(self.path)
         except Exception:  # nothing written yet
             return None
 
-    def _newest_version(self, spark: SparkSession, below: int | None = None) -> int | None:
-        allv = self._versions(spark)
-        if allv is None:
-            return None
-        v = allv.select("version").distinct()
-        if below is not None:
-            v = v.where(F.col("version") < below)
-        row = v.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
-
     def _bucket(self, col: str = "entity_id"):
         return F.pmod(F.hash(F.col(col)), F.lit(self.buckets))
 
+    def _newest(self, allv: DataFrame, below: int | None = None) -> DataFrame:
+        """(bucket, version) of the newest version per bucket: one row per bucket."""
+        v = allv.select("bucket", "version").distinct()
+        if below is not None:
+            v = v.where(F.col("version") < below)
+        return v.groupBy("bucket").agg(F.max("version").alias("version"))
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cols = ["entity_id", "feature_name", "feature_value", "window_start", "window_end", "computed_at"]
-        rows = batch.select(*cols)
-        prev = self._newest_version(spark, below=batch_id)
-        if prev is not None:
-            old = (spark.read.parquet(self.path).where(F.col("version") == prev).select(*cols))
+        rows = batch.select(*self.COLS).withColumn("bucket", self._bucket())
+        allv = self._all(spark)
+        if allv is not None:
+            touched = rows.select("bucket").distinct()
+            newest = self._newest(allv, below=batch_id).join(touched, "bucket")
+            old = allv.join(F.broadcast(newest), ["bucket", "version"]).select(*self.COLS, "bucket")
             rows = old.unionByName(rows)
-        merged = latest_features(rows).withColumn("bucket", self._bucket())
-        (merged.write.mode("overwrite").partitionBy("bucket")
-         .parquet(os.path.join(self.path, f"version={batch_id}")))
+        merged = latest_features(rows.drop("bucket")).withColumn("bucket", self._bucket())
+        merged = merged.withColumn("version", F.lit(batch_id).cast("bigint"))
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", "version").parquet(self.path))
 
     def current(self, spark: SparkSession) -> DataFrame:
-        v = self._newest_version(spark)
-        if v is None:
+        allv = self._all(spark)
+        if allv is None:
             raise FileNotFoundError(self.path)
-        return spark.read.parquet(self.path).where(F.col("version") == v).drop("version")
+        return allv.join(F.broadcast(self._newest(allv)), ["bucket", "version"]).drop("version")
 
     def lookup(self, spark: SparkSession, entity_id: str) -> DataFrame:
-        """Point lookup; the bucket predicate prunes to one partition folder."""
-        cur = self.current(spark)
-        bucket = spark.range(1).select(F.pmod(F.hash(F.lit(entity_id)), F.lit(self.buckets))).first()[0]
-        return cur.where((F.col("bucket") == bucket) & (F.col("entity_id") == entity_id)).drop("bucket")
+        """Point lookup; the bucket predicate prunes to one bucket's folders."""
+        allv = self._all(spark)
+        if allv is None:
+            raise FileNotFoundError(self.path)
+        bucket = F.pmod(F.hash(F.lit(entity_id)), F.lit(self.buckets))
+        one = allv.where(F.col("bucket") == bucket)
+        newest = self._newest(one)
+        return (one.join(F.broadcast(newest), ["bucket", "version"])
+                .where(F.col("entity_id") == entity_id).drop("bucket", "version"))

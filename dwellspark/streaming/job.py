@@ -198,7 +198,13 @@ class LateAudit:
 
     def _state_before(self, spark: SparkSession, batch_id: int):
         state_path = os.path.join(self.root, "state")
-        try:
+        try:  # common case: the previous batch's folder (one small file)
+            row = spark.read.parquet(os.path.join(state_path, f"batch_id={batch_id - 1}")).first()
+            if row is not None:
+                return row["running_max_ts"], int(row["late_total"])
+        except Exception:
+            pass
+        try:  # a gap in batch ids (e.g. after a restart): newest older state
             st = spark.read.parquet(state_path)
         except Exception:  # no state written yet
             return None, 0
