@@ -51,6 +51,12 @@ def checked_broadcast(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROW
     return F.broadcast(side) if n <= max_rows else side
 
 
+def broadcastable(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Persist ``side``, count it, and say whether it may be broadcast."""
+    side = side.persist(StorageLevel.MEMORY_AND_DISK)
+    return side, side.count() <= max_rows
+
+
 def enrich_events(events: DataFrame, latest_meta: DataFrame, how: str = "left",
                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Attach category and creator_id by content_id.

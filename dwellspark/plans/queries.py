@@ -104,9 +104,18 @@ def q10_late_counts_by_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feature rows.  With broadcastable metadata: one scan, one aggregate;
+    otherwise the affinity family gets its own shuffle join and aggregate."""
     events = _events(spark, sf_dir)
-    enriched = enrich.enrich_events(events, _latest_meta(spark, sf_dir), how="inner")
-    return features.drop_wire_extras(features.all_feature_rows(events, enriched, SPEC))
+    meta, small = enrich.broadcastable(
+        _latest_meta(spark, sf_dir).select("content_id", "category", "creator_id"))
+    if small:
+        enriched = events.join(F.broadcast(meta), "content_id", "left")
+        rows = features.all_feature_rows_one_pass(enriched, SPEC)
+    else:
+        enriched = enrich.enrich_events(events, meta, how="inner", broadcast_max_rows=None)
+        rows = features.all_feature_rows(events, enriched, SPEC)
+    return features.drop_wire_extras(rows)
 
 
 def q20_all_features_union(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,3 +140,17 @@ def test_latest_features_and_lookup(spark):
     latest = serving.latest_features(df)
     assert _one(serving.entity_lookup(latest, "u1"), "feature_value") == 0.2
     assert serving.entity_lookup(latest, "nobody").count() == 0
+
+
+def test_one_pass_features_equal_per_family_plans(spark):
+    from dwellspark.sources import tables
+    from dwellspark.spec import DRIVER_SPEC
+    sf = "/root/testdata/sf0.001"
+    ev = tables.driver_events(spark, sf)
+    meta = enrich.latest_metadata(tables.driver_content_metadata(spark, sf))
+    left = enrich.enrich_events(ev, meta, how="left")
+    inner = enrich.enrich_events(ev, meta, how="inner")
+    one = features.all_feature_rows_one_pass(left, DRIVER_SPEC)
+    three = features.all_feature_rows(ev, inner, DRIVER_SPEC)
+    assert one.count() == three.count() > 0
+    assert one.exceptAll(three).count() == 0 and three.exceptAll(one).count() == 0
