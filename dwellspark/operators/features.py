@@ -176,6 +176,17 @@ def all_feature_rows_one_pass(enriched: DataFrame, spec: FeatureSpec) -> DataFra
         raise ValueError("content window must be a multiple of its slide")
     ts_type = enriched.schema["ts"].dataType
     ts_us = F.unix_micros(F.col("ts").cast("timestamp"))
+    is_click = type_match(F.col("event_type"), spec.click_types, spec.case_sensitive)
+    is_view = type_match(F.col("event_type"), spec.view_types, spec.case_sensitive)
+    is_eng = type_match(F.col("event_type"), spec.engagement_types, spec.case_sensitive)
+    # per-event values computed once; the generator below only references them
+    base = enriched.select(
+        "user_id", "content_id", "category",
+        _start(ts_us, user_s).alias("u_start"), _start(ts_us, aff_s).alias("a_start"),
+        _start(ts_us, c_slide).alias("c_start"),
+        is_click.cast("int").alias("is_click"), is_view.cast("int").alias("is_view"),
+        is_eng.cast("int").alias("is_eng"),
+        F.coalesce(F.col("dwell_time_ms"), F.lit(0)).alias("dwell"))
 
     def key(family, entity, category, start_us, size_s):
         return F.struct(F.lit(family).alias("family"), entity.alias("entity_id"),
@@ -183,27 +194,20 @@ def all_feature_rows_one_pass(enriched: DataFrame, spec: FeatureSpec) -> DataFra
                         F.lit(size_s * 1_000_000).alias("size_us"))
 
     no_cat = F.lit(None).cast("string")
-    entries = [key("user", F.col("user_id"), no_cat, _start(ts_us, user_s), user_s)]
+    entries = [key("user", F.col("user_id"), no_cat, F.col("u_start"), user_s)]
     entries += [key("content", F.col("content_id"), no_cat,
-                    ts_us - F.pmod(ts_us, F.lit(c_slide * 1_000_000)) - F.lit(i * c_slide * 1_000_000),
-                    c_size)
+                    F.col("c_start") - F.lit(i * c_slide * 1_000_000), c_size)
                 for i in range(c_size // c_slide)]
     entries.append(F.when(F.col("category").isNotNull(),
-                          key("affinity", F.col("user_id"), F.col("category"), _start(ts_us, aff_s), aff_s)))
-    is_click = type_match(F.col("event_type"), spec.click_types, spec.case_sensitive)
-    is_view = type_match(F.col("event_type"), spec.view_types, spec.case_sensitive)
-    is_eng = type_match(F.col("event_type"), spec.engagement_types, spec.case_sensitive)
-    flags = enriched.select(
-        F.explode(F.array(*entries)).alias("g"),
-        is_click.alias("is_click"), is_view.alias("is_view"), is_eng.alias("is_eng"),
-        F.coalesce(F.col("dwell_time_ms"), F.lit(0)).alias("dwell"))
+                          key("affinity", F.col("user_id"), F.col("category"), F.col("a_start"), aff_s)))
+    flags = base.select(F.explode(F.array(*entries)).alias("g"), "is_click", "is_view", "is_eng", "dwell")
     agg = (flags.where(F.col("g").isNotNull())
            .groupBy(F.col("g.family").alias("family"), F.col("g.entity_id").alias("entity_id"),
                     F.col("g.category").alias("category"), F.col("g.start_us").alias("start_us"),
                     F.col("g.size_us").alias("size_us"))
-           .agg(F.count(F.lit(1)).alias("n"), count_where(F.col("is_click")).alias("clicks"),
-                F.sum("dwell").alias("dwell_sum"), count_where(F.col("is_view")).alias("views"),
-                count_where(F.col("is_eng")).alias("engagements")))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("is_click").cast("bigint").alias("clicks"),
+                F.sum("dwell").alias("dwell_sum"), F.sum("is_view").cast("bigint").alias("views"),
+                F.sum("is_eng").cast("bigint").alias("engagements")))
     fam = F.col("family")
     rate = F.when(F.col("views") > 0, F.col("engagements") / F.col("views")).otherwise(F.lit(0.0))
     values = F.explode(
