@@ -231,5 +231,16 @@ def all_feature_rows_one_pass(enriched: DataFrame, spec: FeatureSpec) -> DataFra
         F.col("x.i").alias("feature_value_int"))
 
 
+def feature_rows_for_entity(enriched: DataFrame, entity_id: str, spec: FeatureSpec) -> DataFrame:
+    """Feature rows of one entity, reading only the events that can feed it.
+
+    A user's rows come from events with that user_id (user and affinity
+    families), a content's rows from events with that content_id; the
+    disjunction is a plain predicate that reaches the scan.
+    """
+    relevant = enriched.where((F.col("user_id") == entity_id) | (F.col("content_id") == entity_id))
+    return all_feature_rows_one_pass(relevant, spec).where(F.col("entity_id") == entity_id)
+
+
 def drop_wire_extras(features: DataFrame) -> DataFrame:
     return features.drop("feature_value_int")

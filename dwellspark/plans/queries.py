@@ -103,14 +103,17 @@ def q10_late_counts_by_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
             .where(F.col("window_family").isNotNull()))
 
 
-def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_features(spark: SparkSession, sf_dir: str, entity_id: str | None = None) -> DataFrame:
     """All feature rows.  With broadcastable metadata: one scan, one aggregate;
-    otherwise the affinity family gets its own shuffle join and aggregate."""
+    otherwise the affinity family gets its own shuffle join and aggregate.
+    ``entity_id`` restricts the work to the events that can feed that entity."""
     events = _events(spark, sf_dir)
     meta, small = enrich.broadcastable(
         _latest_meta(spark, sf_dir).select("content_id", "category", "creator_id"))
     if small:
         enriched = events.join(F.broadcast(meta), "content_id", "left")
+        if entity_id is not None:
+            return features.drop_wire_extras(features.feature_rows_for_entity(enriched, entity_id, SPEC))
         rows = features.all_feature_rows_one_pass(enriched, SPEC)
     else:
         enriched = enrich.enrich_events(events, meta, how="inner", broadcast_max_rows=None)
@@ -133,7 +136,8 @@ AS_OF = "2024-01-31 00:15:00"
 
 
 def q12_entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.entity_lookup(serving.latest_features(_all_features(spark, sf_dir)), LOOKUP_ENTITY)
+    rows = _all_features(spark, sf_dir, entity_id=LOOKUP_ENTITY)
+    return serving.entity_lookup(serving.latest_features(rows), LOOKUP_ENTITY)
 
 
 def q13_feature_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
