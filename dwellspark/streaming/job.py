@@ -178,6 +178,22 @@ class FeatureStreamJob:
         return self.spark.read.parquet(p)
 
 
+def progress_health(query: StreamingQuery) -> dict:
+    """Health signals from the last progress report of a feature query.
+
+    ``watermark`` is the true event-time watermark; ``rows_dropped_by_watermark``
+    counts rows the stateful operator discarded *after* partial aggregation
+    (a health signal, not the late-event count — that comes from LateAudit).
+    """
+    progress = query.lastProgress or {}
+    event_time = progress.get("eventTime") or {}
+    dropped = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in progress.get("stateOperators", []))
+    state_rows = sum(int(op.get("numRowsTotal", 0)) for op in progress.get("stateOperators", []))
+    return {"batch_id": progress.get("batchId"), "watermark": event_time.get("watermark"),
+            "rows_dropped_by_watermark": dropped, "state_rows": state_rows,
+            "input_rows": progress.get("numInputRows")}
+
+
 class LateAudit:
     """foreachBatch audit of late events for the user windows.
 

@@ -154,3 +154,21 @@ def test_one_pass_features_equal_per_family_plans(spark):
     three = features.all_feature_rows(ev, inner, DRIVER_SPEC)
     assert one.count() == three.count() > 0
     assert one.exceptAll(three).count() == 0 and three.exceptAll(one).count() == 0
+
+
+def test_bad_timestamp_processing_time_fallback(spark):
+    lines = ['{"user_id":"u1","content_id":"c1","event_type":"view","dwell_time_ms":5,"timestamp":"yesterday"}']
+    cl = wire.classify_wire_events(spark.createDataFrame([(x,) for x in lines], "value string"),
+                                   timestamp_fallback="processing_time")
+    row = cl.collect()[0]
+    assert row["reason"] == "ok" and row["ts"] is not None
+
+
+def test_wire_metadata_last_write_wins(spark):
+    lines = [(0, '{"content_id":"c1","category":"scifi","creator_id":"creator-A","publish_timestamp":"2024-01-01T00:00:00Z"}'),
+             (1, '{"content_id":"c1","category":"news","creator_id":"creator-B","publish_timestamp":"2023-01-01T00:00:00Z"}'),
+             (2, '{"content_id":"c2","category":"sports"'),
+             (3, '{"content_id":"c3","category":"comedy","creator_id":"creator-C","publish_timestamp":"x"}')]
+    parsed = wire.parse_wire_metadata(spark.createDataFrame(lines, "offset bigint, value string"))
+    latest = {r["content_id"]: r["category"] for r in enrich.latest_metadata(parsed, order_col="offset").collect()}
+    assert latest == {"c1": "news", "c3": "comedy"}

@@ -154,3 +154,15 @@ def test_stream_equals_replay_on_time_rows(spark, scratch):
     replay_late = {r["ts"] for r in late.late_events(df, 3600, delay_s=30).collect()}
     assert audited == replay_late
     assert replay_late  # the fixture does contain late rows
+
+
+def test_progress_health_reports_watermark(spark, scratch):
+    inbox = os.path.join(scratch, "in")
+    _drop_file(spark, inbox, [_line("u1", "10:10:00")])
+    _drop_file(spark, inbox, [_line("u1", "11:00:30")])
+    job = J.FeatureStreamJob(spark, scratch, WIRE_SPEC)
+    q = job.start_user(J.wire_file_stream(spark, inbox, 1))
+    q.awaitTermination(300)
+    health = J.progress_health(q)
+    assert health["watermark"].startswith("2024-01-01T11:00:00")
+    assert health["rows_dropped_by_watermark"] == 0
