@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from pyspark import StorageLevel
 
-# A side is broadcast only when its row count was checked against this bound;
+# A side is broadcast only when its row count was checked against this bound
+# (metadata rows are ~100 bytes: about 100 MB per executor at the bound);
 # beyond it the join shuffles on the key (AQE splits skewed partitions).
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],

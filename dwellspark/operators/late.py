@@ -38,7 +38,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellspark.operators.enrich import checked_broadcast
+from dwellspark.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
 from pyspark import StorageLevel
 
 _BLOCK = 4096
@@ -149,7 +149,7 @@ def threshold_table(events: DataFrame, geoms: list[Geometry]) -> DataFrame:
     return _suffix_min(keys)
 
 
-def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int = 2_000_000,
+def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
              thresholds: DataFrame | None = None) -> DataFrame:
     """Tag every (record, geometry) pair with ``is_late``.
 

@@ -33,9 +33,13 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], weights: dict[str, st
     ``weights`` maps output column → non-negative integer weight column.
     ``order_cols`` must order rows totally (include a unique id).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges neighbours, so partition order still follows the key order.
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *order_cols)
+    else:
+        ranged = df.repartitionByRange(*order_cols)
+    ordered = cut_lineage(ranged.sortWithinPartitions(*order_cols))
 
     local_names = {out: f"_local_{out}" for out in weights}
     schema = T.StructType(list(ordered.schema.fields)
