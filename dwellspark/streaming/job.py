@@ -66,10 +66,17 @@ def stage_replay_files(events: DataFrame, path: str, n_files: int) -> None:
     if bounds is None or bounds["lo"] is None:
         return
     lo, span = int(bounds["lo"]), int(bounds["hi"]) - int(bounds["lo"]) + 1
-    # slice index in [0, n_files): integer arithmetic, no driver-side datetimes
-    slice_of = ((us - F.lit(lo)) * F.lit(n_files) / F.lit(span)).cast("bigint")
+    ts_type = events.schema["ts"].dataType
+    # exact integer microsecond cut points; plain range predicates on ts so
+    # parquet row-group statistics skip what a slice does not need
+    cuts = [lo + -(-(i * span) // n_files) for i in range(n_files + 1)]
+
+    def ts_lit(micros: int):
+        return F.timestamp_micros(F.lit(micros)).cast(ts_type)
+
     for i in range(n_files):
-        part = wire.events_to_wire(events.where(slice_of == i)).select("value")
+        cond = (F.col("ts") >= ts_lit(cuts[i])) & (F.col("ts") < ts_lit(cuts[i + 1]))
+        part = wire.events_to_wire(events.where(cond)).select("value")
         part.coalesce(1).write.mode("append").text(path)
 
 
