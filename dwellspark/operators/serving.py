@@ -50,11 +50,16 @@ def feature_freshness(latest: DataFrame, as_of, tracked: Sequence[str] = TRACKED
     100 at age 0 down to 0 at five minutes (low end clamped only).
     """
     as_of_col = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
-    per_feature = (latest.groupBy("feature_name")
-                   .agg(F.max("computed_at").alias("last_computed_at"),
-                        F.count(F.lit(1)).alias("entity_count")))
-    wanted = literal_table(latest.sparkSession, [(f,) for f in tracked], "feature_name string")
-    joined = per_feature.join(wanted, "feature_name", "full_outer")
+    # Tracked names are unioned in with a zero weight and folded by the same
+    # aggregate (equivalent to a full outer join on distinct keys, without
+    # the join and its two exchanges).
+    seen = latest.select("feature_name", "computed_at", F.lit(1).alias("w"))
+    wanted = literal_table(latest.sparkSession, [(f,) for f in tracked], "feature_name string").select(
+        "feature_name", F.lit(None).cast(latest.schema["computed_at"].dataType).alias("computed_at"),
+        F.lit(0).alias("w"))
+    joined = (seen.unionByName(wanted).groupBy("feature_name")
+              .agg(F.max("computed_at").alias("last_computed_at"),
+                   F.sum("w").cast("bigint").alias("entity_count")))
     age = epoch_millis(as_of_col) - epoch_millis(F.col("last_computed_at"))
     return joined.select(
         "feature_name",
