@@ -73,3 +73,21 @@ def format_duration(ms: Column) -> Column:
 def format_value(v: Column) -> Column:
     """A numeric feature value shown with four decimals."""
     return F.format_string("%.4f", v)
+
+
+_PAIR_SHIFT = 10 ** 20
+_PAIR_OFFSET = 2 ** 63
+
+
+def packed_order(major, minor):
+    """Order-preserving DECIMAL(38,0) for the pair (major, minor) of BIGINTs.
+
+    ``major * 10^20 + (minor + 2^63)``: numeric order equals lexicographic
+    order of the pair for every long ``minor`` and any ``major`` up to
+    ±1.7e17.  A single fixed-width key lets ``max_by``/``min`` run as a
+    hash aggregate (a struct key would force a sort-based one).
+    """
+    from decimal import Decimal
+    dec = "decimal(38,0)"
+    return (major.cast(dec) * F.lit(Decimal(_PAIR_SHIFT)).cast(dec)
+            + (minor.cast(dec) + F.lit(Decimal(_PAIR_OFFSET)).cast(dec))).cast(dec)

@@ -33,11 +33,11 @@ are handled in the same two scans.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwellspark.functions.expressions import packed_order
 from dwellspark.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
 from pyspark import StorageLevel
 
@@ -64,21 +64,13 @@ def _ts_us(col: str = "ts"):
     return F.unix_micros(F.col(col).cast("timestamp"))
 
 
-_KEY_SHIFT = 10 ** 20
-_ID_OFFSET = 2 ** 63
-
-
 def arrival_key(arrival_col: str = "arrival_ts", id_col: str = "event_id"):
     """(arrival_ts, event_id) packed into one order-preserving DECIMAL(38,0).
 
-    ``arrival_µs * 10^20 + (event_id + 2^63)``: lexicographic order on the
-    pair equals numeric order on the result for every timestamp and long id.
-    A fixed-width decimal keeps ``min`` in a hash aggregate (a struct key
-    would force a sort-based one).
+    Lexicographic order on the pair equals numeric order on the result, and
+    a fixed-width key keeps ``min`` in a hash aggregate.
     """
-    dec = "decimal(38,0)"
-    return (_ts_us(arrival_col).cast(dec) * F.lit(Decimal(_KEY_SHIFT)).cast(dec)
-            + (F.col(id_col).cast(dec) + F.lit(Decimal(_ID_OFFSET)).cast(dec))).cast(dec)
+    return packed_order(_ts_us(arrival_col), F.col(id_col))
 
 
 def _geometry_array(geoms: list[Geometry], key_fn) -> F.Column:

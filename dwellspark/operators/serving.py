@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import (epoch_millis, format_duration,
-                                              format_value, freshness_pct)
+                                              format_value, freshness_pct, packed_order)
 from dwellspark.functions.literals import literal_table
 from dwellspark.operators.enrich import latest_by_key
 
@@ -23,11 +23,18 @@ def latest_features(features: DataFrame) -> DataFrame:
     """(entity_id, feature_name) → newest record; last write wins.
 
     Ordered by (computed_at, window_end) so ties on computed_at resolve the
-    same way on every run.  One aggregate with map-side combine.
+    same way on every run.  One aggregate with map-side combine; the
+    ordering is packed into one fixed-width key and every carried column is
+    fixed-width, so Spark runs it as a hash aggregate.
     """
-    return latest_by_key(features, ["entity_id", "feature_name"],
-                         ["computed_at", "window_end"],
-                         ["feature_value", "window_start"])
+    key = packed_order(F.unix_micros(F.col("computed_at").cast("timestamp")),
+                       F.unix_micros(F.col("window_end").cast("timestamp")))
+    return (features.withColumn("_k", key)
+            .groupBy("entity_id", "feature_name")
+            .agg(F.max_by("feature_value", "_k").alias("feature_value"),
+                 F.max_by("window_start", "_k").alias("window_start"),
+                 F.max_by("computed_at", "_k").alias("computed_at"),
+                 F.max_by("window_end", "_k").alias("window_end")))
 
 
 def entity_lookup(latest: DataFrame, entity_id: str) -> DataFrame:
