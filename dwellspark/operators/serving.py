@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from dwellspark.functions.expressions import (epoch_millis, format_duration,
                                               format_value, freshness_pct, packed_order)
 from dwellspark.functions.literals import literal_table
-from dwellspark.operators.enrich import latest_by_key
 
 # Features the dashboard tracks for freshness.
 TRACKED_FEATURES = ("click_rate", "avg_dwell_time", "engagement_rate")
