@@ -19,8 +19,8 @@ def type_match(event_type: Column, types: Iterable[str], case_sensitive: bool) -
 
 
 def count_where(cond: Column) -> Column:
-    """Exact integer count of rows where ``cond`` holds."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    """Exact integer count of rows where ``cond`` holds (0 over no rows)."""
+    return F.coalesce(F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")
 
 
 def lenient_long(raw: Column) -> Column:
