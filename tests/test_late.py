@@ -78,3 +78,27 @@ def test_running_sums_match_cumsum(spark):
     pdf = pd.DataFrame(rows, columns=["id", "k", "w"]).sort_values(["k", "id"])
     pdf["cs"] = pdf["w"].cumsum()
     assert got == dict(zip(pdf["id"], pdf["cs"]))
+
+
+def test_classifier_property_with_ties(spark):
+    """Coarse times force ties in ts and in arrival (event_id breaks them)."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    geoms = [late.Geometry("t", 600, 600, 60), late.Geometry("s", 600, 300, 0)]
+    event = st.tuples(st.integers(0, 40), st.sampled_from([0, 0, 0, 60, 120, 900, 1800]))
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(event, min_size=1, max_size=25))
+    def check(evs):
+        rows = [(i, "u", BASE + timedelta(seconds=60 * m), BASE + timedelta(seconds=60 * m + lag))
+                for i, (m, lag) in enumerate(evs)]
+        pdf = pd.DataFrame(rows, columns=["event_id", "user_id", "ts", "arrival_ts"])
+        df = spark.createDataFrame(pdf, "event_id bigint, user_id string, ts timestamp_ntz, arrival_ts timestamp_ntz")
+        got = {}
+        for r in late.classify(df, geoms).where(F.col("is_late")).select("geom", "event_id").collect():
+            got.setdefault(r["geom"], set()).add(r["event_id"])
+        for g in geoms:
+            assert got.get(g.name, set()) == _brute(pdf, g.size_s, g.slide_s, g.delay_s), (g, evs)
+
+    check()
