@@ -201,8 +201,9 @@ def q16_user_features_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink; the result is every window the watermark closed.
     """
     root = shared_path(spark, "q16")
-    stream_job.stage_replay_files(_events(spark, sf_dir), f"{root}/in", REPLAY_FILES)
-    job = stream_job.FeatureStreamJob(spark, root, SPEC)
+    rows = stream_job.stage_replay_files(_events(spark, sf_dir), f"{root}/in", REPLAY_FILES)
+    parts = stream_job.state_partitions_for(spark, -(-rows // REPLAY_FILES))
+    job = stream_job.FeatureStreamJob(spark, root, SPEC, state_partitions=parts)
     job.run_all(lambda: stream_job.wire_file_stream(spark, f"{root}/in", 1),
                 families=("user",), audit=False)
     return job.features("user").select("user_id", "window_start", "window_end", "click_rate",

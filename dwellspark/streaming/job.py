@@ -54,17 +54,17 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
     return reader.load().selectExpr("CAST(value AS STRING) AS value", "partition", "offset")
 
 
-def stage_replay_files(events: DataFrame, path: str, n_files: int) -> None:
+def stage_replay_files(events: DataFrame, path: str, n_files: int) -> int:
     """Write events as JSON-line files in event-time order, one job per file.
 
     Each slice is an equal span of event time, written by its own job so file
     modification times follow event time and a file stream reads them in
-    order.  Every event is written exactly once.
+    order.  Every event is written exactly once.  Returns the row count.
     """
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    bounds = events.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    bounds = events.agg(F.min(us).alias("lo"), F.max(us).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     if bounds is None or bounds["lo"] is None:
-        return
+        return 0
     lo, span = int(bounds["lo"]), int(bounds["hi"]) - int(bounds["lo"]) + 1
     ts_type = events.schema["ts"].dataType
     # exact integer microsecond cut points; plain range predicates on ts so
@@ -78,6 +78,14 @@ def stage_replay_files(events: DataFrame, path: str, n_files: int) -> None:
         cond = (F.col("ts") >= ts_lit(cuts[i])) & (F.col("ts") < ts_lit(cuts[i + 1]))
         part = wire.events_to_wire(events.where(cond)).select("value")
         part.coalesce(1).write.mode("append").text(path)
+    return int(bounds["n"])
+
+
+def state_partitions_for(spark: SparkSession, rows_per_trigger: int, rows_per_partition: int = 250_000) -> int:
+    """State-store partitions for a stream: enough for the per-trigger volume,
+    never more than the session's shuffle partitions.  Fixed at first start."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, -(-rows_per_trigger // rows_per_partition)))
 
 
 # ------------------------------------------------------------------- the job
@@ -103,16 +111,32 @@ class FeatureStreamJob:
     spec: FeatureSpec
     metadata: DataFrame | None = None
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
+    # shuffle / state-store partitions of the stateful queries; fixed in the
+    # checkpoint at first start (None: the session's setting)
+    state_partitions: int | None = None
 
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
+    def _start(self, writer) -> StreamingQuery:
+        """Start with ``state_partitions`` in effect (the query clones the
+        session conf at start; the session's own value is restored)."""
+        if self.state_partitions is None:
+            return writer.start()
+        key = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(self.state_partitions))
+        try:
+            return writer.start()
+        finally:
+            self.spark.conf.set(key, before)
+
     def _sink(self, df: DataFrame, name: str) -> StreamingQuery:
-        return (df.writeStream.format("parquet").outputMode("append")
-                .option("path", self.path("features", f"family={name}"))
-                .option("checkpointLocation", self.path("checkpoints", name))
-                .trigger(**self.trigger).queryName(f"features_{name}_{os.path.basename(self.root)}")
-                .start())
+        return self._start(df.writeStream.format("parquet").outputMode("append")
+                           .option("path", self.path("features", f"family={name}"))
+                           .option("checkpointLocation", self.path("checkpoints", name))
+                           .trigger(**self.trigger)
+                           .queryName(f"features_{name}_{os.path.basename(self.root)}"))
 
     # one query per feature family
     def start_user(self, values: DataFrame) -> StreamingQuery:
@@ -136,9 +160,9 @@ class FeatureStreamJob:
     def start_late_audit(self, values: DataFrame) -> StreamingQuery:
         audit = LateAudit(self.path("audit"), self.spec)
         good = wire.good_events(wire.classify_wire_events(values))
-        return (good.writeStream.foreachBatch(audit.process)
-                .option("checkpointLocation", self.path("checkpoints", "audit"))
-                .trigger(**self.trigger).start())
+        return self._start(good.writeStream.foreachBatch(audit.process)
+                           .option("checkpointLocation", self.path("checkpoints", "audit"))
+                           .trigger(**self.trigger))
 
     def run_all(self, values_factory, families=("user", "content", "affinity"),
                 audit: bool = True, timeout_s: int = 600) -> None:
@@ -173,9 +197,9 @@ class FeatureStreamJob:
                 rows = features.affinity_feature_rows(wide, self.spec)
             rows = features.drop_wire_extras(rows)
             longs = rows if longs is None else longs.unionByName(rows)
-        return (longs.writeStream.foreachBatch(table.upsert)
-                .option("checkpointLocation", self.path("checkpoints", "latest"))
-                .trigger(**self.trigger).start())
+        return self._start(longs.writeStream.foreachBatch(table.upsert)
+                           .option("checkpointLocation", self.path("checkpoints", "latest"))
+                           .trigger(**self.trigger))
 
     def latest(self) -> "LatestFeatureTable":
         return LatestFeatureTable(self.path("latest"))
