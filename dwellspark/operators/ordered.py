@@ -5,11 +5,11 @@ in one task.  Instead:
 
 1. range-partition on the (unique) order key and sort inside partitions —
    Spark samples the key, so even a hot time range is split evenly;
-2. write that once to the shared checkpoint dir so every pass below sees the
-   same partitions;
-3. per partition, a vectorised cumulative sum (``mapInPandas``; the only
-   per-partition sequential step) — no shuffle;
-4. per-partition totals (one row per partition), an exclusive prefix sum
+2. per partition, a vectorised cumulative sum (``mapInPandas``; the only
+   per-partition sequential step) — no shuffle; each row is tagged with its
+   partition id and the result is written once to the shared checkpoint
+   dir, so the two passes below read identical partitions;
+3. per-partition totals (one row per partition), an exclusive prefix sum
    over them, broadcast back and added.
 
 Memory per task is one Arrow batch; nothing passes through the driver.
@@ -39,7 +39,7 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], weights: dict[str, st
         ranged = df.repartitionByRange(num_partitions, *order_cols)
     else:
         ranged = df.repartitionByRange(*order_cols)
-    ordered = cut_lineage(ranged.sortWithinPartitions(*order_cols))
+    ordered = ranged.sortWithinPartitions(*order_cols)
 
     local_names = {out: f"_local_{out}" for out in weights}
     schema = T.StructType(list(ordered.schema.fields)
@@ -60,7 +60,10 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], weights: dict[str, st
                 pdf[local_names[out]] = cs.astype("int64")
             yield pdf
 
-    local = ordered.mapInPandas(local_cumsum, schema)
+    # Written once to the shared checkpoint dir: the partition id and the
+    # local sums are stored with each row, so both passes below (totals and
+    # the join) read the same result and the Python step runs once.
+    local = cut_lineage(ordered.mapInPandas(local_cumsum, schema))
     totals = local.groupBy("_pid").agg(*[F.max(c).alias(f"_tot_{out}") for out, c in local_names.items()])
     # one row per partition: bounded by the partition count
     prefix = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
