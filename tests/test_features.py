@@ -172,3 +172,13 @@ def test_wire_metadata_last_write_wins(spark):
     parsed = wire.parse_wire_metadata(spark.createDataFrame(lines, "offset bigint, value string"))
     latest = {r["content_id"]: r["category"] for r in enrich.latest_metadata(parsed, order_col="offset").collect()}
     assert latest == {"c1": "news", "c3": "comedy"}
+
+
+def test_pane_strategy_equals_native_sliding(spark):
+    from dwellspark.sources import tables
+    from dwellspark.spec import DRIVER_SPEC
+    ev = tables.driver_events(spark, "/root/testdata/sf0.001")
+    native = features.content_engagement(ev, DRIVER_SPEC, sliding=True)
+    panes = features.content_engagement(ev, DRIVER_SPEC, sliding=True, strategy="panes")
+    assert native.count() == panes.count() > 0
+    assert native.exceptAll(panes).count() == 0 and panes.exceptAll(native).count() == 0
