@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellspark.functions.expressions import count_where, epoch_millis
+from dwellspark.functions.expressions import count_where, epoch_millis, iso_instant
 from dwellspark.operators import late
 from dwellspark.operators.enrich import checked_broadcast
 from dwellspark.operators.ordered import running_sums
@@ -97,3 +97,12 @@ def fold_metrics(metrics: DataFrame, as_of) -> DataFrame:
         F.coalesce(lag, F.lit(-1)).cast("bigint").alias("watermark_lag_ms"),
         F.coalesce(lag > LAG_WARNING_MS, F.lit(False)).alias("lag_warning"),
         "heartbeat_count", "late_metric_count")
+
+
+def snapshot_json(state: DataFrame) -> DataFrame:
+    """The health snapshot as one JSON object per row (the serving payload):
+    ``{"lateEventsDropped":…, "watermarkLagMs":…, "lastWatermarkTime":"…"}``."""
+    return state.select(F.to_json(F.struct(
+        F.col("late_events_dropped").alias("lateEventsDropped"),
+        F.col("watermark_lag_ms").alias("watermarkLagMs"),
+        iso_instant(F.col("last_watermark_time")).alias("lastWatermarkTime"))).alias("snapshot"))

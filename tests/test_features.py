@@ -92,8 +92,12 @@ def test_m12_metric_fold(spark):
     m = (spark.createDataFrame(rows, "metric_offset bigint, metric_type string, count bigint, late_events_total bigint")
          .withColumn("feature_computed_at", F.when(F.col("metric_offset") == 2,
                                                   F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"))))
-    snap = metrics.fold_metrics(m, "2024-01-01 10:02:30").collect()[0]
+    state = metrics.fold_metrics(m, "2024-01-01 10:02:30")
+    snap = state.collect()[0]
     assert snap["late_events_dropped"] == 6
+    payload = json.loads(metrics.snapshot_json(state).first()["snapshot"])
+    assert payload == {"lateEventsDropped": 6, "watermarkLagMs": 150000,
+                       "lastWatermarkTime": "2024-01-01T10:00:00Z"}
     assert snap["watermark_lag_ms"] == 150000
     assert snap["lag_warning"] is True
 
