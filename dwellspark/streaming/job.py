@@ -248,7 +248,7 @@ class LateAudit:
         try:  # common case: the previous batch's folder (one small file)
             row = spark.read.parquet(os.path.join(state_path, f"batch_id={batch_id - 1}")).first()
             if row is not None:
-                return row["running_max_ts"], int(row["late_total"])
+                return row["running_max_us"], int(row["late_total"])
         except Exception:
             pass
         try:  # a gap in batch ids (e.g. after a restart): newest older state
@@ -259,7 +259,7 @@ class LateAudit:
                .orderBy(F.col("batch_id").desc()).limit(1).first())
         if row is None:
             return None, 0
-        return row["running_max_ts"], int(row["late_total"])
+        return row["running_max_us"], int(row["late_total"])
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -268,19 +268,19 @@ class LateAudit:
         win = F.window("ts", self.spec.user_window)
         tagged = batch.select("user_id", "content_id", "event_type", "ts",
                               win.start.alias("window_start"), win.end.alias("window_end"))
+        # times travel as epoch microseconds (no driver-side time zones)
+        delay_us = self.spec.watermark_delay_s * 1_000_000
         if running_max is not None:
-            wm = F.lit(running_max).cast("timestamp") - F.make_interval(secs=F.lit(self.spec.watermark_delay_s))
-            late = tagged.where(F.col("window_end") <= wm)
+            late = tagged.where(F.unix_micros(F.col("window_end")) <= F.lit(running_max - delay_us))
         else:
             late = tagged.where(F.lit(False))
-        late = late.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         late_path = os.path.join(self.root, "late_events", f"batch_id={batch_id}")
-        late.drop("batch_id").write.mode("overwrite").parquet(late_path)
+        late.write.mode("overwrite").parquet(late_path)
         n_late = spark.read.parquet(late_path).count()
-        batch_max = batch.agg(F.max("ts").alias("m")).first()["m"]
+        batch_max = batch.agg(F.max(F.unix_micros("ts")).alias("m")).first()["m"]
         new_max = max([x for x in (running_max, batch_max) if x is not None], default=None)
         new_total = late_total + n_late
-        state = literal_table(spark, [(new_max, new_total)], "running_max_ts timestamp, late_total bigint")
+        state = literal_table(spark, [(new_max, new_total)], "running_max_us bigint, late_total bigint")
         state.write.mode("overwrite").parquet(os.path.join(self.root, "state", f"batch_id={batch_id}"))
         metrics = literal_table(
             spark, [(LATE_METRIC, new_total if n_late else None, None), (HEARTBEAT_METRIC, None, new_total)],
@@ -289,8 +289,7 @@ class LateAudit:
         (metrics.withColumn("metric_offset", F.lit(batch_id).cast("bigint") * 2
                             + (F.col("metric_type") == HEARTBEAT_METRIC).cast("bigint"))
          .withColumn("feature_computed_at", F.current_timestamp().cast("timestamp_ntz"))
-         .withColumn("watermark", (F.lit(new_max).cast("timestamp")
-                                   - F.make_interval(secs=F.lit(self.spec.watermark_delay_s))).cast("timestamp_ntz")
+         .withColumn("watermark", F.timestamp_micros(F.lit(new_max - delay_us)).cast("timestamp_ntz")
                      if new_max is not None else F.lit(None).cast("timestamp_ntz"))
          .write.mode("overwrite").parquet(os.path.join(self.root, "metrics", f"batch_id={batch_id}")))
         batch.unpersist()
