@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where, type_match
 from dwellspark.operators import late
-from dwellspark.spec import FeatureSpec
+from dwellspark.spec import FeatureSpec, interval_seconds
 
 # Divergence reasons.
 REASON_MATCH = "match"
@@ -26,7 +26,7 @@ REASON_ALL_LATE = "all_events_late"
 
 def divergence_report(events_with_arrival: DataFrame, stream_spec: FeatureSpec,
                       batch_spec: FeatureSpec) -> DataFrame:
-    size_s = _seconds(stream_spec.user_window)
+    size_s = interval_seconds(stream_spec.user_window)
     geom = late.Geometry("user", size_s, size_s, stream_spec.watermark_delay_s)
     tagged = late.classify(
         events_with_arrival.select("event_id", "user_id", "event_type", "dwell_time_ms",
@@ -60,10 +60,3 @@ def divergence_report(events_with_arrival: DataFrame, stream_spec: FeatureSpec,
         "batch_event_count",
         "stream_event_count",
         "late_count", reason.alias("reason"))
-
-
-def _seconds(interval: str) -> int:
-    n, unit = interval.split()
-    mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600,
-            "hours": 3600, "day": 86400, "days": 86400}[unit]
-    return int(n) * mult

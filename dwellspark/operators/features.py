@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where, type_match
-from dwellspark.spec import FeatureSpec
+from dwellspark.spec import FeatureSpec, interval_seconds
 
 
 def _bounds(window_col: str = "window"):
@@ -78,7 +78,7 @@ def content_engagement(events: DataFrame, spec: FeatureSpec,
 
 
 def _content_engagement_panes(events: DataFrame, spec: FeatureSpec, is_view, is_eng) -> DataFrame:
-    size_s, slide_s = _interval_s(spec.content_window), _interval_s(spec.content_slide)
+    size_s, slide_s = interval_seconds(spec.content_window), interval_seconds(spec.content_slide)
     if size_s % slide_s:
         raise ValueError("pane strategy needs the window size to be a multiple of the slide")
     panes = (events.groupBy(F.window("ts", spec.content_slide).start.alias("pane_start"), F.col("content_id"))
@@ -176,13 +176,6 @@ def all_feature_rows(events: DataFrame, enriched: DataFrame, spec: FeatureSpec)
             .unionByName(affinity_feature_rows(category_affinity(enriched, spec, keep_unmatched=False), spec)))
 
 
-def _interval_s(interval: str) -> int:
-    n, unit = interval.split()
-    mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600,
-            "hours": 3600, "day": 86400, "days": 86400}[unit]
-    return int(n) * mult
-
-
 def _start(ts_us, size_s: int, back: int = 0):
     """Epoch-aligned window start (same alignment as ``window()``), ``back`` slides earlier."""
     size_us = size_s * 1_000_000
@@ -200,8 +193,8 @@ def all_feature_rows_one_pass(enriched: DataFrame, spec: FeatureSpec) -> DataFra
     map-side.  ``enriched`` is the left-enriched event stream (category null
     when unmatched).  Results equal :func:`all_feature_rows`.
     """
-    user_s, aff_s = _interval_s(spec.user_window), _interval_s(spec.affinity_window)
-    c_size, c_slide = _interval_s(spec.content_window), _interval_s(spec.content_slide)
+    user_s, aff_s = interval_seconds(spec.user_window), interval_seconds(spec.affinity_window)
+    c_size, c_slide = interval_seconds(spec.content_window), interval_seconds(spec.content_slide)
     if c_size % c_slide:
         raise ValueError("content window must be a multiple of its slide")
     ts_type = enriched.schema["ts"].dataType

@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+_UNIT_SECONDS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60,
+                 "hour": 3600, "hours": 3600, "day": 86400, "days": 86400}
+
+
+def interval_seconds(interval: str) -> int:
+    """'15 minutes' -> 900 (the interval strings used for window geometry)."""
+    n, unit = interval.split()
+    return int(n) * _UNIT_SECONDS[unit]
+
 
 @dataclass(frozen=True)
 class FeatureSpec:
