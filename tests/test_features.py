@@ -186,3 +186,13 @@ def test_pane_strategy_equals_native_sliding(spark):
     panes = features.content_engagement(ev, DRIVER_SPEC, sliding=True, strategy="panes")
     assert native.count() == panes.count() > 0
     assert native.exceptAll(panes).count() == 0 and panes.exceptAll(native).count() == 0
+
+
+def test_profile_exact_and_approx(spark):
+    from dwellspark.operators import profile
+    from dwellspark.sources import tables
+    ev = tables.driver_events(spark, "/root/testdata/sf0.001")
+    exact = profile.event_profile(ev).first()
+    approx = profile.event_profile(ev, approx=True).first()
+    assert exact["event_count"] == approx["event_count"] == ev.count()
+    assert abs(approx["distinct_users"] - exact["distinct_users"]) <= 0.05 * exact["distinct_users"] + 1
