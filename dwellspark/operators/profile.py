@@ -13,7 +13,7 @@ def event_profile(events: DataFrame, approx: bool = False) -> DataFrame:
     HyperLogLog++ sketches (``approx_count_distinct``, ~2 % error) that merge
     map-side and ship one small sketch per task.
     """
-    distinct = (lambda c: F.approx_count_distinct(c)) if approx else F.count_distinct
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     return events.agg(
         F.count(F.lit(1)).alias("event_count"),
         distinct("user_id").alias("distinct_users"),
