@@ -32,6 +32,12 @@ def lenient_long(raw: Column) -> Column:
     return raw.try_cast("double").try_cast("bigint")
 
 
+def strict_long(raw: Column) -> Column:
+    """Strict integer cast (the batch job's rule): unreadable input raises
+    under ANSI mode instead of becoming null."""
+    return raw.cast("bigint")
+
+
 def iso_instant(ts: Column) -> Column:
     """ISO-8601 UTC text (``2024-01-01T10:00:30Z``, millis only when non-zero)."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")

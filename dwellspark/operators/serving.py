@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import (epoch_millis, format_duration,
@@ -36,6 +36,15 @@ def latest_features(features: DataFrame) -> DataFrame:
                  F.max_by("window_end", "_k").alias("window_end")))
 
 
+def served_value_text(feature_name: Column, value: Column,
+                      int_prefix: str = "category_affinity_") -> Column:
+    """The value as the serving layer stores it (text): integer features
+    (category affinity counts) print without a fraction ("5"), rates as
+    doubles ("0.5")."""
+    return (F.when(feature_name.startswith(int_prefix), value.cast("bigint").cast("string"))
+             .otherwise(value.cast("string")))
+
+
 def entity_lookup(latest: DataFrame, entity_id: str) -> DataFrame:
     """All latest features of one entity (empty when unknown).
 

@@ -196,3 +196,15 @@ def test_profile_exact_and_approx(spark):
     approx = profile.event_profile(ev, approx=True).first()
     assert exact["event_count"] == approx["event_count"] == ev.count()
     assert abs(approx["distinct_users"] - exact["distinct_users"]) <= 0.05 * exact["distinct_users"] + 1
+
+
+def test_strict_cast_raises_and_served_text(spark):
+    import pytest
+    from dwellspark.functions.expressions import strict_long
+    bad = spark.createDataFrame([("12x",)], "d string")
+    with pytest.raises(Exception):
+        bad.select(strict_long(F.col("d"))).collect()
+    vals = spark.createDataFrame([("category_affinity_scifi", 5.0), ("click_rate", 0.5)],
+                                 "feature_name string, feature_value double")
+    got = [r[0] for r in vals.select(serving.served_value_text(F.col("feature_name"), F.col("feature_value"))).collect()]
+    assert got == ["5", "0.5"]
