@@ -171,6 +171,38 @@ def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int =
     return out
 
 
+def late_flags(events: DataFrame, geoms: list[Geometry],
+               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, dict[str, str]]:
+    """Late flags for many geometries with one row per (record, slide grid).
+
+    Geometries that share a slide share the grid index a record asks about,
+    so the threshold table is widened to one row per (slide, k) with a
+    column per geometry, and each record is joined once per distinct slide
+    instead of once per geometry.  Returns the frame (``events`` columns plus
+    one boolean per geometry, false on rows of another slide) and the map
+    geometry name → flag column.  Summing a flag counts each record once.
+    """
+    sm = threshold_table(events, geoms)
+    flag_cols = {g.name: f"late__{i}" for i, g in enumerate(geoms)}
+    slide_of = F.create_map(*[x for g in geoms for x in (F.lit(g.name), F.lit(g.slide_s).cast("bigint"))])
+    wide = (sm.withColumn("slide", slide_of[F.col("geom")])
+            .groupBy("slide", "k")
+            .agg(*[F.max(F.when(F.col("geom") == g.name, F.col("sm"))).alias(f"sm__{i}")
+                   for i, g in enumerate(geoms)]))
+    wide = checked_broadcast(wide, broadcast_max_rows)
+    ts_us = _ts_us()
+    slides = sorted({g.slide_s for g in geoms})
+    grid = F.explode(F.array(*[F.struct(F.lit(sl).cast("bigint").alias("slide"),
+                                         _floor_div(ts_us, sl * _US).alias("k")) for sl in slides]))
+    rows = events.withColumn("_g", grid).select("*", "_g.slide", "_g.k").drop("_g")
+    joined = rows.join(wide, ["slide", "k"], "left")
+    arrival = arrival_key()
+    out = joined.select(*events.columns, *[
+        F.coalesce(F.col(f"sm__{i}") < arrival, F.lit(False)).alias(flag_cols[g.name])
+        for i, g in enumerate(geoms)])
+    return out, flag_cols
+
+
 def late_events(events: DataFrame, size_s: int = 3600, slide_s: int | None = None,
                 delay_s: int = 30) -> DataFrame:
     """Records that a window family of the given geometry would drop as late."""

@@ -88,19 +88,22 @@ def q10_late_counts_by_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
         geoms.append(late.Geometry(f"user|{d}", 3600, 3600, d))
         geoms.append(late.Geometry(f"content|{d}", 900, 300, d))
     enriched = enrich.enrich_events(_arrivals(spark, sf_dir), _latest_meta(spark, sf_dir), how="left")
-    tagged = late.classify(enriched.select("event_id", "ts", "arrival_ts", "category"), geoms)
-    per_geom = (tagged.groupBy("geom")
-                .agg(count_where(F.col("is_late")).alias("late"),
-                     count_where(F.col("is_late") & F.col("category").isNotNull()).alias("late_cat")))
-    parts = F.split(F.col("geom"), "[|]")
-    family, delay = parts[0], parts[1].cast("int")
-    # the affinity family sees the user windows' late rows that carry a category
-    rows = F.explode(F.array(
-        F.struct(family.alias("window_family"), delay.alias("delay_s"), F.col("late").alias("late_count")),
-        F.struct(F.when(family == "user", F.lit("affinity")).alias("window_family"), delay.alias("delay_s"),
-                 F.col("late_cat").alias("late_count"))))
-    return (per_geom.select(rows.alias("r")).select("r.*")
-            .where(F.col("window_family").isNotNull()))
+    flagged, flag_cols = late.late_flags(enriched.select("event_id", "ts", "arrival_ts", "category"), geoms)
+    has_cat = F.col("category").isNotNull()
+    # one aggregate: per geometry its late count, and for the user windows
+    # the late rows that carry a category (the affinity family)
+    sums = flagged.agg(*[count_where(F.col(c)).alias(c) for c in flag_cols.values()],
+                       *[count_where(F.col(c) & has_cat).alias(f"{c}_cat") for c in flag_cols.values()])
+    rows = []
+    for g in geoms:
+        family, delay = g.name.split("|")
+        c = flag_cols[g.name]
+        rows.append(F.struct(F.lit(family).alias("window_family"), F.lit(int(delay)).alias("delay_s"),
+                             F.col(c).alias("late_count")))
+        if family == "user":
+            rows.append(F.struct(F.lit("affinity").alias("window_family"), F.lit(int(delay)).alias("delay_s"),
+                                 F.col(f"{c}_cat").alias("late_count")))
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def _all_features(spark: SparkSession, sf_dir: str, entity_id: str | None = None) -> DataFrame:

@@ -53,6 +53,10 @@ def test_classifier_matches_brute_force(spark):
         want = _brute(pdf, g.size_s, g.slide_s, g.delay_s)
         assert got.get(g.name, set()) == want, g
     assert any(got.values())
+    flagged, cols = late.late_flags(df, geoms)
+    rows = flagged.collect()
+    for g in geoms:
+        assert {r["event_id"] for r in rows if r[cols[g.name]]} == got.get(g.name, set()), g
 
 
 def test_m11_behind_watermark_but_window_open(spark):
