@@ -166,3 +166,19 @@ def test_progress_health_reports_watermark(spark, scratch):
     health = J.progress_health(q)
     assert health["watermark"].startswith("2024-01-01T11:00:00")
     assert health["rows_dropped_by_watermark"] == 0
+
+
+def test_stream_cli_once(spark, scratch):
+    inbox = os.path.join(scratch, "in")
+    meta_dir = os.path.join(scratch, "meta")
+    _drop_file(spark, inbox, [_line("u1", "10:10:00", "click", "c1"), _line("u1", "10:20:00", "view", "c1")])
+    _drop_file(spark, inbox, [_line("u1", "11:05:00", "view", "c2")])
+    spark.createDataFrame([('{"content_id":"c1","category":"scifi","creator_id":"creator-A",'
+                            '"publish_timestamp":"2024-01-01T00:00:00Z"}',)], "value string").write.text(meta_dir)
+    root = os.path.join(scratch, "job")
+    assert J.main(["--root", root, "--input-dir", inbox, "--metadata-json", meta_dir, "--once"]) == 0
+    job = J.FeatureStreamJob(spark, root, WIRE_SPEC)
+    assert job.features("user").count() == 1
+    assert [r["feature_name"] for r in job.features("affinity").collect()] == ["category_affinity_scifi"]
+    got = {r["feature_name"]: r["feature_value"] for r in job.latest().lookup(spark, "u1").collect()}
+    assert got["click_rate"] == 0.5 and got["category_affinity_scifi"] == 2.0
