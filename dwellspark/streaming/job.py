@@ -188,8 +188,7 @@ class FeatureStreamJob:
         longs = None
         for fam in families:
             src = self.path("features", f"family={fam}")
-            wide = (self.spark.readStream.schema(self.spark.read.parquet(src).schema)
-                    .parquet(src))
+            wide = self.spark.readStream.schema(self.family_schema(fam)).parquet(src)
             if fam == "user":
                 rows = features.user_feature_rows(wide, self.spec)
             elif fam == "content":
@@ -202,6 +201,20 @@ class FeatureStreamJob:
                            .option("checkpointLocation", self.path("checkpoints", "latest"))
                            .trigger(**self.trigger))
 
+    def family_schema(self, family: str):
+        """Schema of a family sink, derived from the feature function itself
+        (so a reader can start before the first file is written)."""
+        empty = self.spark.createDataFrame(
+            [], "user_id string, content_id string, event_type string, dwell_time_ms bigint, "
+                "ts timestamp, category string, creator_id string")
+        if family == "user":
+            out = features.user_hourly_features(empty, self.spec)
+        elif family == "content":
+            out = features.content_engagement(empty, self.spec, sliding=True)
+        else:
+            out = features.category_affinity(empty, self.spec, keep_unmatched=False)
+        return _ntz(out).schema
+
     def latest(self) -> "LatestFeatureTable":
         return LatestFeatureTable(self.path("latest"))
 
@@ -354,10 +367,16 @@ def main(argv=None) -> int:
     trigger = {"availableNow": True} if a.once else {"processingTime": a.interval}
     job = FeatureStreamJob(spark, a.root, WIRE_SPEC, metadata=metadata, trigger=trigger)
     families = ("user", "content", "affinity") if metadata is not None else ("user", "content")
-    job.run_all(source, families=families, audit=True, timeout_s=None if not a.once else 3600)
     if a.once:
-        q = job.start_latest_upsert(families=families)
-        q.awaitTermination()
+        job.run_all(source, families=families, audit=True, timeout_s=3600)
+        job.start_latest_upsert(families=families).awaitTermination()
+        return 0
+    starters = {"user": job.start_user, "content": job.start_content, "affinity": job.start_affinity}
+    for fam in families:
+        starters[fam](source())
+    job.start_late_audit(source())
+    job.start_latest_upsert(families=families)
+    spark.streams.awaitAnyTermination()
     return 0
 
 
