@@ -182,3 +182,62 @@ def test_stream_cli_once(spark, scratch):
     assert [r["feature_name"] for r in job.features("affinity").collect()] == ["category_affinity_scifi"]
     got = {r["feature_name"]: r["feature_value"] for r in job.latest().lookup(spark, "u1").collect()}
     assert got["click_rate"] == 0.5 and got["category_affinity_scifi"] == 2.0
+
+
+def test_all_families_stream_equal_batch_on_driver_data(spark, scratch):
+    """In event-time order nothing is late: every family's streamed windows
+    equal the batch functions over the same events, on closed windows."""
+    from dwellspark.operators import enrich, features
+    from dwellspark.sources import tables
+    from dwellspark.spec import DRIVER_SPEC
+    sf = "/root/testdata/sf0.001"
+    events = tables.driver_events(spark, sf)
+    meta = tables.driver_content_metadata(spark, sf)
+    J.stage_replay_files(events, os.path.join(scratch, "in"), 3)
+    job = J.FeatureStreamJob(spark, scratch, DRIVER_SPEC, metadata=meta, state_partitions=2)
+    job.run_all(lambda: J.wire_file_stream(spark, os.path.join(scratch, "in"), 1), audit=False)
+    final_wm = events.agg(F.max("ts")).first()[0]
+    cutoff = F.lit(final_wm.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz") - F.expr("INTERVAL 30 SECONDS")
+    latest_meta = enrich.latest_metadata(meta)
+    batch = {
+        "user": features.user_hourly_features(events, DRIVER_SPEC),
+        "content": features.content_engagement(events, DRIVER_SPEC, sliding=True),
+        "affinity": features.category_affinity(enrich.enrich_events(events, latest_meta, how="inner"),
+                                               DRIVER_SPEC, keep_unmatched=False),
+    }
+    for fam, want in batch.items():
+        want = want.where(F.col("window_end") <= cutoff)
+        got = job.features(fam).select(*want.columns)
+        assert got.count() == want.count() > 0, fam
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, fam
+
+
+def test_latest_table_upserts_equal_batch_latest(spark, scratch):
+    import random
+    from dwellspark.operators import serving
+    rnd = random.Random(5)
+    ddl = ("entity_id string, feature_name string, feature_value double, window_start string, "
+           "window_end string, computed_at string")
+    batches = []
+    for b in range(4):
+        rows = []
+        for _ in range(30):
+            h = rnd.randint(0, 20)
+            rows.append((f"e{rnd.randint(0, 9)}", rnd.choice(["click_rate", "avg_dwell_time"]), float(rnd.randint(0, 100)),
+                         f"2024-01-01 {h:02d}:00:00", f"2024-01-01 {h + 1:02d}:00:00", f"2024-01-01 {h + 1:02d}:00:30"))
+        df = spark.createDataFrame(rows, ddl)
+        for c in ("window_start", "window_end", "computed_at"):
+            df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        batches.append(df)
+    table = LatestFeatureTable(os.path.join(scratch, "latest"), buckets=4)
+    for i, b in enumerate(batches):
+        table.upsert(b, i)
+    union = batches[0]
+    for b in batches[1:]:
+        union = union.unionByName(b)
+    want = serving.latest_features(union)
+    got = table.current(spark).select(*want.columns)
+    # ties (same entity, feature, window) may keep either value: compare keys and times
+    keys = ["entity_id", "feature_name", "computed_at", "window_end"]
+    assert got.select(*keys).exceptAll(want.select(*keys)).count() == 0
+    assert got.count() == want.count()
