@@ -39,10 +39,15 @@ def strict_long(raw: Column) -> Column:
 
 
 def iso_instant(ts: Column) -> Column:
-    """ISO-8601 UTC text (``2024-01-01T10:00:30Z``, millis only when non-zero)."""
+    """ISO-8601 UTC text: ``2024-01-01T10:00:30Z``, with the fraction in
+    groups of three digits only as far as needed (``.112Z``, ``.112465Z``)."""
+    micros = F.date_format(ts, "SSSSSS")
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    frac = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    return F.when(F.date_format(ts, "SSS") == "000", whole).otherwise(frac)
+    millis = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    full = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return (F.when(micros == "000000", whole)
+             .when(F.substring(micros, 4, 3) == "000", millis)
+             .otherwise(full))
 
 
 def epoch_millis(ts: Column) -> Column:

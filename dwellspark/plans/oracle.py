@@ -324,3 +324,20 @@ SELECT (SELECT v FROM last_row) AS late_events_dropped,
        epoch_ms(TIMESTAMP '2024-01-31 00:15:00') - epoch_ms((SELECT feature_computed_at FROM last_beat)) > 60000 AS lag_warning,
        (SELECT count(*) FROM ranked WHERE metric_type = 'watermark_heartbeat') AS heartbeat_count,
        (SELECT count(*) FROM ranked WHERE metric_type = 'late_event_dropped') AS late_metric_count"""
+
+SQL["q23_late_audit_streamed"] = f"""
+WITH {EV},
+arr AS (SELECT *, CASE WHEN event_id % 20 = 0 THEN ts + INTERVAL 3 HOUR ELSE ts END AS arrival_ts FROM ev),
+bounds AS (SELECT min(epoch_us(arrival_ts)) AS lo,
+                  max(epoch_us(arrival_ts)) - min(epoch_us(arrival_ts)) + 1 AS span FROM arr),
+cuts AS (SELECT i, lo + CAST(ceil(i * span / 8.0) AS BIGINT) AS c
+         FROM bounds, (SELECT unnest(range(0, 9)) AS i)),
+sliced AS (SELECT a.*, (SELECT max(i) FROM cuts WHERE c <= epoch_us(a.arrival_ts)) AS f FROM arr a),
+per_file AS (SELECT f, max(ts) AS mx FROM sliced GROUP BY f),
+wm AS (SELECT f, max(mx) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+       FROM per_file)
+SELECT s.user_id, s.content_id, s.event_type, s.ts,
+       date_trunc('hour', s.ts) AS window_start,
+       date_trunc('hour', s.ts) + INTERVAL 1 HOUR AS window_end
+FROM sliced s JOIN wm ON s.f = wm.f
+WHERE date_trunc('hour', s.ts) + INTERVAL 1 HOUR <= wm.prev_max - INTERVAL 30 SECOND"""

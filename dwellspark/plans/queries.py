@@ -213,6 +213,30 @@ def q16_user_features_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        "avg_dwell_time", "event_count")
 
 
+AUDIT_FILES = 8
+
+
+def q23_late_audit_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late events found by the streaming audit when events arrive out of order.
+
+    All events are replayed in arrival order (every 20th 3 h late) as
+    JSON-line files, one micro-batch per file; the foreachBatch audit flags a
+    row when its hour window ended at or before the max event time of the
+    earlier micro-batches minus the 30 s delay.
+    """
+    root = shared_path(spark, "q23")
+    arrivals = _arrivals(spark, sf_dir)
+    stream_job.stage_replay_files(arrivals, f"{root}/in", AUDIT_FILES, order_col="arrival_ts")
+    job = stream_job.FeatureStreamJob(spark, root, SPEC)
+    job.start_late_audit(stream_job.wire_file_stream(spark, f"{root}/in", 1)).awaitTermination()
+    audit = stream_job.LateAudit(job.path("audit"), SPEC)
+    return audit.late_events(spark).select(
+        "user_id", "content_id", "event_type",
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"))
+
+
 QUERIES = {
     "q01_user_hourly_features": q01_user_hourly_features,
     "q02_user_features_long": q02_user_features_long,
@@ -236,4 +260,5 @@ QUERIES = {
     "q20_all_features_union": q20_all_features_union,
     "q21_quarantine_counts": q21_quarantine_counts,
     "q22_metric_rows": q22_metric_rows,
+    "q23_late_audit_streamed": q23_late_audit_streamed,
 }

@@ -208,3 +208,11 @@ def test_strict_cast_raises_and_served_text(spark):
                                  "feature_name string, feature_value double")
     got = [r[0] for r in vals.select(serving.served_value_text(F.col("feature_name"), F.col("feature_value"))).collect()]
     assert got == ["5", "0.5"]
+
+
+def test_iso_instant_keeps_sub_second_digits(spark):
+    from dwellspark.functions.expressions import iso_instant
+    df = spark.createDataFrame([("2024-01-01 10:00:30",), ("2024-01-01 10:00:30.112",),
+                                ("2024-01-01 10:00:30.112465",)], "t string")
+    got = [r[0] for r in df.select(iso_instant(F.col("t").cast("timestamp_ntz"))).collect()]
+    assert got == ["2024-01-01T10:00:30Z", "2024-01-01T10:00:30.112Z", "2024-01-01T10:00:30.112465Z"]
