@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dwellspark.functions.expressions import packed_order
+from dwellspark.functions.expressions import count_where, packed_order
 from dwellspark.functions.literals import literal_table
 from dwellspark.operators import enrich, features
 from dwellspark.schemas import HEARTBEAT_METRIC, LATE_METRIC
@@ -287,13 +287,15 @@ class LateAudit:
         # times travel as epoch microseconds (no driver-side time zones)
         delay_us = self.spec.watermark_delay_s * 1_000_000
         if running_max is not None:
-            late = tagged.where(F.unix_micros(F.col("window_end")) <= F.lit(running_max - delay_us))
+            is_late = F.unix_micros(F.col("window_end")) <= F.lit(running_max - delay_us)
         else:
-            late = tagged.where(F.lit(False))
-        late_path = os.path.join(self.root, "late_events", f"batch_id={batch_id}")
-        late.write.mode("overwrite").parquet(late_path)
-        n_late = spark.read.parquet(late_path).count()
-        batch_max = batch.agg(F.max(F.unix_micros("ts")).alias("m")).first()["m"]
+            is_late = F.lit(False)
+        # one pass over the (cached) batch: its max event time and late count
+        stats = tagged.agg(F.max(F.unix_micros("ts")).alias("m"), count_where(is_late).alias("n")).first()
+        batch_max, n_late = stats["m"], int(stats["n"])
+        if n_late:
+            late_path = os.path.join(self.root, "late_events", f"batch_id={batch_id}")
+            tagged.where(is_late).write.mode("overwrite").parquet(late_path)
         new_max = max([x for x in (running_max, batch_max) if x is not None], default=None)
         new_total = late_total + n_late
         state = literal_table(spark, [(new_max, new_total)], "running_max_us bigint, late_total bigint")
@@ -310,8 +312,15 @@ class LateAudit:
          .write.mode("overwrite").parquet(os.path.join(self.root, "metrics", f"batch_id={batch_id}")))
         batch.unpersist()
 
+    LATE_DDL = ("user_id string, content_id string, event_type string, ts timestamp, "
+                "window_start timestamp, window_end timestamp, batch_id int")
+
     def late_events(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(os.path.join(self.root, "late_events"))
+        """All audited late rows (an empty frame before the first one)."""
+        try:
+            return spark.read.parquet(os.path.join(self.root, "late_events"))
+        except Exception:  # no batch has had a late row yet
+            return spark.createDataFrame([], self.LATE_DDL)
 
     def metrics(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(os.path.join(self.root, "metrics"))
