@@ -68,13 +68,14 @@ def main(argv=None) -> int:
     a = p.parse_args(argv)
     spark = build_session(a.master)
     if a.wire:
-        events = wire.good_events(wire.classify_wire_events(spark.read.text(a.events)))
-        events = events.withColumn("event_id", F.monotonically_increasing_id())
-        spec = WIRE_SPEC
+        # record order in the files stands in for the topic's arrival order
+        lines = spark.read.text(a.events).withColumn("event_id", F.monotonically_increasing_id())
+        events = wire.good_events(wire.classify_wire_events(lines))
+        spec, order = WIRE_SPEC, ("event_id",)
     else:
         events = tables.normalize_driver_events(spark.read.parquet(a.events))
-        spec = DRIVER_SPEC
-    events = first_events(events, a.limit)
+        spec, order = DRIVER_SPEC, ("ts", "event_id")
+    events = first_events(events, a.limit, order)
     metadata = None
     if a.metadata:
         sf_dir = os.path.dirname(a.metadata)

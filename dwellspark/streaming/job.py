@@ -259,10 +259,13 @@ class LateAudit:
         self.root = root
         self.spec = spec
 
+    STATE_DDL = "running_max_us bigint, late_total bigint"
+
     def _state_before(self, spark: SparkSession, batch_id: int):
         state_path = os.path.join(self.root, "state")
+        reader = spark.read.schema(self.STATE_DDL)
         try:  # common case: the previous batch's folder (one small file)
-            row = spark.read.parquet(os.path.join(state_path, f"batch_id={batch_id - 1}")).first()
+            row = reader.parquet(os.path.join(state_path, f"batch_id={batch_id - 1}")).first()
             if row is not None:
                 return row["running_max_us"], int(row["late_total"])
         except Exception:
@@ -298,7 +301,7 @@ class LateAudit:
             tagged.where(is_late).write.mode("overwrite").parquet(late_path)
         new_max = max([x for x in (running_max, batch_max) if x is not None], default=None)
         new_total = late_total + n_late
-        state = literal_table(spark, [(new_max, new_total)], "running_max_us bigint, late_total bigint")
+        state = literal_table(spark, [(new_max, new_total)], self.STATE_DDL)
         state.write.mode("overwrite").parquet(os.path.join(self.root, "state", f"batch_id={batch_id}"))
         metrics = literal_table(
             spark, [(LATE_METRIC, new_total if n_late else None, None), (HEARTBEAT_METRIC, None, new_total)],
