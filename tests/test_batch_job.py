@@ -28,3 +28,14 @@ def test_first_events_in_arrival_order(spark):
     want = [r["event_id"] for r in events.orderBy("ts", "event_id").take(10)]
     assert got == want
     assert batch_job.first_events(events, None).count() == events.count()
+
+
+def test_batch_cli_on_wire_input_with_limit(spark, scratch):
+    from dwellspark.sources import wire
+    events_dir = os.path.join(scratch, "wire")
+    wire.events_to_wire(tables.driver_events(spark, SF)).select("value").coalesce(1).write.text(events_dir)
+    out = os.path.join(scratch, "out")
+    assert batch_job.main(["--events", events_dir, "--wire", "--limit", "100", "--output", out]) == 0
+    user = spark.read.option("header", True).csv(os.path.join(out, "batch_user_features"))
+    total = user.agg(F.sum(F.col("event_count").cast("bigint"))).first()[0]
+    assert total == 100
