@@ -57,14 +57,19 @@ class LatestFeatureTable:
     """
 
     COLS = ["entity_id", "feature_name", "feature_value", "window_start", "window_end", "computed_at"]
+    DDL = ("entity_id string, feature_name string, feature_value double, window_start timestamp_ntz, "
+           "window_end timestamp_ntz, computed_at timestamp_ntz, bucket int, version bigint")
 
     def __init__(self, path: str, buckets: int = LATEST_BUCKETS):
         self.path = path
         self.buckets = buckets
 
     def _all(self, spark: SparkSession) -> DataFrame | None:
+        """Every version of every bucket (declared schema: no footer inference)."""
         try:
-            return spark.read.parquet(self.path)
+            df = spark.read.schema(self.DDL).parquet(self.path)
+            df.select("bucket").limit(0).collect()  # fail here if nothing is written yet
+            return df
         except Exception:  # nothing written yet
             return None
 
