@@ -28,7 +28,8 @@ def latest_features(features: DataFrame) -> DataFrame:
     """
     key = packed_order(F.unix_micros(F.col("computed_at").cast("timestamp")),
                        F.unix_micros(F.col("window_end").cast("timestamp")))
-    return (features.withColumn("_k", key)
+    # a feature without an entity cannot be served (ignored, as the UI does)
+    return (features.where(F.col("entity_id").isNotNull()).withColumn("_k", key)
             .groupBy("entity_id", "feature_name")
             .agg(F.max_by("feature_value", "_k").alias("feature_value"),
                  F.max_by("window_start", "_k").alias("window_start"),

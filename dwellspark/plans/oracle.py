@@ -176,7 +176,7 @@ LATEST = """latest AS (
          arg_max(window_start, computed_at) AS window_start,
          max(computed_at) AS computed_at,
          arg_max(window_end, computed_at) AS window_end
-  FROM features GROUP BY entity_id, feature_name)"""
+  FROM features WHERE entity_id IS NOT NULL GROUP BY entity_id, feature_name)"""
 
 SQL["q11_latest_features"] = f"""
 WITH {ALL_FEATURES}, {LATEST}
