@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import exact_dedup, huffman, mixing, packing
+from dwellspark.llm import exact_dedup, huffman, jaccard, mixing, packing
 from dwellspark.llm.common import table
 from dwellspark.session import shared_path
 
@@ -36,11 +36,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_token_ids": op3_token_ids,
     "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 SQL = {
