@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import exact_dedup, huffman, jaccard, mixing, packing
+from dwellspark.llm import exact_dedup, huffman, jaccard, mixing, packing, weak_rules
 from dwellspark.llm.common import table
 from dwellspark.session import shared_path
 
@@ -26,6 +26,13 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_rules.judge(table(spark, sf_dir, "documents"))
+    failed = weak_rules.base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         failed.alias("base_failed"), (~failed & F.col("accepted")).alias("kept"), F.round("quality", 6).alias("quality"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path=byte_bpe())
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
@@ -44,6 +51,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_token_ids": op3_token_ids,
+    "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
