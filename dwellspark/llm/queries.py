@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import exact_dedup, huffman, jaccard, mixing, packing, weak_rules
+from dwellspark.llm import exact_dedup, html_main, huffman, jaccard, mixing, packing, site_quality, transcripts, url_filter, weak_rules
 from dwellspark.llm.common import table
 from dwellspark.session import shared_path
 
@@ -15,6 +15,15 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "mined")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source")
@@ -26,6 +35,11 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "host", "path", "evidence", "host_rate", "path_rate", "quality", F.col("accepted").alias("kept"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = weak_rules.judge(table(spark, sf_dir, "documents"))
     failed = weak_rules.base_failed(F.col("n_words"), F.col("n_repeat_words"))
@@ -38,6 +52,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -48,13 +67,21 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select("doc_id", "n_shingles", "component_id")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transcripts.parse(transcripts.raw_transcripts(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_mixing": op2_mixing,
     "op3_token_ids": op3_token_ids,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
+    "op7_html_text": op7_html_text,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_chat_format": op10_chat_format,
 }
 
 SQL = {
