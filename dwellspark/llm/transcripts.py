@@ -48,8 +48,8 @@ def line_features(text: str) -> tuple[list[tuple], list[str]]:
     """Features and text (without its marker) of every line."""
     lines = text.split("\n")
     names = Counter(m[1] for m in map(NAME.match, lines) if m and m[1].lower() not in ROLE_OF)
-    opening = NAME.match(text.lstrip())  # a transcript that opens with a name is one of names
-    least = 1 if opening and opening[1] in names else 2
+    head = text.lstrip()  # where the first line has a marker, a name that stands once is one too
+    least = 1 if NAME.match(head) or MARKER.match(head) else 2
     order = {n: k for k, n in enumerate(n for n, c in names.items() if c >= least)}
     features, rest = [], []
     gap = True
