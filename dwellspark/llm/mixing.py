@@ -27,14 +27,12 @@ from pyspark.sql import functions as F
 
 from dwellspark.llm.common import cut_lineage, whole_text, word_count
 
-SOURCE = Window.orderBy(F.col("source").asc_nulls_last())
-
-
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
     """source, source_size, weight, target: one row per source."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    by_name = Window.orderBy(F.col("source").asc_nulls_last())
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
-                     (F.pmod(F.row_number().over(SOURCE) - 1, F.lit(len(weights))) + 1).cast("int"))
+                     (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int"))
     per = per.withColumn("weight", w).withColumn("cap", F.col("source_size") * F.lit(float(most)))
     fill = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     before = fill.rowsBetween(Window.unboundedPreceding, -1)
