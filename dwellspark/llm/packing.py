@@ -107,27 +107,33 @@ def decreasing_best_fit(lengths: list[int], room: int) -> Bins:
     return bins
 
 
-def local_search(bins: Bins, tries: int = 64) -> None:
-    """Empty the emptiest bins as long as steps fill fuller bins further.
+def local_search(bins: Bins, tries: int = 64, steps: int = 20) -> None:
+    """Exchange pieces between underfull bins, the emptiest first, until none can be emptied.
 
-    Every step takes room from the bin that is to go and gives it to a fuller
-    one; ``tries`` bounds the bins that are looked at for one exchange.
+    Every step moves fill from one bin to one that is at least as full, so the sum
+    of squared fills grows.  ``tries`` bounds the bins that are looked at for one
+    exchange, and ``steps`` the exchanges per bin.
     """
     stuck: set[int] = set()
-    while True:
-        total = sum(f for b, f in enumerate(bins.free) if bins.items[b])
-        if total < bins.room:  # no bin can go
+    left = steps * len(bins.items)
+    while left > 0:
+        open_ = [b for b, f in enumerate(bins.free) if f and bins.items[b]]
+        if sum(bins.free[b] for b in open_) < bins.room:  # no bin can go
             return
-        open_ = [b for b, f in enumerate(bins.free) if f and bins.items[b] and b not in stuck]
+        open_ = [b for b in open_ if b not in stuck]
         if not open_:
             return
         out = max(open_, key=lambda b: bins.free[b])
-        while bins.items[out] and _step(bins, out, tries):
-            pass
+        moved = False
+        while left > 0 and bins.items[out] and _step(bins, out, tries):
+            moved = True
+            left -= 1
+        if not bins.items[out]:
+            bins.drop(out)
+        if moved:
+            stuck.clear()  # other bins have changed: those that were stuck may not be
         if bins.items[out]:
             stuck.add(out)
-        else:
-            bins.drop(out)
 
 
 def _step(bins: Bins, out: int, tries: int) -> bool:
@@ -141,7 +147,7 @@ def _step(bins: Bins, out: int, tries: int) -> bool:
         free = (mask & -mask).bit_length() - 1
         mask &= mask - 1
         for b in bins.by_free[free]:
-            if b != out and free < room_out:
+            if b != out and free <= room_out and bins.items[b]:
                 others.append(b)
                 seen += 1
                 if seen >= tries:
