@@ -5,13 +5,15 @@ least ``num / den``.  Answers are not computed pair by pair:
 
 1. Equal sets are one class (128 hash bits and the size); only its smallest
    document goes on.
-2. Highly similar sets share a leader (found by shared minima, checked exactly):
-   a member's distance to its leader is kept.  Jaccard distance is a metric, so a
-   leader's answers give its members': with leaders at distance d and members
-   within r and s of them, no members link if d > limit + r + s, and all of them
-   meet in one component if d <= limit.  Only pairs of clusters in between are
-   compared member by member.
-3. Leaders' candidates come from an index of prefixes: of its shingles in one global
+2. Similar sets share a leader (found by shared minima, checked exactly): the one
+   with the fewest rare shingles among them, so that a group's centre leads it.  A
+   member's distance to its leader is kept.  Members of one leader need no
+   comparison.  A leader's members of like size and distance form a block.  Jaccard
+   distance is a metric, so the leaders' answers give the blocks': with leaders at
+   distance d and members within r and s of them, no members link if
+   d > limit + r + s, and all of them meet in one component if d <= limit.  Only
+   blocks in between are compared member by member.
+3. Candidate blocks come from an index of prefixes: of its shingles in one global
    order (frequent ones last, then by hash) a set keeps the first n - ceil(t n) + 1,
    since linked sets share one of those.  An index list is skipped by position: a
    pair stays only if sizes agree and the shared prefix shingles plus what may
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.llm.common import cut_lineage, text_blocks, utf8, whole_text
@@ -46,7 +48,7 @@ from dwellspark.llm.tokens import run_hashes, spread
 MOST_FREQUENT = 2_000_000
 SMALL = 1_000_000  # rows of (id, id) that may be broadcast: 16 MB
 GROUP = 256
-TIGHT = 0.15
+RARE = 8  # a shingle of fewer sets than this is rare
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -105,22 +107,54 @@ def _per_block(docs: DataFrame, columns: list[str], make, schema: str) -> DataFr
 
 
 def set_keys(texts: DataFrame, n: int) -> DataFrame:
-    """doc_id, id, n_shingles, two digest words and three minima of every text."""
+    """doc_id, id, n_shingles and two digest words of every text's set."""
     def make(part, data, doc_at):
         sets, at = shingle_sets(data, doc_at, n)
         size = np.diff(at)
         full = np.flatnonzero(size)
-        cols = [np.zeros(len(size), np.uint64) for _ in range(5)]
+        cols = [np.zeros(len(size), np.uint64) for _ in range(2)]
         if len(full):
-            from_ = at[:-1][full]
-            for c, v in zip(cols, (np.add.reduceat(spread(sets * ODD[1]), from_), np.add.reduceat(spread(sets ^ ODD[2]), from_),
-                                   sets[from_], np.minimum.reduceat(sets * ODD[3], from_), np.minimum.reduceat(sets * ODD[4], from_))):
-                c[full] = v
+            cols[0][full] = np.add.reduceat(spread(sets * ODD[1]), at[:-1][full])
+            cols[1][full] = np.add.reduceat(spread(sets ^ ODD[2]), at[:-1][full])
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("id"), pa.array(size.astype(np.int64)),
-                                          *(pa.array(c.view(np.int64)) for c in cols)],
-                                         ["doc_id", "id", "n_shingles", "d1", "d2", "m1", "m2", "m3"])
-    return _per_block(texts, ["doc_id", "id"], make, "doc_id bigint, id bigint, n_shingles bigint, d1 bigint, d2 bigint, "
-                                                     "m1 bigint, m2 bigint, m3 bigint")
+                                          *(pa.array(c.view(np.int64)) for c in cols)], ["doc_id", "id", "n_shingles", "d1", "d2"])
+    return _per_block(texts, ["doc_id", "id"], make, "doc_id bigint, id bigint, n_shingles bigint, d1 bigint, d2 bigint")
+
+
+class Order:
+    """The global order of shingles: frequent ones last, by frequency, then by hash."""
+
+    def __init__(self, spark: SparkSession, bits: int, numbers: np.ndarray, df: np.ndarray):
+        self.bits, self.shared = bits, spark.sparkContext.broadcast((numbers, df))
+
+    def rank(self, sets: np.ndarray) -> np.ndarray:
+        """The frequency of each shingle if it is among the frequent ones, else 0."""
+        numbers, df = self.shared.value
+        if not len(numbers):
+            return np.zeros(len(sets), dtype=np.int64)
+        top = sets >> np.uint64(64 - self.bits)
+        place = np.minimum(np.searchsorted(numbers, top), len(numbers) - 1)
+        return np.where(numbers[place] == top, df[place], 0)
+
+
+def group_keys(texts: DataFrame, order: Order, n: int) -> DataFrame:
+    """id, m1 and m2 (minima over frequent shingles, null without), m3 (minimum over all), rare shingles."""
+    def make(part, data, doc_at):
+        sets, at = shingle_sets(data, doc_at, n)
+        usual = order.rank(sets) > 0
+        full = np.flatnonzero(np.diff(at))
+        some = np.zeros(len(at) - 1, np.int64)
+        cols = [np.zeros(len(at) - 1, np.uint64) for _ in range(3)]
+        if len(full):
+            from_ = at[:-1][full]
+            most = np.uint64(0xFFFFFFFFFFFFFFFF)
+            some[full] = np.add.reduceat(usual.astype(np.int64), from_)
+            for c, v in zip(cols, (np.where(usual, sets * ODD[3], most), np.where(usual, sets * ODD[4], most), sets)):
+                c[full] = np.minimum.reduceat(v, from_)
+        none = some == 0
+        yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c.view(np.int64), mask=none) for c in cols[:2]),
+                                          pa.array(cols[2].view(np.int64)), pa.array(np.diff(at) - some)], ["id", "m1", "m2", "m3", "rare"])
+    return _per_block(texts, ["id"], make, "id bigint, m1 bigint, m2 bigint, m3 bigint, rare bigint")
 
 
 def identified(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
@@ -166,25 +200,31 @@ def similarity(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
     sets = _per_block(with_small(texts, needed, "id", "left_semi"), ["id"], make, "id bigint, set binary")
     rows = with_small(sets, goals, "id").select("to.a", "to.salt", "to.own", F.col("id").alias("b"), "set")
-
-    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        own = np.frombuffer(pdf.loc[pdf["own"], "set"].iloc[0], dtype=np.uint64)
-        rest = pdf[~pdf["own"]]
-        others = [np.frombuffer(s, dtype=np.uint64) for s in rest["set"]]
-        sizes = np.array([len(s) for s in others], dtype=np.int64)
-        every = np.concatenate(others) if others else np.zeros(0, np.uint64)
-        place = np.minimum(np.searchsorted(own, every), max(len(own) - 1, 0))
-        hit = (own[place] == every) if len(own) else np.zeros(len(every), bool)
-        total = np.concatenate(([0], np.cumsum(hit)))
-        to = np.concatenate(([0], np.cumsum(sizes)))
-        return pd.DataFrame({"a": int(key[0]), "b": rest["b"].to_numpy(), "common": total[to[1:]] - total[to[:-1]],
-                             "size_a": len(own), "size_b": sizes})
-
-    return rows.groupBy("a", "salt").applyInPandas(compare, "a bigint, b bigint, common bigint, size_a bigint, size_b bigint")
-
-
-def frequent(texts: DataFrame, total: int, n: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """(bits, numbers, frequencies): shingles by their first ``bits`` hash bits that many sets hold."""
+    buckets = max(1, -(-goals.count() // (4 * GROUP)))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("a", "salt"), F.lit(buckets)))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (a, _), part in pdf.groupby(["a", "salt"], sort=False).indices.items():
+            is_own = pdf["own"].to_numpy()[part]
+            own = np.frombuffer(pdf["set"].iat[part[is_own][0]], dtype=np.uint64)
+            rest = part[~is_own]
+            others = [np.frombuffer(pdf["set"].iat[i], dtype=np.uint64) for i in rest]
+            sizes = np.array([len(s) for s in others], dtype=np.int64)
+            every = np.concatenate(others) if others else np.zeros(0, np.uint64)
+            place = np.minimum(np.searchsorted(own, every), max(len(own) - 1, 0))
+            hit = (own[place] == every) if len(own) else np.zeros(len(every), bool)
+            total = np.concatenate(([0], np.cumsum(hit)))
+            to = np.concatenate(([0], np.cumsum(sizes)))
+            out.append((np.full(len(rest), a), pdf["b"].to_numpy()[rest], total[to[1:]] - total[to[:-1]], np.full(len(rest), len(own)), sizes))
+        cols = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
+        return pd.DataFrame(dict(zip(["a", "b", "common", "size_a", "size_b"], cols)))
+
+    return rows.groupBy("bucket").applyInPandas(compare, "a bigint, b bigint, common bigint, size_a bigint, size_b bigint")
+
+
+def frequent(texts: DataFrame, total: int, n: int) -> Order:
+    """The order by document frequency; shingles are counted by their first hash bits."""
     bucket_bits = max(3, int(total >> 20).bit_length())
     bits = bucket_bits + 24
 
@@ -200,34 +240,26 @@ def frequent(texts: DataFrame, total: int, n: int) -> tuple[int, np.ndarray, np.
     def count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         raw = np.frombuffer(b"".join(pdf["packed"]), dtype=np.uint8).reshape(-1, 3).astype(np.int64)
         df = np.bincount(raw[:, 0] | (raw[:, 1] << 8) | (raw[:, 2] << 16), minlength=1 << 24)
-        number = np.flatnonzero(df >= 8)
+        number = np.flatnonzero(df >= RARE)
         return pd.DataFrame({"number": (int(key[0]) << 24) + number, "df": df[number]})
 
     packed = _per_block(texts, ["id"], make, "bucket bigint, packed binary")
     counted = cut_lineage(packed.groupBy("bucket").applyInPandas(count, "number bigint, df bigint"))
-    least, step = 8, counted
+    least, step = RARE, counted
     while step.count() > MOST_FREQUENT:
         least *= 2
         step = counted.where(F.col("df") >= least)
     rows = step.toPandas().sort_values("number")  # MOST_FREQUENT rows at most
-    return bits, rows["number"].to_numpy(np.uint64), rows["df"].to_numpy(np.int64)
+    return Order(texts.sparkSession, bits, rows["number"].to_numpy(np.uint64), rows["df"].to_numpy(np.int64))
 
 
-def prefix_index(sets_of: DataFrame, order: tuple[int, np.ndarray, np.ndarray], n: int, num: int, den: int) -> DataFrame:
+def prefix_index(sets_of: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
     """(t, owner): the prefix shingles of every set, under its ``owner``."""
-    bits, numbers, df = order
-    shared = sets_of.sparkSession.sparkContext.broadcast((numbers, df))
-
     def make(part, data, doc_at):
-        numbers, df = shared.value
         sets, at = shingle_sets(data, doc_at, n)
         size = np.diff(at)
         doc = np.repeat(np.arange(len(size)), size)
-        rank = np.zeros(len(sets), dtype=np.int64)
-        if len(numbers):
-            top = sets >> np.uint64(64 - bits)
-            place = np.minimum(np.searchsorted(numbers, top), len(numbers) - 1)
-            rank = np.where(numbers[place] == top, df[place], 0)
+        rank = order.rank(sets)
         if rank.any():
             by = np.lexsort((rank, doc))  # stable: equal ranks stay in hash order
             sets = sets[by]
@@ -244,21 +276,65 @@ def prefix_index(sets_of: DataFrame, order: tuple[int, np.ndarray, np.ndarray],
     return _per_block(sets_of, ["owner"], make, "t bigint, owner bigint")
 
 
+def overlap_needed(x: Column, y: Column, num: int, den: int) -> Column:
+    """The least intersection of linked sets of sizes x and y."""
+    return F.ceil((x + y) * F.lit(num) / F.lit(num + den) - F.lit(1e-9))
+
+
+def after_prefix(size: Column, num: int, den: int) -> Column:
+    return F.ceil(size * num / den - F.lit(1e-9)) - 1
+
+
 def candidates(index: DataFrame, bounds: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) of owners whose sets may link, a < b.
+    """(a, b) of blocks of different leaders whose sets may link, with both leaders.
 
-    ``bounds``: owner, least and most set size, and the most shingles after a prefix.
+    ``bounds``: owner, leader, least and most set size (low, high).
     """
     index = index.repartition("t").groupBy("t", "owner").agg(F.lit(1).alias("one")).select("t", "owner")
     left, right = index.alias("l"), index.alias("r")
     shared = (left.join(right, F.col("l.t") == F.col("r.t")).where(F.col("l.owner") < F.col("r.owner"))
               .groupBy(F.col("l.owner").alias("a"), F.col("r.owner").alias("b")).agg(F.count("*").alias("shared")))
-    x = bounds.select(F.col("owner").alias("a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"), F.col("rest").alias("rest_a"))
-    y = bounds.select(F.col("owner").alias("b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("rest").alias("rest_b"))
-    both = shared.join(x, "a").join(y, "b")
+    x = bounds.select(F.col("owner").alias("a"), F.col("leader").alias("la"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
+    y = bounds.select(F.col("owner").alias("b"), F.col("leader").alias("lb"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
     size = (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
-    need = F.ceil((F.col("low_a") + F.col("low_b")) * F.lit(num) / F.lit(num + den) - F.lit(1e-9))
-    return both.where(size & (F.col("shared") + F.greatest("rest_a", "rest_b") >= need)).select("a", "b")
+    rest = after_prefix(F.greatest("high_a", "high_b"), num, den)
+    return (shared.join(x, "a").join(y, "b").where(size & (F.col("la") != F.col("lb")))
+            .where(F.col("shared") + rest >= overlap_needed(F.col("low_a"), F.col("low_b"), num, den)).select("a", "b", "la", "lb"))
+
+
+def choose_leaders(sets: DataFrame, texts_of: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(id, leader, apart, common, size_a, size_b) of the sets that have a leader within the limit.
+
+    ``sets``: class_id, n_shingles, rare and the minima m1 to m3.  In a group of one
+    minimum the set with the fewest rare shingles leads.
+    """
+    assigned = None
+    for m in ("m1", "m2", "m3"):
+        free = sets.where(F.col(m).isNotNull())
+        if assigned is not None:
+            free = free.join(assigned.select(F.col("id").alias("class_id")), "class_id", "left_anti")
+        lead = F.min(F.struct("rare", F.col("class_id").alias("leader"), F.col("n_shingles").alias("n_l")))
+        low = free.groupBy(m).agg(lead.alias("l"), F.count("*").alias("k")).where("k > 1").select(
+            m, "l.leader", "l.n_l", F.col("l.rare").alias("rare_l"))
+        pairs = free.join(low, m).where("class_id <> leader")
+        if assigned is not None:  # a leader stays one
+            pairs = pairs.join(assigned.select(F.col("leader").alias("class_id")).distinct(), "class_id", "left_anti")
+        # frequent shingles can only be shared with frequent ones, rare with rare
+        most = (F.least(F.col("n_shingles") - F.col("rare"), F.col("n_l") - F.col("rare_l")) + F.least("rare", "rare_l"))
+        pairs = pairs.where(most >= overlap_needed(F.col("n_shingles"), F.col("n_l"), num, den))
+        near = similarity(pairs.select(F.col("leader").alias("a"), F.col("class_id").alias("b")), texts_of, n)
+        got = cut_lineage(near.where(linked(num, den)).select(
+            F.col("b").alias("id"), F.col("a").alias("leader"), distance().alias("apart"), "common", "size_a", "size_b"))
+        assigned = got if assigned is None else cut_lineage(assigned.unionByName(got))
+    return assigned
+
+
+def distance() -> Column:
+    return 1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
+
+
+def linked(num: int, den: int) -> Column:
+    return F.col("common") * den >= (F.col("size_a") + F.col("size_b") - F.col("common")) * num
 
 
 def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -271,67 +347,51 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
     """
     limit = 1 - num / den
     texts, keys = identified(docs, shingle)
-    texts_of = texts.select("id", "text")
     same = ["n_shingles", "d1", "d2"]
     full = keys.where("n_shingles > 0")
-    classes = cut_lineage(full.groupBy(*same).agg(*[F.min(c).alias(c) for c in ("id", "m1", "m2", "m3")])
-                          .withColumnRenamed("id", "class_id"))
-
-    # leaders: of the sets that share a minimum, the smallest id
-    free = classes.select("class_id", "n_shingles", "m1", "m2", "m3")
-    assigned = None
-    for m in ("m1", "m2", "m3"):
-        if assigned is not None:
-            led = assigned.select("id")
-            free_now = free.join(led, free.class_id == led.id, "left_anti")
-        else:
-            free_now = free
-        leaders = assigned.select("leader").distinct() if assigned is not None else None
-        low = free_now.groupBy(m).agg(F.min("class_id").alias("leader"), F.count("*").alias("k")).where("k > 1").drop("k")
-        pairs = free_now.join(low, m).where("class_id <> leader").select(F.col("leader").alias("a"), F.col("class_id").alias("b"))
-        if leaders is not None:  # a leader stays one
-            pairs = pairs.join(leaders, pairs.b == leaders.leader, "left_anti")
-        near = similarity(pairs, texts_of, shingle)
-        apart = 1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
-        got = cut_lineage(near.withColumn("apart", apart).where(F.col("apart") <= min(TIGHT, limit))
-                          .select(F.col("b").alias("id"), F.col("a").alias("leader"), "apart", "common", "size_a", "size_b"))
-        assigned = got if assigned is None else assigned.unionByName(got)
-    assigned = cut_lineage(assigned)
-
-    owners = cut_lineage(classes.select("class_id", "n_shingles").join(assigned.select(F.col("id").alias("class_id"), "leader", "apart"), "class_id", "left")
-                         .select("class_id", "n_shingles", F.coalesce("leader", "class_id").alias("owner"), F.coalesce("apart", F.lit(0.0)).alias("apart")))
-    total = owners.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    classes = cut_lineage(full.groupBy(*same).agg(F.min("id").alias("class_id")))
+    texts_of = with_small(texts.select("id", "text"), classes.select(F.col("class_id").alias("id")), "id", "left_semi")
+    total = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    order = frequent(texts_of, total, shingle)
+    sets = cut_lineage(group_keys(texts_of, order, shingle).withColumnRenamed("id", "class_id").dropDuplicates(["class_id"])
+                       .join(classes.select("class_id", "n_shingles"), "class_id"))
+    assigned = choose_leaders(sets, texts_of, shingle, num, den)
+
+    # blocks: a leader's members of like size and distance
+    owners = sets.select("class_id", "n_shingles").join(assigned.select(F.col("id").alias("class_id"), "leader", "apart"), "class_id", "left")
+    owners = owners.select("class_id", "n_shingles", F.coalesce("leader", "class_id").alias("leader"), F.coalesce("apart", F.lit(0.0)).alias("apart"))
+    like = ["leader", F.floor(F.log("n_shingles") / F.log(F.lit(1.05))).alias("size_like"), F.ceil(F.col("apart") * 20).alias("apart_like")]
+    owners = cut_lineage(owners.select("class_id", "n_shingles", "apart", *like))
+    like = ["leader", "size_like", "apart_like"]
+    bounds = cut_lineage(owners.groupBy(*like).agg(F.min("class_id").alias("owner"), F.min("n_shingles").alias("low"),
+                                                   F.max("n_shingles").alias("high"), F.max("apart").alias("radius")))
+    owners = cut_lineage(owners.join(bounds.select(*like, "owner"), like).select("class_id", "n_shingles", "leader", "apart", "owner"))
     mapped = with_small(texts_of, owners.select(F.col("class_id").alias("id"), "owner"), "id")
-    order = frequent(mapped.select("id", "text"), total, shingle)
-    rest = F.ceil(F.col("n_shingles") * num / den) - 1
-    bounds = cut_lineage(owners.groupBy("owner").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"),
-                                                     F.max(rest).alias("rest"), F.max("apart").alias("radius")))
-    maybe = candidates(prefix_index(mapped, order, shingle, num, den), bounds.drop("radius"), num, den)
-    judged = cut_lineage(similarity(maybe, texts_of, shingle))
-    linked = F.col("common") * den >= (F.col("size_a") + F.col("size_b") - F.col("common")) * num
-    links = (judged.where(linked).select("a", "b", "common", "size_a", "size_b")
-             .unionByName(assigned.select(F.col("leader").alias("a"), F.col("id").alias("b"), "common", "size_a", "size_b")))
-    links = cut_lineage(links)
-
-    # clusters that the leaders' distance neither joins nor parts, and that nothing else joins
+    maybe = cut_lineage(candidates(prefix_index(mapped, order, shingle, num, den), bounds, num, den))
+    heads = maybe.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
+    judged = cut_lineage(similarity(heads, texts_of, shingle))
+    link = ["a", "b", "common", "size_a", "size_b"]
+    links = cut_lineage(judged.where(linked(num, den)).select(*link).unionByName(
+        assigned.select(F.col("leader").alias("a"), F.col("id").alias("b"), "common", "size_a", "size_b")))
+    of = components(links.select("a", "b"))
+
+    # blocks that the leaders' distance neither joins nor parts, and that nothing else joins
+    apart = judged.where(~linked(num, den)).select(F.col("a").alias("l1"), F.col("b").alias("l2"), distance().alias("heads_apart"))
     radius = bounds.select("owner", "radius")
-    apart = 1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
-    open_ = (judged.where(~linked).withColumn("apart", apart)
+    open_ = (maybe.join(apart, (F.least("la", "lb") == F.col("l1")) & (F.greatest("la", "lb") == F.col("l2")))
              .join(radius.select(F.col("owner").alias("a"), F.col("radius").alias("ra")), "a")
              .join(radius.select(F.col("owner").alias("b"), F.col("radius").alias("rb")), "b")
-             .where("ra + rb > 0").where(F.col("apart") <= F.col("ra") + F.col("rb") + limit + 1e-9))
-    open_ = cut_lineage(open_.select("a", "b", F.col("apart").alias("leaders_apart")))
+             .where("ra + rb > 0").where(F.col("heads_apart") <= F.col("ra") + F.col("rb") + limit + 1e-9)
+             .join(of.select(F.col("id").alias("la"), F.col("component").alias("ca")), "la", "left")
+             .join(of.select(F.col("id").alias("lb"), F.col("component").alias("cb")), "lb", "left")
+             .where(F.coalesce("ca", "la") != F.coalesce("cb", "lb")).select("a", "b", "heads_apart"))
+    open_ = cut_lineage(open_)
     if not open_.isEmpty():
+        links = cut_lineage(links.unionByName(_member_links(open_, owners, mapped, texts_of, order, shingle, num, den)))
         of = components(links.select("a", "b"))
-        ca = of.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        cb = of.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        apart_ = open_.join(ca, "a", "left").join(cb, "b", "left").where(
-            F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "leaders_apart")
-        links = links.unionByName(_member_links(cut_lineage(apart_), owners, mapped, texts_of, order, shingle, num, den))
-        links = cut_lineage(links)
-
-    of = components(links.select("a", "b")).withColumnRenamed("id", "class_id")
-    members = classes.select(*same, "class_id").join(owners.select("class_id", F.col("owner").alias("leader_id")), "class_id").join(of, "class_id", "left")
+
+    of = of.withColumnRenamed("id", "class_id")
+    members = (classes.join(owners.select("class_id", F.col("leader").alias("leader_id")), "class_id").join(of, "class_id", "left"))
     members = full.select("doc_id", *same).join(members, same).withColumn("component", F.coalesce("component", "class_id"))
     names = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     members = members.join(names, "component").select("doc_id", "n_shingles", "class_id", "leader_id", "component_id")
@@ -340,24 +400,38 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
     return members.unionByName(empty), links
 
 
-def _member_links(open_: DataFrame, owners: DataFrame, mapped: DataFrame, texts_of: DataFrame,
-                  order: tuple, n: int, num: int, den: int) -> DataFrame:
-    """Links between members of the cluster pairs ``open_`` (a, b, leaders_apart)."""
+def _member_links(open_: DataFrame, owners: DataFrame, mapped: DataFrame, texts_of: DataFrame, order: Order,
+                  n: int, num: int, den: int) -> DataFrame:
+    """Links between members of the block pairs ``open_`` (a, b, heads_apart).
+
+    A member meets the other block first, by its count of shingles in the block's
+    prefixes; only members that pass on both sides are paired.
+    """
     limit = 1 - num / den
-    of = owners.select(F.col("class_id").alias("id"), "owner", "apart", "n_shingles")
-    involved = cut_lineage(open_.select(F.col("a").alias("owner")).unionByName(open_.select(F.col("b").alias("owner"))).distinct())
-    some = cut_lineage(of.join(involved, "owner", "left_semi"))
-    index = prefix_index(with_small(mapped, some.select("id"), "id", "left_semi").select(F.col("id").alias("owner"), "text"), order, n, num, den)
-    index = index.join(some.select(F.col("id").alias("owner"), F.col("owner").alias("cluster"), "apart", "n_shingles"), "owner")
-    x = index.select("t", F.col("owner").alias("x"), F.col("cluster").alias("a"), F.col("apart").alias("px"), F.col("n_shingles").alias("nx"))
-    y = index.select("t", F.col("owner").alias("y"), F.col("cluster").alias("b"), F.col("apart").alias("py"), F.col("n_shingles").alias("ny"))
-    pairs = (x.join(open_, "a").join(y, ["t", "b"])
-             .where((F.col("leaders_apart") <= F.col("px") + F.col("py") + limit + 1e-9)
+    both = open_.unionByName(open_.select(F.col("b").alias("a"), F.col("a").alias("b"), "heads_apart"))
+    some = cut_lineage(owners.select(F.col("class_id").alias("id"), "owner", "apart", "n_shingles").join(
+        both.select(F.col("a").alias("owner")).distinct(), "owner", "left_semi"))
+    texts = with_small(mapped, some.select("id"), "id", "left_semi").select(F.col("id").alias("owner"), "text")
+    index = prefix_index(texts, order, n, num, den).withColumnRenamed("owner", "id").join(some, "id")
+    index = cut_lineage(index.select("t", "id", "owner"))
+    of_block = index.select("t", F.col("owner").alias("b")).distinct()
+    sizes = some.groupBy(F.col("owner").alias("b")).agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("apart").alias("far"))
+    met = (index.withColumnRenamed("owner", "a").join(both, "a").join(of_block, ["t", "b"])
+           .groupBy("id", "a", "b").agg(F.count("*").alias("shared"), F.first("heads_apart").alias("heads_apart"))
+           .join(some.select("id", "apart", "n_shingles"), "id").join(sizes, "b"))
+    rest = after_prefix(F.greatest("n_shingles", "high"), num, den)
+    met = cut_lineage(met.where((F.col("shared") + rest >= overlap_needed(F.col("n_shingles"), F.col("low"), num, den))
+                                & (F.col("heads_apart") <= F.col("apart") + F.col("far") + limit + 1e-9))
+                      .select("id", "a", "b", "heads_apart", "apart", "n_shingles"))
+    x = met.where("a < b").join(index.select("t", "id"), "id").select(
+        "t", "a", "b", "heads_apart", F.col("id").alias("x"), F.col("apart").alias("px"), F.col("n_shingles").alias("nx"))
+    y = met.where("a > b").join(index.select("t", "id"), "id").select(
+        "t", F.col("b").alias("a"), F.col("a").alias("b"), F.col("id").alias("y"), F.col("apart").alias("py"), F.col("n_shingles").alias("ny"))
+    pairs = (x.join(y, ["t", "a", "b"])
+             .where((F.col("heads_apart") <= F.col("px") + F.col("py") + limit + 1e-9)
                     & (F.col("nx") * den >= F.col("ny") * num) & (F.col("ny") * den >= F.col("nx") * num))
              .groupBy("x", "y").agg(F.count("*").alias("shared"), F.first("nx").alias("nx"), F.first("ny").alias("ny")))
-    need = F.ceil((F.col("nx") + F.col("ny")) * F.lit(num) / F.lit(num + den) - F.lit(1e-9))
-    rest = F.greatest(F.ceil(F.col("nx") * num / den), F.ceil(F.col("ny") * num / den)) - 1
-    pairs = pairs.where(F.col("shared") + rest >= need).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    judged = similarity(pairs, texts_of, n)
-    return judged.where(F.col("common") * den >= (F.col("size_a") + F.col("size_b") - F.col("common")) * num).select(
-        "a", "b", "common", "size_a", "size_b")
+    rest = after_prefix(F.greatest("nx", "ny"), num, den)
+    pairs = pairs.where(F.col("shared") + rest >= overlap_needed(F.col("nx"), F.col("ny"), num, den))
+    judged = similarity(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), texts_of, n)
+    return judged.where(linked(num, den)).select("a", "b", "common", "size_a", "size_b")

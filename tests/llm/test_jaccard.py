@@ -68,9 +68,21 @@ def test_components_equal_brute_force(spark, seed):
     assert all(100 * r["common"] >= 75 * (r["size_a"] + r["size_b"] - r["common"]) for r in links.collect())
 
 
-def test_wide_clusters_are_compared_member_by_member(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "TIGHT", 0.25)
-    rows = corpus(3)
+def test_blocks_are_compared_member_by_member(spark):
+    """Two groups whose leaders do not link, but some of their members do."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(140)]
+    rows = []
+    for i in range(40):
+        near, far = list(base), list(base)
+        near[0], far[0] = f"n{i}", f"f{i}"
+        k = rng.randrange(0, 5)
+        for j in range(k):
+            near[20 + 9 * j] = "x"
+            far[20 + 9 * j] = "x"
+        for j in range(k, 5):
+            far[20 + 9 * j] = f"y{j}"
+        rows += [(2 * i, " ".join(near)), (2 * i + 1, " ".join(far))]
     members, _ = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()), key=str) == brute(rows)
 
