@@ -128,13 +128,14 @@ def read_blocks(page: str) -> list[tuple[str, bool, int, list[Node]]]:
             continue
         if tag == "body":  # ends a head that was left open
             del stack[1:]
-        if tag not in INLINE:  # a new block ends a paragraph, and what was left open in it
+        if tag not in INLINE:  # a new block ends a paragraph, and its like: an item the item before it
+            ends, cut = CLOSES.get(tag, ()), len(stack)
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p" or stack[k].tag in CLOSES.get(tag, ()):
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPE:
+                if stack[k].tag == "p" or stack[k].tag in ends:
+                    cut = k
+                elif stack[k].tag in SCOPE:
                     break
+            del stack[cut:]
         n += 1
         stack.append(Node(tag, stack[-1], m[4], n))
     put(page[at:])

@@ -48,8 +48,10 @@ def line_features(text: str) -> tuple[list[tuple], list[str]]:
     """Features and text (without its marker) of every line."""
     lines = text.split("\n")
     names = Counter(m[1] for m in map(NAME.match, lines) if m and m[1].lower() not in ROLE_OF)
-    head = text.lstrip()  # where the first line has a marker, a name that stands once is one too
-    least = 1 if NAME.match(head) or MARKER.match(head) else 2
+    # a name that stands once counts where names open the transcript and no speaker has a known marker
+    known = {ROLE_OF[next(g for g in m.groups() if g).lower()] for m in map(MARKER.match, lines) if m}
+    head = text.lstrip()
+    least = 1 if not known - {"system"} and (NAME.match(head) or MARKER.match(head)) else 2
     order = {n: k for k, n in enumerate(n for n, c in names.items() if c >= least)}
     features, rest = [], []
     gap = True
