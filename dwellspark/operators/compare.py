@@ -6,7 +6,8 @@ computing two aggregates and full-outer-joining them on (user, window), each
 record is tagged late / on time once and a single aggregate produces both
 sides as conditional sums — one shuffle, no join.  A window whose events
 were all late has no stream row: ``stream_event_count = 0`` and null stream
-rates.
+rates.  The reason follows from the values: equal rates match, whatever was
+late; differing ones come from late events, or else from the case rule.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from dwellspark.spec import FeatureSpec, interval_seconds
 REASON_MATCH = "match"
 REASON_LATE = "late_events_excluded"
 REASON_ALL_LATE = "all_events_late"
+REASON_CASE = "case_rule"
 
 
 def divergence_report(events_with_arrival: DataFrame, stream_spec: FeatureSpec,
@@ -49,8 +51,9 @@ def divergence_report(events_with_arrival: DataFrame, stream_spec: FeatureSpec,
     b_dwell = F.col("batch_dwell") / F.col("batch_event_count")
     s_dwell = F.when(has_stream, F.col("stream_dwell") / F.col("stream_event_count"))
     reason = (F.when(~has_stream, F.lit(REASON_ALL_LATE))
+               .when((b_rate == s_rate) & (b_dwell == s_dwell), F.lit(REASON_MATCH))
                .when(F.col("late_count") > 0, F.lit(REASON_LATE))
-               .otherwise(F.lit(REASON_MATCH)))
+               .otherwise(F.lit(REASON_CASE)))
     return agg.select(
         "user_id", "window_start", "window_end",
         b_rate.alias("batch_click_rate"), s_rate.alias("stream_click_rate"),

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
-
 # A side is broadcast only when its row count was checked against this bound
 # (metadata rows are ~100 bytes: about 100 MB per executor at the bound);
 # beyond it the join shuffles on the key (AQE splits skewed partitions).
@@ -36,39 +34,23 @@ def latest_metadata(metadata: DataFrame, order_col: str = "seq") -> DataFrame:
                          ["category", "creator_id"])
 
 
-def checked_broadcast(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      freeze: bool = True) -> DataFrame:
+def checked_broadcast(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``side`` only if its row count is within ``max_rows``.
 
-    ``freeze=True`` persists ``side`` (memory, spilling to disk) so the
-    count and the join read one computed result instead of computing it
-    twice; lost blocks are recomputed from lineage.  Streaming joins pass
-    ``freeze=False`` to keep re-reading the live reference table each
-    micro-batch.
+    Nothing is persisted: a cached frame would go on answering for its path
+    after the files below it have changed.
     """
-    if freeze:
-        side = side.persist(StorageLevel.MEMORY_AND_DISK)
-    n = side.count()
-    return F.broadcast(side) if n <= max_rows else side
-
-
-def broadcastable(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Persist ``side``, count it, and say whether it may be broadcast."""
-    side = side.persist(StorageLevel.MEMORY_AND_DISK)
-    return side, side.count() <= max_rows
+    return F.broadcast(side) if side.count() <= max_rows else side
 
 
-def enrich_events(events: DataFrame, latest_meta: DataFrame, how: str = "left",
-                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich_events(events: DataFrame, latest_meta: DataFrame, how: str = "left") -> DataFrame:
     """Attach category and creator_id by content_id.
 
     ``how='left'`` forwards unmatched events unenriched (category null);
-    ``'inner'`` is the effective join feeding streaming affinity.
-    ``broadcast_max_rows=None`` skips the size check and leaves the choice to
-    the planner (used for stream-static joins, where the check happens once
-    at query start).
+    ``'inner'`` is the effective join feeding streaming affinity.  The planner
+    chooses the join by the metadata's measured bytes: broadcast when small
+    (adaptive execution sees the size after the latest-version aggregate),
+    else a shuffle join with skewed partitions split.
     """
     meta = latest_meta.select("content_id", "category", "creator_id")
-    if broadcast_max_rows is not None:
-        meta = checked_broadcast(meta, broadcast_max_rows)
     return events.join(meta, on="content_id", how=how)

@@ -203,7 +203,7 @@ def all_feature_rows_one_pass(enriched: DataFrame, spec: FeatureSpec) -> DataFra
     is_view = type_match(F.col("event_type"), spec.view_types, spec.case_sensitive)
     is_eng = type_match(F.col("event_type"), spec.engagement_types, spec.case_sensitive)
     # per-event values computed once; the generator below only references them
-    base = enriched.select(
+    base = enriched.where(F.col("ts").isNotNull()).select(  # window() leaves null times out, so does this
         "user_id", "content_id", "category",
         _start(ts_us, user_s).alias("u_start"), _start(ts_us, aff_s).alias("a_start"),
         _start(ts_us, c_slide).alias("c_start"),

@@ -34,12 +34,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import packed_order
 from dwellspark.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from dwellspark.session import cut_lineage
 
 _BLOCK = 4096
 _US = 1_000_000
@@ -56,8 +56,8 @@ class Geometry:
 
 
 def _floor_div(x, d: int):
-    """Exact floor(x / d) for BIGINT x and positive constant d."""
-    return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("bigint")
+    """Exact floor(x / d) for BIGINT x and positive constant d (integer division)."""
+    return F.call_function("div", x - F.pmod(x, F.lit(d)), F.lit(d))
 
 
 def _ts_us(col: str = "ts"):
@@ -83,27 +83,23 @@ def _suffix_min(keys: DataFrame) -> DataFrame:
 
     Two levels: inside blocks of _BLOCK consecutive keys a window running
     min (and the block's own min, same partitioning); across blocks an
-    exclusive suffix min over one row per block, broadcast back.  The
-    window output is persisted so the key table is computed once for both
-    levels; the result is persisted (the caller checks its size and joins).
+    exclusive suffix min over one row per block, broadcast back.  The key
+    table (bounded by time span / slide) is checkpointed, so the events are
+    scanned once for both levels, and so is the result, which the caller
+    counts and joins; nothing is cached by path.
     """
-    blk = keys.withColumn("blk", _floor_div(F.col("k"), _BLOCK))
+    blk = cut_lineage(keys).withColumn("blk", _floor_div(F.col("k"), _BLOCK))
     part = Window.partitionBy("geom", "blk")
     w_in = part.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = (blk.withColumn("sm_in", F.min("first").over(w_in))
-             .withColumn("blk_first", F.min("first").over(part))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+             .withColumn("blk_first", F.min("first").over(part)))
     per_blk = inner.groupBy("geom", "blk").agg(F.min("blk_first").alias("blk_first"))
     w_out = (Window.partitionBy("geom").orderBy(F.col("blk").desc())
              .rowsBetween(Window.unboundedPreceding, -1))
     # one row per block: bounded by time span / (slide * _BLOCK)
     outer = per_blk.withColumn("sm_out", F.min("blk_first").over(w_out)).select("geom", "blk", "sm_out")
-    sm = (inner.join(F.broadcast(outer), ["geom", "blk"], "left")
-          .select("geom", "k", F.least(F.col("sm_in"), F.col("sm_out")).alias("sm"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    sm.count()          # materialise, then the intermediate can go
-    inner.unpersist()
-    return sm
+    return cut_lineage(inner.join(F.broadcast(outer), ["geom", "blk"], "left")
+                       .select("geom", "k", F.least(F.col("sm_in"), F.col("sm_out")).alias("sm")))
 
 
 def grid_index(ts_col, g: Geometry):
@@ -116,7 +112,7 @@ def threshold_table(events: DataFrame, geoms: list[Geometry]) -> DataFrame:
 
     ``sm`` is also when a window starting at ``k*L`` is closed (the arrival
     of the record that advances the watermark past its end).  Bounded by
-    time span / slide; persisted because the size check and the joins read
+    time span / slide; checkpointed because the size check and the joins read
     it several times.
     """
     arrival = arrival_key()
@@ -162,7 +158,7 @@ def classify(events: DataFrame, geoms: list[Geometry], broadcast_max_rows: int =
     per_geom = per_geom.select(
         "*", F.col("gm.geom").alias("geom"), F.col("gm.k").alias("k")).drop("gm")
     last_start_us = F.col("k") * slide_by_geom[F.col("geom")] * F.lit(_US)
-    out = (per_geom.join(checked_broadcast(sm, broadcast_max_rows, freeze=False), ["geom", "k"], "left")
+    out = (per_geom.join(checked_broadcast(sm, broadcast_max_rows), ["geom", "k"], "left")
            .withColumn("is_late", F.coalesce(F.col("sm") < arrival, F.lit(False)))
            .withColumn("window_start", F.timestamp_micros(last_start_us).cast(events.schema["ts"].dataType))
            .withColumn("window_end", F.timestamp_micros(

@@ -44,7 +44,7 @@ def metric_rows(events_with_arrival: DataFrame, user_windows: DataFrame, spec: F
     wins = user_windows.select(
         "user_id", "window_end",
         late.grid_index(F.col("window_start"), geom).alias("k"), F.lit(geom.name).alias("geom"))
-    fired = wins.join(checked_broadcast(sm, freeze=False), ["geom", "k"], "inner").where(F.col("sm").isNotNull())
+    fired = wins.join(checked_broadcast(sm), ["geom", "k"], "inner").where(F.col("sm").isNotNull())
     feat_idx = F.explode(F.array(F.lit(1), F.lit(2)))  # one heartbeat per feature row
     beats = fired.select(
         F.col("sm").alias("o_key"),

@@ -19,10 +19,10 @@ EV = """ev AS (
 META = """meta_v AS (
   SELECT CAST(p_partkey AS VARCHAR) AS content_id, p_type AS category,
          p_brand AS creator_id, CAST(1 AS BIGINT) AS seq
-  FROM part WHERE p_partkey % 10 <> 0
+  FROM part
   UNION ALL
   SELECT CAST(p_partkey AS VARCHAR), lower(p_type), p_brand, CAST(2 AS BIGINT)
-  FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 7 = 0),
+  FROM part WHERE p_partkey % 7 = 0),
 meta AS (
   SELECT content_id, arg_max(category, seq) AS category,
          arg_max(creator_id, seq) AS creator_id, max(seq) AS seq
@@ -277,8 +277,9 @@ SELECT j.user_id, j.window_start, j.window_start + INTERVAL 1 HOUR AS window_end
        bn AS batch_event_count, COALESCE(sn, 0) AS stream_event_count,
        CAST(COALESCE(l.late_count, 0) AS BIGINT) AS late_count,
        CASE WHEN sn IS NULL THEN 'all_events_late'
-            WHEN COALESCE(l.late_count, 0) > 0 THEN 'late_events_excluded'
-            ELSE 'match' END AS reason
+            WHEN bcr = scr AND bdw = sdw THEN 'match'
+            WHEN bn > sn THEN 'late_events_excluded'
+            ELSE 'case_rule' END AS reason
 FROM j LEFT JOIN l ON j.user_id = l.user_id AND j.window_start = l.window_start"""
 
 METRIC_ROWS = f"""{EV}, {ARRIVALS},

@@ -107,21 +107,14 @@ def q10_late_counts_by_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_features(spark: SparkSession, sf_dir: str, entity_id: str | None = None) -> DataFrame:
-    """All feature rows.  With broadcastable metadata: one scan, one aggregate;
-    otherwise the affinity family gets its own shuffle join and aggregate.
-    ``entity_id`` restricts the work to the events that can feed that entity."""
-    events = _events(spark, sf_dir)
-    meta, small = enrich.broadcastable(
-        _latest_meta(spark, sf_dir).select("content_id", "category", "creator_id"))
-    if small:
-        enriched = events.join(F.broadcast(meta), "content_id", "left")
-        if entity_id is not None:
-            return features.drop_wire_extras(features.feature_rows_for_entity(enriched, entity_id, SPEC))
-        rows = features.all_feature_rows_one_pass(enriched, SPEC)
-    else:
-        enriched = enrich.enrich_events(events, meta, how="inner", broadcast_max_rows=None)
-        rows = features.all_feature_rows(events, enriched, SPEC)
-    return features.drop_wire_extras(rows)
+    """All feature rows: one scan, one aggregate, whatever the metadata's size
+    (the planner broadcasts it or shuffles).  ``entity_id`` restricts the work
+    to the events that can feed that entity."""
+    meta = _latest_meta(spark, sf_dir).select("content_id", "category", "creator_id")
+    enriched = _events(spark, sf_dir).join(meta, "content_id", "left")
+    if entity_id is not None:
+        return features.drop_wire_extras(features.feature_rows_for_entity(enriched, entity_id, SPEC))
+    return features.drop_wire_extras(features.all_feature_rows_one_pass(enriched, SPEC))
 
 
 def q20_all_features_union(spark: SparkSession, sf_dir: str) -> DataFrame:

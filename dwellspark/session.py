@@ -25,6 +25,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # A late row must be dropped in the very micro-batch whose watermark
     # closes its window (reference parity); see streaming/job.py.
     "spark.sql.streaming.statefulOperator.allowMultiple": "false",
@@ -52,20 +54,24 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Set the semantic SQL confs on an existing session (e.g. the driver's)."""
     for k in ("spark.sql.session.timeZone",
               "spark.sql.streaming.statefulOperator.allowMultiple"):
-        try:
+        if spark.conf.get(k, None) != BASE_CONF[k]:
             spark.conf.set(k, BASE_CONF[k])
-        except Exception:  # pragma: no cover - conf may be locked
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Where none is configured a local one is made, on a local master only: on a
+    cluster the executors could not see it.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="dwellspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -78,13 +84,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so local tests can use os.path helpers."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of ours (replay input, superseded versions)."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
