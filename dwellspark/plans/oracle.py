@@ -342,3 +342,65 @@ SELECT s.user_id, s.content_id, s.event_type, s.ts,
        date_trunc('hour', s.ts) + INTERVAL 1 HOUR AS window_end
 FROM sliced s JOIN wm ON s.f = wm.f
 WHERE date_trunc('hour', s.ts) + INTERVAL 1 HOUR <= wm.prev_max - INTERVAL 30 SECOND"""
+
+SLICED = f"""{EV},
+arr AS (SELECT *, CASE WHEN event_id % 20 = 0 THEN ts + INTERVAL 3 HOUR ELSE ts END AS arrival_ts FROM ev),
+bounds AS (SELECT min(epoch_us(arrival_ts)) AS lo,
+                  max(epoch_us(arrival_ts)) - min(epoch_us(arrival_ts)) + 1 AS span FROM arr),
+cuts AS (SELECT i, lo + CAST(ceil(i * span / 8.0) AS BIGINT) AS c
+         FROM bounds, (SELECT unnest(range(0, 9)) AS i)),
+sliced AS (SELECT a.*, (SELECT max(i) FROM cuts WHERE c <= epoch_us(a.arrival_ts)) AS f FROM arr a),
+per_file AS (SELECT f, max(ts) AS mx FROM sliced GROUP BY f),
+wm AS (SELECT f, max(mx) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+       FROM per_file),
+seen AS (SELECT s.*, wm.prev_max - INTERVAL 30 SECOND AS mark FROM sliced s JOIN wm ON s.f = wm.f),
+done AS (SELECT max(ts) - INTERVAL 30 SECOND AS mark FROM ev)"""
+
+SQL["q24_user_features_out_of_order"] = f"""
+WITH {SLICED},
+kept AS (SELECT *, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end FROM seen
+         WHERE mark IS NULL OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark)
+SELECT user_id, window_end - INTERVAL 1 HOUR AS window_start, window_end,
+       CAST(SUM(CASE WHEN lower(event_type) = 'click' THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS click_rate,
+       CAST(SUM(COALESCE(dwell_time_ms, 0)) AS DOUBLE) / COUNT(*) AS avg_dwell_time, COUNT(*) AS event_count
+FROM kept WHERE window_end <= (SELECT mark FROM done) GROUP BY user_id, window_end"""
+
+SQL["q25_content_engagement_out_of_order"] = f"""
+WITH {SLICED},
+opened AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) - i * INTERVAL 5 MINUTE AS window_start
+           FROM (SELECT *, unnest([0, 1, 2]) AS i FROM seen)),
+kept AS (SELECT *, window_start + INTERVAL 15 MINUTE AS window_end FROM opened
+         WHERE mark IS NULL OR window_start + INTERVAL 15 MINUTE > mark),
+c AS (SELECT content_id, window_start, window_end,
+             SUM(CASE WHEN lower(event_type) = 'view' THEN 1 ELSE 0 END) AS view_count,
+             SUM(CASE WHEN lower(event_type) IN ('purchase', 'signup') THEN 1 ELSE 0 END) AS engagement_count,
+             COUNT(*) AS event_count
+      FROM kept WHERE window_end <= (SELECT mark FROM done) GROUP BY 1, 2, 3)
+SELECT content_id, window_start, window_end,
+       CASE WHEN view_count > 0 THEN CAST(engagement_count AS DOUBLE) / view_count ELSE 0.0 END AS engagement_rate,
+       CAST(view_count AS BIGINT) AS view_count, CAST(engagement_count AS BIGINT) AS engagement_count, event_count
+FROM c"""
+
+SQL["q26_stream_metrics_fold"] = f"""
+WITH {SLICED},
+late AS (SELECT * FROM seen WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark)
+SELECT (SELECT count(*) FROM late) AS late_events_dropped, (SELECT count(DISTINCT f) FROM sliced) AS heartbeat_count,
+       (SELECT count(*) FROM late) AS late_metric_count"""
+
+SQL["q27_latest_table_lookup"] = f"""
+WITH {EV}, {USER_HOURLY},
+w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY window_end DESC) AS k FROM uh
+      WHERE window_end <= (SELECT max(ts) FROM ev) - INTERVAL 30 SECOND AND user_id = '2')
+SELECT user_id AS entity_id, 'click_rate' AS feature_name, click_rate AS feature_value, window_start, window_end,
+       window_end + INTERVAL 30 SECOND AS computed_at FROM w WHERE k = 1
+UNION ALL
+SELECT user_id, 'avg_dwell_time', avg_dwell_time, window_start, window_end, window_end + INTERVAL 30 SECOND FROM w WHERE k = 1"""
+
+SQL["q28_quarantine_streamed"] = """
+SELECT CASE WHEN (event_id // 50) % 3 = 0 THEN 'malformed_json' WHEN (event_id // 50) % 3 = 1 THEN 'bad_timestamp'
+            ELSE 'missing_user_id' END AS reason, count(*) AS n
+FROM events WHERE event_id % 50 = 0 GROUP BY 1"""
+
+SQL["q29_affinity_streamed"] = f"""
+WITH {EV}, {META}, {AFFINITY_STREAM}
+SELECT * FROM af WHERE window_end <= (SELECT max(ts) FROM ev) - INTERVAL 30 SECOND"""

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where
 from dwellspark.operators import compare, enrich, features, late, metrics, profile, serving
-from dwellspark.session import shared_path
+from dwellspark.plans import replay
+from dwellspark.session import cut_lineage, remove_path, shared_path
 from dwellspark.sources import tables, wire
 from dwellspark.spec import DRIVER_SPEC
 from dwellspark.streaming import job as stream_job
@@ -68,7 +69,7 @@ def q08_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.with_arrival(_events(spark, sf_dir))
+    return replay.with_arrival(_events(spark, sf_dir))
 
 
 def q09_late_events_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +155,7 @@ def q18_recent_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q21_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event through the JSON wire form, every 50th damaged; rows per reason."""
-    damaged = wire.corrupt_for_test(wire.events_to_wire(_events(spark, sf_dir)), every=50)
+    damaged = replay.damaged(wire.events_to_wire(_events(spark, sf_dir)), every=50)
     return wire.quarantine_counts(wire.classify_wire_events(damaged))
 
 
@@ -166,7 +167,7 @@ def q17_divergence_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     windows = features.user_hourly_features(events, SPEC)
-    return metrics.metric_rows(tables.with_arrival(events), windows, SPEC)
+    return metrics.metric_rows(replay.with_arrival(events), windows, SPEC)
 
 
 def q19_metrics_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,48 +187,109 @@ def q22_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "dropped_user_id", "dropped_event_ts", "recorded_at", "feature_computed_at")
 
 
-REPLAY_FILES = 6
+REPLAY_SLICES = 6
+
+
+def _replayed(spark: SparkSession, events: DataFrame, name: str, slices: int, order_col: str, **options):
+    """(job, source): the events staged in ``order_col`` order, one slice per micro-batch."""
+    root = shared_path(spark, name)
+    rows, files = replay.stage_replay_files(events, f"{root}/in", slices, order_col)
+    parts = stream_job.state_partitions_for(spark, -(-rows // slices))
+    job = stream_job.FeatureStreamJob(spark, root, SPEC, state_partitions=parts, **options)
+    return job, lambda: stream_job.wire_file_stream(spark, f"{root}/in", files)
+
+
+def _finished(job: stream_job.FeatureStreamJob, result: DataFrame) -> DataFrame:
+    """The result as a checkpoint; the run's folder (input, sinks, state) goes."""
+    result = cut_lineage(result)
+    remove_path(job.spark, job.root)
+    return result
 
 
 def q16_user_features_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User features computed by the Structured Streaming job.
 
-    All events are replayed in event-time order as JSON-line files (one
-    micro-batch per file) through parse → watermark → 1 h windows → parquet
+    All events are replayed in event-time order as JSON lines (one slice per
+    micro-batch) through parse → watermark → 1 h windows → parquet
     sink; the result is every window the watermark closed.
     """
-    root = shared_path(spark, "q16")
-    rows = stream_job.stage_replay_files(_events(spark, sf_dir), f"{root}/in", REPLAY_FILES)
-    parts = stream_job.state_partitions_for(spark, -(-rows // REPLAY_FILES))
-    job = stream_job.FeatureStreamJob(spark, root, SPEC, state_partitions=parts)
-    job.run_all(lambda: stream_job.wire_file_stream(spark, f"{root}/in", 1),
-                families=("user",), audit=False)
-    return job.features("user").select("user_id", "window_start", "window_end", "click_rate",
-                                       "avg_dwell_time", "event_count")
+    job, source = _replayed(spark, _events(spark, sf_dir), "q16", REPLAY_SLICES, "ts")
+    job.run_all(source, families=("user",), audit=False)
+    return _finished(job, job.features("user").select("user_id", "window_start", "window_end", "click_rate",
+                                                      "avg_dwell_time", "event_count"))
 
 
-AUDIT_FILES = 8
+AUDIT_SLICES = 8
 
 
 def q23_late_audit_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late events found by the streaming audit when events arrive out of order.
 
-    All events are replayed in arrival order (every 20th 3 h late) as
-    JSON-line files, one micro-batch per file; the foreachBatch audit flags a
-    row when its hour window ended at or before the max event time of the
-    earlier micro-batches minus the 30 s delay.
+    All events are replayed in arrival order (every 20th 3 h late), one slice
+    per micro-batch; the foreachBatch audit flags a row when its hour window
+    ended at or before the max event time of the earlier micro-batches minus
+    the 30 s delay.
     """
-    root = shared_path(spark, "q23")
-    arrivals = _arrivals(spark, sf_dir)
-    stream_job.stage_replay_files(arrivals, f"{root}/in", AUDIT_FILES, order_col="arrival_ts")
-    job = stream_job.FeatureStreamJob(spark, root, SPEC)
-    job.start_late_audit(stream_job.wire_file_stream(spark, f"{root}/in", 1)).awaitTermination()
+    job, source = _replayed(spark, _arrivals(spark, sf_dir), "q23", AUDIT_SLICES, "arrival_ts")
+    job.run_all(source, families=(), audit=True)
     audit = stream_job.LateAudit(job.path("audit"), SPEC)
-    return audit.late_events(spark).select(
+    return _finished(job, audit.late_events(spark).select(
         "user_id", "content_id", "event_type",
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"))
+        F.col("window_end").cast("timestamp_ntz").alias("window_end")))
+
+
+def q24_user_features_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User windows of the stream when events arrive out of order: late ones are dropped."""
+    job, source = _replayed(spark, _arrivals(spark, sf_dir), "q24", AUDIT_SLICES, "arrival_ts")
+    job.run_all(source, families=("user",), audit=False)
+    return _finished(job, job.features("user").select("user_id", "window_start", "window_end", "click_rate",
+                                                      "avg_dwell_time", "event_count"))
+
+
+def q25_content_engagement_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding content windows of the stream when events arrive out of order."""
+    job, source = _replayed(spark, _arrivals(spark, sf_dir), "q25", AUDIT_SLICES, "arrival_ts")
+    job.run_all(source, families=("content",), audit=False)
+    return _finished(job, job.features("content").select("content_id", "window_start", "window_end", "engagement_rate",
+                                                         "view_count", "engagement_count", "event_count"))
+
+
+def q26_stream_metrics_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric rows that the streaming audit wrote, folded into the late total."""
+    job, source = _replayed(spark, _arrivals(spark, sf_dir), "q26", AUDIT_SLICES, "arrival_ts")
+    job.run_all(source, families=(), audit=True)
+    audit = stream_job.LateAudit(job.path("audit"), SPEC)
+    return _finished(job, metrics.fold_metrics(audit.metrics(spark), AS_OF).select(
+        "late_events_dropped", "heartbeat_count", "late_metric_count"))
+
+
+def q27_latest_table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One entity from the latest-value table that the stream's user features were upserted into."""
+    job, source = _replayed(spark, _events(spark, sf_dir), "q27", REPLAY_SLICES, "ts")
+    job.run_all(source, families=("user",), audit=False)
+    stream_job.wait_for([job.start_latest_upsert(families=("user",))])
+    return _finished(job, job.latest().lookup(spark, LOOKUP_ENTITY))
+
+
+def q28_quarantine_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged records that the stream's quarantine sink took, rows per reason."""
+    root = shared_path(spark, "q28")
+    values = replay.damaged(wire.events_to_wire(_events(spark, sf_dir)))
+    values.select("value").write.text(f"{root}/in")
+    job = stream_job.FeatureStreamJob(spark, root, SPEC)
+    stream_job.wait_for([job.start_quarantine(stream_job.wire_file_stream(spark, f"{root}/in", 1000))])
+    return _finished(job, job.quarantined().groupBy("reason").agg(F.count("*").alias("n")))
+
+
+def q29_affinity_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed category affinity, the metadata opened anew for every micro-batch."""
+    job, source = _replayed(spark, _events(spark, sf_dir), "q29", REPLAY_SLICES, "ts",
+                            metadata=lambda s: tables.driver_content_metadata(s, sf_dir))
+    job.run_all(source, families=("affinity",), audit=False)
+    return _finished(job, job.features("affinity").select("user_id", "window_start", "window_end", "category",
+                                                          "category_affinity_score", "feature_name"))
 
 
 QUERIES = {
@@ -254,4 +316,10 @@ QUERIES = {
     "q21_quarantine_counts": q21_quarantine_counts,
     "q22_metric_rows": q22_metric_rows,
     "q23_late_audit_streamed": q23_late_audit_streamed,
+    "q24_user_features_out_of_order": q24_user_features_out_of_order,
+    "q25_content_engagement_out_of_order": q25_content_engagement_out_of_order,
+    "q26_stream_metrics_fold": q26_stream_metrics_fold,
+    "q27_latest_table_lookup": q27_latest_table_lookup,
+    "q28_quarantine_streamed": q28_quarantine_streamed,
+    "q29_affinity_streamed": q29_affinity_streamed,
 }

@@ -95,6 +95,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, on any file system of the cluster."""
+    fs, p = _hadoop_path(spark, pattern)
+    return [str(x.getPath()) for x in fs.globStatus(p) or []]
+
+
+def content_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder of ours (replay input, superseded versions)."""
     fs, p = _hadoop_path(spark, path)

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import iso_instant
 from dwellspark.operators.serving import latest_features
-
-LATEST_BUCKETS = 64
+from dwellspark.session import content_bytes, list_paths, remove_path
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -46,70 +45,98 @@ def write_kafka(records: DataFrame, servers: str, topic: str) -> None:
 class LatestFeatureTable:
     """Latest value per (entity_id, feature_name), upserted per micro-batch.
 
-    Without a table format offering MERGE, the table is split into
-    ``buckets`` by a hash of entity_id and each bucket is versioned on its
-    own: ``bucket=<b>/version=<batch_id>``.  An upsert rewrites only the
-    buckets the batch touches (previous version of those buckets merged
-    with the batch by ``latest_features``), so its cost follows the batch,
-    not the table.  Readers take, per bucket, the newest version; a point
-    lookup reads one bucket.  Writing a (bucket, batch id) folder with
-    overwrite makes a retried batch idempotent.
+    Without a table format offering MERGE, the table is split into buckets by a
+    hash of entity_id and each bucket is versioned on its own:
+    ``gen=<generation>-<buckets>/bucket=<b>/version=<v>``.  An upsert rewrites
+    the buckets that the batch touches (their newest version merged with the
+    batch by ``latest_features``) under the next version number, which is the
+    table's own, so a new checkpoint's batch ids do not matter; a repeated batch
+    merges to the same rows.  A bucket keeps its newest version and the one
+    before it (for readers that have listed it).  The number of buckets follows
+    the size: it is chosen from the first batch, and when the buckets have grown
+    past four times ``bucket_bytes`` on average the table is dealt anew into the
+    next generation.  A point lookup reads one bucket's newest files.
     """
 
     COLS = ["entity_id", "feature_name", "feature_value", "window_start", "window_end", "computed_at"]
     DDL = ("entity_id string, feature_name string, feature_value double, window_start timestamp_ntz, "
-           "window_end timestamp_ntz, computed_at timestamp_ntz, bucket int, version bigint")
+           "window_end timestamp_ntz, computed_at timestamp_ntz")
 
-    def __init__(self, path: str, buckets: int = LATEST_BUCKETS):
+    def __init__(self, path: str, buckets: int | None = None, rows_per_bucket: int = 500_000,
+                 bucket_bytes: int = 64 << 20):
         self.path = path
         self.buckets = buckets
-
-    def _all(self, spark: SparkSession) -> DataFrame | None:
-        """Every version of every bucket (declared schema: no footer inference)."""
-        try:
-            df = spark.read.schema(self.DDL).parquet(self.path)
-            df.select("bucket").limit(0).collect()  # fail here if nothing is written yet
-            return df
-        except Exception:  # nothing written yet
-            return None
-
-    def _bucket(self, col: str = "entity_id"):
-        return F.pmod(F.hash(F.col(col)), F.lit(self.buckets))
-
-    def _newest(self, allv: DataFrame, below: int | None = None) -> DataFrame:
-        """(bucket, version) of the newest version per bucket: one row per bucket."""
-        v = allv.select("bucket", "version").distinct()
-        if below is not None:
-            v = v.where(F.col("version") < below)
-        return v.groupBy("bucket").agg(F.max("version").alias("version"))
+        self.rows_per_bucket = rows_per_bucket
+        self.bucket_bytes = bucket_bytes
+
+    def _generation(self, spark: SparkSession) -> tuple[int, int, str] | None:
+        """(number, buckets, folder) of the newest committed generation."""
+        found = []
+        for folder in list_paths(spark, f"{self.path}/gen=*/_SUCCESS"):
+            name = folder.rsplit("/", 2)[1]
+            number, buckets = name.removeprefix("gen=").split("-")
+            found.append((int(number), int(buckets), f"{self.path}/{name}"))
+        return max(found, default=None)
+
+    @staticmethod
+    def _versions(spark: SparkSession, folder: str, bucket: str = "*") -> dict[int, list[tuple[int, str]]]:
+        """Per bucket its versions, newest first: as many entries as there are buckets."""
+        out: dict[int, list[tuple[int, str]]] = {}
+        for p in list_paths(spark, f"{folder}/bucket={bucket}/version=*"):
+            b, v = (int(x.split("=")[1]) for x in p.rsplit("/", 2)[1:])
+            out.setdefault(b, []).append((v, p))
+        return {b: sorted(v, reverse=True) for b, v in out.items()}
+
+    def _read(self, spark: SparkSession, folders: list[str]) -> DataFrame:
+        if not folders:
+            return spark.createDataFrame([], self.DDL)
+        return spark.read.schema(self.DDL).parquet(*folders)
+
+    @staticmethod
+    def _bucket(buckets: int):
+        return F.pmod(F.hash(F.col("entity_id")), F.lit(buckets))
+
+    def _write(self, rows: DataFrame, folder: str, buckets: int, version: int) -> None:
+        merged = latest_features(rows).select(*self.COLS).withColumn("bucket", self._bucket(buckets))
+        merged = merged.withColumn("version", F.lit(version).cast("bigint")).repartition("bucket")
+        # a generation begins with one whole write, whose _SUCCESS makes it valid
+        kind = "static" if version == 0 else "dynamic"
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", kind)
+         .partitionBy("bucket", "version").parquet(folder))
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*self.COLS).withColumn("bucket", self._bucket())
-        allv = self._all(spark)
-        if allv is not None:
-            touched = rows.select("bucket").distinct()
-            newest = self._newest(allv, below=batch_id).join(touched, "bucket")
-            old = allv.join(F.broadcast(newest), ["bucket", "version"]).select(*self.COLS, "bucket")
-            rows = old.unionByName(rows)
-        merged = latest_features(rows.drop("bucket")).withColumn("bucket", self._bucket())
-        merged = merged.withColumn("version", F.lit(batch_id).cast("bigint"))
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket", "version").parquet(self.path))
+        rows = batch.select(*self.COLS).where(F.col("entity_id").isNotNull())
+        now = self._generation(spark)
+        if now is None:
+            buckets = self.buckets or max(1, -(-rows.count() // self.rows_per_bucket))
+            self._write(rows, f"{self.path}/gen=0-{buckets}", buckets, 0)
+            return
+        number, buckets, folder = now
+        versions = self._versions(spark, folder)
+        touched = [r[0] for r in rows.select(self._bucket(buckets).alias("b")).distinct().collect()]  # at most the buckets
+        old = self._read(spark, [versions[b][0][1] for b in touched if b in versions])
+        newest = max((v[0][0] for v in versions.values()), default=-1)
+        self._write(old.unionByName(rows), folder, buckets, newest + 1)
+        for some in self._versions(spark, folder).values():
+            for _, p in some[2:]:
+                remove_path(spark, p)
+        if self.buckets is None and content_bytes(spark, folder) > 8 * buckets * self.bucket_bytes:  # two versions each
+            more = 4 * buckets
+            self._write(self.current(spark).select(*self.COLS), f"{self.path}/gen={number + 1}-{more}", more, 0)
+            remove_path(spark, folder)
 
     def current(self, spark: SparkSession) -> DataFrame:
-        allv = self._all(spark)
-        if allv is None:
+        now = self._generation(spark)
+        if now is None:
             raise FileNotFoundError(self.path)
-        return allv.join(F.broadcast(self._newest(allv)), ["bucket", "version"]).drop("version")
+        return self._read(spark, [v[0][1] for v in self._versions(spark, now[2]).values()])
 
     def lookup(self, spark: SparkSession, entity_id: str) -> DataFrame:
-        """Point lookup; the bucket predicate prunes to one bucket's folders."""
-        allv = self._all(spark)
-        if allv is None:
+        """Point lookup: reads the newest version of one bucket."""
+        now = self._generation(spark)
+        if now is None:
             raise FileNotFoundError(self.path)
-        bucket = F.pmod(F.hash(F.lit(entity_id)), F.lit(self.buckets))
-        one = allv.where(F.col("bucket") == bucket)
-        newest = self._newest(one)
-        return (one.join(F.broadcast(newest), ["bucket", "version"])
-                .where(F.col("entity_id") == entity_id).drop("bucket", "version"))
+        bucket = spark.range(1).select(F.pmod(F.hash(F.lit(entity_id)), F.lit(now[1]))).first()[0]
+        found = self._versions(spark, now[2], str(bucket)).get(bucket, [])
+        return self._read(spark, [p for _, p in found[:1]]).where(F.col("entity_id") == entity_id)

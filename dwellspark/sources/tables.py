@@ -42,20 +42,6 @@ def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_driver_events(read_table(spark, sf_dir, "events"))
 
 
-def with_arrival(events: DataFrame, delayed_every: int = 20,
-                 delay_hours: int = 3) -> DataFrame:
-    """Arrival time for replays: every ``delayed_every``-th event arrives late.
-
-    ``arrival_ts = ts + delay`` where ``event_id % delayed_every = 0``;
-    arrival order is (arrival_ts, event_id).
-    """
-    delayed = (F.col("event_id") % F.lit(delayed_every)) == 0
-    return events.withColumn(
-        "arrival_ts",
-        F.when(delayed, F.col("ts") + F.make_interval(hours=F.lit(delay_hours)))
-         .otherwise(F.col("ts")))
-
-
 def driver_content_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versioned content metadata derived from ``part``.
 

@@ -95,20 +95,3 @@ def parse_wire_metadata(values: DataFrame) -> DataFrame:
                     F.col("_j.category").alias("category"),
                     F.col("_j.creator_id").alias("creator_id"),
                     F.try_to_timestamp(F.col("_j.publish_timestamp")).alias("publish_ts")))
-
-
-def corrupt_for_test(wire: DataFrame, every: int = 50) -> DataFrame:
-    """Deterministically damage every ``every``-th record (quarantine tests).
-
-    Rotates through: truncated JSON, unreadable timestamp, missing user_id.
-    """
-    hit = (F.col("event_id") % every) == 0
-    kind = F.pmod((F.col("event_id") / every).cast("bigint"), F.lit(3))
-    truncated = F.expr("substring(value, 1, length(value) - 3)")
-    bad_ts = F.regexp_replace(F.col("value"), '"timestamp":"[^"]*"', '"timestamp":"not-a-time"')
-    no_user = F.regexp_replace(F.col("value"), '"user_id":"[^"]*",', "")
-    value = (F.when(~hit, F.col("value"))
-              .when(kind == 0, truncated)
-              .when(kind == 1, bad_ts)
-              .otherwise(no_user))
-    return wire.withColumn("value", value)

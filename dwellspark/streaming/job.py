@@ -20,6 +20,8 @@ Kafka connector jar must be on the classpath; it is not in this image).
 from __future__ import annotations
 
 import os
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,7 @@ from dwellspark.functions.expressions import count_where, packed_order
 from dwellspark.functions.literals import literal_table
 from dwellspark.operators import enrich, features
 from dwellspark.schemas import HEARTBEAT_METRIC, LATE_METRIC
+from dwellspark.session import path_exists
 from dwellspark.sinks.files import LatestFeatureTable
 from dwellspark.sources import wire
 from dwellspark.spec import FeatureSpec
@@ -55,35 +58,6 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
     return reader.load().selectExpr("CAST(value AS STRING) AS value", "partition", "offset")
 
 
-def stage_replay_files(events: DataFrame, path: str, n_files: int, order_col: str = "ts") -> int:
-    """Write events as JSON-line files in ``order_col`` order, one job per file.
-
-    Each slice is an equal span of ``order_col`` (event time by default, or
-    an arrival time to replay out-of-order delivery), written by its own job
-    so file modification times follow that order and a file stream reads
-    them in order.  Every event is written exactly once.  Returns the row
-    count.
-    """
-    us = F.unix_micros(F.col(order_col).cast("timestamp"))
-    bounds = events.agg(F.min(us).alias("lo"), F.max(us).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if bounds is None or bounds["lo"] is None:
-        return 0
-    lo, span = int(bounds["lo"]), int(bounds["hi"]) - int(bounds["lo"]) + 1
-    ts_type = events.schema[order_col].dataType
-    # exact integer microsecond cut points; plain range predicates on ts so
-    # parquet row-group statistics skip what a slice does not need
-    cuts = [lo + -(-(i * span) // n_files) for i in range(n_files + 1)]
-
-    def ts_lit(micros: int):
-        return F.timestamp_micros(F.lit(micros)).cast(ts_type)
-
-    for i in range(n_files):
-        cond = (F.col(order_col) >= ts_lit(cuts[i])) & (F.col(order_col) < ts_lit(cuts[i + 1]))
-        part = wire.events_to_wire(events.where(cond)).select("value")
-        part.coalesce(1).write.mode("append").text(path)
-    return int(bounds["n"])
-
-
 def state_partitions_for(spark: SparkSession, rows_per_trigger: int, rows_per_partition: int = 250_000) -> int:
     """State-store partitions for a stream: enough for the per-trigger volume,
     never more than the session's shuffle partitions.  Fixed at first start."""
@@ -99,6 +73,10 @@ def parsed_events(values: DataFrame, spec: FeatureSpec) -> DataFrame:
     return good.withWatermark("ts", f"{spec.watermark_delay_s} seconds")
 
 
+ENRICHED_DDL = ("user_id string, content_id string, event_type string, dwell_time_ms bigint, ts timestamp, "
+                "category string, creator_id string")
+
+
 def _ntz(df: DataFrame, cols=("window_start", "window_end")) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
@@ -112,7 +90,8 @@ class FeatureStreamJob:
     spark: SparkSession
     root: str
     spec: FeatureSpec
-    metadata: DataFrame | None = None
+    # opens the content metadata; called for every micro-batch
+    metadata: Callable[[SparkSession], DataFrame] | None = None
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     # shuffle / state-store partitions of the stateful queries; fixed in the
     # checkpoint at first start (None: the session's setting)
@@ -134,11 +113,11 @@ class FeatureStreamJob:
         finally:
             self.spark.conf.set(key, before)
 
-    def _sink(self, df: DataFrame, name: str) -> StreamingQuery:
+    def _sink(self, df: DataFrame, name: str, trigger: dict | None = None) -> StreamingQuery:
         return self._start(df.writeStream.format("parquet").outputMode("append")
                            .option("path", self.path("features", f"family={name}"))
                            .option("checkpointLocation", self.path("checkpoints", name))
-                           .trigger(**self.trigger)
+                           .trigger(**(trigger or self.trigger))
                            .queryName(f"features_{name}_{os.path.basename(self.root)}"))
 
     # one query per feature family
@@ -151,14 +130,54 @@ class FeatureStreamJob:
         return self._sink(_ntz(feats), "content")
 
     def start_affinity(self, values: DataFrame) -> StreamingQuery:
+        """Affinity windows over events enriched with the metadata of their micro-batch.
+
+        A frame over files lists them once, so the metadata is opened anew for
+        each micro-batch (``metadata`` is called): the batch's events are
+        enriched and written, and the window query takes them in as one
+        micro-batch of its own before the next one starts.
+        """
         if self.metadata is None:
             raise ValueError("affinity needs content metadata")
-        # Stream-static join: the metadata snapshot is read per micro-batch.
-        meta = enrich.checked_broadcast(enrich.latest_metadata(self.metadata), freeze=False)
-        enriched = parsed_events(values, self.spec).join(
-            meta.select("content_id", "category", "creator_id"), "content_id", "inner")
-        feats = features.category_affinity(enriched, self.spec, keep_unmatched=False)
-        return self._sink(_ntz(feats), "affinity")
+        enriched = self.path("enriched")
+
+        def enrich_batch(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            folder = os.path.join(enriched, f"batch_id={batch_id}")
+            if not path_exists(spark, os.path.join(folder, "_SUCCESS")):  # a repeated batch is written once
+                meta = enrich.latest_metadata(self.metadata(spark))
+                rows = enrich.enrich_events(batch, meta, how="left")
+                columns = [c.split()[0] for c in ENRICHED_DDL.split(", ")]
+                rows.select(*columns).write.mode("overwrite").parquet(folder)
+            window = self._affinity_windows(spark)
+            window.awaitTermination()
+
+        good = wire.good_events(wire.classify_wire_events(values))
+        return self._start(good.writeStream.foreachBatch(enrich_batch)
+                           .option("checkpointLocation", self.path("checkpoints", "enrich"))
+                           .trigger(**self.trigger)
+                           .queryName(f"enrich_{os.path.basename(self.root)}"))
+
+    def _affinity_windows(self, spark: SparkSession) -> StreamingQuery:
+        rows = spark.readStream.schema(ENRICHED_DDL).parquet(os.path.join(self.path("enriched"), "*"))
+        rows = rows.withWatermark("ts", f"{self.spec.watermark_delay_s} seconds")
+        # unmatched events move the watermark too: tied to ts, the filter on the
+        # category is not pushed below it
+        rows = rows.withColumn("category", F.when(F.col("ts").isNotNull(), F.col("category")))
+        feats = features.category_affinity(rows, self.spec, keep_unmatched=False)
+        return self._sink(_ntz(feats), "affinity", trigger={"availableNow": True})
+
+    def start_quarantine(self, values: DataFrame) -> StreamingQuery:
+        """Unreadable records with their reason, as they came."""
+        bad = wire.quarantined(wire.classify_wire_events(values))
+        return self._start(bad.writeStream.format("parquet").outputMode("append")
+                           .option("path", self.path("quarantine"))
+                           .option("checkpointLocation", self.path("checkpoints", "quarantine"))
+                           .trigger(**self.trigger))
+
+    def quarantined(self) -> DataFrame:
+        """The quarantine table (empty where nothing was written)."""
+        return read_if_there(self.spark, self.path("quarantine"), "value string, reason string")
 
     def start_late_audit(self, values: DataFrame) -> StreamingQuery:
         audit = LateAudit(self.path("audit"), self.spec)
@@ -168,17 +187,27 @@ class FeatureStreamJob:
                            .trigger(**self.trigger))
 
     def run_all(self, values_factory, families=("user", "content", "affinity"),
-                audit: bool = True, timeout_s: int = 600) -> None:
-        """Start the chosen queries on fresh source frames and wait for them."""
+                audit: bool = True, timeout_s: float | None = None) -> None:
+        """Start the chosen queries on fresh source frames and wait until all have ended.
+
+        A query that fails stops the others and raises; so does ``timeout_s``
+        (no limit by default): a stream never counts as done before its end.
+        """
         starters = {"user": self.start_user, "content": self.start_content,
                     "affinity": self.start_affinity}
-        queries = [starters[f](values_factory()) for f in families]
-        if audit:
-            queries.append(self.start_late_audit(values_factory()))
-        for q in queries:
-            q.awaitTermination(timeout_s)
-            if q.exception() is not None:
-                raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+        queries = []
+        until = None if timeout_s is None else time.monotonic() + timeout_s
+        try:
+            for f in families:
+                queries.append(starters[f](values_factory()))
+            if audit:
+                queries.append(self.start_late_audit(values_factory()))
+            wait_for(queries, until)
+        except BaseException:
+            for q in queries:
+                if q.isActive:
+                    q.stop()
+            raise
 
     def start_latest_upsert(self, families=("user", "content", "affinity")) -> StreamingQuery:
         """Feature sink → long rows → latest-value table, one version per batch.
@@ -225,6 +254,24 @@ class FeatureStreamJob:
         return self.spark.read.parquet(p)
 
 
+def read_if_there(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A parquet table of ours; empty if it does not exist yet.  Any other error is raised."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(path)
+
+
+def wait_for(queries: list[StreamingQuery], until: float | None = None) -> None:
+    """Wait for the end of all queries; raise as soon as one has failed or the time is over."""
+    open_ = list(queries)
+    while open_:
+        for q in list(open_):
+            if q.awaitTermination(1):  # raises if the query has failed
+                open_.remove(q)
+        if open_ and until is not None and time.monotonic() > until:
+            raise TimeoutError(f"{len(open_)} of {len(queries)} streams have not ended in time")
+
+
 def progress_health(query: StreamingQuery) -> dict:
     """Health signals from the last progress report of a feature query.
 
@@ -247,8 +294,8 @@ class LateAudit:
     For micro-batch k the watermark is ``max(ts of batches < k) - delay``
     (what the windowed aggregation uses for batch k when
     ``allowMultiple=false``).  Rows whose window ended at or before it go to
-    ``late_events``; a metric row per batch records the running late total
-    and a heartbeat the watermark.  Every write targets a folder named by
+    ``late_events``, with a metric row each; a heartbeat per batch records the
+    late total and the watermark.  Every write targets a folder named by
     batch id and overwrites it, so a retried batch is idempotent.  Both
     queries must cut micro-batches alike (same ``maxFilesPerTrigger`` /
     ``maxOffsetsPerTrigger`` and start point) for the audit to equal the
@@ -260,25 +307,20 @@ class LateAudit:
         self.spec = spec
 
     STATE_DDL = "running_max_us bigint, late_total bigint"
+    METRIC_DDL = ("metric_type string, count bigint, dropped_user_id string, dropped_event_ts timestamp_ntz, "
+                  "recorded_at timestamp_ntz, feature_computed_at timestamp_ntz, late_events_total bigint, "
+                  "watermark timestamp_ntz, metric_offset bigint, batch_id int")
 
     def _state_before(self, spark: SparkSession, batch_id: int):
-        state_path = os.path.join(self.root, "state")
-        reader = spark.read.schema(self.STATE_DDL)
-        try:  # common case: the previous batch's folder (one small file)
-            row = reader.parquet(os.path.join(state_path, f"batch_id={batch_id - 1}")).first()
-            if row is not None:
-                return row["running_max_us"], int(row["late_total"])
-        except Exception:
-            pass
-        try:  # a gap in batch ids (e.g. after a restart): newest older state
-            st = spark.read.parquet(state_path)
-        except Exception:  # no state written yet
-            return None, 0
-        row = (st.where(F.col("batch_id") < batch_id)
-               .orderBy(F.col("batch_id").desc()).limit(1).first())
-        if row is None:
-            return None, 0
-        return row["running_max_us"], int(row["late_total"])
+        """(running maximum, late total) of the newest batch before this one."""
+        state = os.path.join(self.root, "state")
+        last = os.path.join(state, f"batch_id={batch_id - 1}")
+        if path_exists(spark, last):  # common case: one small file
+            row = spark.read.schema(self.STATE_DDL).parquet(last).first()
+        else:  # a gap in batch ids
+            row = (read_if_there(spark, state, self.STATE_DDL + ", batch_id int").where(F.col("batch_id") < batch_id)
+                   .orderBy(F.col("batch_id").desc()).limit(1).first())
+        return (None, 0) if row is None else (row["running_max_us"], int(row["late_total"]))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -303,16 +345,25 @@ class LateAudit:
         new_total = late_total + n_late
         state = literal_table(spark, [(new_max, new_total)], self.STATE_DDL)
         state.write.mode("overwrite").parquet(os.path.join(self.root, "state", f"batch_id={batch_id}"))
-        metrics = literal_table(
-            spark, [(LATE_METRIC, new_total if n_late else None, None), (HEARTBEAT_METRIC, None, new_total)],
-            "metric_type string, count bigint, late_events_total bigint")
-        metrics = (metrics.where(F.col("metric_type") == HEARTBEAT_METRIC) if not n_late else metrics)
-        (metrics.withColumn("metric_offset", F.lit(batch_id).cast("bigint") * 2
-                            + (F.col("metric_type") == HEARTBEAT_METRIC).cast("bigint"))
-         .withColumn("feature_computed_at", F.current_timestamp().cast("timestamp_ntz"))
-         .withColumn("watermark", F.timestamp_micros(F.lit(new_max - delay_us)).cast("timestamp_ntz")
-                     if new_max is not None else F.lit(None).cast("timestamp_ntz"))
-         .write.mode("overwrite").parquet(os.path.join(self.root, "metrics", f"batch_id={batch_id}")))
+        # a metric row per late event (it adds one), and a heartbeat with the total
+        now, none = F.current_timestamp().cast("timestamp_ntz"), F.lit(None)
+        watermark = (F.timestamp_micros(F.lit(new_max - delay_us)).cast("timestamp_ntz")
+                     if new_max is not None else none.cast("timestamp_ntz"))
+        beat = spark.range(1).select(
+            F.lit(HEARTBEAT_METRIC).alias("metric_type"), none.cast("bigint").alias("count"),
+            none.cast("string").alias("dropped_user_id"), none.cast("timestamp_ntz").alias("dropped_event_ts"),
+            none.cast("timestamp_ntz").alias("recorded_at"), now.alias("feature_computed_at"),
+            F.lit(new_total).cast("bigint").alias("late_events_total"), watermark.alias("watermark"),
+            F.lit(2 * batch_id + 1).cast("bigint").alias("metric_offset"))
+        rows = beat
+        if n_late:
+            rows = tagged.where(is_late).select(
+                F.lit(LATE_METRIC).alias("metric_type"), none.cast("bigint").alias("count"),
+                F.col("user_id").alias("dropped_user_id"), F.col("ts").cast("timestamp_ntz").alias("dropped_event_ts"),
+                now.alias("recorded_at"), none.cast("timestamp_ntz").alias("feature_computed_at"),
+                none.cast("bigint").alias("late_events_total"), none.cast("timestamp_ntz").alias("watermark"),
+                F.lit(2 * batch_id).cast("bigint").alias("metric_offset")).unionByName(beat)
+        rows.write.mode("overwrite").parquet(os.path.join(self.root, "metrics", f"batch_id={batch_id}"))
         batch.unpersist()
 
     LATE_DDL = ("user_id string, content_id string, event_type string, ts timestamp, "
@@ -320,13 +371,11 @@ class LateAudit:
 
     def late_events(self, spark: SparkSession) -> DataFrame:
         """All audited late rows (an empty frame before the first one)."""
-        try:
-            return spark.read.parquet(os.path.join(self.root, "late_events"))
-        except Exception:  # no batch has had a late row yet
-            return spark.createDataFrame([], self.LATE_DDL)
+        return read_if_there(spark, os.path.join(self.root, "late_events"), self.LATE_DDL)
 
     def metrics(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(os.path.join(self.root, "metrics"))
+        """All metric rows: late events with user and times, heartbeats with the total."""
+        return read_if_there(spark, os.path.join(self.root, "metrics"), self.METRIC_DDL)
 
 
 def main(argv=None) -> int:
@@ -369,30 +418,35 @@ def main(argv=None) -> int:
 
     metadata = None
     if a.metadata_json:
-        # Version order for a folder of metadata files: newest file first,
-        # then the latest publish time within it (deterministic, re-read per
-        # micro-batch by the stream-static join).
-        raw = spark.read.text(a.metadata_json).select(
-            "value", F.col("_metadata.file_modification_time").alias("file_time"))
-        parsed = wire.parse_wire_metadata(raw)
-        metadata = parsed.withColumn("seq", packed_order(
-            F.unix_micros(F.col("file_time")),
-            F.coalesce(F.unix_micros(F.col("publish_ts")), F.lit(0))))
+        metadata = json_metadata(a.metadata_json)
     trigger = {"availableNow": True} if a.once else {"processingTime": a.interval}
     job = FeatureStreamJob(spark, a.root, WIRE_SPEC, metadata=metadata, trigger=trigger)
     families = ("user", "content", "affinity") if metadata is not None else ("user", "content")
     if a.once:
-        job.run_all(source, families=families, audit=True, timeout_s=3600)
-        job.start_latest_upsert(families=families).awaitTermination()
+        job.run_all(source, families=families, audit=True)
+        wait_for([job.start_quarantine(source()), job.start_latest_upsert(families=families)])
         return 0
     starters = {"user": job.start_user, "content": job.start_content, "affinity": job.start_affinity}
-    for fam in families:
-        starters[fam](source())
-    job.start_late_audit(source())
-    job.start_latest_upsert(families=families)
-    spark.streams.awaitAnyTermination()
+    queries = [starters[fam](source()) for fam in families]
+    queries += [job.start_late_audit(source()), job.start_quarantine(source()), job.start_latest_upsert(families=families)]
+    try:
+        spark.streams.awaitAnyTermination()  # raises if the one that ended has failed
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
     return 0
 
 
+def json_metadata(folder: str) -> Callable[[SparkSession], DataFrame]:
+    """Opens a folder of metadata JSON lines.  Version order: newest file first,
+    then the latest publish time within it."""
+    def open_(spark: SparkSession) -> DataFrame:
+        raw = spark.read.text(folder).select("value", F.col("_metadata.file_modification_time").alias("file_time"))
+        return wire.parse_wire_metadata(raw).withColumn("seq", packed_order(
+            F.unix_micros(F.col("file_time")), F.coalesce(F.unix_micros(F.col("publish_ts")), F.lit(0))))
+    return open_
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

@@ -5,6 +5,9 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
+from dwellspark.plans.replay import stage_replay_files
 from dwellspark.sinks.files import LatestFeatureTable
 from dwellspark.spec import WIRE_SPEC
 from dwellspark.streaming import job as J
@@ -73,7 +76,7 @@ def test_affinity_and_content_streams(spark, scratch):
     _drop_file(spark, inbox, [_line("u1", "12:00:00")])
     meta = spark.createDataFrame([("c1", "scifi", "creator-A", 1)],
                                  "content_id string, category string, creator_id string, seq bigint")
-    job = J.FeatureStreamJob(spark, scratch, WIRE_SPEC, metadata=meta)
+    job = J.FeatureStreamJob(spark, scratch, WIRE_SPEC, metadata=lambda s: meta)
     job.run_all(lambda: J.wire_file_stream(spark, inbox, 1), families=("content", "affinity"), audit=False)
     aff = job.features("affinity").collect()
     assert [(r["feature_name"], r["category_affinity_score"]) for r in aff] == [("category_affinity_scifi", 2)]
@@ -184,6 +187,86 @@ def test_stream_cli_once(spark, scratch):
     assert got["click_rate"] == 0.5 and got["category_affinity_scifi"] == 2.0
 
 
+def test_streams_end_or_fail(spark, scratch):
+    inbox = os.path.join(scratch, "in")
+    for h in range(6):
+        _drop_file(spark, inbox, [_line("u1", f"1{h}:10:00")])
+    job = J.FeatureStreamJob(spark, scratch, WIRE_SPEC)
+    source = lambda: J.wire_file_stream(spark, inbox, 1)
+    with pytest.raises(TimeoutError):
+        job.run_all(source, families=("user",), audit=False, timeout_s=0.01)
+    assert not spark.streams.active
+    job.run_all(source, families=("user",), audit=False)  # goes on where it stood
+    assert job.features("user").count() == 5
+
+    def broken(s):
+        raise OSError("no metadata")
+
+    bad = J.FeatureStreamJob(spark, scratch + "-bad", WIRE_SPEC, metadata=broken)
+    with pytest.raises(Exception, match="no metadata"):
+        bad.run_all(source, families=("user", "affinity"), audit=False)
+    assert not spark.streams.active
+
+
+def test_metadata_that_arrives_between_batches(spark, scratch):
+    inbox, meta_dir = os.path.join(scratch, "in"), os.path.join(scratch, "meta")
+    line = '{"content_id":"%s","category":"%s","creator_id":"a","publish_timestamp":"2024-01-01T00:00:00Z"}'
+    _drop_file(spark, meta_dir, [line % ("c1", "scifi")])
+    _drop_file(spark, inbox, [_line("u1", "10:10:00", content="c1")])
+    _drop_file(spark, inbox, [_line("u1", "10:20:00", content="c2")])
+    _drop_file(spark, inbox, [_line("u1", "12:00:00")])
+    opened = []
+
+    def metadata(s):
+        opened.append(1)
+        if len(opened) == 2:  # c2's metadata comes after the start, before its event
+            _drop_file(s, meta_dir, [line % ("c2", "news")])
+        return J.json_metadata(meta_dir)(s)
+
+    job = J.FeatureStreamJob(spark, scratch, WIRE_SPEC, metadata=metadata)
+    job.run_all(lambda: J.wire_file_stream(spark, inbox, 1), families=("affinity",), audit=False)
+    got = {r["category"]: r["category_affinity_score"] for r in job.features("affinity").collect()}
+    assert got == {"scifi": 1, "news": 1}
+
+
+def test_quarantine_and_metrics_sinks(spark, scratch):
+    inbox = os.path.join(scratch, "in")
+    _drop_file(spark, inbox, [_line("u1", "10:10:00"), "{broken"])
+    _drop_file(spark, inbox, [_line("u1", "12:10:00")])
+    _drop_file(spark, inbox, [_line("u2", "10:30:00"), _line("u3", "10:40:00")])
+    job = J.FeatureStreamJob(spark, scratch, WIRE_SPEC)
+    assert job.quarantined().count() == 0
+    source = lambda: J.wire_file_stream(spark, inbox, 1)
+    job.run_all(source, families=(), audit=True)
+    J.wait_for([job.start_quarantine(source())])
+    assert [(r["value"], r["reason"]) for r in job.quarantined().collect()] == [("{broken", "malformed_json")]
+    rows = J.LateAudit(job.path("audit"), WIRE_SPEC).metrics(spark).collect()
+    late_rows = [r for r in rows if r["metric_type"] == "late_event_dropped"]
+    assert sorted((r["dropped_user_id"], r["dropped_event_ts"].strftime("%H:%M")) for r in late_rows) == [("u2", "10:30"), ("u3", "10:40")]
+    assert all(r["recorded_at"] for r in late_rows)
+    assert max(r["late_events_total"] for r in rows if r["metric_type"] == "watermark_heartbeat") == 2
+
+
+def test_latest_table_read_error_is_raised(spark, scratch):
+    path = os.path.join(scratch, "latest")
+    ddl = LatestFeatureTable.DDL
+    batch = spark.createDataFrame([], ddl).unionByName(spark.sql(
+        "select 'u1' entity_id, 'click_rate' feature_name, 0.5D feature_value, timestamp_ntz'2024-01-01 10:00:00' window_start, "
+        "timestamp_ntz'2024-01-01 11:00:00' window_end, timestamp_ntz'2024-01-01 11:00:30' computed_at"))
+    table = LatestFeatureTable(path, buckets=1)
+    with pytest.raises(FileNotFoundError):
+        table.current(spark)
+    table.upsert(batch, 0)
+
+    class Broken(LatestFeatureTable):
+        def _read(self, spark, folders):
+            raise OSError("storage is away")
+
+    with pytest.raises(OSError):
+        Broken(path, buckets=1).upsert(batch, 1)
+    assert table.current(spark).count() == 1
+
+
 def test_all_families_stream_equal_batch_on_driver_data(spark, scratch):
     """In event-time order nothing is late: every family's streamed windows
     equal the batch functions over the same events, on closed windows."""
@@ -193,8 +276,8 @@ def test_all_families_stream_equal_batch_on_driver_data(spark, scratch):
     sf = "/root/testdata/sf0.001"
     events = tables.driver_events(spark, sf)
     meta = tables.driver_content_metadata(spark, sf)
-    J.stage_replay_files(events, os.path.join(scratch, "in"), 3)
-    job = J.FeatureStreamJob(spark, scratch, DRIVER_SPEC, metadata=meta, state_partitions=2)
+    stage_replay_files(events, os.path.join(scratch, "in"), 3)
+    job = J.FeatureStreamJob(spark, scratch, DRIVER_SPEC, metadata=lambda s: meta, state_partitions=2)
     job.run_all(lambda: J.wire_file_stream(spark, os.path.join(scratch, "in"), 1), audit=False)
     final_wm = events.agg(F.max("ts")).first()[0]
     cutoff = F.lit(final_wm.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz") - F.expr("INTERVAL 30 SECONDS")
@@ -229,9 +312,10 @@ def test_latest_table_upserts_equal_batch_latest(spark, scratch):
         for c in ("window_start", "window_end", "computed_at"):
             df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
         batches.append(df)
-    table = LatestFeatureTable(os.path.join(scratch, "latest"), buckets=4)
-    for i, b in enumerate(batches):
-        table.upsert(b, i)
+    table = LatestFeatureTable(os.path.join(scratch, "latest"), rows_per_bucket=4, bucket_bytes=1)  # dealt anew as it grows
+    for b in batches:
+        table.upsert(b, 0)  # batch ids do not matter: a new checkpoint counts from 0 again
+    assert len([p for p in os.listdir(os.path.join(scratch, "latest").removeprefix("file:")) if p.startswith("gen=")]) == 1
     union = batches[0]
     for b in batches[1:]:
         union = union.unionByName(b)
