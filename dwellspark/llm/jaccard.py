@@ -253,27 +253,43 @@ def frequent(texts: DataFrame, total: int, n: int) -> Order:
     return Order(texts.sparkSession, bits, rows["number"].to_numpy(np.uint64), rows["df"].to_numpy(np.int64))
 
 
+def prefixes(sets: np.ndarray, at: np.ndarray, order: Order, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix shingles of a block's sets, and the set each belongs to."""
+    size = np.diff(at)
+    doc = np.repeat(np.arange(len(size)), size)
+    rank = order.rank(sets)
+    if rank.any():
+        sets = sets[np.lexsort((rank, doc))]  # stable: equal ranks stay in hash order
+    keep = size - -(-size * num // den) + 1
+    inside = (np.arange(len(sets)) - at[:-1][doc]) < keep[doc]
+    return sets[inside], doc[inside]
+
+
 def prefix_index(sets_of: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
-    """(t, owner): the prefix shingles of every set, under its ``owner``."""
+    """(t, owner, span): the prefix shingles of every set, under its block.
+
+    ``span`` packs the block's least and most set size.
+    """
     def make(part, data, doc_at):
-        sets, at = shingle_sets(data, doc_at, n)
-        size = np.diff(at)
-        doc = np.repeat(np.arange(len(size)), size)
-        rank = order.rank(sets)
-        if rank.any():
-            by = np.lexsort((rank, doc))  # stable: equal ranks stay in hash order
-            sets = sets[by]
-        keep = size - -(-size * num // den) + 1
-        at_prefix = (np.arange(len(sets)) - at[:-1][doc]) < keep[doc]
-        owner = part.column("owner").to_numpy()[doc[at_prefix]]
-        t = sets[at_prefix]
+        t, doc = prefixes(*shingle_sets(data, doc_at, n), order, num, den)
+        owner, span = (part.column(c).to_numpy()[doc] for c in ("owner", "span"))
         by = np.lexsort((owner, t))
-        t, owner = t[by], owner[by]
+        t, owner, span = t[by], owner[by], span[by]
         new = np.ones(len(t), dtype=bool)
         new[1:] = (t[1:] != t[:-1]) | (owner[1:] != owner[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(t[new].view(np.int64)), pa.array(owner[new])], ["t", "owner"])
+        yield pa.RecordBatch.from_arrays([pa.array(t[new].view(np.int64)), pa.array(owner[new]), pa.array(span[new])], ["t", "owner", "span"])
 
-    return _per_block(sets_of, ["owner"], make, "t bigint, owner bigint")
+    return _per_block(sets_of, ["owner", "span"], make, "t bigint, owner bigint, span bigint")
+
+
+def prefix_sets(sets_of: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
+    """(id, prefix): the prefix shingles of every set."""
+    def make(part, data, doc_at):
+        t, doc = prefixes(*shingle_sets(data, doc_at, n), order, num, den)
+        to = np.searchsorted(doc, np.arange(len(doc_at))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(to), pa.array(t.view(np.int64)))], ["id", "prefix"])
+
+    return _per_block(sets_of, ["id"], make, "id bigint, prefix array<bigint>")
 
 
 def overlap_needed(x: Column, y: Column, num: int, den: int) -> Column:
@@ -285,21 +301,20 @@ def after_prefix(size: Column, num: int, den: int) -> Column:
     return F.ceil(size * num / den - F.lit(1e-9)) - 1
 
 
-def candidates(index: DataFrame, bounds: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) of blocks of different leaders whose sets may link, with both leaders.
-
-    ``bounds``: owner, leader, least and most set size (low, high).
-    """
-    index = index.repartition("t").groupBy("t", "owner").agg(F.lit(1).alias("one")).select("t", "owner")
+def candidates(index: DataFrame, leaders: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of blocks of different leaders whose sets may link, with both leaders."""
+    index = index.repartition("t").groupBy("t", "owner", "span").agg(F.lit(1).alias("one")).select("t", "owner", "span")
     left, right = index.alias("l"), index.alias("r")
     shared = (left.join(right, F.col("l.t") == F.col("r.t")).where(F.col("l.owner") < F.col("r.owner"))
-              .groupBy(F.col("l.owner").alias("a"), F.col("r.owner").alias("b")).agg(F.count("*").alias("shared")))
-    x = bounds.select(F.col("owner").alias("a"), F.col("leader").alias("la"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
-    y = bounds.select(F.col("owner").alias("b"), F.col("leader").alias("lb"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    size = (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
-    rest = after_prefix(F.greatest("high_a", "high_b"), num, den)
-    return (shared.join(x, "a").join(y, "b").where(size & (F.col("la") != F.col("lb")))
-            .where(F.col("shared") + rest >= overlap_needed(F.col("low_a"), F.col("low_b"), num, den)).select("a", "b", "la", "lb"))
+              .groupBy(F.col("l.owner").alias("a"), F.col("r.owner").alias("b"), F.col("l.span").alias("sa"), F.col("r.span").alias("sb"))
+              .agg(F.count("*").alias("shared")))
+    low, high = (lambda c: F.shiftright(c, 32)), (lambda c: c.bitwiseAND(0xFFFFFFFF))
+    size = (high(F.col("sa")) * den >= low(F.col("sb")) * num) & (high(F.col("sb")) * den >= low(F.col("sa")) * num)
+    rest = after_prefix(F.greatest(high(F.col("sa")), high(F.col("sb"))), num, den)
+    some = shared.where(size & (F.col("shared") + rest >= overlap_needed(low(F.col("sa")), low(F.col("sb")), num, den)))
+    x = leaders.select(F.col("owner").alias("a"), F.col("leader").alias("la"))
+    y = leaders.select(F.col("owner").alias("b"), F.col("leader").alias("lb"))
+    return some.join(x, "a").join(y, "b").where(F.col("la") != F.col("lb")).select("a", "b", "la", "lb")
 
 
 def choose_leaders(sets: DataFrame, texts_of: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -366,8 +381,10 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
     bounds = cut_lineage(owners.groupBy(*like).agg(F.min("class_id").alias("owner"), F.min("n_shingles").alias("low"),
                                                    F.max("n_shingles").alias("high"), F.max("apart").alias("radius")))
     owners = cut_lineage(owners.join(bounds.select(*like, "owner"), like).select("class_id", "n_shingles", "leader", "apart", "owner"))
-    mapped = with_small(texts_of, owners.select(F.col("class_id").alias("id"), "owner"), "id")
-    maybe = cut_lineage(candidates(prefix_index(mapped, order, shingle, num, den), bounds, num, den))
+    span = (F.shiftleft(F.col("low"), 32) + F.col("high")).alias("span")
+    spans = owners.select(F.col("class_id").alias("id"), "owner").join(bounds.select("owner", span), "owner")
+    mapped = with_small(texts_of, cut_lineage(spans.select("id", "owner", "span")), "id")
+    maybe = cut_lineage(candidates(prefix_index(mapped, order, shingle, num, den), bounds.select("owner", "leader"), num, den))
     heads = maybe.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
     judged = cut_lineage(similarity(heads, texts_of, shingle))
     link = ["a", "b", "common", "size_a", "size_b"]
@@ -387,7 +404,7 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
              .where(F.coalesce("ca", "la") != F.coalesce("cb", "lb")).select("a", "b", "heads_apart"))
     open_ = cut_lineage(open_)
     if not open_.isEmpty():
-        links = cut_lineage(links.unionByName(_member_links(open_, owners, mapped, texts_of, order, shingle, num, den)))
+        links = cut_lineage(links.unionByName(_member_links(open_, owners, texts_of, order, shingle, num, den)))
         of = components(links.select("a", "b"))
 
     of = of.withColumnRenamed("id", "class_id")
@@ -400,38 +417,31 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
     return members.unionByName(empty), links
 
 
-def _member_links(open_: DataFrame, owners: DataFrame, mapped: DataFrame, texts_of: DataFrame, order: Order,
+def _member_links(open_: DataFrame, owners: DataFrame, texts_of: DataFrame, order: Order,
                   n: int, num: int, den: int) -> DataFrame:
     """Links between members of the block pairs ``open_`` (a, b, heads_apart).
 
-    A member meets the other block first, by its count of shingles in the block's
-    prefixes; only members that pass on both sides are paired.
+    The members of the smaller block go to those of the larger one with their
+    prefixes; a pair leaves that join only if it passes all bounds.
     """
     limit = 1 - num / den
-    both = open_.unionByName(open_.select(F.col("b").alias("a"), F.col("a").alias("b"), "heads_apart"))
-    some = cut_lineage(owners.select(F.col("class_id").alias("id"), "owner", "apart", "n_shingles").join(
-        both.select(F.col("a").alias("owner")).distinct(), "owner", "left_semi"))
-    texts = with_small(mapped, some.select("id"), "id", "left_semi").select(F.col("id").alias("owner"), "text")
-    index = prefix_index(texts, order, n, num, den).withColumnRenamed("owner", "id").join(some, "id")
-    index = cut_lineage(index.select("t", "id", "owner"))
-    of_block = index.select("t", F.col("owner").alias("b")).distinct()
-    sizes = some.groupBy(F.col("owner").alias("b")).agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("apart").alias("far"))
-    met = (index.withColumnRenamed("owner", "a").join(both, "a").join(of_block, ["t", "b"])
-           .groupBy("id", "a", "b").agg(F.count("*").alias("shared"), F.first("heads_apart").alias("heads_apart"))
-           .join(some.select("id", "apart", "n_shingles"), "id").join(sizes, "b"))
-    rest = after_prefix(F.greatest("n_shingles", "high"), num, den)
-    met = cut_lineage(met.where((F.col("shared") + rest >= overlap_needed(F.col("n_shingles"), F.col("low"), num, den))
-                                & (F.col("heads_apart") <= F.col("apart") + F.col("far") + limit + 1e-9))
-                      .select("id", "a", "b", "heads_apart", "apart", "n_shingles"))
-    x = met.where("a < b").join(index.select("t", "id"), "id").select(
-        "t", "a", "b", "heads_apart", F.col("id").alias("x"), F.col("apart").alias("px"), F.col("n_shingles").alias("nx"))
-    y = met.where("a > b").join(index.select("t", "id"), "id").select(
-        "t", F.col("b").alias("a"), F.col("a").alias("b"), F.col("id").alias("y"), F.col("apart").alias("py"), F.col("n_shingles").alias("ny"))
-    pairs = (x.join(y, ["t", "a", "b"])
-             .where((F.col("heads_apart") <= F.col("px") + F.col("py") + limit + 1e-9)
-                    & (F.col("nx") * den >= F.col("ny") * num) & (F.col("ny") * den >= F.col("nx") * num))
-             .groupBy("x", "y").agg(F.count("*").alias("shared"), F.first("nx").alias("nx"), F.first("ny").alias("ny")))
+    both = open_.select("a").unionByName(open_.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "owner")
+    some = cut_lineage(owners.select(F.col("class_id").alias("id"), "owner", "apart", "n_shingles").join(both, "owner", "left_semi"))
+    texts = with_small(texts_of, some.select("id"), "id", "left_semi")
+    some = cut_lineage(prefix_sets(texts, order, n, num, den).dropDuplicates(["id"]).join(some, "id"))
+    count = some.groupBy("owner").agg(F.count("*").alias("k"))
+    sized = (open_.join(count.select(F.col("owner").alias("a"), F.col("k").alias("ka")), "a")
+             .join(count.select(F.col("owner").alias("b"), F.col("k").alias("kb")), "b"))
+    first = F.col("ka") <= F.col("kb")
+    sized = sized.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("few"),
+                         F.when(first, F.col("b")).otherwise(F.col("a")).alias("many"), "heads_apart")
+    x = some.select(F.col("owner").alias("few"), F.col("id").alias("x"), F.col("prefix").alias("qx"), F.col("apart").alias("px"), F.col("n_shingles").alias("nx"))
+    y = some.select(F.col("owner").alias("many"), F.col("id").alias("y"), F.col("prefix").alias("qy"), F.col("apart").alias("py"), F.col("n_shingles").alias("ny"))
+    x = sized.join(x, "few")
     rest = after_prefix(F.greatest("nx", "ny"), num, den)
-    pairs = pairs.where(F.col("shared") + rest >= overlap_needed(F.col("nx"), F.col("ny"), num, den))
-    judged = similarity(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), texts_of, n)
+    near = ((x["many"] == y["many"]) & (F.col("heads_apart") <= F.col("px") + F.col("py") + limit + 1e-9)
+            & (F.col("nx") * den >= F.col("ny") * num) & (F.col("ny") * den >= F.col("nx") * num)
+            & (F.size(F.array_intersect("qx", "qy")) + rest >= overlap_needed(F.col("nx"), F.col("ny"), num, den)))
+    pairs = x.join(y, near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    judged = similarity(pairs, texts_of, n)
     return judged.where(linked(num, den)).select("a", "b", "common", "size_a", "size_b")
