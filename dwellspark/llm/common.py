@@ -56,7 +56,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def text_blocks(batch: pa.RecordBatch, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def text_blocks(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes in its ``text`` column; a row is never cut."""
     _, at = utf8(batch.column("text"))
     row = 0
