@@ -63,3 +63,44 @@ def divergence_report(events_with_arrival: DataFrame, stream_spec: FeatureSpec,
         "batch_event_count",
         "stream_event_count",
         "late_count", reason.alias("reason"))
+
+
+REASON_OPEN = "open_window"
+REASON_UNMATCHED = "content_without_metadata"
+
+
+def counted_rows(user: DataFrame, content: DataFrame, affinity: DataFrame) -> DataFrame:
+    """Feature results in long form with the events behind each value (NTZ windows)."""
+    window = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    pairs = F.explode(F.array(F.struct(F.lit("click_rate").alias("n"), F.col("click_rate").alias("v")),
+                              F.struct(F.lit("avg_dwell_time").alias("n"), F.col("avg_dwell_time").alias("v"))))
+    u = user.select(F.col("user_id").alias("entity_id"), *window, F.col("event_count").alias("events"), pairs.alias("p"))
+    u = u.select("entity_id", F.col("p.n").alias("feature_name"), "window_start", "window_end", F.col("p.v").alias("value"), "events")
+    c = content.select(F.col("content_id").alias("entity_id"), F.lit("engagement_rate").alias("feature_name"), *window,
+                       F.col("engagement_rate").alias("value"), F.col("event_count").alias("events"))
+    score = F.col("category_affinity_score")
+    a = affinity.select(F.col("user_id").alias("entity_id"), "feature_name", *window, score.cast("double").alias("value"), score.alias("events"))
+    return u.unionByName(c).unionByName(a)
+
+
+def feature_comparison(batch: DataFrame, stream: DataFrame, closed_until, unknown_feature: str) -> DataFrame:
+    """Batch feature table against the stream's own output, row by row.
+
+    Both sides are ``counted_rows``; ``closed_until`` is the stream's last
+    watermark (windows that end after it were not emitted).  The reason follows
+    from what is there: a window still open, content without metadata (counted
+    by the batch only), all or some events late, or the same events under
+    another case rule.
+    """
+    key = ["entity_id", "feature_name", "window_start", "window_end"]
+    b = batch.select(*key, F.col("value").alias("batch_value"), F.col("events").alias("batch_events"))
+    s = stream.select(*key, F.col("value").alias("stream_value"), F.col("events").alias("stream_events"))
+    both = b.join(s, key, "full_outer")
+    reason = (F.when(F.col("batch_value") == F.col("stream_value"), F.lit(REASON_MATCH))
+              .when(F.col("stream_value").isNull() & (F.col("window_end") > closed_until), F.lit(REASON_OPEN))
+              .when(F.col("stream_value").isNull() & (F.col("feature_name") == unknown_feature), F.lit(REASON_UNMATCHED))
+              .when(F.col("stream_value").isNull(), F.lit(REASON_ALL_LATE))
+              .when(F.col("stream_events") < F.col("batch_events"), F.lit(REASON_LATE))
+              .otherwise(F.lit(REASON_CASE)))
+    return both.select(*key, "batch_value", "stream_value", F.abs(F.col("batch_value") - F.col("stream_value")).alias("delta"),
+                       reason.alias("reason"))

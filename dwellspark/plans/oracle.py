@@ -404,3 +404,58 @@ FROM events WHERE event_id % 50 = 0 GROUP BY 1"""
 SQL["q29_affinity_streamed"] = f"""
 WITH {EV}, {META}, {AFFINITY_STREAM}
 SELECT * FROM af WHERE window_end <= (SELECT max(ts) FROM ev) - INTERVAL 30 SECOND"""
+
+SQL["q30_batch_against_stream"] = f"""
+WITH {SLICED}, {META},
+hours AS (SELECT *, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end FROM seen),
+quarters AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
+                    time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end FROM seen),
+u AS (SELECT user_id AS entity_id, window_start, window_end,
+             CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS b_click,
+             CAST(sum(coalesce(dwell_time_ms, 0)) AS DOUBLE) / count(*) AS b_dwell, count(*) AS bn,
+             count(*) FILTER (WHERE mark IS NULL OR window_end > mark) AS sn,
+             CAST(sum(CASE WHEN lower(event_type) = 'click' THEN 1 ELSE 0 END) FILTER (WHERE mark IS NULL OR window_end > mark) AS DOUBLE) AS s_clicks,
+             CAST(sum(coalesce(dwell_time_ms, 0)) FILTER (WHERE mark IS NULL OR window_end > mark) AS DOUBLE) AS s_dwell
+      FROM hours GROUP BY 1, 2, 3),
+c AS (SELECT content_id AS entity_id, window_start, window_end, count(*) AS bn,
+             count(*) FILTER (WHERE mark IS NULL OR window_end > mark) AS sn,
+             sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS bv,
+             sum(CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE 0 END) AS be,
+             sum(CASE WHEN lower(event_type) = 'view' THEN 1 ELSE 0 END) FILTER (WHERE mark IS NULL OR window_end > mark) AS sv,
+             sum(CASE WHEN lower(event_type) IN ('purchase', 'signup') THEN 1 ELSE 0 END) FILTER (WHERE mark IS NULL OR window_end > mark) AS se
+      FROM quarters GROUP BY 1, 2, 3),
+a AS (SELECT h.user_id AS entity_id, 'category_affinity_' || coalesce(m.category, 'unknown') AS feature_name, window_start, window_end,
+             count(*) AS bn, count(*) FILTER (WHERE m.category IS NOT NULL AND (mark IS NULL OR window_end > mark)) AS sn
+      FROM hours h LEFT JOIN meta m ON h.content_id = m.content_id GROUP BY 1, 2, 3, 4),
+every AS (
+  SELECT entity_id, 'click_rate' AS feature_name, window_start, window_end, b_click AS batch_value, s_clicks / sn AS stream_value, bn, sn FROM u
+  UNION ALL SELECT entity_id, 'avg_dwell_time', window_start, window_end, b_dwell, s_dwell / sn, bn, sn FROM u
+  UNION ALL SELECT entity_id, 'engagement_rate', window_start, window_end,
+                   CASE WHEN bv > 0 THEN CAST(be AS DOUBLE) / bv ELSE 0.0 END,
+                   CASE WHEN sv > 0 THEN CAST(se AS DOUBLE) / sv ELSE 0.0 END, bn, sn FROM c
+  UNION ALL SELECT entity_id, feature_name, window_start, window_end, CAST(bn AS DOUBLE), CAST(sn AS DOUBLE), bn, sn FROM a),
+shown AS (SELECT entity_id, feature_name, window_start, window_end, batch_value,
+                 CASE WHEN sn > 0 AND window_end <= (SELECT mark FROM done) THEN stream_value END AS stream_value,
+                 window_end > (SELECT mark FROM done) AS still_open, bn, sn FROM every)
+SELECT entity_id, feature_name, window_start, window_end, batch_value, stream_value, abs(batch_value - stream_value) AS delta,
+       CASE WHEN batch_value = stream_value THEN 'match' WHEN still_open THEN 'open_window'
+            WHEN feature_name = 'category_affinity_unknown' THEN 'content_without_metadata'
+            WHEN stream_value IS NULL THEN 'all_events_late' WHEN sn < bn THEN 'late_events_excluded' ELSE 'case_rule' END AS reason
+FROM shown"""
+
+SQL["q31_first_events"] = f"""
+WITH {EV}, {ARRIVALS}
+SELECT event_id, user_id, content_id, event_type, ts, arrival_ts FROM arr ORDER BY arrival_ts, event_id LIMIT 5000"""
+
+SQL["q32_top_user_rows"] = f"""
+WITH {EV}
+SELECT user_id, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS click_rate,
+       CAST(SUM(COALESCE(dwell_time_ms, 0)) AS DOUBLE) / COUNT(*) AS avg_dwell_time, COUNT(*) AS event_count
+FROM ev GROUP BY 1, 2, 3 ORDER BY 1, 2 LIMIT 20"""
+
+SQL["q33_entities_with_feature"] = f"""
+WITH {ALL_FEATURES}, {LATEST}
+SELECT DISTINCT entity_id, 'engagement_rate' AS feature_name, CAST(NULL AS VARCHAR) AS served FROM latest WHERE feature_name = 'engagement_rate'
+UNION ALL
+SELECT entity_id, feature_name, CAST(CAST(feature_value AS BIGINT) AS VARCHAR) FROM latest WHERE feature_name LIKE 'category_affinity_%'"""

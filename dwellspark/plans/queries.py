@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where
 from dwellspark.operators import compare, enrich, features, late, metrics, profile, serving
-from dwellspark.plans import replay
+from dwellspark.plans import batch_job, replay
 from dwellspark.session import cut_lineage, remove_path, shared_path
 from dwellspark.sources import tables, wire
 from dwellspark.spec import DRIVER_SPEC
@@ -292,6 +292,52 @@ def q29_affinity_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                           "category_affinity_score", "feature_name"))
 
 
+def q30_batch_against_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch features against what the stream wrote for the same events out of order.
+
+    Content features are compared on the batch job's 15-minute windows, which are
+    every third of the stream's sliding ones.
+    """
+    events = _events(spark, sf_dir)
+    job, source = _replayed(spark, _arrivals(spark, sf_dir), "q30", AUDIT_SLICES, "arrival_ts",
+                            metadata=lambda s: tables.driver_content_metadata(s, sf_dir))
+    job.run_all(source, audit=False)
+    content = job.features("content").where(F.unix_seconds(F.col("window_start").cast("timestamp")) % 900 == 0)
+    stream = compare.counted_rows(job.features("user"), content, job.features("affinity"))
+    enriched = enrich.enrich_events(events, _latest_meta(spark, sf_dir), how="left")
+    batch = compare.counted_rows(
+        features.user_hourly_features(events, BATCH_SPEC), features.content_engagement(events, BATCH_SPEC, sliding=False),
+        features.category_affinity(enriched, BATCH_SPEC, keep_unmatched=True))
+    until = events.agg((F.max("ts") - F.make_interval(secs=F.lit(SPEC.watermark_delay_s))).alias("t")).scalar()
+    unknown = f"{SPEC.affinity_prefix}{SPEC.unknown_category}"
+    return _finished(job, compare.feature_comparison(batch, stream, until, unknown))
+
+
+def q31_first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounded consume: the first 5000 events in arrival order."""
+    return batch_job.first_events(_arrivals(spark, sf_dir), FIRST_EVENTS, ("arrival_ts", "event_id")).select(
+        "event_id", "user_id", "content_id", "event_type", "ts", "arrival_ts")
+
+
+def q32_top_user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The console summary: the first 20 user features by user and window."""
+    rows = features.user_hourly_features(_events(spark, sf_dir), BATCH_SPEC)
+    return serving.top_rows(rows, ["user_id", "window_start"], 20)
+
+
+def q33_entities_with_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities that have an engagement rate, and the text that is served for it."""
+    latest = serving.latest_features(_all_features(spark, sf_dir))
+    served = serving.served_value_text(F.col("feature_name"), F.col("feature_value"))
+    with_it = serving.entities_with_feature(latest, "engagement_rate")
+    affinity = latest.where(F.startswith("feature_name", F.lit(SPEC.affinity_prefix)))
+    return with_it.select("entity_id", F.lit("engagement_rate").alias("feature_name"), F.lit(None).cast("string").alias("served")).unionByName(
+        affinity.select("entity_id", "feature_name", served.alias("served")))
+
+
+# Fixed value: the bounded consume's default number of events.
+FIRST_EVENTS = 5000
+
 QUERIES = {
     "q01_user_hourly_features": q01_user_hourly_features,
     "q02_user_features_long": q02_user_features_long,
@@ -322,4 +368,8 @@ QUERIES = {
     "q27_latest_table_lookup": q27_latest_table_lookup,
     "q28_quarantine_streamed": q28_quarantine_streamed,
     "q29_affinity_streamed": q29_affinity_streamed,
+    "q30_batch_against_stream": q30_batch_against_stream,
+    "q31_first_events": q31_first_events,
+    "q32_top_user_rows": q32_top_user_rows,
+    "q33_entities_with_feature": q33_entities_with_feature,
 }

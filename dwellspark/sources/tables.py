@@ -43,13 +43,18 @@ def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_content_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versioned content metadata derived from ``part``.
+    """Versioned content metadata derived from the ``part`` table of ``sf_dir``."""
+    return content_metadata(read_table(spark, sf_dir, "part"))
+
+
+def content_metadata(part: DataFrame) -> DataFrame:
+    """Versioned content metadata derived from a table like ``part``.
 
     content_id = p_partkey (text), category = p_type, creator_id = p_brand,
     seq = 1.  Keys with p_partkey % 7 = 0 get a second, later version
     (seq = 2) whose category is lower-cased, so latest-wins is observable.
     """
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    part = part.select("p_partkey", "p_type", "p_brand")
     v1 = part.select(
         F.col("p_partkey").cast("string").alias("content_id"),
         F.col("p_type").alias("category"),
