@@ -26,7 +26,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest doc_id) of each component of linked documents; wordless ones stay."""
+    """One document (the smallest doc_id) of each component of linked documents.
+
+    Documents without words, or without a doc_id, stay.
+    """
     members, _ = jaccard.jaccard_join(docs)
     gone = cut_lineage(members.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct())
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("k"))
