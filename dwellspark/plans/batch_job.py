@@ -47,6 +47,8 @@ def run(spark: SparkSession, events: DataFrame, metadata: DataFrame | None, spec
         enriched = events.withColumn("category", F.lit(None).cast("string"))
     affinity = features.category_affinity(enriched, bspec, keep_unmatched=True)
 
+    # each result is read twice, for the summary and the export: aggregate once
+    user, content, affinity = (cut_lineage(x) for x in (user, content, affinity))
     profile.event_profile(events).show(truncate=False)
     profile.event_type_counts(events).show(truncate=False)
     for name, df, keys in (("user", user, ["user_id", "window_start"]),
