@@ -108,12 +108,24 @@ class BlockTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.check = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        # known units, sorted by key: a large part, and a small one that new units are merged into
+        empty = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.parts = [empty, empty]  # each: key, check, place of the first id, number of ids
         self.ids = np.zeros(0, np.uint32)
 
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(known, check, at, count) of sorted keys."""
+        known = np.zeros(len(keys), dtype=bool)
+        out = np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        for part in self.parts:
+            if len(part[0]):
+                place = np.minimum(np.searchsorted(part[0], keys), len(part[0]) - 1)
+                here = part[0][place] == keys
+                known |= here
+                for to, column in zip(out, part[1:]):
+                    to[here] = column[place[here]]
+        return known, *out
+
     def encode(self, data: np.ndarray, doc_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block in a row, and the offsets of its documents in them."""
         raw = data.tobytes()
@@ -134,21 +146,18 @@ class BlockTokenizer:
         check = b[first]
         if not np.array_equal(check[which], b):
             return self._direct(raw, doc_at)
-        if len(self.keys) + len(keys) > self.most:
+        if sum(len(part[0]) for part in self.parts) + len(keys) > self.most:
             self._forget()
-        place = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), dtype=bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == keys[inside]
-        if not np.array_equal(self.check[place[known]], check[known]):
+        known, its_check, at, count = self._find(keys)
+        if not np.array_equal(its_check[known], check[known]):
             return self._direct(raw, doc_at)
         if not known.all():
             new = np.flatnonzero(~known)
             self._learn(raw, kind, starts[first[new]], ends[first[new]], keys[new], check[new])
-            place = np.searchsorted(self.keys, keys)
-        count = self.count[place][which]
+            _, _, at, count = self._find(keys)
+        at, count = at[which], count[which]
         upto = np.concatenate(([0], np.cumsum(count)))
-        ids = self.ids[np.repeat(self.at[place][which] - upto[:-1], count) + np.arange(upto[-1])]
+        ids = self.ids[np.repeat(at - upto[:-1], count) + np.arange(upto[-1])]
         return ids, upto[np.searchsorted(starts, doc_at)]
 
     def _direct(self, raw: bytes, doc_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,12 +195,15 @@ class BlockTokenizer:
         order, count = np.concatenate(order), np.concatenate(count).astype(np.int64)
         at = len(self.ids) + np.concatenate(([0], np.cumsum(count)[:-1]))
         self.ids = np.concatenate([self.ids, *ids])
-        keys = np.concatenate((self.keys, keys[order]))
-        by = np.argsort(keys, kind="stable")
-        self.keys = keys[by]
-        self.check = np.concatenate((self.check, check[order]))[by]
-        self.at = np.concatenate((self.at, at))[by]
-        self.count = np.concatenate((self.count, count))[by]
+        self.parts[1] = self._merged(self.parts[1], (keys[order], check[order], at, count))
+        if len(self.parts[1][0]) > max(50_000, len(self.parts[0][0]) // 8):
+            self.parts = [self._merged(*self.parts), tuple(c[:0] for c in self.parts[1])]
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        columns = [np.concatenate(c) for c in zip(a, b)]
+        by = np.argsort(columns[0], kind="stable")
+        return tuple(c[by] for c in columns)
 
 
 _KEPT: dict[str, BlockTokenizer] = {}
