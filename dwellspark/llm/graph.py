@@ -8,26 +8,32 @@ from pyspark.sql import functions as F
 from dwellspark.llm.common import cut_lineage
 
 
+PART = 250_000  # edges per partition
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id in ``edges`` (a, b): the smallest id that it reaches.
 
     Alternating large-star and small-star steps: each links the neighbours of a
     node to the smallest of them.  The edge list never grows, and a step is one
     grouping with map-side combining plus one join.  Ends when a round changes
-    nothing.
+    nothing.  Few edges are kept in few partitions (``PART`` each), so that a round
+    over a small list does not leave a file per shuffle partition and task.
     """
     edges = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    parts = max(1, -(-edges.count() // PART))
+    edges = edges.coalesce(parts)
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = (both.join(low, "a").where(F.col("b") > F.col("a"))
-                 .select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct())
+                 .select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").coalesce(parts).distinct())
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select("a", "b", "low")
         small = (small.select("a", F.col("low").alias("b"))
-                 .unionByName(small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
-        edges = cut_lineage(small)
+                 .unionByName(small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).coalesce(parts).distinct())
+        edges = cut_lineage(small.coalesce(parts))
         row = edges.agg(F.count("*").alias("n"), F.sum(F.col("b").cast("decimal(38,0)")).alias("s"),
                         F.countDistinct("a").alias("d")).first()
         if row["n"] == row["d"] and mark == (row["n"], row["s"]):
