@@ -107,12 +107,13 @@ def decreasing_best_fit(lengths: list[int], room: int) -> Bins:
     return bins
 
 
-def local_search(bins: Bins, tries: int = 64, steps: int = 20) -> None:
+def local_search(bins: Bins, tries: int = 64, steps: int = 1, again: int = 20) -> None:
     """Exchange pieces between underfull bins, the emptiest first, until none can be emptied.
 
     Every step moves fill from one bin to one that is at least as full, so the sum
     of squared fills grows.  ``tries`` bounds the bins that are looked at for one
-    exchange, and ``steps`` the exchanges per bin.
+    exchange and the bins that may be stuck in a row, ``steps`` the exchanges per bin, and ``again`` how often bins that
+    were stuck are looked at once more after others have changed.
     """
     stuck: set[int] = set()
     left = steps * len(bins.items)
@@ -121,7 +122,7 @@ def local_search(bins: Bins, tries: int = 64, steps: int = 20) -> None:
         if sum(bins.free[b] for b in open_) < bins.room:  # no bin can go
             return
         open_ = [b for b in open_ if b not in stuck]
-        if not open_:
+        if not open_ or len(stuck) >= tries:
             return
         out = max(open_, key=lambda b: bins.free[b])
         moved = False
@@ -130,7 +131,8 @@ def local_search(bins: Bins, tries: int = 64, steps: int = 20) -> None:
             left -= 1
         if not bins.items[out]:
             bins.drop(out)
-        if moved:
+        if moved and again > 0:
+            again -= 1
             stuck.clear()  # other bins have changed: those that were stuck may not be
         if bins.items[out]:
             stuck.add(out)
