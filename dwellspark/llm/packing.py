@@ -107,35 +107,25 @@ def decreasing_best_fit(lengths: list[int], room: int) -> Bins:
     return bins
 
 
-def local_search(bins: Bins, tries: int = 64, steps: int = 1, again: int = 20) -> None:
-    """Exchange pieces between underfull bins, the emptiest first, until none can be emptied.
+def local_search(bins: Bins, tries: int = 64) -> None:
+    """Exchange pieces between underfull bins, the emptiest first, until no exchange is left or no bin can go.
 
     Every step moves fill from one bin to one that is at least as full, so the sum
-    of squared fills grows.  ``tries`` bounds the bins that are looked at for one
-    exchange and the bins that may be stuck in a row, ``steps`` the exchanges per bin, and ``again`` how often bins that
-    were stuck are looked at once more after others have changed.
+    of squared fills grows and the search ends.  ``tries`` bounds the bins that are
+    looked at for one exchange.
     """
-    stuck: set[int] = set()
-    left = steps * len(bins.items)
-    while left > 0:
-        open_ = [b for b, f in enumerate(bins.free) if f and bins.items[b]]
-        if sum(bins.free[b] for b in open_) < bins.room:  # no bin can go
-            return
-        open_ = [b for b in open_ if b not in stuck]
-        if not open_ or len(stuck) >= tries:
-            return
-        out = max(open_, key=lambda b: bins.free[b])
+    left = sum(f for b, f in enumerate(bins.free) if bins.items[b])
+    moved = True
+    while moved:
         moved = False
-        while left > 0 and bins.items[out] and _step(bins, out, tries):
-            moved = True
-            left -= 1
-        if not bins.items[out]:
-            bins.drop(out)
-        if moved and again > 0:
-            again -= 1
-            stuck.clear()  # other bins have changed: those that were stuck may not be
-        if bins.items[out]:
-            stuck.add(out)
+        for out in sorted((b for b, f in enumerate(bins.free) if f and bins.items[b]), key=lambda b: -bins.free[b]):
+            if left < bins.room:  # no bin can go
+                return
+            while bins.items[out] and bins.free[out] and _step(bins, out, tries):
+                moved = True
+            if not bins.items[out]:
+                bins.drop(out)
+                left -= bins.room
 
 
 def _step(bins: Bins, out: int, tries: int) -> bool:

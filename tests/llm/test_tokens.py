@@ -127,6 +127,20 @@ def test_local_search_empties_bins():
     assert len(set(where)) == 2
 
 
+def built(rows, room=100):
+    bins = packing.Bins(room)
+    for b, row in enumerate(rows):
+        for k, n in enumerate(row):
+            bins.add(b if k else -1, (n, 1000 * b + k))
+    return bins
+
+
+def test_bins_that_are_stuck_do_not_end_the_search():
+    bins = built([[60]] * 70 + [[61], [60, 39]])
+    packing.local_search(bins)
+    assert bins.free[71] == 0  # 61 for 60
+
+
 def test_sequences_hold_the_pieces(spark):
     docs = spark.createDataFrame([(i, "some words here " * (i + 1)) for i in range(20)], "doc_id long, text string")
     pieces = packing.token_pieces(docs, tokenizer_path=byte_bpe(), room=64)
