@@ -4,9 +4,9 @@ A document's ids are cut only if they exceed a sequence: into full pieces, the
 first one taking the rest.  Full pieces are sequences of their own.  The other
 pieces are dealt to shards by a hash (about ``shard_pieces`` each), and a shard is
 packed in one task: best-fit decreasing first, then local search empties bins.
-The emptiest bin's pieces move to bins with room, are exchanged one for one with
-smaller pieces of fuller bins, two for one, or one for two; each step fills a
-fuller bin further, so the sum of squared fills grows and the search ends.  A bin
+One or two pieces of the emptiest bin move to a bin with room, or are exchanged for
+one or two of a fuller bin that are shorter; each step fills a fuller bin further,
+so the sum of squared fills grows, and the search ends when no step is left.  A bin
 that has lost its pieces is gone.
 
 Defined results: a null text has only the end id; rows that agree in doc_id are
@@ -107,70 +107,140 @@ def decreasing_best_fit(lengths: list[int], room: int) -> Bins:
     return bins
 
 
-def local_search(bins: Bins, tries: int = 64) -> None:
+def _sums(items: list[tuple[int, int]]) -> int:
+    """The lengths of one piece and of two, as the bits of an integer."""
+    one = two = 0
+    for n, _ in items:
+        two |= one << n
+        one |= 1 << n
+    return one | two
+
+
+def _of(items: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
+    """The piece, or two pieces, of this length; none for 0."""
+    before: dict[int, tuple[int, int]] = {}
+    both = []
+    for item in items if length else []:
+        if item[0] == length:
+            return [item]
+        if not both and length - item[0] in before:
+            both = [before[length - item[0]], item]
+        before[item[0]] = item
+    return both
+
+
+class Partners:
+    """The underfull bins by free room, with the lengths that an exchange can take from them.
+
+    A set of lengths is an integer with a bit per length; a bin gives 0 (a mere move),
+    a piece or two.  ``index`` has, per free room f, what its bins give and what can
+    come instead, 1 to f longer.  A bin that leaves may stay in there until a lookup
+    finds no bin; then that room's sets are made anew.
+    """
+
+    def __init__(self, bins: Bins):
+        self.bins = bins
+        self.gives: dict[int, int] = {}
+        self.kinds: dict[int, dict[int, set[int]]] = {}  # by free room and gives
+        self.index: dict[int, tuple[int, int]] = {}
+        self.clock = 0
+        self.came: dict[int, int] = {}  # when a bin last came to a free room
+
+    def put(self, bin_: int) -> None:
+        free = self.bins.free[bin_]
+        if free and self.bins.items[bin_]:
+            gives = self.gives[bin_] = 1 | _sums(self.bins.items[bin_])
+            self.kinds.setdefault(free, {}).setdefault(gives, set()).add(bin_)
+            held, fits = self.index.get(free, (0, 0))
+            if gives & ~held:
+                self.index[free] = held | gives, fits | _longer(gives, free)
+            self.clock += 1
+            self.came[free] = self.clock
+
+    def cut(self, bin_: int) -> None:
+        free = self.bins.free[bin_]
+        kinds, gives = self.kinds[free], self.gives[bin_]
+        kinds[gives].discard(bin_)
+        if not kinds[gives]:
+            del kinds[gives]
+        if not kinds:
+            del self.kinds[free], self.index[free]
+
+    def find(self, out: int, since: int) -> tuple[int, int, int] | None:
+        """A bin as full as ``out`` or fuller, the length it gets and the shorter one it gives.
+
+        The bins with most room come first, and there the largest difference.  Rooms
+        that no bin has come to after ``since`` are left out.
+        """
+        mine = _sums(self.bins.items[out])
+        for free in sorted(self.kinds, reverse=True):
+            if free > self.bins.free[out] or self.came[free] <= since:
+                continue
+            fresh = False
+            while mine & self.index[free][1]:
+                held, more = self.index[free][0], free
+                while not mine & held << more:
+                    more -= 1
+                gets = (mine & held << more).bit_length() - 1
+                for gives, some in self.kinds[free].items():
+                    if gives >> gets - more & 1:
+                        return next(iter(some)), gets, gets - more
+                assert not fresh
+                held, fresh = 0, True
+                for gives in self.kinds[free]:
+                    held |= gives
+                self.index[free] = held, _longer(held, free)
+        return None
+
+
+def _longer(lengths: int, most: int) -> int:
+    """The lengths that are 1 to ``most`` above one of these."""
+    out, done = lengths << 1, 1
+    while done < most:
+        more = min(done, most - done)
+        out |= out << more
+        done += more
+    return out
+
+
+def local_search(bins: Bins) -> None:
     """Exchange pieces between underfull bins, the emptiest first, until no exchange is left or no bin can go.
 
     Every step moves fill from one bin to one that is at least as full, so the sum
-    of squared fills grows and the search ends.  ``tries`` bounds the bins that are
-    looked at for one exchange.
+    of squared fills grows and the search ends.  A bin that was stuck and has not
+    changed is held against the bins that have changed since.
     """
     left = sum(f for b, f in enumerate(bins.free) if bins.items[b])
+    partners = Partners(bins)
+    for b in range(len(bins.items)):
+        partners.put(b)
+    stuck: dict[int, int] = {}  # since when
     moved = True
     while moved:
         moved = False
         for out in sorted((b for b, f in enumerate(bins.free) if f and bins.items[b]), key=lambda b: -bins.free[b]):
             if left < bins.room:  # no bin can go
                 return
-            while bins.items[out] and bins.free[out] and _step(bins, out, tries):
+            if not bins.free[out]:  # filled meanwhile
+                continue
+            partners.cut(out)
+            while bins.items[out] and (found := partners.find(out, stuck.get(out, 0))):
+                b, gets, gives = found
+                partners.cut(b)
+                _exchange(bins, out, b, _of(bins.items[out], gets), _of(bins.items[b], gives))
+                partners.put(b)
+                stuck.pop(out, None)
+                stuck.pop(b, None)
                 moved = True
-            if not bins.items[out]:
+            if bins.items[out]:
+                partners.put(out)
+                stuck[out] = partners.clock
+            else:
                 bins.drop(out)
                 left -= bins.room
 
 
-def _step(bins: Bins, out: int, tries: int) -> bool:
-    """Move a piece of ``out`` away, or exchange its pieces for less."""
-    mine = sorted(bins.items[out], reverse=True)
-    room_out = bins.free[out]
-    seen = 0
-    others = []
-    mask = bins.mask & ~1
-    while mask and seen < tries:  # bins with room, the fullest first
-        free = (mask & -mask).bit_length() - 1
-        mask &= mask - 1
-        for b in bins.by_free[free]:
-            if b != out and free <= room_out and bins.items[b]:
-                others.append(b)
-                seen += 1
-                if seen >= tries:
-                    break
-    for item in mine:  # a move
-        for b in others:
-            if bins.free[b] >= item[0]:
-                bins.remove(out, item)
-                bins.add(b, item)
-                return True
-    for b in others:
-        free, theirs = bins.free[b], sorted(bins.items[b])
-        for x in mine:
-            y = next((y for y in theirs if x[0] - free <= y[0] < x[0]), None)  # one for one
-            if y:
-                return _exchange(bins, out, b, [x], [y])
-            if len(theirs) > 1:  # one of mine for two of theirs
-                for i, y in enumerate(theirs):
-                    z = next((z for z in theirs[i + 1:] if x[0] - free <= y[0] + z[0] < x[0]), None)
-                    if z:
-                        return _exchange(bins, out, b, [x], [y, z])
-        for i, x in enumerate(mine):  # two of mine for one of theirs
-            for w in mine[i + 1:]:
-                both = x[0] + w[0]
-                y = next((y for y in theirs if both - free <= y[0] < both), None)
-                if y:
-                    return _exchange(bins, out, b, [x, w], [y])
-    return False
-
-
-def _exchange(bins: Bins, out: int, b: int, mine: list, theirs: list) -> bool:
+def _exchange(bins: Bins, out: int, b: int, mine: list, theirs: list) -> None:
     for x in mine:
         bins.remove(out, x)
     for y in theirs:
@@ -179,7 +249,6 @@ def _exchange(bins: Bins, out: int, b: int, mine: list, theirs: list) -> bool:
         bins.add(b, x)
     for y in theirs:
         bins.add(out, y)
-    return True
 
 
 def pack_lengths(lengths: list[int], room: int) -> tuple[list[int], list[int]]:

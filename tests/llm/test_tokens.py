@@ -141,6 +141,27 @@ def test_bins_that_are_stuck_do_not_end_the_search():
     assert bins.free[71] == 0  # 61 for 60
 
 
+def test_a_partner_is_found_behind_many_fuller_bins():
+    bins = built([[99]] * 70 + [[60], [50, 20]])
+    packing.local_search(bins)
+    assert sorted(bins.free[70:]) == [20, 50]  # 60 for 50, though 70 bins are fuller
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_no_exchange_is_left(seed):
+    rng = random.Random(seed)
+    lengths = [rng.randint(*[(10, 60), (25, 45), (3, 99)][seed % 3]) for _ in range(400)]
+    bins = built([[n] for n in lengths]) if seed < 3 else packing.decreasing_best_fit(lengths, 100)
+    packing.local_search(bins)
+    assert sorted(n for x in bins.items for n, _ in x) == sorted(lengths)
+    open_ = [([n for n, _ in x], f) for x, f in zip(bins.items, bins.free) if x and f]
+    assert all(sum(x) + f == 100 for x, f in open_)
+    some = [({*x, *(a + b for k, a in enumerate(x) for b in x[:k])}, f) for x, f in open_]
+    left = [(x, y) for k, (mine, room) in enumerate(some) for j, (theirs, free) in enumerate(some)
+            if j != k and free <= room for x in mine for y in {0, *theirs} if 0 < x - y <= free]
+    assert sum(f for _, f in open_) < 100 or not left
+
+
 def test_sequences_hold_the_pieces(spark):
     docs = spark.createDataFrame([(i, "some words here " * (i + 1)) for i in range(20)], "doc_id long, text string")
     pieces = packing.token_pieces(docs, tokenizer_path=byte_bpe(), room=64)
