@@ -4,8 +4,10 @@ Given rules (action, host, path) fit their host and its subdomains where the url
 path starts with theirs; the longest one that fits decides.  For all other urls the
 verdict is mined: a url's tokens (host labels, host, path segments, query names,
 ending) that occur together in the urls of bad documents are found by Spark's
-FP-growth; an itemset becomes a rule if enough labelled urls hold it (support) and
-enough of those are bad (confidence), and if no smaller rule already says as much.
+FP-growth; an itemset becomes a rule if enough bad urls hold it (support, a count that
+is the same at every size), if the share of bad ones among its labelled urls is large
+enough and not below that of all labelled urls (confidence), and if no smaller rule
+already says as much.
 A rule is looked up by its rarest token only: the index lists the rules under that
 token, and a url that has the token is checked for the others.
 
@@ -87,29 +89,26 @@ def holders(rules: DataFrame, rows: DataFrame) -> DataFrame:
     return seen.join(index, "token").where(F.size(F.array_except("needed", "items")) == 0).drop("token", "needed")
 
 
-def mine(urls: DataFrame, labels: DataFrame, *, support: float = 0.002, least_urls: int = 20,
-         confidence: float = 0.6) -> DataFrame:
+def mine(urls: DataFrame, labels: DataFrame, *, least_urls: int = 20, confidence: float = 0.6) -> DataFrame:
     """rule, items, anchor, n, n_bad, confidence: the pruned rules "these tokens: bad"."""
     rows = cut_lineage(labelled_urls(urls, labels))
     totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     none = rows.sparkSession.createDataFrame([], "rule string, items array<string>, anchor string, n bigint, n_bad bigint, confidence double")
-    if not totals["bad"]:
-        return none
-    least = max(support * totals["n"], least_urls * 1.0)
-    if least > totals["bad"]:
+    if not totals["bad"] or totals["bad"] < least_urls:
         return none
     # every itemset of enough bad urls; a token that all urls hold adds nothing to one
     counts = rows.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     counts = cut_lineage(counts)
     usual = counts.where(F.col("n") >= totals["n"]).agg(F.collect_list("token").alias("t")).first()["t"]  # tokens of every url: as many as a url has
     basket = rows.where("bad = 1").select(F.array_except("items", F.array(*[F.lit(t) for t in usual]).cast("array<string>")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / totals["bad"]), minConfidence=0.0).fit(basket.where(F.size("items") > 0))
-    sets = model.freqItemsets.select(F.array_join(F.sort_array("items"), " ").alias("rule"), F.sort_array("items").alias("items"), F.col("freq").alias("n_bad"))
+    share = max(0.0, least_urls - 0.5) / totals["bad"]  # half a url less: the product with the count must not round up
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=0.0).fit(basket.where(F.size("items") > 0))
+    sets = model.freqItemsets.where(F.col("freq") >= least_urls).select(F.array_join(F.sort_array("items"), " ").alias("rule"), F.sort_array("items").alias("items"), F.col("freq").alias("n_bad"))
     sets = cut_lineage(sets)
     anchored = cut_lineage(by_rarest(sets, counts))
     held = holders(anchored, rows).groupBy("rule").agg(F.count("*").alias("n"))
     sure = (anchored.join(held, "rule").join(sets.select("rule", "n_bad"), "rule")
-            .withColumn("confidence", F.col("n_bad") / F.col("n")).where(F.col("confidence") >= confidence))
+            .withColumn("confidence", F.col("n_bad") / F.col("n")).where(F.col("confidence") >= max(confidence, totals["bad"] / totals["n"])))
     sure = cut_lineage(sure.select("rule", "items", "anchor", "n", "n_bad", "confidence"))
     # a rule that holds a smaller one is not needed: whatever it blocks is blocked
     inner = holders(sure.select("rule", "items", "anchor"), sure.select(F.col("rule").alias("outer"), "items"))
@@ -117,11 +116,11 @@ def mine(urls: DataFrame, labels: DataFrame, *, support: float = 0.002, least_ur
     return cut_lineage(sure.join(implied, "rule", "left_anti"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], *, support: float = 0.002,
-          least_urls: int = 20, confidence: float = 0.6) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], *, least_urls: int = 20,
+          confidence: float = 0.6) -> DataFrame:
     """page_id, url, host, path, rule, verdict, mined (the mined rule that blocks, if one decides)."""
     urls = cut_lineage(pages.where("url IS NOT NULL").select("url").distinct())
-    mined = mine(urls, labels, support=support, least_urls=least_urls, confidence=confidence)
+    mined = mine(urls, labels, least_urls=least_urls, confidence=confidence)
     hit = holders(mined.select("rule", "items", "anchor"), urls.select("url", tokens(F.col("url")).alias("items")))
     hit = hit.groupBy("url").agg(F.min("rule").alias("mined"))
     host, path = host_of(F.col("url")), path_of(F.col("url"))

@@ -43,6 +43,27 @@ def test_mined_rules_equal_brute_force(spark):
     assert all((r["n"], r["n_bad"]) == sure[tuple(r["items"])] for r in got)
 
 
+def test_support_is_the_same_at_every_size(spark):
+    """25 bad urls of one host give a rule among 500 labelled urls and among 15,000."""
+    for n in (500, 15_000):
+        ids = spark.range(n).withColumnRenamed("id", "doc_id")
+        host = F.when(F.col("doc_id") < 25, "spam.example.org").otherwise("good.example.org")
+        urls = ids.select(F.concat(F.lit("https://"), host, F.lit("/en/"), F.col("doc_id")).alias("url"))
+        labels = ids.select("doc_id", F.when(F.col("doc_id") < 25, 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+        got = mine(urls, labels).collect()
+        assert {(*r["items"], r["n"], r["n_bad"]) for r in got} == {("at:spam.example.org", 25, 25), ("host:spam", 25, 25)}
+
+
+def test_a_rule_is_not_below_the_base_rate(spark):
+    """Three of four urls are bad: a host with two bad ones of three gives no rule, one with nine of ten does."""
+    rows = [(d, host, d % of == 0) for d, host, of in
+            [(d, "less.example.org", 3) for d in range(300)] + [(d, "more.example.net", 10) for d in range(300, 500)]]
+    urls = spark.createDataFrame([(f"https://{h}/en/{d}",) for d, h, _ in rows], "url string")
+    labels = spark.createDataFrame([(d, int(good), 0) for d, _, good in rows], LABELS)
+    got = mine(urls, labels).collect()
+    assert {r["items"][0] for r in got} == {"at:more.example.net", "host:more", "host:net"}
+
+
 def test_verdicts(spark):
     pages, labels, _ = site(spark)
     odd = [(1000, None), (1001, "no scheme"), (1002, "http://WWW.Example.COM/en/1"), (1003, "http://example.com/en/1"), (1004, "http://a.example.com/en/x?y=/z"),
