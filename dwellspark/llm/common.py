@@ -7,14 +7,15 @@ further columns, also ones called like an operator's outputs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.session import cut_lineage, shared_path
+from dwellspark.session import cut_lineage, remove_path, shared_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -33,15 +34,38 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def finished(spark: SparkSession, query: Callable[[], DataFrame]) -> DataFrame:
+    """A query's result as a checkpoint; the tables that it wrote on the way are deleted."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        return cut_lineage(query())
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            remove_path(spark, path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared folder; inside ``finished`` it goes with the query's end."""
+    path = shared_path(spark, name)
+    if (paths := _scratch.get()) is not None:
+        paths.append(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["WORD", "GAP", "table", "whole_text", "word_count", "written", "cut_lineage", "text_blocks", "utf8"]
+__all__ = ["WORD", "GAP", "table", "whole_text", "word_count", "written", "finished", "scratch_path", "cut_lineage", "text_blocks", "utf8"]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

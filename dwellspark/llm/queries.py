@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspark.llm import exact_dedup, html_main, huffman, jaccard, mixing, packing, site_quality, transcripts, url_filter, weak_rules
-from dwellspark.llm.common import table
+from dwellspark.llm import alignment, exact_dedup, html_main, huffman, jaccard, merkle, mixing, mixture_packing, packing, site_quality, transcripts, url_filter, weak_rules
+from dwellspark.llm.common import finished, table, written
 from dwellspark.session import shared_path
 
 
-def byte_bpe() -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
+
+
+def byte_bpe() -> str:
+    return vocabulary("byte_bpe_50k.json")
 
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -71,6 +75,27 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts.parse(transcripts.raw_transcripts(table(spark, sf_dir, "conversations")))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run() -> DataFrame:
+        rows = alignment.align(table(spark, sf_dir, "documents"), path_a=byte_bpe(), path_b=vocabulary("piece_bpe_32k.model"))
+        shown = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+        rows = written(rows.withColumn("groups_sha256", shown).drop("groups"), "alignment")
+        return alignment.scored(rows, "groups_sha256 string")
+    return finished(spark, run)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finished(spark, lambda: merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"))))
+
+
+def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run() -> DataFrame:
+        tokens = mixture_packing.token_rows(table(spark, sf_dir, "documents"), tokenizer_path=vocabulary("word_bpe_49k.json"), end_id=2)
+        return mixture_packing.pack(tokens).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                                                   "sequence_id", "offset", "source")
+    return finished(spark, run)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_mixing": op2_mixing,
@@ -82,6 +107,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_format": op10_chat_format,
+    "op11_alignment": op11_alignment,
+    "op12_merkle": op12_merkle,
+    "op13_mixture_packing": op13_mixture_packing,
 }
 
 SQL = {
@@ -91,4 +119,5 @@ SQL = {
                AND row_number() OVER (PARTITION BY coalesce(text, ''), doc_id) = 1 AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op12_merkle": merkle.oracle_sql(),
 }

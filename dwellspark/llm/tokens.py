@@ -9,11 +9,15 @@ each distinct unit is encoded by the library once and its ids are gathered by
 numpy.  Units are told apart by 128 hash bits.
 
 Where the table of a tokenizer has added tokens and a text holds one of their
-strings, that block is encoded by the library directly.
+strings, that block is encoded by the library directly (``plain``: their strings are
+ordinary text).  Tokenizers with word ends that drop white space (``word_bpe_49k.json``)
+split at the same places, so their units are cached likewise; only the encoding of new
+units together in one string needs tokens whose bytes make up the text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -97,16 +101,21 @@ def unit_starts(data: np.ndarray, doc_at: np.ndarray) -> tuple[np.ndarray, np.nd
 class BlockTokenizer:
     """Ids of whole texts; keeps the ids of up to ``most`` distinct units between blocks."""
 
-    def __init__(self, path: str, most: int = 2_000_000):
+    def __init__(self, path: str, most: int = 2_000_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = plain
         self.most = most
+        self.whole_bytes = not json.loads(self.tok.to_str())["model"].get("end_of_word_suffix")
         names = [self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
         self.n_bytes = np.array([len(x) for x in names], dtype=np.int64)
-        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = [] if plain else [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self._forget()
 
+    def units(self, data: np.ndarray, doc_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return unit_starts(data, doc_at)
+
     def _forget(self) -> None:
         # known units, sorted by key: a large part, and a small one that new units are merged into
         empty = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -131,7 +140,7 @@ class BlockTokenizer:
         raw = data.tobytes()
         if any(x in raw for x in self.added):
             return self._direct(raw, doc_at)
-        starts, kind = unit_starts(data, doc_at)
+        starts, kind = self.units(data, doc_at)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(doc_at), np.int64)
         ends = np.append(starts[1:], len(data))
@@ -171,7 +180,7 @@ class BlockTokenizer:
         units = [raw[i:j] for i, j in zip(starts.tolist(), ends.tolist())]
         # units that begin with a space or newline and end in a certain character can stand in one string
         lead, last = kind[starts], kind[ends - 1]
-        row = (lead == SPACE) & (last != SPACE) & (last != 0)
+        row = (lead == SPACE) & (last != SPACE) & (last != 0) & self.whole_bytes
         together, alone = np.flatnonzero(row), np.flatnonzero(~row)
         ids, count, order = [], [], []
         for k in range(0, len(together), 2000):
@@ -188,7 +197,7 @@ class BlockTokenizer:
                 alone = np.concatenate((alone, part))
         for k in range(0, len(alone), 20_000):
             part = alone[k:k + 20_000]
-            got = [x.ids for x in self.tok.encode_batch_fast([units[i].decode() for i in part], add_special_tokens=False)]
+            got = self._each([units[i] for i in part])
             ids.append(np.array([i for x in got for i in x], dtype=np.uint32))
             count.append(np.array([len(x) for x in got], dtype=np.int64))
             order.append(part)
@@ -199,6 +208,9 @@ class BlockTokenizer:
         if len(self.parts[1][0]) > max(50_000, len(self.parts[0][0]) // 8):
             self.parts = [self._merged(*self.parts), tuple(c[:0] for c in self.parts[1])]
 
+    def _each(self, units: list[bytes]) -> list[list[int]]:
+        return [x.ids for x in self.tok.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
+
     @staticmethod
     def _merged(a: tuple, b: tuple) -> tuple:
         columns = [np.concatenate(c) for c in zip(a, b)]
@@ -209,8 +221,9 @@ class BlockTokenizer:
 _KEPT: dict[str, BlockTokenizer] = {}
 
 
-def tokenizer(path: str) -> BlockTokenizer:
+def tokenizer(path: str, plain: bool = False) -> BlockTokenizer:
     """One per Python worker."""
-    if path not in _KEPT:
-        _KEPT[path] = BlockTokenizer(path)
-    return _KEPT[path]
+    key = f"plain {path}" if plain else path
+    if key not in _KEPT:
+        _KEPT[key] = BlockTokenizer(path, plain=plain)
+    return _KEPT[key]
