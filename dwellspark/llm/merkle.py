@@ -355,12 +355,12 @@ def oracle_sql(levels: int = 6, top_levels: int = 3) -> str:
         return out
 
     parts = [
-        f"""tab AS (SELECT list_transform(range(256), n -> list_reduce(list_prepend(n, range(8)),
-            (c, i) -> CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)""",
+        f"""tab AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+            lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)""",
         f"""hashed AS (SELECT doc_id, coalesce('x' || lang, '') AS g, sha256({head} || {field('text')}) AS leaf,
             sha256({head} || {field(f"translate(text, '{upper}', '{lower}')")}) AS low,
-            xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
-                (c, b) -> xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+            xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
             FROM documents, tab)""",
         f"""placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS ai,
             count(*) OVER (PARTITION BY g) AS n FROM hashed)""",
