@@ -65,14 +65,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["WORD", "GAP", "table", "whole_text", "word_count", "written", "finished", "scratch_path", "cut_lineage", "text_blocks", "utf8"]
+__all__ = ["WORD", "GAP", "table", "whole_text", "word_count", "written", "finished", "scratch_path", "cut_lineage", "text_blocks", "utf8", "whole_bytes"]
 
 
-def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column and its row offsets (nulls are empty)."""
+def whole_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string or binary column and its row offsets (nulls are empty)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_binary()).fill_null(b"")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
     if data is None or len(at) < 2:
@@ -80,9 +80,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def text_blocks(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``most`` bytes in its ``text`` column; a row is never cut."""
-    _, at = utf8(batch.column("text"))
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column and its row offsets (nulls are empty)."""
+    return whole_bytes(column)
+
+
+def text_blocks(batch: pa.RecordBatch, most: int = 1 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes in one column; a row is never cut."""
+    _, at = whole_bytes(batch.column(column))
     row = 0
     while row < batch.num_rows:
         end = max(row + 1, int(np.searchsorted(at, at[row] + most, side="right")) - 1)

@@ -46,12 +46,13 @@ def exact_groups(docs: DataFrame, *, text: Callable[[Column], Column] = lambda c
         clash = (norm.join(shared, "h", "left_semi").join(texts.join(shared, "h", "left_semi"), ["h", "t"])
                  .select("h", "doc_id", "keep_id", "group_size", F.unhex(F.sha2(F.col("t"), 256)).alias("sha")))
         every = every.unionByName(clash)
-    every = every.withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
-    copy = F.row_number().over(Window.partitionBy("doc_id", "text_sha256", "h").orderBy(F.lit(1)))
+    # numbered by (doc_id, text), not by hash, so that adaptive execution can split the join above
+    # at the hash of a large group; only rows that agree in both meet in one task
+    copy = F.row_number().over(Window.partitionBy("doc_id", "sha").orderBy(F.lit(1)))
     return every.select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (copy == 1)).alias("kept"),
-        "text_sha256", F.col("h").alias("content_hash"))
+        F.lower(F.hex("sha")).alias("text_sha256"), F.col("h").alias("content_hash"))
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:

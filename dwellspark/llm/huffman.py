@@ -1,10 +1,10 @@
 """Token ids in a binary file format: canonical length-limited Huffman codes.
 
-Writing takes two passes over the texts.  The first counts every id over all
-documents (each task sends at most one row per id).  The code lengths come from
-package-merge over the vocabulary, at most ``limit`` bits, and the codes are the
-canonical ones, so the file needs the lengths only.  The second pass deals the
-texts by ranges of doc_id, sorts them, encodes and writes blocks.
+The texts are tokenised once: their ids are written down, with the counts of each
+block, which Spark adds up.  The code lengths come from package-merge over the
+vocabulary, at most ``limit`` bits, and the codes are the canonical ones, so the file
+needs the lengths only.  Then the ids are dealt by ranges of doc_id, sorted, encoded
+and written in blocks.
 
 A file set is a folder with two tables, written by Spark's own committers:
 
@@ -17,8 +17,8 @@ A block holds whole documents with about ``block_ids`` ids and is decoded withou
 any other; all its checkpoints are decoded side by side by table lookups.
 
 Defined results: a null text is empty (the end id only); rows that agree in doc_id
-stay side by side in the order of their text's hash; a null doc_id stands first;
-an empty table gives empty tables.
+stay side by side in the order of their text's hash; rows without a doc_id stand first
+(in one range, like all rows of one doc_id); an empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dwellspark.llm.common import text_blocks, utf8, whole_text
+from dwellspark.llm.common import text_blocks, utf8, whole_bytes, whole_text, written
 from dwellspark.llm.tokens import tokenizer
 
 STRIDE = 256
@@ -44,24 +44,43 @@ def with_end(ids: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray,
     return np.insert(ids, at[1:], end_id).astype(np.uint32), at + np.arange(len(at))
 
 
-def count_ids(texts: DataFrame, path: str, end_id: int) -> DataFrame:
-    """id, n over all documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
+TOKENS = "doc_id bigint, tie bigint, ids binary, used array<int>, times array<bigint>"
+
+
+def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """One row per document: doc_id, tie (a hash of its text), ids (little-endian, 16-bit where
+    the vocabulary allows, else 32-bit).
+
+    The first row of each block of texts also has the block's counts: ids ``used`` and
+    how many ``times``.
+    """
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_blocks(batch):
-                data, at = utf8(part.column("text"))
-                ids, _ = tokenizer(path).encode(data, at)
-                some = np.bincount(ids, minlength=len(total))
-                some[:len(total)] += total
-                total = some
-                if len(total) <= end_id:
-                    total = np.pad(total, (0, end_id + 1 - len(total)))
-                total[end_id] += part.num_rows
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+                tok = tokenizer(path)
+                ids, at = with_end(*tok.encode(*utf8(part.column("text"))), end_id)
+                kind = id_kind(len(tok.n_bytes), end_id)
+                total = np.bincount(ids)
+                used = np.flatnonzero(total)
+                once = pa.array(np.concatenate(([0], np.full(part.num_rows, len(used)))).astype(np.int32))
+                whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [
+                    None, pa.py_buffer((at * kind.itemsize).astype(np.int64)), pa.py_buffer(ids.astype(kind))]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("tie"), whole, pa.ListArray.from_arrays(once, pa.array(used.astype(np.int32))),
+                    pa.ListArray.from_arrays(once, pa.array(total[used]))], ["doc_id", "tie", "ids", "used", "times"])
 
-    return texts.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    text = whole_text("text")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie")).mapInArrow(encode, TOKENS)
+
+
+def id_kind(vocabulary: int, end_id: int) -> np.dtype:
+    return np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
+
+
+def count_ids(tokens: DataFrame) -> DataFrame:
+    """id, n over all documents."""
+    pair = F.explode(F.arrays_zip("used", "times")).alias("p")
+    return tokens.where(F.size("used") > 0).select(pair).groupBy(F.col("p.used").alias("id")).agg(F.sum("p.times").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -157,8 +176,8 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int
               block_ids: int = 1 << 16) -> None:
     """Encode every text and write the file set below ``folder``."""
     spark = docs.sparkSession
-    texts = docs.select("doc_id", whole_text("text").alias("text"))
-    counted = count_ids(texts.select("text"), tokenizer_path, end_id).toPandas()  # a row per id of the vocabulary at most
+    tokens = written(token_ids(docs, tokenizer_path, end_id), "token-ids")
+    counted = count_ids(tokens).toPandas()  # a row per id of the vocabulary at most
     ids, n = counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
     lengths = code_lengths(n, limit)
     spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist())), "id bigint, length bigint").coalesce(1).write.parquet(f"{folder}/code")
@@ -178,9 +197,11 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int
             held, size, block, before = [], 0, block + 1, before + len(run)
             return pa.RecordBatch.from_pydict(row, schema=BLOCK_SCHEMA)
 
+        kind = id_kind(len(tokenizer(tokenizer_path).n_bytes), end_id)
         for batch in batches:
-            for part in text_blocks(batch):
-                run, at = with_end(*tokenizer(tokenizer_path).encode(*utf8(part.column("text"))), end_id)
+            for part in text_blocks(batch, column="ids"):
+                data, at = whole_bytes(part.column("ids"))
+                run, at = data.view(kind), at // kind.itemsize
                 row = 0
                 while row < part.num_rows:
                     upto = int(np.searchsorted(at, at[row] + block_ids - size))
@@ -193,8 +214,8 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str, end_id: int
         if held:
             yield put()
 
-    tie = F.xxhash64("text")
-    ordered = (texts.repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+    ordered = (tokens.select("doc_id", "tie", "ids").repartitionByRange("doc_id")
+               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").select("doc_id", "ids")
                .mapInArrow(blocks, BLOCKS))
     ordered.write.parquet(f"{folder}/blocks", compression="none")
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.llm import alignment, exact_dedup, html_main, huffman, jaccard, merkle, mixing, mixture_packing, packing, site_quality, transcripts, url_filter, weak_rules
-from dwellspark.llm.common import finished, table, written
-from dwellspark.session import shared_path
+from dwellspark.llm.common import finished, scratch_path, table, written
 
 
 def vocabulary(name: str) -> str:
@@ -34,9 +33,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_path(spark, "ids")
-    huffman.write_ids(table(spark, sf_dir, "documents"), folder, tokenizer_path=byte_bpe())
-    return huffman.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    def run() -> DataFrame:
+        folder = scratch_path(spark, "ids")
+        huffman.write_ids(table(spark, sf_dir, "documents"), folder, tokenizer_path=byte_bpe())
+        return huffman.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return finished(spark, run)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,3 +44,23 @@ def test_normalised_text_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "A b"), (2, "a B")], "doc_id long, text string")
     assert exact_groups(docs, text=F.lower).where("kept").select("doc_id").collect()[0][0] == 2
     assert exact_groups(docs.limit(0)).count() == 0 and drop_copies(docs.limit(0)).count() == 0
+
+
+def test_a_large_group_is_split(spark):
+    """Half of all rows are equal: adaptive execution splits the join at their hash."""
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'the same text', CONCAT('text ', id)) AS text").repartition(8)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        groups = exact_groups(docs)
+        rows = groups.collect()
+        plan = groups._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert sum(r["kept"] for r in rows) == 20_001 and max(r["group_size"] for r in rows) == 20_000
