@@ -459,3 +459,58 @@ WITH {ALL_FEATURES}, {LATEST}
 SELECT DISTINCT entity_id, 'engagement_rate' AS feature_name, CAST(NULL AS VARCHAR) AS served FROM latest WHERE feature_name = 'engagement_rate'
 UNION ALL
 SELECT entity_id, feature_name, CAST(CAST(feature_value AS BIGINT) AS VARCHAR) FROM latest WHERE feature_name LIKE 'category_affinity_%'"""
+
+
+def _family_windows() -> str:
+    """Closed windows of the three families under the replay's watermarks, and the late entries of each."""
+    sums = """CAST(sum(CASE WHEN lower(event_type) = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS clicks,
+             CAST(sum(CASE WHEN lower(event_type) = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS views,
+             CAST(sum(CASE WHEN lower(event_type) IN ('purchase', 'signup') THEN 1 ELSE 0 END) AS BIGINT) AS engagements,
+             CAST(sum(coalesce(dwell_time_ms, 0)) AS BIGINT) AS dwell_sum, count(*) AS event_count"""
+    return f"""{SLICED}, {META},
+hours AS (SELECT s.*, date_trunc('hour', s.ts) AS window_start, date_trunc('hour', s.ts) + INTERVAL 1 HOUR AS window_end, m.category
+          FROM seen s LEFT JOIN meta m ON s.content_id = m.content_id),
+fives AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) - i * INTERVAL 5 MINUTE AS window_start,
+                 time_bucket(INTERVAL 5 MINUTE, ts) - i * INTERVAL 5 MINUTE + INTERVAL 15 MINUTE AS window_end
+          FROM (SELECT *, unnest([0, 1, 2]) AS i FROM seen)),
+entry AS (SELECT 'user' AS family, user_id AS entity_id, CAST(NULL AS VARCHAR) AS category, window_start, window_end, 0 AS i,
+                 mark, f, ts, user_id, content_id, event_type, dwell_time_ms FROM hours
+          UNION ALL SELECT 'affinity', user_id, category, window_start, window_end, 0, mark, f, ts, user_id, content_id, event_type, dwell_time_ms
+          FROM hours WHERE category IS NOT NULL
+          UNION ALL SELECT 'content', content_id, NULL, window_start, window_end, i, mark, f, ts, user_id, content_id, event_type, dwell_time_ms FROM fives),
+windows AS (SELECT family, entity_id, category, window_start, window_end, {sums} FROM entry
+            WHERE (mark IS NULL OR window_end > mark) AND window_end <= (SELECT mark FROM done) GROUP BY ALL),
+late AS (SELECT * FROM entry WHERE i = 0 AND window_end <= mark)"""
+
+
+FAMILY_WINDOWS = _family_windows()
+
+SQL["q34_windows_and_late_events"] = f"""
+WITH {FAMILY_WINDOWS}
+SELECT 'window' AS kind, family, entity_id, category, window_start, window_end, clicks, views, engagements, dwell_sum, event_count,
+       CAST(NULL AS TIMESTAMP) AS ts, CAST(NULL AS VARCHAR) AS content_id, CAST(NULL AS VARCHAR) AS event_type FROM windows
+UNION ALL
+SELECT 'late', family, entity_id, category, window_start, window_end, NULL, NULL, NULL, NULL, 1, ts, content_id, event_type FROM late"""
+
+SQL["q35_feature_records"] = f"""
+WITH {FAMILY_WINDOWS},
+feature AS (
+  SELECT entity_id, 'click_rate' AS feature_name, CAST(clicks AS DOUBLE) / event_count AS feature_value, false AS is_whole FROM windows WHERE family = 'user'
+  UNION ALL SELECT entity_id, 'avg_dwell_time', CAST(dwell_sum AS DOUBLE) / event_count, false FROM windows WHERE family = 'user'
+  UNION ALL SELECT entity_id, 'engagement_rate', CASE WHEN views > 0 THEN CAST(engagements AS DOUBLE) / views ELSE 0.0 END, false
+            FROM windows WHERE family = 'content'
+  UNION ALL SELECT entity_id, 'category_affinity_' || category, CAST(event_count AS DOUBLE), true FROM windows WHERE family = 'affinity')
+SELECT entity_id || '|' || feature_name AS key, entity_id, feature_name, feature_value, is_whole, true AS emitted_here FROM feature"""
+
+SQL["q36_stream_metric_rows"] = f"""
+WITH {FAMILY_WINDOWS},
+marks AS (SELECT f, prev_max - INTERVAL 30 SECOND AS mark FROM wm UNION ALL SELECT 8, mark FROM done),
+beat AS (SELECT w.entity_id, w.window_end, n.i, (SELECT min(f) FROM marks WHERE marks.mark >= w.window_end) AS f
+         FROM windows w, (SELECT unnest([0, 1]) AS i) n WHERE family = 'user'),
+rows AS (SELECT f, 0 AS k, epoch_us(ts) AS t, user_id AS u, coalesce(content_id, '') AS m, event_type AS l, 1 AS w, ts FROM late WHERE family = 'user'
+         UNION ALL SELECT f, 1, epoch_us(window_end), entity_id, CAST(i AS VARCHAR), '', 0, NULL FROM beat),
+ranked AS (SELECT *, row_number() OVER o AS metric_offset, sum(w) OVER o AS late_so_far FROM rows
+           WINDOW o AS (ORDER BY f, k, t, u, m, l ROWS UNBOUNDED PRECEDING))
+SELECT metric_offset, CASE WHEN k = 0 THEN 'late_event_dropped' ELSE 'watermark_heartbeat' END AS metric_type,
+       CAST(late_so_far AS BIGINT) AS running_late_count, CASE WHEN k = 0 THEN u END AS dropped_user_id, ts AS dropped_event_ts
+FROM ranked"""

@@ -335,6 +335,42 @@ def q33_entities_with_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
         affinity.select("entity_id", "feature_name", served.alias("served")))
 
 
+def _outputs(spark: SparkSession, sf_dir: str, name: str):
+    """(job, outputs): the one stateful query over all events in arrival order, one slice per micro-batch."""
+    job, source = _replayed(spark, _arrivals(spark, sf_dir), name, AUDIT_SLICES, "arrival_ts",
+                            metadata=lambda s: tables.driver_content_metadata(s, sf_dir))
+    stream_job.wait_for([job.start_outputs(source())])
+    return job, job.outputs()
+
+
+def q34_windows_and_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows of all families and their late events, from one stateful query."""
+    job, outputs = _outputs(spark, sf_dir, "q34")
+    time = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
+    return _finished(job, outputs.closed(spark).select(
+        "kind", "family", "entity_id", "category", time("start_us").alias("window_start"), time("end_us").alias("window_end"),
+        "clicks", "views", "engagements", "dwell_sum", "event_count", time("ts_us").alias("ts"), "content_id", "event_type"))
+
+
+def q35_feature_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (key, value) JSON records of the long feature sink; ``emitted_here``: stamped by this run's batches."""
+    began = spark.range(1).select(F.unix_micros(F.current_timestamp()).alias("t")).first()["t"]
+    job, outputs = _outputs(spark, sf_dir, "q35")
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return _finished(job, outputs.records(spark).select(
+        "key", field("entity_id").alias("entity_id"), field("feature_name").alias("feature_name"),
+        field("feature_value").cast("double").alias("feature_value"), (~F.contains(field("feature_value"), F.lit("."))).alias("is_whole"),
+        (F.unix_micros(F.to_timestamp(field("computed_at"))) >= F.lit(began // 1000 * 1000)).alias("emitted_here")))
+
+
+def q36_stream_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric rows of the one query: late events with their running count, a heartbeat per user feature row."""
+    job, outputs = _outputs(spark, sf_dir, "q36")
+    rows = outputs.metrics(spark)
+    return _finished(job, rows.select("metric_offset", "metric_type", F.coalesce("count", "late_events_total").alias("running_late_count"),
+                                      "dropped_user_id", "dropped_event_ts"))
+
+
 # Fixed value: the bounded consume's default number of events.
 FIRST_EVENTS = 5000
 
@@ -372,4 +408,7 @@ QUERIES = {
     "q31_first_events": q31_first_events,
     "q32_top_user_rows": q32_top_user_rows,
     "q33_entities_with_feature": q33_entities_with_feature,
+    "q34_windows_and_late_events": q34_windows_and_late_events,
+    "q35_feature_records": q35_feature_records,
+    "q36_stream_metric_rows": q36_stream_metric_rows,
 }

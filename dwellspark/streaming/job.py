@@ -36,6 +36,8 @@ from dwellspark.session import path_exists
 from dwellspark.sinks.files import LatestFeatureTable
 from dwellspark.sources import wire
 from dwellspark.spec import FeatureSpec
+from dwellspark.streaming import stateful
+from dwellspark.streaming.outputs import FeatureOutputs
 
 
 # --------------------------------------------------------------------- sources
@@ -167,6 +169,28 @@ class FeatureStreamJob:
         feats = features.category_affinity(rows, self.spec, keep_unmatched=False)
         return self._sink(_ntz(feats), "affinity", trigger={"availableNow": True})
 
+    def start_outputs(self, values: DataFrame, families: tuple[str, ...] = ("user", "content", "affinity"),
+                      kafka: tuple[str, str, str] | None = None) -> StreamingQuery:
+        """One query for the windows of all families, their late events, feature records and metrics.
+
+        Windows and late events come from one stateful operator (``stateful``), the sinks from
+        one batch writer (``outputs``).  The metadata for affinity is opened when the query starts.
+        """
+        events = wire.good_events(wire.classify_wire_events(values))
+        if "affinity" in families:
+            if self.metadata is None:
+                raise ValueError("affinity needs content metadata")
+            events = enrich.enrich_events(events, enrich.latest_metadata(self.metadata(self.spark)), how="left")
+        partitions = self.state_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        closed = stateful.closed_windows(events, self.spec, families, buckets=4 * partitions)
+        return self._start(closed.writeStream.foreachBatch(self.outputs(kafka).process).outputMode("append")
+                           .option("checkpointLocation", self.path("checkpoints", "outputs"))
+                           .trigger(**self.trigger)
+                           .queryName(f"outputs_{os.path.basename(self.root)}"))
+
+    def outputs(self, kafka: tuple[str, str, str] | None = None) -> FeatureOutputs:
+        return FeatureOutputs(self.path("outputs"), self.spec, kafka)
+
     def start_quarantine(self, values: DataFrame) -> StreamingQuery:
         """Unreadable records with their reason, as they came."""
         bad = wire.quarantined(wire.classify_wire_events(values))
@@ -383,12 +407,13 @@ def main(argv=None) -> int:
 
         python -m dwellspark.streaming.job --root <shared dir> \\
             (--input-dir <JSON-line files> | --kafka-servers host:9092 --topic user-events) \\
-            [--metadata-json <dir of metadata JSON lines>] [--once] [--interval "60 seconds"]
+            [--metadata-json <dir of metadata JSON lines>] [--once] [--interval "60 seconds"] [--one-query]
 
     Starts one append query per feature family, the late-event audit and the
     latest-value upsert, all checkpointed under ``--root``.  ``--once``
     processes what is available and stops (availableNow); otherwise the
-    queries run on a processing-time trigger until stopped.
+    queries run on a processing-time trigger until stopped.  ``--one-query``
+    runs one stateful query instead, with long feature rows and JSON records.
     """
     import argparse
 
@@ -404,6 +429,10 @@ def main(argv=None) -> int:
     p.add_argument("--max-per-trigger", type=int, default=None)
     p.add_argument("--once", action="store_true")
     p.add_argument("--interval", default="60 seconds")
+    p.add_argument("--one-query", action="store_true",
+                   help="windows, late events, feature records and metrics from one stateful query")
+    p.add_argument("--feature-topic", help="with --one-query and --kafka-servers: topic for feature records")
+    p.add_argument("--metrics-topic", default="pipeline-metrics")
     p.add_argument("--master", default=None)
     a = p.parse_args(argv)
     if not (a.input_dir or a.kafka_servers):
@@ -422,6 +451,10 @@ def main(argv=None) -> int:
     trigger = {"availableNow": True} if a.once else {"processingTime": a.interval}
     job = FeatureStreamJob(spark, a.root, WIRE_SPEC, metadata=metadata, trigger=trigger)
     families = ("user", "content", "affinity") if metadata is not None else ("user", "content")
+    if a.one_query:
+        kafka = (a.kafka_servers, a.feature_topic, a.metrics_topic) if a.kafka_servers and a.feature_topic else None
+        wait_for([job.start_outputs(source(), families=families, kafka=kafka), job.start_quarantine(source())])
+        return 0
     if a.once:
         job.run_all(source, families=families, audit=True)
         wait_for([job.start_quarantine(source()), job.start_latest_upsert(families=families)])
