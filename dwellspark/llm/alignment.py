@@ -177,7 +177,7 @@ def links_of(a: pa.Table, b: pa.Table) -> pa.Table:
     return pa.table({"doc": rows["doc"], "end": rows["end"], **columns, "closes": closes})
 
 
-def align(docs: DataFrame, *, path_a: str, path_b: str, block_bytes: int = 1 << 21) -> DataFrame:
+def align(docs: DataFrame, *, path_a: str, path_b: str, block_bytes: int = 1 << 19) -> DataFrame:
     """One row per document (see ``ALIGNED``).
 
     ``groups`` is the alignment as text.  ``pairs`` are the distinct (A id, B id) pairs
