@@ -35,24 +35,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellspark.llm.common import text_blocks, utf8, whole_text, written
+from dwellspark.llm.common import text_blocks, utf8, whole_bytes, whole_text, written
 from dwellspark.llm.huffman import with_end
 from dwellspark.llm.tokens import tokenizer
 from dwellspark.operators.ordered import running_sums
 
 TOKENS = "doc_id bigint, source string, doc_tokens bigint, ids binary"
 TURNS = "part bigint, queue int, place bigint, row bigint, start bigint, length bigint"
+PACKED = ("doc_id bigint, source string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, "
+          "offset bigint")
 PIECES = "row bigint, start bigint, length bigint, sequence_id bigint, offset bigint"
 
 
-def token_rows(docs: DataFrame, *, tokenizer_path: str, end_id: int) -> DataFrame:
-    """doc_id, source, doc_tokens, ids (little-endian 32-bit, with the end id)."""
+def token_rows(docs: DataFrame, *, tokenizer_path: str, end_id: int, id_bytes: int = 4) -> DataFrame:
+    """doc_id, source, doc_tokens, ids (with the end id; little-endian, ``id_bytes`` each, 2 or 4)."""
+    kind = np.dtype(f"<u{id_bytes}")
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_blocks(batch):
                 ids, at = with_end(*tokenizer(tokenizer_path).encode(*utf8(part.column("text"))), end_id)
+                if len(ids) and int(ids.max()) >> 8 * id_bytes:
+                    raise ValueError(f"an id does not fit in {id_bytes} bytes")
                 whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [
-                    None, pa.py_buffer((at * 4).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))]).cast(pa.binary())
+                    None, pa.py_buffer((at * id_bytes).astype(np.int64)), pa.py_buffer(ids.astype(kind))]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), pa.array(np.diff(at)), whole],
                                                  ["doc_id", "source", "doc_tokens", "ids"])
 
@@ -176,10 +182,12 @@ def power_sequences(total: int, room: int) -> list[int]:
     return starts
 
 
-def pack(tokens: DataFrame, *, room: int = 4096, part_windows: int = 256, least: int = 64, seed: int = 0) -> DataFrame:
-    """Pieces of the documents: doc_id, source, start, length, ids, doc_tokens, sequence_id, offset.
+def pack(tokens: DataFrame, *, room: int = 4096, part_windows: int = 256, least: int = 64, seed: int = 0,
+         id_bytes: int = 4) -> DataFrame:
+    """Pieces of the documents: the columns of ``PACKED``, with 32-bit little-endian ids.
 
-    ``tokens`` has the columns of ``TOKENS``; it is written once, as several steps read it.
+    ``tokens`` has the columns of ``TOKENS`` (``id_bytes`` a token); it is written once, as
+    several steps read it.
     """
     part_tokens = room * part_windows
     tokens = written(tokens.withColumn("row", F.monotonically_increasing_id()), "mixture-tokens")
@@ -188,8 +196,7 @@ def pack(tokens: DataFrame, *, room: int = 4096, part_windows: int = 256, least:
     shares = Shares(counts, part_tokens)
     spark = tokens.sparkSession
     if not counts:
-        return tokens.select("doc_id", "source", F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("length"), "ids",
-                             "doc_tokens", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        return spark.createDataFrame([], PACKED)
     of_source = spark.createDataFrame([(s, k) for k, some in enumerate(names) for s in some], "s string, queue int")
     queued = tokens.select("row", "source", "doc_tokens").join(F.broadcast(of_source), F.col("source").eqNullSafe(F.col("s"))).select(
         "queue", F.xxhash64("row", F.lit(seed)).alias("shuffled"), "row", "doc_tokens")
@@ -233,5 +240,15 @@ def pack(tokens: DataFrame, *, room: int = 4096, part_windows: int = 256, least:
 
     pieces = (placed.select("queue", "row", "upto", "doc_tokens").mapInArrow(turns, TURNS)
               .groupBy("part").applyInArrow(fill, PIECES))
-    ids = F.substring("ids", (F.col("start") * 4 + 1).cast("int"), (F.col("length") * 4).cast("int"))
-    return pieces.join(tokens, "row").select("doc_id", "source", "start", "length", ids.alias("ids"), "doc_tokens", "sequence_id", "offset")
+    ids = F.substring("ids", (F.col("start") * id_bytes + 1).cast("int"), (F.col("length") * id_bytes).cast("int"))
+    whole = pieces.join(tokens, "row").select("doc_id", "source", "start", "length", ids.alias("ids"), "doc_tokens", "sequence_id", "offset")
+    return whole if id_bytes == 4 else whole.mapInArrow(lambda b: _widened(b, id_bytes), PACKED)
+
+
+def _widened(batches: Iterator[pa.RecordBatch], id_bytes: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in text_blocks(batch, column="ids"):
+            data, at = whole_bytes(part.column("ids"))
+            wide = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [
+                None, pa.py_buffer((at * (4 // id_bytes)).astype(np.int64)), pa.py_buffer(data.view(f"<u{id_bytes}").astype("<u4"))])
+            yield part.set_column(part.schema.get_field_index("ids"), "ids", wide.cast(pa.binary()))

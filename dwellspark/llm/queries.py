@@ -91,8 +91,9 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> DataFrame:
-        tokens = mixture_packing.token_rows(table(spark, sf_dir, "documents"), tokenizer_path=vocabulary("word_bpe_49k.json"), end_id=2)
-        return mixture_packing.pack(tokens).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        tokens = mixture_packing.token_rows(table(spark, sf_dir, "documents"), tokenizer_path=vocabulary("word_bpe_49k.json"),
+                                            end_id=2, id_bytes=2)
+        return mixture_packing.pack(tokens, id_bytes=2).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                                                    "sequence_id", "offset", "source")
     return finished(spark, run)
 

@@ -35,12 +35,13 @@ def rows_of(rng):
                    (9999, "long text, " * 20_000, "low", 9)] + [(7000 + k, "rare", f"rare-{k}", 9) for k in range(30)]
 
 
-@pytest.mark.parametrize("room,windows,least", [(256, 4, 16), (64, 50, 8), (4096, 256, 64)])
-def test_pack(spark, room, windows, least):
+@pytest.mark.parametrize("room,windows,least,id_bytes", [(256, 4, 16, 2), (64, 50, 8, 4), (4096, 256, 64, 2)])
+def test_pack(spark, room, windows, least, id_bytes):
     rows = rows_of(random.Random(room))
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, offset int").repartition(6)
     path = vocabulary("word_bpe_49k.json")
-    pieces = mp.pack(mp.token_rows(docs, tokenizer_path=path, end_id=2), room=room, part_windows=windows, least=least).collect()
+    pieces = mp.pack(mp.token_rows(docs, tokenizer_path=path, end_id=2, id_bytes=id_bytes), room=room, part_windows=windows, least=least,
+                     id_bytes=id_bytes).collect()
     tok = Tokenizer.from_file(path)
     want = Counter((d, tuple(tok.encode(t or "", add_special_tokens=False).ids + [2])) for d, t, _, _ in rows)
     # each document comes back whole, each of its ids once
