@@ -173,9 +173,10 @@ def identified(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     return texts, cut_lineage(set_keys(texts, n))
 
 
-def with_small(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """Join; the right side is broadcast if it has at most ``SMALL`` rows."""
-    return left.join(F.broadcast(right) if right.count() <= SMALL else right, on, how)
+def with_small(left: DataFrame, right: DataFrame, on: str, how: str = "inner", size: int | None = None) -> DataFrame:
+    """Join; the right side is broadcast if it has at most ``SMALL`` rows (``size``: no fewer than it has)."""
+    size = right.count() if size is None else size
+    return left.join(F.broadcast(right) if size <= SMALL else right, on, how)
 
 
 def similarity(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
@@ -191,6 +192,7 @@ def similarity(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     to_a = many.select(F.col("a").alias("id"), F.explode(F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("salts") - 1), lambda s: F.struct(F.col("a"), s.alias("salt"), F.lit(True).alias("own")))).alias("to"))
     goals = cut_lineage(to_a.unionByName(to_b))
+    n_goals = goals.count()
     needed = goals.select("id").distinct()
 
     def make(part, data, doc_at):
@@ -198,9 +200,9 @@ def similarity(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
         raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer((at * 8).astype(np.int64)), pa.py_buffer(sets)])
         yield pa.RecordBatch.from_arrays([part.column("id"), raw.cast(pa.binary())], ["id", "set"])
 
-    sets = _per_block(with_small(texts, needed, "id", "left_semi"), ["id"], make, "id bigint, set binary")
-    rows = with_small(sets, goals, "id").select("to.a", "to.salt", "to.own", F.col("id").alias("b"), "set")
-    buckets = max(1, -(-goals.count() // (4 * GROUP)))
+    sets = _per_block(with_small(texts, needed, "id", "left_semi", n_goals), ["id"], make, "id bigint, set binary")
+    rows = with_small(sets, goals, "id", size=n_goals).select("to.a", "to.salt", "to.own", F.col("id").alias("b"), "set")
+    buckets = max(1, -(-n_goals // (4 * GROUP)))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("a", "salt"), F.lit(buckets)))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -321,27 +323,25 @@ def choose_leaders(sets: DataFrame, texts_of: DataFrame, n: int, num: int, den:
     """(id, leader, apart, common, size_a, size_b) of the sets that have a leader within the limit.
 
     ``sets``: class_id, n_shingles, rare and the minima m1 to m3.  In a group of one
-    minimum the set with the fewest rare shingles leads.
+    minimum the set with the fewest rare shingles leads (of these the least id).  All
+    groups' pairs are verified together.  A set that has a leader leads none, and of
+    several leaders a set has the nearest.
     """
-    assigned = None
-    for m in ("m1", "m2", "m3"):
-        free = sets.where(F.col(m).isNotNull())
-        if assigned is not None:
-            free = free.join(assigned.select(F.col("id").alias("class_id")), "class_id", "left_anti")
-        lead = F.min(F.struct("rare", F.col("class_id").alias("leader"), F.col("n_shingles").alias("n_l")))
-        low = free.groupBy(m).agg(lead.alias("l"), F.count("*").alias("k")).where("k > 1").select(
-            m, "l.leader", "l.n_l", F.col("l.rare").alias("rare_l"))
-        pairs = free.join(low, m).where("class_id <> leader")
-        if assigned is not None:  # a leader stays one
-            pairs = pairs.join(assigned.select(F.col("leader").alias("class_id")).distinct(), "class_id", "left_anti")
-        # frequent shingles can only be shared with frequent ones, rare with rare
-        most = (F.least(F.col("n_shingles") - F.col("rare"), F.col("n_l") - F.col("rare_l")) + F.least("rare", "rare_l"))
-        pairs = pairs.where(most >= overlap_needed(F.col("n_shingles"), F.col("n_l"), num, den))
-        near = similarity(pairs.select(F.col("leader").alias("a"), F.col("class_id").alias("b")), texts_of, n)
-        got = cut_lineage(near.where(linked(num, den)).select(
-            F.col("b").alias("id"), F.col("a").alias("leader"), distance().alias("apart"), "common", "size_a", "size_b"))
-        assigned = got if assigned is None else cut_lineage(assigned.unionByName(got))
-    return assigned
+    lead = F.min(F.struct("rare", F.col("class_id").alias("leader"), F.col("n_shingles").alias("n_l")))
+    minima = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(m).alias("m")) for k, m in enumerate(("m1", "m2", "m3"))]))
+    free = sets.select("class_id", "n_shingles", "rare", minima.alias("x")).select("class_id", "n_shingles", "rare", "x.*").where("m IS NOT NULL")
+    low = free.groupBy("k", "m").agg(lead.alias("l"), F.count("*").alias("size")).where("size > 1").select(
+        "k", "m", "l.leader", "l.n_l", F.col("l.rare").alias("rare_l"))
+    pairs = free.join(low, ["k", "m"]).where("class_id <> leader")
+    # frequent shingles can only be shared with frequent ones, rare with rare
+    most = (F.least(F.col("n_shingles") - F.col("rare"), F.col("n_l") - F.col("rare_l")) + F.least("rare", "rare_l"))
+    pairs = pairs.where(most >= overlap_needed(F.col("n_shingles"), F.col("n_l"), num, den))
+    near = similarity(pairs.select(F.col("leader").alias("a"), F.col("class_id").alias("b")).distinct(), texts_of, n)
+    near = cut_lineage(near.where(linked(num, den)).withColumn("apart", distance()))
+    led = near.join(near.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+    nearest = F.min(F.struct("apart", F.col("a").alias("leader"), "common", "size_a", "size_b"))
+    return cut_lineage(led.groupBy(F.col("b").alias("id")).agg(nearest.alias("l")).select(
+        "id", "l.leader", "l.apart", "l.common", "l.size_a", "l.size_b"))
 
 
 def distance() -> Column:
@@ -365,8 +365,8 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
     same = ["n_shingles", "d1", "d2"]
     full = keys.where("n_shingles > 0")
     classes = cut_lineage(full.groupBy(*same).agg(F.min("id").alias("class_id")))
-    texts_of = with_small(texts.select("id", "text"), classes.select(F.col("class_id").alias("id")), "id", "left_semi")
-    total = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    total, n_classes = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*")).first()
+    texts_of = with_small(texts.select("id", "text"), classes.select(F.col("class_id").alias("id")), "id", "left_semi", n_classes)
     order = frequent(texts_of, total, shingle)
     sets = cut_lineage(group_keys(texts_of, order, shingle).withColumnRenamed("id", "class_id").dropDuplicates(["class_id"])
                        .join(classes.select("class_id", "n_shingles"), "class_id"))
@@ -376,14 +376,14 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
     owners = sets.select("class_id", "n_shingles").join(assigned.select(F.col("id").alias("class_id"), "leader", "apart"), "class_id", "left")
     owners = owners.select("class_id", "n_shingles", F.coalesce("leader", "class_id").alias("leader"), F.coalesce("apart", F.lit(0.0)).alias("apart"))
     like = ["leader", F.floor(F.log("n_shingles") / F.log(F.lit(1.05))).alias("size_like"), F.ceil(F.col("apart") * 20).alias("apart_like")]
-    owners = cut_lineage(owners.select("class_id", "n_shingles", "apart", *like))
+    owners = owners.select("class_id", "n_shingles", "apart", *like)
     like = ["leader", "size_like", "apart_like"]
     bounds = cut_lineage(owners.groupBy(*like).agg(F.min("class_id").alias("owner"), F.min("n_shingles").alias("low"),
                                                    F.max("n_shingles").alias("high"), F.max("apart").alias("radius")))
     owners = cut_lineage(owners.join(bounds.select(*like, "owner"), like).select("class_id", "n_shingles", "leader", "apart", "owner"))
     span = (F.shiftleft(F.col("low"), 32) + F.col("high")).alias("span")
     spans = owners.select(F.col("class_id").alias("id"), "owner").join(bounds.select("owner", span), "owner")
-    mapped = with_small(texts_of, cut_lineage(spans.select("id", "owner", "span")), "id")
+    mapped = with_small(texts_of, spans.select("id", "owner", "span"), "id", size=n_classes)
     maybe = cut_lineage(candidates(prefix_index(mapped, order, shingle, num, den), bounds.select("owner", "leader"), num, den))
     heads = maybe.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
     judged = cut_lineage(similarity(heads, texts_of, shingle))
@@ -406,6 +406,7 @@ def jaccard_join(docs: DataFrame, *, shingle: int = 5, num: int = 75, den: int =
     if not open_.isEmpty():
         links = cut_lineage(links.unionByName(_member_links(open_, owners, texts_of, order, shingle, num, den)))
         of = components(links.select("a", "b"))
+    order.shared.destroy()  # what is left reads checkpoints only
 
     of = of.withColumnRenamed("id", "class_id")
     members = (classes.join(owners.select("class_id", F.col("leader").alias("leader_id")), "class_id").join(of, "class_id", "left"))
