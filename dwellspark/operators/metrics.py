@@ -99,6 +99,56 @@ def fold_metrics(metrics: DataFrame, as_of) -> DataFrame:
         "heartbeat_count", "late_metric_count")
 
 
+FOLD = ("first_offset bigint, last_set_offset bigint, last_set bigint, adds bigint, beat_offset bigint, "
+        "last_watermark_time timestamp_ntz, heartbeat_count bigint, late_metric_count bigint")
+
+
+def fold_state(metrics: DataFrame) -> DataFrame:
+    """One mergeable row (``FOLD``) of the metric rows of one slice of offsets.
+
+    ``adds`` are the late rows without a count after the slice's last set.
+    """
+    is_late = F.col("metric_type") == LATE_METRIC
+    is_beat = F.col("metric_type") == HEARTBEAT_METRIC
+    value = (F.when(is_late & F.col("count").isNotNull(), F.col("count"))
+              .when(is_beat & F.col("late_events_total").isNotNull(), F.col("late_events_total")))
+    set_at = F.when(value.isNotNull(), F.col("metric_offset"))
+    last = metrics.agg(F.coalesce(F.max(set_at), F.lit(-1)).cast("bigint")).scalar()
+    return metrics.agg(
+        F.min("metric_offset").alias("first_offset"), F.max(set_at).alias("last_set_offset"), F.max_by(value, set_at).alias("last_set"),
+        count_where(is_late & F.col("count").isNull() & (F.col("metric_offset") > last)).alias("adds"),
+        F.max(F.when(is_beat, F.col("metric_offset"))).alias("beat_offset"),
+        F.max_by("feature_computed_at", F.when(is_beat, F.col("metric_offset"))).alias("last_watermark_time"),
+        count_where(is_beat).alias("heartbeat_count"), count_where(is_late).alias("late_metric_count"))
+
+
+def merge_folds(states: DataFrame) -> DataFrame:
+    """The state of several slices (disjoint ranges of offsets) together; associative.
+
+    A slice's adds count unless a later slice sets the total.
+    """
+    last = states.agg(F.coalesce(F.max("last_set_offset"), F.lit(-1)).cast("bigint")).scalar()
+    counts = F.coalesce("last_set_offset", "first_offset", F.lit(-1)) >= last
+    return states.agg(
+        F.min("first_offset").alias("first_offset"), F.max("last_set_offset").alias("last_set_offset"),
+        F.max_by("last_set", "last_set_offset").alias("last_set"), F.coalesce(F.sum(F.when(counts, F.col("adds"))), F.lit(0)).alias("adds"),
+        F.max("beat_offset").alias("beat_offset"), F.max_by("last_watermark_time", "beat_offset").alias("last_watermark_time"),
+        F.coalesce(F.sum("heartbeat_count"), F.lit(0)).alias("heartbeat_count"),
+        F.coalesce(F.sum("late_metric_count"), F.lit(0)).alias("late_metric_count"))
+
+
+def fold_snapshot(state: DataFrame, as_of) -> DataFrame:
+    """The health snapshot of a fold state; equals ``fold_metrics`` over the rows behind it."""
+    as_of_col = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
+    lag = epoch_millis(as_of_col) - epoch_millis(F.col("last_watermark_time"))
+    return state.select(
+        (F.coalesce(F.col("last_set"), F.lit(0)) + F.col("adds")).cast("bigint").alias("late_events_dropped"),
+        "last_watermark_time",
+        F.coalesce(lag, F.lit(-1)).cast("bigint").alias("watermark_lag_ms"),
+        F.coalesce(lag > LAG_WARNING_MS, F.lit(False)).alias("lag_warning"),
+        "heartbeat_count", "late_metric_count")
+
+
 def snapshot_json(state: DataFrame) -> DataFrame:
     """The health snapshot as one JSON object per row (the serving payload):
     ``{"lateEventsDropped":…, "watermarkLagMs":…, "lastWatermarkTime":"…"}``."""

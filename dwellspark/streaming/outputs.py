@@ -8,6 +8,7 @@ and overwritten as a whole:
     records/       the same rows as (key, value) JSON records, or Kafka
     late_events/   late events with their running count
     metrics/       a metric row per late event, a heartbeat per user feature row
+    fold/          the fold of all metric rows so far, one row
     ledger/        the stamp (written first) and the totals after the batch (written last)
 
 A batch that is in the ledger is not written again.  One that failed half-way is: the
@@ -24,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.functions.literals import literal_table
+from dwellspark.operators import metrics
 from dwellspark.operators.ordered import running_sums
 from dwellspark.schemas import HEARTBEAT_METRIC, LATE_METRIC
-from dwellspark.session import path_exists
+from dwellspark.session import list_paths, path_exists
 from dwellspark.sinks.files import feature_wire_json, write_kafka
 from dwellspark.spec import FeatureSpec
 from dwellspark.streaming.stateful import CLOSED, LATE, feature_values, merged
@@ -73,6 +75,19 @@ class FeatureOutputs:
         row = earlier.orderBy(F.col("batch_id").desc()).drop("batch_id").first()
         return (0, 0, 0) if row is None else tuple(row)
 
+    def _fold_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The newest fold state of an earlier batch (batches without metric rows have none)."""
+        earlier = [int(p.rsplit("=", 1)[1]) for p in list_paths(spark, self._folder("fold") + "/batch_id=*")]
+        last = max((k for k in earlier if k < batch_id), default=None)
+        return None if last is None else spark.read.schema(metrics.FOLD).parquet(self._folder("fold", last))
+
+    def health(self, spark: SparkSession, as_of) -> DataFrame:
+        """The health snapshot after the newest batch; reads one row."""
+        totals = self.totals(spark).agg(F.max("batch_id")).first()[0]
+        state = None if totals is None else self._fold_before(spark, totals + 1)
+        empty = spark.createDataFrame([], METRICS)
+        return metrics.fold_snapshot(metrics.fold_state(empty) if state is None else state, as_of)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self._done(spark, "ledger/totals", batch_id):
@@ -124,6 +139,10 @@ class FeatureOutputs:
             F.col("ts").alias("dropped_event_ts"), F.when(is_late, stamp).alias("recorded_at"),
             F.when(~is_late, stamp).alias("feature_computed_at"), F.when(~is_late, count).alias("late_events_total"))
         self._write(rows, "metrics", batch_id)
+        # the fold of all metric rows so far: the state before and the rows of this batch only
+        new = metrics.fold_state(spark.read.schema(METRICS).parquet(self._folder("metrics", batch_id)))
+        before = self._fold_before(spark, batch_id)
+        self._write(new if before is None else metrics.merge_folds(before.unionByName(new)), "fold", batch_id)
         if n_late:
             self._write(placed.where(is_late).select(F.col("o_user").alias("user_id"), "content_id", "event_type", "ts", "window_end",
                                                      count.alias("late_count")), "late_events", batch_id)

@@ -8,6 +8,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from dwellspark.operators import metrics as M
+from dwellspark.schemas import METRIC_SCHEMA
 from dwellspark.session import remove_path
 from dwellspark.spec import WIRE_SPEC
 from dwellspark.streaming import job as J
@@ -106,6 +108,8 @@ def test_sinks_of_a_run(spark, scratch):
     for r in metrics:
         seen += r["metric_type"] == "late_event_dropped"
         assert seen == (r["count"] if r["count"] is not None else r["late_events_total"])
+    as_of = "2030-01-01 00:00:00"  # the fold kept batch by batch is the fold of all rows
+    assert out.health(spark, as_of).first() == M.fold_metrics(out.metrics(spark), as_of).first()
     totals = out.totals(spark).orderBy(F.col("batch_id").desc()).first()
     assert (totals["late_total"], totals["metric_total"], totals["feature_total"]) == (len(late), len(metrics), len(features))
 
@@ -129,3 +133,19 @@ def test_retry_keeps_the_stamp(spark, scratch):
     out = O.FeatureOutputs(os.path.join(scratch, "o"), WIRE_SPEC)
     assert out._stamp(spark, 4) == out._stamp(spark, 4) > 0
     assert out.features(spark).count() == out.metrics(spark).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_folds_of_slices_equal_the_fold(spark, seed):
+    rng = random.Random(seed)
+    kinds = ["late_event_dropped"] * 3 + ["watermark_heartbeat", "other"]
+    rows = [(k, rng.choice(kinds), rng.choice([None, None, None, 7 * k]), None, None, None, rng.choice([None, DAY + timedelta(hours=k)]),
+             rng.choice([None, None, 5 * k])) for k in range(24)]
+    cuts = sorted(rng.sample(range(25), 3))
+    parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, 24])]
+    frame = lambda some: spark.createDataFrame(some, METRIC_SCHEMA).coalesce(1)
+    state = M.fold_state(frame(parts[0]))
+    for part in parts[1:]:
+        state = M.merge_folds(state.unionByName(M.fold_state(frame(part)))).checkpoint()
+    as_of = "2024-02-01 00:00:00"
+    assert M.fold_snapshot(state, as_of).first() == M.fold_metrics(frame(rows), as_of).first()
