@@ -2,17 +2,18 @@
 
 import html
 import re
+import time
 
 from dwellspark.llm.common import table
-from dwellspark.llm.html_main import best_container, extract, read_blocks, text_on
+from dwellspark.llm.html_main import best_container, extract, read_page, text_on
 
 ARTICLE = "<article><h1>Title &amp; more</h1><p>First   para&nbsp;graph <a href=x>link</a> text.<p>Second<br>line<ul><li>one<li>two</ul></article>"
 TEXT = "Title & more\nFirst para graph link text.\nSecond line\none\ntwo"
 
 
 def main_text(page):
-    blocks = read_blocks(page)
-    return text_on(blocks, best_container(blocks)[0])
+    read = read_page(page)
+    return text_on(read, best_container(read)[0])
 
 
 def test_boilerplate_goes():
@@ -35,6 +36,36 @@ def test_broken_and_odd_pages():
     assert main_text("<script>never closed <p>x") == ""
 
 
+def test_names_inside_articles():
+    """Names that only contain a boilerplate word, and ids of headings and sections, leave article text alone."""
+    assert main_text("<article><h2 id='related-work'>Related</h2><p>a</p><section id=discussion><p>b</p></section>"
+                     "<div class='section' id='search'><p>c</p></div></article>") == "Related\na\nb\nc"
+    assert main_text("<div class='page hidden-scroll has-sidebar'><article><p>kept</p></article></div>") == "kept"
+    assert main_text("<body><header><h1>Site</h1><p>slogan</p></header><article><header><h1>T</h1><p>standfirst</p></header><p>a</p></article>") == "T\nstandfirst\na"
+    links = "<section id=related><ul><li><a href=x>one more</a><li><a href=y>and another</a></ul></section>"
+    assert main_text(f"<article><p>text of it</p>{links}</article>") == "text of it"
+    for name in ("ad", "sidebar-left", "cookieNotice", "post-comments", "share", "newsletter_box", "notice"):
+        assert main_text(f"<article><p>text of it</p><div class='{name}'>something else</div></article>") == "text of it", name
+    assert main_text("<article><p>text</p><section id='comments'><p>nice</p></section><div id='cookie-banner'>We use cookies</div></article>") == "text"
+
+
+def test_deep_pages_are_linear():
+    """200,000 open elements, stray end tags and blocks at every depth: no walk up the page for any of them."""
+    began = time.process_time()
+    assert main_text("<div>" * 200_000 + "deep") == "deep"
+    assert len(main_text("<article>" + "<div>x" * 100_000)) == 200_000 - 1
+    assert main_text("<article><p>a" + "<div><i>" * 50_000 + "b" + "</u></p></td>" * 50_000) == "a\nb"
+    assert main_text("<article><p>a</p><table>" + "<tr><td>" * 50_000 + "b</article>").split("\n")[0] == "a"
+    assert time.process_time() - began < 20
+
+
+def test_path_of_a_winner_is_found_again():
+    read = read_page("<body><div class='b a12'><p>text</p></div><div class='x>y'>more text than there</div>")
+    path, _ = best_container(read)
+    assert path == "html>body>div.x_y" and text_on(read, path) == "more text than there"
+    assert text_on(read, "html>body>div.a#.b") == "text" and text_on(read, "html>nothing") == ""
+
+
 def test_pages_of_the_test_tables(spark):
     sf = "/root/testdata/sf0.01"
     raw = {r["page_id"]: r["html"] for r in table(spark, sf, "pages").collect()}
