@@ -1,4 +1,4 @@
-"""Running sums over a global order, distributed.
+"""Running sums and maxima over a global order, distributed.
 
 A window function ordered over the whole table without a partition key runs
 in one task.  Instead:
@@ -10,7 +10,7 @@ in one task.  Instead:
    partition id and the result is written once to the shared checkpoint
    dir, so the two passes below read identical partitions;
 3. per-partition totals (one row per partition), an exclusive prefix sum
-   over them, broadcast back and added.
+   (or maximum) over them, broadcast back and added.
 
 Memory per task is one Arrow batch; nothing passes through the driver.
 """
@@ -73,3 +73,40 @@ def running_sums(df: DataFrame, order_cols: Sequence[str], weights: dict[str, st
     for out, c in local_names.items():
         joined = joined.withColumn(out, F.col(f"_off_{out}") + F.col(c))
     return joined.drop("_pid", *local_names.values(), *[f"_off_{o}" for o in weights])
+
+
+_NONE = -(1 << 63)
+
+
+def running_max(df: DataFrame, order_cols: Sequence[str], value: str, out: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """Add ``out``: the largest ``value`` (BIGINT) of all rows *before* the row in ``order_cols`` order.
+
+    Null where there is none before; null values raise no maximum.
+    ``order_cols`` must order rows totally (include a unique id).
+    """
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ordered = ranged.sortWithinPartitions(*order_cols).withColumn("_value", F.coalesce(F.col(value), F.lit(_NONE)))
+    schema = T.StructType(list(ordered.schema.fields)
+                          + [T.StructField("_pid", T.IntegerType()), T.StructField("_before", T.LongType())])
+
+    def local_cummax(batches):  # over Arrow: columns with nulls go through unchanged
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        top = np.array([_NONE], dtype="int64")
+        for batch in batches:
+            upto = np.maximum.accumulate(np.concatenate([top, batch.column("_value").to_numpy()]))
+            top = upto[-1:]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, pid, dtype="int32")), pa.array(upto[:-1])],
+                                             schema.names)
+
+    local = cut_lineage(ordered.mapInArrow(local_cummax, schema))
+    tops = local.groupBy("_pid").agg(F.max("_value").alias("_top"))
+    # one row per partition: bounded by the partition count
+    prefix = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tops.select("_pid", F.max("_top").over(prefix).alias("_earlier"))
+    return (local.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.nullif(F.greatest("_before", "_earlier"), F.lit(_NONE)))
+            .drop("_pid", "_value", "_before", "_earlier"))

@@ -514,3 +514,25 @@ ranked AS (SELECT *, row_number() OVER o AS metric_offset, sum(w) OVER o AS late
 SELECT metric_offset, CASE WHEN k = 0 THEN 'late_event_dropped' ELSE 'watermark_heartbeat' END AS metric_type,
        CAST(late_so_far AS BIGINT) AS running_late_count, CASE WHEN k = 0 THEN u END AS dropped_user_id, ts AS dropped_event_ts
 FROM ranked"""
+
+LATENESS = f"""{EV}, {META}, {ARRIVALS},
+l AS (
+  SELECT 'user' AS window_family, m.category IS NOT NULL AS has_category,
+         epoch_us(w.max_prior) - epoch_us(date_trunc('hour', w.ts) + INTERVAL 1 HOUR) AS us
+  FROM wm w LEFT JOIN meta m ON w.content_id = m.content_id
+  UNION ALL
+  SELECT 'content', m.category IS NOT NULL,
+         epoch_us(w.max_prior) - epoch_us(time_bucket(INTERVAL 5 MINUTE, w.ts) + INTERVAL 15 MINUTE)
+  FROM wm w LEFT JOIN meta m ON w.content_id = m.content_id)"""
+
+SQL["q37_lateness_histogram"] = f"""
+WITH {LATENESS}
+SELECT window_family, us // 1000000 AS lateness_s, count(*) AS n FROM l WHERE us >= 0 GROUP BY ALL"""
+
+SQL["q38_late_counts_any_delay"] = f"""
+WITH {LATENESS},
+d AS (SELECT unnest([0, 30, 120, 600, 3600, 7200, 9000]) AS delay_s),
+f AS (SELECT window_family, us FROM l UNION ALL SELECT 'affinity', us FROM l WHERE window_family = 'user' AND has_category)
+SELECT f.window_family, CAST(d.delay_s AS INTEGER) AS delay_s,
+       CAST(count(*) FILTER (WHERE f.us >= d.delay_s * CAST(1000000 AS BIGINT)) AS BIGINT) AS late_count
+FROM f CROSS JOIN d GROUP BY ALL"""

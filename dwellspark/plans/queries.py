@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import count_where
-from dwellspark.operators import compare, enrich, features, late, metrics, profile, serving
+from dwellspark.operators import compare, enrich, features, late, lateness, metrics, profile, serving
 from dwellspark.plans import batch_job, replay
 from dwellspark.session import cut_lineage, remove_path, shared_path
 from dwellspark.sources import tables, wire
@@ -371,6 +371,30 @@ def q36_stream_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "dropped_user_id", "dropped_event_ts"))
 
 
+FAMILIES = [late.Geometry("user", 3600, 3600, 0), late.Geometry("content", 900, 300, 0)]
+MORE_DELAYS = (0, 30, 120, 600, 3600, 7200, 9000)
+
+
+def _lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lateness of every event per window family, with whether its content has a category."""
+    enriched = enrich.enrich_events(_arrivals(spark, sf_dir), _latest_meta(spark, sf_dir), how="left")
+    return lateness.lateness(enriched.select("event_id", "ts", "arrival_ts", F.col("category").isNotNull().alias("has_category")), FAMILIES)
+
+
+def q37_lateness_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How late events are, in whole seconds behind the end of their last window."""
+    return lateness.lateness_histogram(_lateness(spark, sf_dir)).withColumnRenamed("geom", "window_family")
+
+
+def q38_late_counts_any_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late counts of all three families for seven delays, read off one histogram."""
+    by = ("geom", "has_category")
+    hist = lateness.lateness_histogram(_lateness(spark, sf_dir), ("has_category",))
+    affinity = hist.where("geom = 'user' AND has_category").withColumn("geom", F.lit("affinity"))
+    counts = lateness.late_counts(hist.unionByName(affinity), MORE_DELAYS, by)
+    return counts.groupBy(F.col("geom").alias("window_family"), "delay_s").agg(F.sum("late_count").alias("late_count"))
+
+
 # Fixed value: the bounded consume's default number of events.
 FIRST_EVENTS = 5000
 
@@ -411,4 +435,6 @@ QUERIES = {
     "q34_windows_and_late_events": q34_windows_and_late_events,
     "q35_feature_records": q35_feature_records,
     "q36_stream_metric_rows": q36_stream_metric_rows,
+    "q37_lateness_histogram": q37_lateness_histogram,
+    "q38_late_counts_any_delay": q38_late_counts_any_delay,
 }

@@ -6,8 +6,8 @@ from datetime import datetime, timedelta
 import pandas as pd
 from pyspark.sql import functions as F
 
-from dwellspark.operators import late
-from dwellspark.operators.ordered import running_sums
+from dwellspark.operators import late, lateness
+from dwellspark.operators.ordered import running_max, running_sums
 from helpers import events, with_arrival
 
 BASE = datetime(2024, 1, 1)
@@ -106,3 +106,36 @@ def test_classifier_property_with_ties(spark):
             assert got.get(g.name, set()) == _brute(pdf, g.size_s, g.slide_s, g.delay_s), (g, evs)
 
     check()
+
+
+def test_running_max_is_of_the_rows_before(spark):
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice([None, rnd.randint(-(1 << 62), 1 << 62)]), "x") for i in range(500)]
+    got = running_max(spark.createDataFrame(rows, "id long, v long, other string"), ["id"], "v", "before", 7)
+    top, want = None, {}
+    for i, v, _ in rows:
+        want[i] = top
+        top = v if top is None else top if v is None else max(top, v)
+    assert {r["id"]: r["before"] for r in got.collect()} == want
+    assert running_max(spark.createDataFrame([], "id long, v long"), ["id"], "v", "before").count() == 0
+
+
+def test_lateness_answers_every_delay(spark):
+    """The histogram against the brute-force running maximum, for delays it was not made for."""
+    pdf, df = _fixture(spark)
+    geoms = [late.Geometry("hour", 3600, 3600, 0), late.Geometry("slide", 900, 300, 0)]
+    more = df.unionByName(spark.sql("SELECT bigint(null) event_id, 'u' user_id, timestamp_ntz'2030-01-01 00:00:00' ts, timestamp_ntz'2024-01-01 00:00:00' arrival_ts"))
+    rows = lateness.lateness(more, geoms)
+    hist = lateness.lateness_histogram(rows)
+    delays = (0, 1, 17, 30, 120, 500, 3000, 100_000)
+    got = {(r["geom"], r["delay_s"]): r["late_count"] for r in lateness.late_counts(hist, delays).collect()}
+    assert rows.count() == 2 * len(pdf)
+    for g in geoms:
+        for d in delays:
+            assert got[g.name, d] == len(_brute(pdf, g.size_s, g.slide_s, d)), (g, d)
+    total = rows.groupBy("geom").count().withColumnRenamed("count", "n")
+    for r in lateness.least_delay(hist, (0.0, 0.01, 0.9), total).collect():
+        g = next(x for x in geoms if x.name == r["geom"])
+        assert len(_brute(pdf, g.size_s, g.slide_s, r["delay_s"])) <= r["share"] * len(pdf)
+        assert r["delay_s"] == 0 or len(_brute(pdf, g.size_s, g.slide_s, r["delay_s"] - 1)) > r["share"] * len(pdf)
+    assert lateness.lateness_histogram(lateness.lateness(df.limit(0), geoms)).count() == 0
