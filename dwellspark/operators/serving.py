@@ -65,13 +65,28 @@ def feature_freshness(latest: DataFrame, as_of, tracked: Sequence[str] = TRACKED
     ``age_ms`` is -1 for a tracked feature never seen.  ``freshness_pct`` is
     100 at age 0 down to 0 at five minutes (low end clamped only).
     """
+    return _freshness(latest.select("feature_name", "computed_at", F.lit(1).alias("w")), as_of, tracked)
+
+
+def freshness_summary(latest: DataFrame, *by: str) -> DataFrame:
+    """``by``, feature_name, entity_count, last_computed_at: mergeable (add, max) over parts of the entities."""
+    return latest.groupBy(*by, "feature_name").agg(F.count(F.lit(1)).alias("entity_count"),
+                                                   F.max("computed_at").alias("last_computed_at"))
+
+
+def freshness_from_summary(summary: DataFrame, as_of, tracked: Sequence[str] = TRACKED_FEATURES) -> DataFrame:
+    """:func:`feature_freshness` from parts of the summary instead of the rows."""
+    return _freshness(summary.select("feature_name", F.col("last_computed_at").alias("computed_at"),
+                                     F.col("entity_count").alias("w")), as_of, tracked)
+
+
+def _freshness(seen: DataFrame, as_of, tracked: Sequence[str]) -> DataFrame:
     as_of_col = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
     # Tracked names are unioned in with a zero weight and folded by the same
     # aggregate (equivalent to a full outer join on distinct keys, without
     # the join and its two exchanges).
-    seen = latest.select("feature_name", "computed_at", F.lit(1).alias("w"))
-    wanted = literal_table(latest.sparkSession, [(f,) for f in tracked], "feature_name string").select(
-        "feature_name", F.lit(None).cast(latest.schema["computed_at"].dataType).alias("computed_at"),
+    wanted = literal_table(seen.sparkSession, [(f,) for f in tracked], "feature_name string").select(
+        "feature_name", F.lit(None).cast(seen.schema["computed_at"].dataType).alias("computed_at"),
         F.lit(0).alias("w"))
     joined = (seen.unionByName(wanted).groupBy("feature_name")
               .agg(F.max("computed_at").alias("last_computed_at"),

@@ -536,3 +536,26 @@ f AS (SELECT window_family, us FROM l UNION ALL SELECT 'affinity', us FROM l WHE
 SELECT f.window_family, CAST(d.delay_s AS INTEGER) AS delay_s,
        CAST(count(*) FILTER (WHERE f.us >= d.delay_s * CAST(1000000 AS BIGINT)) AS BIGINT) AS late_count
 FROM f CROSS JOIN d GROUP BY ALL"""
+
+SERVED = f"""{EV}, {USER_HOURLY}, {CONTENT_SLIDING},
+closed AS (SELECT max(ts) - INTERVAL 30 SECOND AS until FROM ev),
+latest AS (
+  SELECT user_id AS entity_id, unnest(['click_rate', 'avg_dwell_time']) AS feature_name, max(window_end) + INTERVAL 30 SECOND AS computed_at
+  FROM uh, closed WHERE window_end <= until AND user_id IS NOT NULL GROUP BY user_id
+  UNION ALL
+  SELECT content_id, 'engagement_rate', max(window_end) + INTERVAL 30 SECOND
+  FROM cs, closed WHERE window_end <= until AND content_id IS NOT NULL GROUP BY content_id)"""
+
+SQL["q39_entities_from_index"] = f"""
+WITH {SERVED}
+SELECT entity_id, feature_name FROM latest WHERE feature_name IN ('click_rate', 'engagement_rate')"""
+
+SQL["q40_freshness_from_summary"] = f"""
+WITH {SERVED},
+j AS (SELECT feature_name, count(*) AS entity_count, max(computed_at) AS last_computed_at,
+             CAST(epoch_ms(TIMESTAMP '2024-01-31 00:15:00') - epoch_ms(max(computed_at)) AS BIGINT) AS age_ms
+      FROM latest GROUP BY feature_name)
+SELECT feature_name, entity_count, last_computed_at, age_ms,
+       greatest(0.0, 100.0 - CAST(age_ms AS DOUBLE) / 300000.0 * 100.0) AS freshness_pct,
+       {_duration_sql('age_ms')} AS age_text
+FROM j"""

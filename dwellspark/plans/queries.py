@@ -371,6 +371,27 @@ def q36_stream_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "dropped_user_id", "dropped_event_ts"))
 
 
+def _served(spark: SparkSession, sf_dir: str, name: str):
+    """(job, latest-value table) after the stream's user and content features were upserted into it."""
+    job, source = _replayed(spark, _events(spark, sf_dir), name, REPLAY_SLICES, "ts")
+    job.run_all(source, families=("user", "content"), audit=False)
+    stream_job.wait_for([job.start_latest_upsert(families=("user", "content"))])
+    return job, job.latest()
+
+
+def q39_entities_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities that have a click rate or an engagement rate, from the feature index of the latest-value table."""
+    job, latest = _served(spark, sf_dir, "q39")
+    found = [latest.entities_with(spark, f).withColumn("feature_name", F.lit(f)) for f in ("click_rate", "engagement_rate")]
+    return _finished(job, found[0].unionByName(found[1]))
+
+
+def q40_freshness_from_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness of the stream's features, from the summary of the latest-value table."""
+    job, latest = _served(spark, sf_dir, "q40")
+    return _finished(job, serving.freshness_from_summary(latest.freshness(spark), AS_OF))
+
+
 FAMILIES = [late.Geometry("user", 3600, 3600, 0), late.Geometry("content", 900, 300, 0)]
 MORE_DELAYS = (0, 30, 120, 600, 3600, 7200, 9000)
 
@@ -437,4 +458,6 @@ QUERIES = {
     "q36_stream_metric_rows": q36_stream_metric_rows,
     "q37_lateness_histogram": q37_lateness_histogram,
     "q38_late_counts_any_delay": q38_late_counts_any_delay,
+    "q39_entities_from_index": q39_entities_from_index,
+    "q40_freshness_from_summary": q40_freshness_from_summary,
 }

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellspark.functions.expressions import iso_instant
-from dwellspark.operators.serving import latest_features
+from dwellspark.operators.serving import freshness_summary, latest_features
 from dwellspark.session import content_bytes, list_paths, remove_path
 
 
@@ -42,6 +44,55 @@ def write_kafka(records: DataFrame, servers: str, topic: str) -> None:
      .option("topic", topic).save())
 
 
+class DeltaFolders:
+    """A small table kept as a base folder and the deltas after it, in the order of their numbers.
+
+    A delta written again under its number replaces itself.  When there are
+    ``limit`` deltas they are merged into a new base; what it replaces stays until
+    the next merge, for readers that have listed it.
+    """
+
+    def __init__(self, path: str, ddl: str, limit: int = 16, partition: str | None = None):
+        self.path, self.ddl, self.limit, self.partition = path, ddl, limit, partition
+
+    def _committed(self, spark: SparkSession) -> tuple[list[str], list[str]]:
+        """Numbers of (bases, deltas), oldest first."""
+        names = sorted(p.rsplit("/", 2)[1].removeprefix("seq=") for p in list_paths(spark, f"{self.path}/seq=*/_SUCCESS"))
+        return [n[:-2] for n in names if n.endswith("-b")], [n[:-2] for n in names if n.endswith("-d")]
+
+    @staticmethod
+    def _after(bases: list[str], deltas: list[str]) -> list[str]:
+        return [d for d in deltas if not bases or d > bases[-1]]
+
+    def _folder(self, number: str, kind: str) -> str:
+        return f"{self.path}/seq={number}-{kind}"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        bases, deltas = self._committed(spark)
+        folders = [self._folder(n, "b") for n in bases[-1:]] + [self._folder(n, "d") for n in self._after(bases, deltas)]
+        empty = spark.createDataFrame([], self.ddl)
+        if not folders:
+            return empty
+        return spark.read.schema(self.ddl).option("basePath", self.path).parquet(*folders).select(*empty.columns)
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(self.partition) if self.partition else writer).parquet(folder)
+
+    def append(self, rows: DataFrame, number: tuple[int, int]) -> None:
+        self._write(rows, self._folder("{:06d}-{:012d}".format(*number), "d"))
+
+    def merge(self, spark: SparkSession, merged: Callable[[DataFrame], DataFrame]) -> None:
+        bases, deltas = self._committed(spark)
+        new = self._after(bases, deltas)
+        if len(new) < self.limit:
+            return
+        self._write(merged(self.read(spark)), self._folder(new[-1], "b"))
+        for kind, old in (("b", bases[:-1]), ("d", [d for d in deltas if d not in new])):
+            for number in old:
+                remove_path(spark, self._folder(number, kind))
+
+
 class LatestFeatureTable:
     """Latest value per (entity_id, feature_name), upserted per micro-batch.
 
@@ -56,8 +107,19 @@ class LatestFeatureTable:
     the size: it is chosen from the first batch, and when the buckets have grown
     past four times ``bucket_bytes`` on average the table is dealt anew into the
     next generation.  A point lookup reads one bucket's newest files.
+
+    Two small tables are kept with it.  The *index* has every (feature, entity)
+    pair once, dealt by feature, so the entities that have a feature are read from
+    one folder; an upsert adds only pairs that its buckets do not hold yet, and
+    writes them before the table, so that a failure in between leaves no entity out.
+    The *summary* has the newest ``computed_at`` and the number of entities per
+    feature and version of a bucket: counted from what was written, so that a
+    repeated batch changes nothing.  A bucket whose summary is not there yet is
+    read itself.
     """
 
+    PARTS = 16
+
     COLS = ["entity_id", "feature_name", "feature_value", "window_start", "window_end", "computed_at"]
     DDL = ("entity_id string, feature_name string, feature_value double, window_start timestamp_ntz, "
            "window_end timestamp_ntz, computed_at timestamp_ntz")
@@ -68,6 +130,9 @@ class LatestFeatureTable:
         self.buckets = buckets
         self.rows_per_bucket = rows_per_bucket
         self.bucket_bytes = bucket_bytes
+        self.index = DeltaFolders(f"{path}/index", "feature_name string, entity_id string, part int", partition="part")
+        self.summary = DeltaFolders(f"{path}/summary", "number int, bucket int, version bigint, feature_name string, "
+                                    "entity_count bigint, last_computed_at timestamp_ntz")
 
     def _generation(self, spark: SparkSession) -> tuple[int, int, str] | None:
         """(number, buckets, folder) of the newest committed generation."""
@@ -104,26 +169,83 @@ class LatestFeatureTable:
         (merged.write.mode("overwrite").option("partitionOverwriteMode", kind)
          .partitionBy("bucket", "version").parquet(folder))
 
+    def _part(self, feature_name):
+        return F.pmod(F.hash(feature_name), F.lit(self.PARTS))
+
+    def _dealt(self, pairs: DataFrame) -> DataFrame:
+        """By feature, a feature over several tasks: a third of all pairs may have the same one."""
+        salts = max(1, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // self.PARTS)
+        return pairs.repartition("part", F.pmod(F.xxhash64("entity_id"), F.lit(salts)))
+
+    def _index(self, rows: DataFrame, old: DataFrame, number: tuple[int, int]) -> None:
+        pairs = ["feature_name", "entity_id"]
+        known = old.select(F.col("feature_name").alias("f"), F.col("entity_id").alias("e"))
+        new = rows.select(*pairs).distinct().join(
+            known, F.col("feature_name").eqNullSafe(F.col("f")) & (F.col("entity_id") == F.col("e")), "left_anti")
+        self.index.append(self._dealt(new.withColumn("part", self._part(F.col("feature_name")))), number)
+        self.index.merge(rows.sparkSession, lambda all_: self._dealt(all_.distinct()))
+
+    def _newest(self, spark: SparkSession) -> tuple[int, dict[int, list[tuple[int, str]]]]:
+        now = self._generation(spark)
+        if now is None:
+            raise FileNotFoundError(self.path)
+        return now[0], self._versions(spark, now[2])
+
+    def _summarise(self, spark: SparkSession, number: tuple[int, int]) -> None:
+        """Adds the summary of the buckets written under ``number``, read from what was written."""
+        generation, versions = self._newest(spark)
+        written = {b: p for b, v in versions.items() for version, p in v if version == number[1]}
+        parts = self._summary_of(spark, list(written.values())).withColumn("version", F.lit(number[1]).cast("bigint"))
+        self.summary.append(parts.withColumn("number", F.lit(generation)), number)
+        valid = [f"{b}:{v[0][0]}" for b, v in versions.items()]
+        self.summary.merge(spark, lambda all_: all_.where(
+            (F.col("number") == generation) & F.concat_ws(":", "bucket", "version").isin(valid)))
+
+    def _summary_of(self, spark: SparkSession, folders: list[str]) -> DataFrame:
+        rows = self._read(spark, folders).withColumn("bucket", F.regexp_extract(F.input_file_name(), "/bucket=([0-9]+)/", 1).cast("int"))
+        return freshness_summary(rows, "bucket")
+
+    def freshness(self, spark: SparkSession) -> DataFrame:
+        """bucket, feature_name, entity_count, last_computed_at of the newest versions, from the summary."""
+        generation, versions = self._newest(spark)
+        valid = spark.createDataFrame([(generation, b, v[0][0]) for b, v in versions.items()], "number int, bucket int, version bigint")
+        kept = self.summary.read(spark).join(F.broadcast(valid), ["number", "bucket", "version"])  # a row per bucket
+        there = {r["bucket"] for r in kept.select("bucket").distinct().collect()}  # at most the buckets
+        missing = self._summary_of(spark, [v[0][1] for b, v in versions.items() if b not in there])
+        columns = ["bucket", "feature_name", "entity_count", "last_computed_at"]
+        return kept.select(*columns).unionByName(missing.select(*columns))
+
+    def entities_with(self, spark: SparkSession, feature_name: str) -> DataFrame:
+        """entity_id of all entities that have the feature, from the index alone."""
+        part = spark.range(1).select(self._part(F.lit(feature_name))).first()[0]
+        return (self.index.read(spark).where((F.col("part") == part) & (F.col("feature_name") == feature_name))
+                .select("entity_id").distinct())
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select(*self.COLS).where(F.col("entity_id").isNotNull())
         now = self._generation(spark)
         if now is None:
             buckets = self.buckets or max(1, -(-rows.count() // self.rows_per_bucket))
+            self._index(rows, self._read(spark, []), (0, 0))
             self._write(rows, f"{self.path}/gen=0-{buckets}", buckets, 0)
+            self._summarise(spark, (0, 0))
             return
         number, buckets, folder = now
         versions = self._versions(spark, folder)
         touched = [r[0] for r in rows.select(self._bucket(buckets).alias("b")).distinct().collect()]  # at most the buckets
         old = self._read(spark, [versions[b][0][1] for b in touched if b in versions])
         newest = max((v[0][0] for v in versions.values()), default=-1)
+        self._index(rows, old, (number, newest + 1))
         self._write(old.unionByName(rows), folder, buckets, newest + 1)
+        self._summarise(spark, (number, newest + 1))
         for some in self._versions(spark, folder).values():
             for _, p in some[2:]:
                 remove_path(spark, p)
         if self.buckets is None and content_bytes(spark, folder) > 8 * buckets * self.bucket_bytes:  # two versions each
             more = 4 * buckets
             self._write(self.current(spark).select(*self.COLS), f"{self.path}/gen={number + 1}-{more}", more, 0)
+            self._summarise(spark, (number + 1, 0))
             remove_path(spark, folder)
 
     def current(self, spark: SparkSession) -> DataFrame:

@@ -325,3 +325,30 @@ def test_latest_table_upserts_equal_batch_latest(spark, scratch):
     keys = ["entity_id", "feature_name", "computed_at", "window_end"]
     assert got.select(*keys).exceptAll(want.select(*keys)).count() == 0
     assert got.count() == want.count()
+
+
+def test_index_and_summary_follow_the_table(spark, scratch):
+    """After every upsert, repeated ones and new generations included, both say what the table says."""
+    table = LatestFeatureTable(os.path.join(scratch, "latest"), rows_per_bucket=3, bucket_bytes=1)
+    table.index.limit = table.summary.limit = 3
+    rows = spark.range(60).selectExpr(
+        "concat('e', id % 11) AS entity_id", "concat('f', id % 3) AS feature_name", "double(id) AS feature_value",
+        "timestampadd(HOUR, int(id), timestamp_ntz'2024-01-01 00:00:00') AS window_start",
+        "timestampadd(HOUR, int(id) + 1, timestamp_ntz'2024-01-01 00:00:00') AS window_end",
+        "timestampadd(HOUR, int(id) + 1, timestamp_ntz'2024-01-01 00:00:30') AS computed_at", "int(id / 12) AS batch")
+    rows = rows.unionByName(rows.limit(1).withColumn("entity_id", F.lit(None).cast("string")))
+    for batch in (0, 1, 1, 2, 3, 0, 4):  # batches come again, older ones too
+        table.upsert(rows.where(F.col("batch") == batch), batch)
+        now = table.current(spark)
+        for f in ("f0", "f1", "none"):
+            want = sorted(r[0] for r in now.where(F.col("feature_name") == f).select("entity_id").collect())
+            assert sorted(r[0] for r in table.entities_with(spark, f).collect()) == want
+        said = table.freshness(spark).groupBy("feature_name").agg(F.sum("entity_count"), F.max("last_computed_at"))
+        want = now.groupBy("feature_name").agg(F.count("*"), F.max("computed_at"))
+        assert sorted(map(tuple, said.collect())) == sorted(map(tuple, want.collect()))
+    from dwellspark.session import list_paths, remove_path
+    for p in list_paths(spark, f"{table.path}/summary/*"):  # stopped before a summary was written: buckets are read
+        remove_path(spark, p)
+    said = table.freshness(spark).groupBy("feature_name").agg(F.sum("entity_count"), F.max("last_computed_at"))
+    assert sorted(map(tuple, said.collect())) == sorted(map(tuple, want.collect()))
+    assert len(list_paths(spark, f"{table.path}/index/*/_SUCCESS")) <= 8
