@@ -2,8 +2,9 @@
 
 A transcript is one text.  Its lines are the observations, as a few features each:
 the kind of speaker marker they begin with (a known word such as "User:", or one of
-the transcript's recurring names), blank or not, after a blank line, length, whether
-a question ends them.  States are the roles, each with a first line and further
+the transcript's recurring names), blank or not, for lines without a marker whether a
+blank line stands before them (a turn without a marker nearly always has one, a marked
+one need not), length, whether a question ends them.  States are the roles, each with a first line and further
 lines.  Viterbi finds the likeliest states, so unmarked turns, markers inside prose
 and missing speakers are decided by their surroundings.  Turns are then rendered
 in one canonical form.
@@ -14,7 +15,9 @@ estimates anew.
 
 Defined results: a null, empty or blank transcript has no turns; lines before any
 marker belong to the likeliest role; blank lines at a turn's ends are dropped;
-repeated conversation ids are parsed each; an empty table gives no rows.
+repeated conversation ids are parsed each; an empty table gives no rows.  In
+``raw_transcripts`` the rows without a ``conv_id`` are one conversation, and equal or
+null ``turn`` numbers stand in the order of their texts, nulls first.
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ def line_features(text: str) -> tuple[list[tuple], list[str]]:
         elif (m := NAME.match(line)) and m[1] in order:
             kind, body = ("name1", "name2", "name")[min(order[m[1]], 2)], line[m.end():]
         blank = kind == "none" and not body.strip()
-        features.append((kind, blank, gap, len(body) > 120, body.rstrip().endswith("?")))
+        features.append((kind, blank, gap if kind == "none" else None, len(body) > 120, body.rstrip().endswith("?")))
         rest.append(body)
         gap = blank
     return features, rest
@@ -93,7 +96,7 @@ def plain_model() -> dict[str, np.ndarray]:
             elif name == "blank":
                 table[i] = (0.999, 0.001) if start else (0.8, 0.2)
             elif name == "gap":
-                table[i] = (0.4, 0.6) if start else (0.9, 0.1)
+                table[i] = (0.1, 0.9) if start else (0.9, 0.1)
             elif name == "long":
                 table[i] = (0.5, 0.5) if role == "assistant" else (0.7, 0.3)
             elif name == "asks":
@@ -102,12 +105,17 @@ def plain_model() -> dict[str, np.ndarray]:
     return {k: np.log(v / v.sum(axis=-1, keepdims=True)) for k, v in model.items()}
 
 
+def values_of(line: tuple) -> list[tuple[str, int]]:
+    """(feature, number of its value) of a line; features that do not apply to it are left out."""
+    return [(n, FEATURES[n].index(v)) for n, v in zip(FEATURES, line) if v is not None]
+
+
 def viterbi(features: list[tuple], model: dict[str, np.ndarray], emitted: dict[tuple, np.ndarray]) -> list[int]:
     """The likeliest states; ``emitted`` keeps the sums of features that occurred."""
     score, back = None, []
     for f in features:
         if f not in emitted:
-            emitted[f] = sum(model[n][:, FEATURES[n].index(v)] for n, v in zip(FEATURES, f))
+            emitted[f] = sum(model[n][:, v] for n, v in values_of(f))
         if score is None:
             score = model["first"] + emitted[f]
             continue
@@ -135,7 +143,7 @@ def count_states(transcripts: DataFrame, model: dict[str, np.ndarray]) -> DataFr
                 seen["first", states[0], 0] += 1
                 seen.update(("move", a, b) for a, b in zip(states, states[1:]))
                 for f, s in zip(features, states):
-                    seen.update((n, s, FEATURES[n].index(v)) for n, v in zip(FEATURES, f))
+                    seen.update((n, s, v) for n, v in values_of(f))
         keys = list(seen)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
                                           pa.array([k[2] for k in keys], pa.int64()), pa.array([seen[k] for k in keys], pa.int64())],

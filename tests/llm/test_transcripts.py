@@ -1,5 +1,9 @@
 """Roles of transcripts: round trip over the conversations table, odd transcripts."""
 
+import itertools
+
+from pyspark.sql import functions as F
+
 from dwellspark.llm import transcripts
 from dwellspark.llm.common import table
 
@@ -13,8 +17,31 @@ def test_conversations_come_back(spark):
     for r in sorted(parsed, key=lambda r: (r["conv_id"], r["turn"])):
         got.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
         assert r["rendered"] == f"<|{r['role']}|>\n{r['text']}\n<|end|>\n"
-    same = sum(got.get(k) == v for k, v in want.items())
-    assert same >= 0.9 * len(want)
+    # by style: marked ones all come back, those of which every third turn has no marker nearly all
+    style = {r[0]: r[1] for r in conversations.select("conv_id", F.pmod(F.xxhash64("conv_id"), F.lit(6))).distinct().collect()}
+    for k in range(6):
+        these = [c for c in want if style[c] == k]
+        assert sum(got.get(c) == want[c] for c in these) >= (0.95 if k == 5 else 1) * len(these), k
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    model = transcripts.plain_model()
+    for text in ("User: a?\n\nb\nAI: c", "one\n\ntwo", "Ann: x\nBob: y\nAnn: z\n", "system: s\nq\n\nA: r"):
+        lines, _ = transcripts.line_features(text)
+
+        def worth(path):
+            seen = sum(model[n][s, v] for s, line in zip(path, lines) for n, v in transcripts.values_of(line))
+            return model["first"][path[0]] + sum(model["move"][a, b] for a, b in zip(path, path[1:])) + seen
+
+        best = max(worth(p) for p in itertools.product(range(6), repeat=len(lines)))
+        assert abs(worth(transcripts.viterbi(lines, model, {})) - best) < 1e-9
+
+
+def test_paragraphs_inside_a_turn_stay(spark):
+    """Where blank lines stand inside turns, the same model keeps them there."""
+    rows = [(i, f"User: tell me {i}\nAssistant: first part of it\n\nsecond part of it\nUser: go on\nAssistant: more\n\nand more") for i in range(200)]
+    got = transcripts.parse(spark.createDataFrame(rows, "conv_id long, text string")).groupBy("conv_id").agg(F.count("*").alias("n"))
+    assert {r["n"] for r in got.collect()} == {4}
 
 
 def test_unmarked_and_odd_transcripts(spark):
