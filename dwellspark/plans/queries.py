@@ -16,6 +16,7 @@ from dwellspark.session import cut_lineage, remove_path, shared_path
 from dwellspark.sources import tables, wire
 from dwellspark.spec import DRIVER_SPEC
 from dwellspark.streaming import job as stream_job
+from dwellspark.streaming import progress
 
 SPEC = DRIVER_SPEC
 BATCH_SPEC = DRIVER_SPEC.batch()
@@ -392,6 +393,34 @@ def q40_freshness_from_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(job, serving.freshness_from_summary(latest.freshness(spark), AS_OF))
 
 
+def q41_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermark and input of every micro-batch, as the progress listener wrote them."""
+    job, source = _replayed(spark, _arrivals(spark, sf_dir), "q41", AUDIT_SLICES, "arrival_ts")
+    listener = progress.ProgressMetrics(spark, job.path("progress"), "^features_user_.*q41")
+    spark.streams.addListener(listener)
+    try:
+        query = job.start_user(source())
+        stream_job.wait_for([query])
+        if not listener.wait(query) or listener.failed:
+            raise RuntimeError(f"progress reports are missing: {listener.failed}")
+    finally:
+        spark.streams.removeListener(listener)
+    rows = progress.progress_metrics(spark, job.path("progress")).where("input_rows > 0")
+    return _finished(job, rows.select("metric_type", "batch_id", F.col("watermark").cast("timestamp_ntz").alias("watermark"), "input_rows"))
+
+
+def q42_profile_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile merged from one part per day; distinct counts are told as within 3 % of the exact ones."""
+    events = _events(spark, sf_dir)
+    parts = profile.profile_sketches(events.withColumn("day", F.to_date("ts")), "day")
+    exact = profile.event_profile(events).select(F.col("distinct_users").alias("users"), F.col("distinct_contents").alias("contents"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.03 * F.col(b)
+    # two tables of one row each
+    return profile.merged_profile(parts).join(exact, F.lit(True)).select(
+        "event_count", "min_ts", "max_ts", near("distinct_users", "users").alias("users_within"),
+        near("distinct_contents", "contents").alias("contents_within"))
+
+
 FAMILIES = [late.Geometry("user", 3600, 3600, 0), late.Geometry("content", 900, 300, 0)]
 MORE_DELAYS = (0, 30, 120, 600, 3600, 7200, 9000)
 
@@ -460,4 +489,6 @@ QUERIES = {
     "q38_late_counts_any_delay": q38_late_counts_any_delay,
     "q39_entities_from_index": q39_entities_from_index,
     "q40_freshness_from_summary": q40_freshness_from_summary,
+    "q41_stream_progress": q41_stream_progress,
+    "q42_profile_from_sketches": q42_profile_from_sketches,
 }

@@ -112,6 +112,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of ours, written over an older one of its name."""
+    fs, p = _hadoop_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared dir (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -20,6 +20,7 @@ Kafka connector jar must be on the classpath; it is not in this image).
 from __future__ import annotations
 
 import os
+import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -38,6 +39,7 @@ from dwellspark.sources import wire
 from dwellspark.spec import FeatureSpec
 from dwellspark.streaming import stateful
 from dwellspark.streaming.outputs import FeatureOutputs
+from dwellspark.streaming.progress import ProgressMetrics
 
 
 # --------------------------------------------------------------------- sources
@@ -450,6 +452,17 @@ def main(argv=None) -> int:
         metadata = json_metadata(a.metadata_json)
     trigger = {"availableNow": True} if a.once else {"processingTime": a.interval}
     job = FeatureStreamJob(spark, a.root, WIRE_SPEC, metadata=metadata, trigger=trigger)
+    listener = ProgressMetrics(spark, job.path("progress"), f"_{re.escape(os.path.basename(job.root))}$")
+    spark.streams.addListener(listener)
+    try:
+        return run_command(spark, job, source, a)
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def run_command(spark: SparkSession, job: FeatureStreamJob, source: Callable[[], DataFrame], a) -> int:
+    """Runs what the command line ``a`` asks for; returns when its queries have ended."""
+    metadata = job.metadata
     families = ("user", "content", "affinity") if metadata is not None else ("user", "content")
     if a.one_query:
         kafka = (a.kafka_servers, a.feature_topic, a.metrics_topic) if a.kafka_servers and a.feature_topic else None
