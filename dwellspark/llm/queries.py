@@ -41,7 +41,8 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    judged = site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                   sites=site_quality.page_sites(table(spark, sf_dir, "pages")))
     return judged.select("doc_id", "host", "path", "evidence", "host_rate", "path_rate", "quality", F.col("accepted").alias("kept"))
 
 

@@ -11,9 +11,12 @@
    site is close to its parent, a large one speaks for itself.
 3. A document's quality combines the odds of its path with its own evidence.
 
-For tables without urls the host and path are columns (here source and lang).
+A document's host and path are those of its page's url where ``pages`` has one (the
+path up to its last part, which names the document; see ``url_filter.document_of``),
+else columns of its own (source and lang).
 
-Defined results: a null text is empty; a null host or path is a host or path of its
+Defined results: a null text is empty; of several pages of a document the first url in
+code point order counts, one without a host does not; a null host or path is a host or path of its
 own; labels without a document, or without a quality, are left out; without both
 kinds of labels every document has the neutral evidence 1 and is accepted; an empty
 table gives no rows.
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 
 from dwellspark.llm.common import cut_lineage, text_blocks, utf8, whole_text, written
 from dwellspark.llm.jaccard import shingle_sets, word_hashes
+from dwellspark.llm.url_filter import document_of, host_of, path_of
 
 FEATURES = ["symbols", "marks", "capitals", "bars", "same_next", "twice", "long_words", "short_words", "digits", "length"]
 
@@ -95,6 +99,14 @@ def text_features(docs: DataFrame, host: Column, path: Column) -> DataFrame:
     return cols.mapInArrow(run, "doc_id bigint, host string, path string, text_hash bigint, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
+def page_sites(pages: DataFrame) -> DataFrame:
+    """doc_id, site_host, site_path of the documents that have a page: one row each."""
+    url = F.col("url")
+    found = pages.select(document_of(url).alias("doc_id"), url).where(F.col("doc_id").isNotNull() & (host_of(url) != ""))
+    one = found.groupBy("doc_id").agg(F.min("url").alias("url"))
+    return one.select("doc_id", host_of(url).alias("site_host"), F.regexp_extract(path_of(url), r"^(.*/)[^/]+/?$", 1).alias("site_path"))
+
+
 def fit(features: DataFrame, labels: DataFrame, sample: int) -> tuple[list[float], float, float] | None:
     """(weights, intercept, share of good) of the text classifier; None without both kinds of labels."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
@@ -125,10 +137,22 @@ def shrunk(groups: DataFrame, parent: Column, most: float = 1e6) -> float:
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, host: Column | None = None, path: Column | None = None,
-             sample: int = 20_000, least: float = 0.5) -> DataFrame:
-    """doc_id, host, path, evidence, host_rate, path_rate, quality, accepted, text_hash: one row per document."""
+             sites: DataFrame | None = None, sample: int = 20_000, least: float = 0.5) -> DataFrame:
+    """doc_id, host, path, evidence, host_rate, path_rate, quality, accepted, text_hash, own_host, own_path: one row per document.
+
+    ``sites`` (doc_id, site_host, site_path; one row per doc_id) goes before the
+    document's ``own`` host and path. It is joined to the features, never to the texts.
+    """
     host, path = F.col("source") if host is None else host, F.col("lang") if path is None else path
-    features = cut_lineage(text_features(docs, host, path))
+    features = text_features(docs, host, path).withColumnsRenamed({"host": "own_host", "path": "own_path"})
+    if sites is None:
+        features = features.select("*", F.col("own_host").alias("host"), F.col("own_path").alias("path"))
+    else:
+        known = F.col("site_host").isNotNull()
+        features = features.join(sites, "doc_id", "left").select(
+            *features.columns, F.when(known, F.col("site_host")).otherwise(F.col("own_host")).alias("host"),
+            F.when(known, F.col("site_path")).otherwise(F.col("own_path")).alias("path"))
+    features = cut_lineage(features)
     model = fit(features, labels, sample)
     if model is None:
         score = F.lit(0.0)
@@ -137,7 +161,7 @@ def classify(docs: DataFrame, labels: DataFrame, *, host: Column | None = None,
         weights, intercept, prior = model
         score = F.lit(intercept) + sum((F.col(f) * w for f, w in zip(FEATURES, weights)), F.lit(0.0))
     base = math.log(prior / (1 - prior))
-    scored = features.select("doc_id", "host", "path", "text_hash", F.greatest(F.lit(-30.0), F.least(F.lit(30.0), score - base)).alias("evidence"))
+    scored = features.select("doc_id", "host", "path", "text_hash", "own_host", "own_path", F.greatest(F.lit(-30.0), F.least(F.lit(30.0), score - base)).alias("evidence"))
     p = 1 / (1 + F.exp(-(F.col("evidence") + base)))
     paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("good")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
@@ -154,13 +178,13 @@ def classify(docs: DataFrame, labels: DataFrame, *, host: Column | None = None,
     quality = 1 / (1 + F.exp(-(F.col("evidence") + F.log(rate / (1 - rate)))))
     accepted = F.lit(True) if model is None else quality >= least
     return out.select("doc_id", "host", "path", "evidence", "host_rate", "path_rate", quality.alias("quality"),
-                      accepted.alias("accepted"), "text_hash")
+                      accepted.alias("accepted"), "text_hash", "own_host", "own_path")
 
 
 def keep_accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are accepted, with all their columns."""
     good = classify(docs, labels, **options).where("accepted").select(F.col("doc_id").alias("k"), F.col("text_hash").alias("s"),
-                                                                      F.col("host").alias("h"), F.col("path").alias("p")).distinct()
+                                                                      F.col("own_host").alias("h"), F.col("own_path").alias("p")).distinct()
     host, path = options.get("host"), options.get("path")
     host, path = F.col("source") if host is None else host, F.col("lang") if path is None else path
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("doc_k"),

@@ -1,5 +1,6 @@
 """Quality rules against brute force, and both classifiers on held-out labels."""
 
+import math
 import re
 from collections import Counter
 
@@ -78,6 +79,53 @@ def test_sparse_sites_are_shrunk(spark):
     assert rate["bad"] < 0.2 < 0.8 < rate["good"] and 0.25 < rate["one601"] < 0.95
 
 
+def test_posteriors_equal_plain_code(spark, labelled):
+    """Rates and qualities recomputed from the evidence alone, hosts and paths of pages where there are some."""
+    docs, labels = labelled
+    sites = site_quality.page_sites(table(spark, SF, "pages"))
+    got = site_quality.classify(docs, labels, sites=sites).collect()
+    url = {r["doc_id"]: (r["site_host"], r["site_path"]) for r in sites.collect()}
+    own = {r["doc_id"]: (r["source"], r["lang"]) for r in docs.collect()}
+    assert len(got) == len(own) and url and all((r["host"], r["path"]) == url.get(r["doc_id"], own[r["doc_id"]]) for r in got)
+    known = {r["doc_id"]: r["quality"] for r in labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).collect()}
+    known = [q for d, q in known.items() if d in own]
+    prior = sum(known) / len(known)
+    good, n = Counter(), Counter()
+    for r in got:
+        p = 1 / (1 + math.exp(-(r["evidence"] + math.log(prior / (1 - prior)))))
+        for group in ((), (r["host"],), (r["host"], r["path"])):
+            good[group] += p
+            n[group] += 1
+    top = (good[()] + prior) / (n[()] + 1)
+
+    def pseudo(groups, parent):
+        d = sum(n[g] * (good[g] / n[g] - parent(g)) ** 2 for g in groups)
+        v = sum(parent(g) * (1 - parent(g)) for g in groups)
+        nv = sum(n[g] * parent(g) * (1 - parent(g)) for g in groups)
+        inside = (d - v) / max(nv - v, 1e-9)
+        return 1e6 if inside <= 1e-6 else max(1 / inside - 1, 1.0)
+
+    m = pseudo([g for g in n if len(g) == 1], lambda g: top)
+    host = {g[0]: (good[g] + m * top) / (n[g] + m) for g in n if len(g) == 1}
+    m = pseudo([g for g in n if len(g) == 2], lambda g: host[g[0]])
+    for r in got:
+        g = (r["host"], r["path"])
+        rate = (good[g] + m * host[g[0]]) / (n[g] + m)
+        rate = min(max(rate, 1e-6), 1 - 1e-6)
+        quality = 1 / (1 + math.exp(-(r["evidence"] + math.log(rate / (1 - rate)))))
+        assert r["host_rate"] == pytest.approx(host[g[0]], rel=1e-6) and r["quality"] == pytest.approx(quality, rel=1e-5)
+
+
+def test_sites_of_pages(spark):
+    urls = ["http://B.org/en/7", "http://a.org/x/y/7?q#f", "https://a.org/8/", "nothing", None, "http:///en/9", "http://a.org/en/", "http://c.org/10.html"]
+    got = site_quality.page_sites(spark.createDataFrame([(u, 1) for u in urls], "url string, doc_id int"))
+    assert sorted(map(tuple, got.collect())) == [(7, "b.org", "/en/"), (8, "a.org", "/"), (10, "c.org", "/")]
+    docs = spark.createDataFrame([(7, "a", "s", "en"), (7, "a", "t", None), (None, "b", None, "en"), (8, None, "s", "en")], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(7, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int")
+    assert site_quality.classify(docs, labels, sites=got).count() == 4
+    assert site_quality.keep_accepted(docs, labels, sites=got).columns == docs.columns
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(None, 0, 0), (1, None, None)]])
 def test_odd_documents_and_few_labels(spark, labels):
     rows = [(*r, None if r[0] == 4 else "s", 1.0) for r in odd_documents()]
