@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns the rows that go on; ``run``
 writes a stage's result to the shared folder and reads it back as the next one's
 documents.  All stages but the last return the columns of ``documents``.
+
+Defined results: null texts are empty ones; rows without a doc_id go through every
+stage as documents of their own; repeated rows (equal id and text) are exact copies,
+of which one stays; an empty table gives no rows; columns beyond those of
+``documents`` are carried up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +22,8 @@ from dwellspark.llm.queries import byte_bpe
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the site-aware classifier accepts."""
-    return site_quality.keep_accepted(docs, table(spark, sf_dir, "labels"))
+    return site_quality.keep_accepted(docs, table(spark, sf_dir, "labels"),
+                                      sites=site_quality.page_sites(table(spark, sf_dir, "pages")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
