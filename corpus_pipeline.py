@@ -4,10 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns the rows that go on; ``run``
 writes a stage's result to the shared folder and reads it back as the next one's
 documents.  All stages but the last return the columns of ``documents``.
 
-Defined results: null texts are empty ones; rows without a doc_id go through every
-stage as documents of their own; repeated rows (equal id and text) are exact copies,
-of which one stays; an empty table gives no rows; columns beyond those of
-``documents`` are carried up to the last stage, whatever their names.
+Defined results: null texts are empty ones, and copies of each other; the
+near-duplicate stage leaves rows without a doc_id alone; of repeated rows (equal id and
+text) one stays; an empty table gives no rows; columns beyond those of ``documents``
+are carried up to the last stage.
 """
 
 from __future__ import annotations
