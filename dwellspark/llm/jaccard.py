@@ -15,9 +15,13 @@ least ``num / den``.  Answers are not computed pair by pair:
    blocks in between are compared member by member.
 3. Candidate blocks come from an index of prefixes: of its shingles in one global
    order (frequent ones last, then by hash) a set keeps the first n - ceil(t n) + 1,
-   since linked sets share one of those.  An index list is skipped by position: a
-   pair stays only if sizes agree and the shared prefix shingles plus what may
-   follow after the prefixes reach the overlap that the link needs.
+   since linked sets share one of those.  An index list (one shingle) is cut into
+   blocks of like set sizes, and a list longer than ``LIST`` further by owner.  An
+   entry knows its position as the number of shingles left from there on; it goes to
+   the block of the next larger sizes only if so many are left as the least link to
+   a set of that block needs, and is skipped there otherwise.  Inside a block a pair
+   of entries counts only if both have enough left for a link of their sizes, and a
+   pair of sets stays only if as many entries count as its link needs.
 4. What remains is verified on the sets themselves, hot leaders in salted groups.
 
 The order needs document frequencies of all shingles: each block of texts sends its
@@ -48,6 +52,7 @@ from dwellspark.llm.tokens import run_hashes, spread
 MOST_FREQUENT = 2_000_000
 SMALL = 1_000_000  # rows of (id, id) that may be broadcast: 16 MB
 GROUP = 256
+LIST = 8192  # a longer index list is cut into several
 RARE = 8  # a shingle of fewer sets than this is rare
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -255,39 +260,66 @@ def frequent(texts: DataFrame, total: int, n: int) -> Order:
     return Order(texts.sparkSession, bits, rows["number"].to_numpy(np.uint64), rows["df"].to_numpy(np.int64))
 
 
-def prefixes(sets: np.ndarray, at: np.ndarray, order: Order, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix shingles of a block's sets, and the set each belongs to."""
+def prefixes(sets: np.ndarray, at: np.ndarray, order: Order, num: int, den: int) -> tuple[np.ndarray, ...]:
+    """The prefix shingles of a block's sets, the set each belongs to, the number left from it on in its set, its rank."""
     size = np.diff(at)
     doc = np.repeat(np.arange(len(size)), size)
     rank = order.rank(sets)
     if rank.any():
-        sets = sets[np.lexsort((rank, doc))]  # stable: equal ranks stay in hash order
-    keep = size - -(-size * num // den) + 1
-    inside = (np.arange(len(sets)) - at[:-1][doc]) < keep[doc]
-    return sets[inside], doc[inside]
+        by = np.lexsort((rank, doc))  # stable: equal ranks stay in hash order
+        sets, rank = sets[by], rank[by]
+    left = at[1:][doc] - np.arange(len(sets))
+    inside = left >= -(-size * num // den)[doc]
+    return sets[inside], doc[inside], left[inside], rank[inside]
+
+
+BOTH, HOME, LIKE, LESS = range(4)
+"""Roles of an entry in a block: at home there and compared with those at home; at home
+only; of like size but at home in another part of the list; from the block of smaller sizes."""
 
 
 def prefix_index(sets_of: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
-    """(t, owner, span): the prefix shingles of every set, under its block.
+    """(t, block, role, owner, span, left): the prefix shingles of every owner's sets, in the blocks of lists they can reach.
 
-    ``span`` packs the block's least and most set size.
+    ``span`` packs the owner's least and most set size.  Sizes of a class differ by
+    less than linked sizes may (and 1.06, as an owner's sizes differ by 1.05), so
+    links only lead to the same class or the next.
     """
+    ratio = 1.06 * den / num
+
     def make(part, data, doc_at):
-        t, doc = prefixes(*shingle_sets(data, doc_at, n), order, num, den)
+        t, doc, left, df = prefixes(*shingle_sets(data, doc_at, n), order, num, den)
         owner, span = (part.column(c).to_numpy()[doc] for c in ("owner", "span"))
-        by = np.lexsort((owner, t))
-        t, owner, span = t[by], owner[by], span[by]
+        by = np.lexsort((-left, owner, t))
+        t, owner, span, left, df = t[by], owner[by], span[by], left[by], df[by]
         new = np.ones(len(t), dtype=bool)
         new[1:] = (t[1:] != t[:-1]) | (owner[1:] != owner[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(t[new].view(np.int64)), pa.array(owner[new]), pa.array(span[new])], ["t", "owner", "span"])
-
-    return _per_block(sets_of, ["owner", "span"], make, "t bigint, owner bigint, span bigint")
+        t, owner, span, left, df = t[new], owner[new], span[new], left[new], df[new]
+        low, high = span >> 32, span & 0xFFFFFFFF
+        size_class = np.floor(np.log(low) / np.log(ratio)).astype(np.int64)
+        next_size = ratio ** (size_class + 1) * (1 - 1e-9)
+        least_left = np.minimum((low + next_size) * num / (num + den), next_size * num / den) - 1e-6
+        up = (left >= least_left) & (high * den >= next_size * num - 1e-6)
+        cuts = 1 + df // LIST
+        own_cut = (spread(owner.view(np.uint64)) % cuts.astype(np.uint64)).astype(np.int64)
+        every = np.arange(len(t))
+        takes = [(every, own_cut, size_class, np.where(cuts > 1, HOME, BOTH))]
+        for which, step, role in ((cuts > 1, 0, LIKE), (up, 1, LESS)):
+            at = np.repeat(every[which], cuts[which])
+            cut = np.arange(len(at)) - np.repeat(np.cumsum(cuts[which]) - cuts[which], cuts[which])
+            takes.append((at, cut, size_class[at] + step, np.full(len(at), role)))
+        at, cut, size_class, role = (np.concatenate(x) for x in zip(*takes))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(t[at].view(np.int64)), pa.array((cut * 1024 + size_class).astype(np.int32)), pa.array(role.astype(np.int8)),
+             pa.array(owner[at]), pa.array(span[at]), pa.array(left[at].astype(np.int32))], ["t", "block", "role", "owner", "span", "left"])
+
+    return _per_block(sets_of, ["owner", "span"], make, "t bigint, block int, role tinyint, owner bigint, span bigint, left int")
 
 
 def prefix_sets(sets_of: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
     """(id, prefix): the prefix shingles of every set."""
     def make(part, data, doc_at):
-        t, doc = prefixes(*shingle_sets(data, doc_at, n), order, num, den)
+        t, doc, _, _ = prefixes(*shingle_sets(data, doc_at, n), order, num, den)
         to = np.searchsorted(doc, np.arange(len(doc_at))).astype(np.int32)
         yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(to), pa.array(t.view(np.int64)))], ["id", "prefix"])
 
@@ -305,15 +337,21 @@ def after_prefix(size: Column, num: int, den: int) -> Column:
 
 def candidates(index: DataFrame, leaders: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of blocks of different leaders whose sets may link, with both leaders."""
-    index = index.repartition("t").groupBy("t", "owner", "span").agg(F.lit(1).alias("one")).select("t", "owner", "span")
+    index = index.repartition("t", "block").groupBy("t", "block", "role", "owner", "span").agg(F.max("left").alias("left"))
     left, right = index.alias("l"), index.alias("r")
-    shared = (left.join(right, F.col("l.t") == F.col("r.t")).where(F.col("l.owner") < F.col("r.owner"))
-              .groupBy(F.col("l.owner").alias("a"), F.col("r.owner").alias("b"), F.col("l.span").alias("sa"), F.col("r.span").alias("sb"))
-              .agg(F.count("*").alias("shared")))
     low, high = (lambda c: F.shiftright(c, 32)), (lambda c: c.bitwiseAND(0xFFFFFFFF))
-    size = (high(F.col("sa")) * den >= low(F.col("sb")) * num) & (high(F.col("sb")) * den >= low(F.col("sa")) * num)
-    rest = after_prefix(F.greatest(high(F.col("sa")), high(F.col("sb"))), num, den)
-    some = shared.where(size & (F.col("shared") + rest >= overlap_needed(low(F.col("sa")), low(F.col("sb")), num, den)))
+    sa, sb = F.col("l.span"), F.col("r.span")
+    size = (high(sa) * den >= low(sb) * num) & (high(sb) * den >= low(sa) * num)
+    # both roles in one expression: a filter of one side would be pushed down, and the index be made twice
+    roles = F.col("l.role") * 4 + F.col("r.role")
+    meet = roles.isin([4 * LESS + BOTH, 4 * LESS + HOME]) | (
+        roles.isin([4 * x + y for x in (BOTH, LIKE) for y in (BOTH, HOME)]) & (F.col("l.owner") < F.col("r.owner")))
+    needed = lambda x, y: overlap_needed(low(x), low(y), num, den)
+    rest = lambda x, y: after_prefix(F.greatest(high(x), high(y)), num, den)
+    enough = F.least("l.left", "r.left") >= F.least(needed(sa, sb), rest(sa, sb) + 1)
+    some = (left.join(right, (F.col("l.t") == F.col("r.t")) & (F.col("l.block") == F.col("r.block")) & meet & size & enough)
+            .groupBy(F.col("l.owner").alias("a"), F.col("r.owner").alias("b"), sa.alias("sa"), sb.alias("sb"))
+            .agg(F.count("*").alias("shared")).where(F.col("shared") + rest(F.col("sa"), F.col("sb")) >= needed(F.col("sa"), F.col("sb"))))
     x = leaders.select(F.col("owner").alias("a"), F.col("leader").alias("la"))
     y = leaders.select(F.col("owner").alias("b"), F.col("leader").alias("lb"))
     return some.join(x, "a").join(y, "b").where(F.col("la") != F.col("lb")).select("a", "b", "la", "lb")

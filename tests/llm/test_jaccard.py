@@ -96,6 +96,50 @@ def test_without_broadcasts_and_in_small_groups(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("num,longest", [(75, 8), (75, 10**6), (50, 8), (90, 16)])
+def test_lists_cut_into_blocks(spark, monkeypatch, num, longest):
+    """Lists cut by owner and size class, sizes far apart and on the edge of a link, other thresholds."""
+    monkeypatch.setattr(jaccard, "LIST", longest)
+    rng = random.Random(num)
+    rows = corpus(5)[:120]
+    for i in range(25):  # heads of one text: sizes from equal to beyond the edge
+        rows.append((1000 + i, " ".join(f"h{k}" for k in range(4 + 90 + 4 * i))))
+    shared = [f"s{k}" for k in range(30)]
+    for i in range(40):  # short texts of little but one passage: frequent shingles in the prefixes
+        rows.append((2000 + i, " ".join(shared + [f"e{i}x{k}" for k in range(rng.randrange(14))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    members, links = jaccard.jaccard_join(docs, num=num)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()), key=str)
+    assert got == brute(rows, num=num)
+
+
+def test_positions_skip_entries_of_lists(spark):
+    """An entry visits the block of larger sizes only with enough shingles left; the index is made once for both sides."""
+    import contextlib
+    import io
+
+    order = jaccard.Order(spark, 27, jaccard.np.zeros(0, jaccard.np.uint64), jaccard.np.zeros(0, jaccard.np.int64))
+    sizes = [90, 100, 110, 120, 140, 160]
+    rows = [(n, n << 32 | n, " ".join(f"w{k}" for k in range(n + 4))) for n in sizes]
+    index = jaccard.prefix_index(spark.createDataFrame(rows, "owner long, span long, text string"), order, 5, 75, 100)
+    found = index.collect()
+    home = {(r["t"], r["owner"]): r for r in found if r["role"] == jaccard.BOTH}
+    up = {(r["t"], r["owner"]): r for r in found if r["role"] == jaccard.LESS}
+    assert set(up) < set(home) and 0 < len(up) < len(home)
+    classes = {r["owner"]: r["block"] for r in home.values()}
+    for (t, a), x in home.items():
+        for (u, b), y in home.items():
+            if t == u and classes[a] + 1 == classes[b] and min(x["left"], y["left"]) >= -(-(a + b) * 75 // 175):
+                assert (t, a) in up
+    found = jaccard.candidates(index, spark.createDataFrame([(n, n) for n in sizes], "owner long, leader long"), 75, 100)
+    pairs = {frozenset((r["a"], r["b"])) for r in found.collect()}
+    assert pairs == {frozenset((a, b)) for a in sizes for b in sizes if a < b and 100 * a >= 75 * b}
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        found.explain()
+    assert "ReusedExchange" in shown.getvalue().split("== Initial Plan ==")[0]
+
+
 def test_repeated_and_missing_ids(spark):
     t = "one two three four five six seven"
     rows = [(1, t), (1, t), (2, t + " eight"), (2, "quite another text with words of its own"), (None, t), (None, None)]
