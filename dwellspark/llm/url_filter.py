@@ -7,7 +7,10 @@ ending) that occur together in the urls of bad documents are found by Spark's
 FP-growth; an itemset becomes a rule if enough bad urls hold it (support, a count that
 is the same at every size), if the share of bad ones among its labelled urls is large
 enough and not below that of all labelled urls (confidence), and if no smaller rule
-already says as much.
+already says as much.  So mining goes by levels: single tokens first, and those that
+are sure by themselves are in no larger set; the rest is mined in two kinds of
+baskets, one with the whole host and one with its labels, for a host implies its
+labels, and a set of both says no more than the host.
 A rule is looked up by its rarest token only: the index lists the rules under that
 token, and a url that has the token is checked for the others.
 
@@ -96,24 +99,40 @@ def mine(urls: DataFrame, labels: DataFrame, *, least_urls: int = 20, confidence
     none = rows.sparkSession.createDataFrame([], "rule string, items array<string>, anchor string, n bigint, n_bad bigint, confidence double")
     if not totals["bad"] or totals["bad"] < least_urls:
         return none
-    # every itemset of enough bad urls; a token that all urls hold adds nothing to one
-    counts = rows.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    counts = cut_lineage(counts)
-    usual = counts.where(F.col("n") >= totals["n"]).agg(F.collect_list("token").alias("t")).first()["t"]  # tokens of every url: as many as a url has
-    basket = rows.where("bad = 1").select(F.array_except("items", F.array(*[F.lit(t) for t in usual]).cast("array<string>")).alias("items"))
-    share = max(0.0, least_urls - 0.5) / totals["bad"]  # half a url less: the product with the count must not round up
-    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=0.0).fit(basket.where(F.size("items") > 0))
-    sets = model.freqItemsets.where(F.col("freq") >= least_urls).select(F.array_join(F.sort_array("items"), " ").alias("rule"), F.sort_array("items").alias("items"), F.col("freq").alias("n_bad"))
-    sets = cut_lineage(sets)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # level one: single tokens; one that all urls hold adds nothing to a set
+    bar = max(confidence, totals["bad"] / totals["n"])
+    counts = cut_lineage(rows.select(F.explode("items").alias("token"), "bad").groupBy("token").agg(
+        F.count("*").alias("n"), F.sum("bad").alias("n_bad")))
+    often = counts.where((F.col("n_bad") >= least_urls) & (F.col("n") < totals["n"])).withColumn("confidence", F.col("n_bad") / F.col("n"))
+    single = often.where(F.col("confidence") >= bar).select(
+        F.col("token").alias("rule"), F.array("token").alias("items"), F.col("token").alias("anchor"), "n", "n_bad", "confidence")
+    open_ = rows.where("bad = 1").withColumn("url_no", F.monotonically_increasing_id()).select("url_no", F.explode("items").alias("token"))
+    open_ = open_.join(often.where(F.col("confidence") < bar).select("token"), "token").groupBy("url_no").agg(F.collect_set("token").alias("items"))
+    open_ = cut_lineage(open_.select("items"))  # as many tokens as a url has
+    # larger sets of enough bad urls
+    at_host, label = (lambda x: F.startswith(x, F.lit("at:"))), (lambda x: F.startswith(x, F.lit("host:")))
+    sets = rows.sparkSession.createDataFrame([], "items array<string>, n_bad bigint")
+    for baskets, wanted in ((open_.where(F.exists("items", at_host)).select(F.filter("items", lambda x: ~label(x)).alias("items")), F.exists("items", at_host)),
+                            (open_.select(F.filter("items", lambda x: ~at_host(x)).alias("items")), F.lit(True))):
+        baskets = baskets.where(F.size("items") > 1)
+        some = baskets.count()
+        if some < least_urls:
+            continue
+        share = max(0.0, least_urls - 0.5) / some  # half a url less: the product with the count must not round up
+        model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=0.0, numPartitions=parts).fit(baskets)
+        found = model.freqItemsets.where((F.col("freq") >= least_urls) & (F.size("items") > 1)).where(wanted)
+        sets = sets.unionByName(found.select(F.sort_array("items").alias("items"), F.col("freq").alias("n_bad")))
+    sets = cut_lineage(sets.select(F.array_join("items", " ").alias("rule"), "items", "n_bad"))
     anchored = cut_lineage(by_rarest(sets, counts))
     held = holders(anchored, rows).groupBy("rule").agg(F.count("*").alias("n"))
     sure = (anchored.join(held, "rule").join(sets.select("rule", "n_bad"), "rule")
-            .withColumn("confidence", F.col("n_bad") / F.col("n")).where(F.col("confidence") >= max(confidence, totals["bad"] / totals["n"])))
+            .withColumn("confidence", F.col("n_bad") / F.col("n")).where(F.col("confidence") >= bar))
     sure = cut_lineage(sure.select("rule", "items", "anchor", "n", "n_bad", "confidence"))
     # a rule that holds a smaller one is not needed: whatever it blocks is blocked
     inner = holders(sure.select("rule", "items", "anchor"), sure.select(F.col("rule").alias("outer"), "items"))
     implied = inner.where("rule <> outer").select(F.col("outer").alias("rule")).distinct()
-    return cut_lineage(sure.join(implied, "rule", "left_anti"))
+    return cut_lineage(sure.join(implied, "rule", "left_anti").unionByName(single))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], *, least_urls: int = 20,

@@ -5,6 +5,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
+from dwellspark.llm import url_filter
 from dwellspark.llm.queries import URL_RULES
 from dwellspark.llm.url_filter import judge, mine, tokens
 
@@ -43,6 +44,23 @@ def test_mined_rules_equal_brute_force(spark):
     assert all((r["n"], r["n_bad"]) == sure[tuple(r["items"])] for r in got)
 
 
+def test_sure_tokens_and_implied_labels_stay_out_of_larger_sets(spark, monkeypatch):
+    """Sets that the larger levels count: none with a token that is sure by itself, none of a host and its labels."""
+    counted = []
+    real = url_filter.by_rarest
+    monkeypatch.setattr(url_filter, "by_rarest", lambda sets, counts: counted.extend(r["items"] for r in sets.collect()) or real(sets, counts))
+    rows = [(d, f"https://www.{h}.example.org/{p}/x/{d}", good) for d, h, p, good in
+            [(d, "bad", "a", 0) for d in range(30)] + [(d, "half", "win" if d % 2 else "b", (d + 1) % 2) for d in range(30, 130)]
+            + [(d, "good", "win", 1) for d in range(130, 400)]]
+    labels = spark.createDataFrame([(d, good, 0) for d, _, good in rows], LABELS)
+    got = {tuple(r["items"]) for r in mine(spark.createDataFrame([(u,) for _, u, _ in rows], "url string"), labels).collect()}
+    assert got == {("at:www.bad.example.org",), ("host:bad",), ("path:a",), ("at:www.half.example.org", "path:win"), ("host:half", "path:win")}
+    assert counted and len(counted) == len({tuple(c) for c in counted})
+    for some in counted:
+        assert not {"at:www.bad.example.org", "host:bad", "path:a"} & set(some)
+        assert not (any(x.startswith("at:") for x in some) and any(x.startswith("host:") for x in some))
+
+
 def test_support_is_the_same_at_every_size(spark):
     """25 bad urls of one host give a rule among 500 labelled urls and among 15,000."""
     for n in (500, 15_000):
