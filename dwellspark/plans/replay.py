@@ -22,7 +22,7 @@ def with_arrival(events: DataFrame, delayed_every: int = 20, delay_hours: int =
 
 
 def stage_replay_files(events: DataFrame, path: str, n_slices: int, order_col: str = "ts",
-                       rows_per_file: int = 250_000) -> tuple[int, int]:
+                       rows_per_file: int = 25_000) -> tuple[int, int]:
     """Write events as JSON-line files in ``order_col`` order; (rows, files per slice).
 
     ``n_slices`` equal spans of ``order_col`` (event time, or an arrival time to

@@ -62,7 +62,7 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
     return reader.load().selectExpr("CAST(value AS STRING) AS value", "partition", "offset")
 
 
-def state_partitions_for(spark: SparkSession, rows_per_trigger: int, rows_per_partition: int = 250_000) -> int:
+def state_partitions_for(spark: SparkSession, rows_per_trigger: int, rows_per_partition: int = 25_000) -> int:
     """State-store partitions for a stream: enough for the per-trigger volume,
     never more than the session's shuffle partitions.  Fixed at first start."""
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))

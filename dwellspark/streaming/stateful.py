@@ -22,8 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -34,7 +34,8 @@ from dwellspark.spec import FeatureSpec, interval_seconds
 
 SUMS = ["clicks", "views", "engagements", "dwell_sum", "event_count"]
 KEYS = ["entity_id", "category", "start_us"]
-STATE = "entity_id array<string>, category array<string>, start_us array<bigint>, " + ", ".join(f"{c} array<bigint>" for c in SUMS)
+STATE = "windows binary"  # a bucket's open windows, as one Arrow stream
+PENDING_ROWS = 500_000  # entries held in a task before they are added up
 CLOSED = ("kind string, family string, entity_id string, category string, start_us bigint, end_us bigint, "
           + ", ".join(f"{c} bigint" for c in SUMS)
           + ", user_id string, content_id string, event_type string, ts_us bigint, watermark_us bigint")
@@ -78,12 +79,35 @@ def _bucket(buckets: int, salts: int):
     return F.pmod(entity + salt * F.lit(buckets // salts), F.lit(buckets)).cast("int")
 
 
+def _added(parts: list[pd.DataFrame], by: list[str]) -> pd.DataFrame:
+    return pd.concat(parts).groupby(by, dropna=False, sort=False, as_index=False).sum()
+
+
+def _packed(sums: pd.DataFrame) -> bytes:
+    """Open windows as an Arrow stream: one value for the state store instead of a list per column."""
+    texts = [c for c in KEYS[:2] if c in sums.columns]
+    schema = pa.schema([(c, pa.string()) for c in texts] + [(c, pa.int64()) for c in ["start_us", *SUMS]])
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as to:
+        to.write_table(pa.Table.from_pandas(sums, schema, preserve_index=False))
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(windows) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(windows)).read_all().to_pandas()
+
+
 def merged(closed: DataFrame) -> DataFrame:
-    """A micro-batch's rows with the parts of each window added up."""
-    window = closed.where(F.col("kind") == WINDOW)
-    keys = ["kind", "family", "entity_id", "category", "start_us", "end_us"]
-    sums = window.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], F.max("watermark_us").alias("watermark_us"))
-    return sums.unionByName(closed.where(F.col("kind") == LATE), allowMissingColumns=True).select(*COLUMNS)
+    """A micro-batch's rows with the parts of each window added up.
+
+    One pass, so the stateful step above it runs once.  Late entries pass through the same
+    aggregate: equal ones meet there and are told apart again by their count.
+    """
+    is_late = F.col("kind") == LATE
+    keys = ["kind", "family", "entity_id", "category", "start_us", "end_us", "user_id", "content_id", "event_type", "ts_us"]
+    sums = closed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], F.max("watermark_us").alias("watermark_us"))
+    once = sums.withColumn("one", F.explode(F.array_repeat(F.lit(1), F.when(is_late, F.col("event_count").cast("int")).otherwise(1))))
+    return once.withColumn("event_count", F.when(is_late, F.lit(1)).otherwise(F.col("event_count")).cast("bigint")).select(*COLUMNS)
 
 
 def closed_windows(events: DataFrame, spec: FeatureSpec, families: tuple[str, ...] = ("user", "content", "affinity"),
@@ -99,35 +123,39 @@ def closed_windows(events: DataFrame, spec: FeatureSpec, families: tuple[str, ..
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         family = key[0]
         size, slide = sizes[family]
+        by = KEYS if family == "affinity" else ["entity_id", "start_us"]  # the others have no category
         mark = state.getCurrentWatermarkMs() * 1000
         held = state.getOption
-        parts = [] if held is None else [pd.DataFrame(dict(zip(KEYS + SUMS, map(list, held))))]
-        out = []
+        fresh, pending, out = [], 0, []
         for rows in batches:
             if not len(rows):
                 continue
             rows = rows.rename(columns={"is_click": "clicks", "is_view": "views", "is_eng": "engagements", "dwell": "dwell_sum"})
-            rows["event_count"] = 1
-            rows["category"] = rows["category"].fillna("")
-            late = np.ones(len(rows), dtype=bool)
-            for back in range(size // slide):
-                some = rows[KEYS + SUMS].assign(start_us=rows["start_us"] - back * slide)
-                open_ = (some["start_us"] + size > mark).to_numpy()
-                late &= ~open_
-                if open_.any():
-                    parts.append(some[open_].groupby(KEYS, dropna=False, sort=False, as_index=False).sum())
+            late = (rows["start_us"] + size <= mark).to_numpy()  # its last window: no other ends later
             if late.any():
                 gone = rows.loc[late, ["entity_id", "category", "start_us", "user_id", "content_id", "event_type", "ts_us"]]
-                out.append(gone.assign(kind=LATE, event_count=1, **{c: 0 for c in SUMS[:-1]}))
-        sums = pd.concat(parts).groupby(KEYS, dropna=False, sort=False, as_index=False).sum() if parts else None
+                out.append(gone.assign(category=gone["category"].fillna(""), kind=LATE, event_count=1, **{c: 0 for c in SUMS[:-1]}))
+                rows = rows[~late]
+            fresh.append(rows[by + SUMS[:-1]].assign(event_count=1))
+            pending += len(rows)
+            if pending > PENDING_ROWS:
+                fresh = [_added(fresh, by)]
+                pending = 0
+        parts = [] if held is None else [_unpacked(held[0])]
+        if fresh:
+            slides = _added(fresh, by)  # entries of one slide belong to the same windows
+            for back in range(size // slide):
+                some = slides.assign(start_us=slides["start_us"] - back * slide)
+                parts.append(some[some["start_us"] + size > mark])
+        sums = _added(parts, by) if len(parts) > 1 else parts[0] if parts else None
         if sums is not None:
-            done = sums["start_us"] + size <= mark
+            done = (sums["start_us"] + size <= mark).to_numpy()
             if done.any():
-                out.append(sums[done].assign(kind=WINDOW, user_id="", content_id="", event_type="", ts_us=0))
-            sums = sums[~done]
+                closed = sums[done].assign(kind=WINDOW, user_id="", content_id="", event_type="", ts_us=0)
+                out.append(closed if "category" in by else closed.assign(category=""))
+                sums = sums[~done]
         if sums is not None and len(sums):
-            entity = [x if isinstance(x, str) else None for x in sums["entity_id"].tolist()]
-            state.update((entity, *[sums[c].tolist() for c in [*KEYS[1:], *SUMS]]))
+            state.update((_packed(sums),))
             state.setTimeoutTimestamp((int(sums["start_us"].min()) + size) // 1000 - 1)  # timers fire above their time, windows close at it
         elif state.exists:
             state.remove()

@@ -5,6 +5,7 @@ import os
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from dwellspark.session import remove_path
 from dwellspark.spec import WIRE_SPEC
 from dwellspark.streaming import job as J
 from dwellspark.streaming import outputs as O
+from dwellspark.streaming import stateful as S
 
 DAY = datetime(2024, 1, 1)
 META = [("c0", "scifi", "a", 1), ("c1", "news", "b", 1)]
@@ -149,3 +151,38 @@ def test_folds_of_slices_equal_the_fold(spark, seed):
         state = M.merge_folds(state.unionByName(M.fold_state(frame(part)))).checkpoint()
     as_of = "2024-02-01 00:00:00"
     assert M.fold_snapshot(state, as_of).first() == M.fold_metrics(frame(rows), as_of).first()
+
+
+def test_merged_reads_the_stateful_step_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    part = lambda n: ("window", "user", "u", None, 0, 3600, 1, 2, None, 10, n, None, None, None, None, 7)
+    late = lambda user: ("late", "user", user, None, 0, 3600, None, None, None, None, 1, user, "c", "view", 5, 7)
+    rows = [part(3), part(4), late("u"), late("u"), late("v")]
+    out = S.merged(spark.createDataFrame(rows, S.CLOSED).mapInPandas(counted, S.CLOSED)).collect()
+    assert seen.value == len(rows)
+    # a window's parts are one row, equal late entries stay as many
+    assert [(r["clicks"], r["views"], r["engagements"], r["dwell_sum"], r["event_count"]) for r in out if r["kind"] == "window"] == [(2, 4, None, 20, 7)]
+    assert sorted((r["user_id"], r["event_count"], r["clicks"], r["ts_us"]) for r in out if r["kind"] == "late") == [
+        ("u", 1, None, 5), ("u", 1, None, 5), ("v", 1, None, 5)]
+
+
+@pytest.mark.parametrize("category", [["a", ""], None])
+def test_state_is_one_value(category):
+    sums = pd.DataFrame({"entity_id": ["x", None], **({} if category is None else {"category": category}), "start_us": [0, 300],
+                         **{c: [1, 2] for c in S.SUMS}})
+    packed = S._packed(sums)
+    assert isinstance(packed, bytes)
+    pd.testing.assert_frame_equal(S._unpacked(bytearray(packed)), sums)
+    assert S.STATE.count(",") == 0
+
+
+def test_partitions_follow_the_rows_of_a_trigger(spark):
+    assert J.state_partitions_for(spark, 1000) == 1
+    assert J.state_partitions_for(spark, 75_000) == 3
+    assert J.state_partitions_for(spark, 10_000_000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
