@@ -33,7 +33,7 @@ from dwellspark.functions.expressions import count_where, packed_order
 from dwellspark.functions.literals import literal_table
 from dwellspark.operators import enrich, features
 from dwellspark.schemas import HEARTBEAT_METRIC, LATE_METRIC
-from dwellspark.session import path_exists
+from dwellspark.session import cut_lineage, path_exists
 from dwellspark.sinks.files import LatestFeatureTable
 from dwellspark.sources import wire
 from dwellspark.spec import FeatureSpec
@@ -62,7 +62,7 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
     return reader.load().selectExpr("CAST(value AS STRING) AS value", "partition", "offset")
 
 
-def state_partitions_for(spark: SparkSession, rows_per_trigger: int, rows_per_partition: int = 25_000) -> int:
+def state_partitions_for(spark: SparkSession, rows_per_trigger: int, rows_per_partition: int = 10_000) -> int:
     """State-store partitions for a stream: enough for the per-trigger volume,
     never more than the session's shuffle partitions.  Fixed at first start."""
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -182,7 +182,9 @@ class FeatureStreamJob:
         if "affinity" in families:
             if self.metadata is None:
                 raise ValueError("affinity needs content metadata")
-            events = enrich.enrich_events(events, enrich.latest_metadata(self.metadata(self.spark)), how="left")
+            # worked out once, not in every micro-batch
+            latest = cut_lineage(enrich.latest_metadata(self.metadata(self.spark)))
+            events = enrich.enrich_events(events, latest, how="left")
         partitions = self.state_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         closed = stateful.closed_windows(events, self.spec, families, buckets=4 * partitions)
         return self._start(closed.writeStream.foreachBatch(self.outputs(kafka).process).outputMode("append")

@@ -184,5 +184,5 @@ def test_state_is_one_value(category):
 
 def test_partitions_follow_the_rows_of_a_trigger(spark):
     assert J.state_partitions_for(spark, 1000) == 1
-    assert J.state_partitions_for(spark, 75_000) == 3
+    assert J.state_partitions_for(spark, 25_000) == 3
     assert J.state_partitions_for(spark, 10_000_000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
