@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwellspark.session import list_paths, path_exists, remove_path
 from dwellspark.sources import wire
 
 
@@ -26,9 +27,9 @@ def stage_replay_files(events: DataFrame, path: str, n_slices: int, order_col: s
     """Write events as JSON-line files in ``order_col`` order; (rows, files per slice).
 
     ``n_slices`` equal spans of ``order_col`` (event time, or an arrival time to
-    replay out-of-order delivery) are written one job after the other, each as
-    the same number of files, so a file stream that takes that many files per
-    trigger reads slice by slice.  Events without a time cannot be placed in an
+    replay out-of-order delivery) are told apart in one pass over the events and
+    written one job after the other, each as the same number of files, so a file
+    stream that takes that many files per trigger reads slice by slice.  Events without a time cannot be placed in an
     order; they go with the first slice.
     """
     us = F.unix_micros(F.col(order_col).cast("timestamp"))
@@ -36,21 +37,21 @@ def stage_replay_files(events: DataFrame, path: str, n_slices: int, order_col: s
     if bounds is None or bounds["lo"] is None:
         return 0, 1
     lo, span, n = int(bounds["lo"]), int(bounds["hi"]) - int(bounds["lo"]) + 1, int(bounds["n"])
-    ts_type = events.schema[order_col].dataType
-    # exact integer microsecond cut points; plain range predicates on ts so
-    # parquet row-group statistics skip what a slice does not need
+    # exact integer microsecond cut points
     cuts = [lo + -(-(i * span) // n_slices) for i in range(n_slices + 1)]
     files = max(1, n // n_slices // rows_per_file)
-
-    def ts_lit(micros: int):
-        return F.timestamp_micros(F.lit(micros)).cast(ts_type)
-
+    spark, staged = events.sparkSession, f"{path}-slices"
+    nth = sum(((us >= F.lit(c)).cast("int") for c in cuts[1:-1]), F.lit(0))
+    wire.events_to_wire(events.select("*", F.coalesce(nth, F.lit(0)).alias("slice")), "slice").select(
+        "slice", "value").write.partitionBy("slice").parquet(staged)
     for i in range(n_slices):
-        cond = (F.col(order_col) >= ts_lit(cuts[i])) & (F.col(order_col) < ts_lit(cuts[i + 1]))
-        if i == 0:
-            cond = cond | F.col(order_col).isNull()
-        part = wire.events_to_wire(events.where(cond)).select("value")
+        part = (spark.read.schema("value string").parquet(f"{staged}/slice={i}") if path_exists(spark, f"{staged}/slice={i}")
+                else spark.createDataFrame([], "value string"))
         (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").text(path)
+        # a slice of few rows leaves some of its files out; empty ones keep the slices apart
+        for _ in range(files * (i + 1) - len(list_paths(spark, f"{path}/part-*"))):
+            spark.createDataFrame([], "value string").coalesce(1).write.mode("append").text(path)
+    remove_path(spark, staged)
     return n, files
 
 

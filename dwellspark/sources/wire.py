@@ -25,12 +25,12 @@ REASON_BAD_TS = "bad_timestamp"
 REASON_OK = "ok"
 
 
-def events_to_wire(events: DataFrame) -> DataFrame:
-    """Normalised events → JSON text (``value``), nulls omitted as absent fields."""
+def events_to_wire(events: DataFrame, *keep: str) -> DataFrame:
+    """Normalised events → JSON text (``value``), nulls omitted as absent fields; ``keep``: columns beside it."""
     payload = F.struct(
         F.col("user_id"), F.col("content_id"), F.col("event_type"),
         F.col("dwell_time_ms"), iso_instant(F.col("ts")).alias("timestamp"))
-    return events.select("event_id", F.to_json(payload).alias("value"))
+    return events.select("event_id", *keep, F.to_json(payload).alias("value"))
 
 
 def _parse(values: DataFrame, schema: T.StructType) -> DataFrame:

@@ -295,6 +295,26 @@ def test_all_families_stream_equal_batch_on_driver_data(spark, scratch):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, fam
 
 
+def test_slices_keep_apart_where_one_has_few_rows(spark, scratch):
+    at = lambda m: f"timestamp_ntz'2024-01-01 00:{m:02d}:00'"
+    # times by slice of 10 minutes: many, none, two; one event without a time goes with the first
+    rows = [*[at(k % 10) for k in range(40)], at(20), at(29), "CAST(null AS timestamp_ntz)"]
+    events = spark.sql("SELECT * FROM VALUES " + ", ".join(f"({k}L, 'u{k}', 'c', 'view', 1L, {t})" for k, t in enumerate(rows))
+                       + " AS t(event_id, user_id, content_id, event_type, dwell_time_ms, ts)")
+    folder = os.path.join(scratch, "in")
+    assert stage_replay_files(events, folder, 3, rows_per_file=5) == (43, 2)
+    took = []
+    query = (J.wire_file_stream(spark, folder, 2).writeStream.trigger(availableNow=True)
+             .option("checkpointLocation", os.path.join(scratch, "ck"))
+             .foreachBatch(lambda batch, k: took.append(sorted(_user(r["value"]) for r in batch.collect()))).start())
+    J.wait_for([query])
+    assert took == [sorted(f"u{k}" for k in [*range(40), 42]), [], ["u40", "u41"]]
+
+
+def _user(line):
+    return json.loads(line)["user_id"]
+
+
 def test_latest_table_upserts_equal_batch_latest(spark, scratch):
     import random
     from dwellspark.operators import serving
